@@ -26,24 +26,28 @@ HASH_BUCKET_HEX = 4  # 16**4 = 65,536 buckets for hash-ordered ranks
 
 def exact_rank(df: DataFrame, buckets: Sequence[tuple[str, Column, bool]],
                within: Sequence[Column], rank_col: str = "rank",
-               total_col: str | None = None) -> DataFrame:
-    """Add a 1-based global rank in the order (buckets..., within...).
+               total_col: str | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Add a 1-based rank in the order (buckets..., within...).
 
     ``buckets`` lists (name, expression, ascending); the bucket order must be a
     coarse version of the full order. ``within`` is the exact order inside a
-    bucket and must break every tie. ``total_col`` adds the total row count.
+    bucket and must break every tie. ``total_col`` adds the row count. With
+    ``group_cols`` the rank restarts in every group (bucket table windows are
+    then partitioned by the group).
     """
     names = [n for n, _, _ in buckets]
+    keys = list(group_cols) + names
     b = df.withColumns({n: e for n, e, _ in buckets})
-    counts = b.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     order = [F.col(n).asc() if asc else F.col(n).desc() for n, _, asc in buckets]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*group_cols).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("__n").over(Window.partitionBy()))
+        offsets = offsets.withColumn(total_col, F.sum("__n").over(Window.partitionBy(*group_cols)))
     offsets = offsets.drop("__n")
-    joined = b.join(offsets, names)
-    inner = Window.partitionBy(*names).orderBy(*within)
+    joined = b.join(offsets, keys)
+    inner = Window.partitionBy(*keys).orderBy(*within)
     return (joined.withColumn(rank_col, F.col("__before") + F.row_number().over(inner))
             .drop("__before", *names))
 

@@ -63,3 +63,499 @@ SELECT token, CAST(count(*) AS BIGINT) AS freq FROM t GROUP BY token HAVING coun
 """)
 def a5_high_frequency_words(spark: SparkSession, d: str) -> DataFrame:
     return high_frequency_job(reviews(spark, d), STOP)
+
+
+# ---------------------------------------------------------------- more shared parts
+
+def doc_tokens(spark: SparkSession, d: str, stop: str | None = "ci",
+               profile: str = "full") -> DataFrame:
+    """Source A reviews with token arrays (review_id, star, tokens)."""
+    from reviewkit.operators.tokens import tokenize
+    r = driver.reviews_a(spark, d).select("review_id", "star", "comment")
+    return tokenize(r, profile=profile,
+                    stopwords=STOP if stop == "ci" else None,
+                    exact_stopwords=STOP if stop == "exact" else None).drop("comment")
+
+
+def corpus_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Both sources, tokenized with the case-insensitive stop filter."""
+    from reviewkit.operators.tokens import tokenize
+    return tokenize(reviews(spark, d).select("source", "review_id", "star", "comment"),
+                    stopwords=STOP).drop("comment")
+
+
+def sql_doc_tokens(stop: str | None = "ci") -> str:
+    return (f"(SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS star, "
+            f"{sql_tokens('text', 'full', stop)} AS tokens FROM documents)")
+
+
+SQL_CORPUS_TOKENS = (f"(SELECT source, review_id, star, {sql_tokens('comment')} AS tokens "
+                     f"FROM {SQL_REVIEWS} r)")
+
+
+def sql_vocab(tokens_table: str, min_freq: int, specials=("<unk>", "<pad>")) -> str:
+    """DuckDB vocabulary: specials first, then freq desc, token asc."""
+    spec = " UNION ALL ".join(
+        f"SELECT '{s}' AS token, CAST(0 AS BIGINT) AS freq, CAST({i} AS BIGINT) AS token_id"
+        for i, s in enumerate(specials))
+    quoted = ", ".join(f"'{s}'" for s in specials)
+    return f"""(
+  WITH c AS (SELECT unnest(tokens) AS token FROM {tokens_table} tt),
+  f AS (SELECT token, CAST(count(*) AS BIGINT) AS freq FROM c GROUP BY token)
+  {spec}
+  UNION ALL
+  SELECT token, freq, CAST(row_number() OVER (ORDER BY freq DESC, token) + {len(specials) - 1} AS BIGINT)
+  FROM f WHERE freq >= {min_freq} AND token NOT IN ({quoted})
+)"""
+
+
+# ---------------------------------------------------------------- relational basics
+
+@register("k3_union", f"""
+SELECT source, review_id, star, CAST(length(comment) AS INTEGER) AS comment_len FROM {SQL_REVIEWS} r
+""")
+def k3_union(spark, d):
+    return reviews(spark, d).select("source", "review_id", "star",
+                                    F.length("comment").alias("comment_len"))
+
+
+@register("p1_project", f"SELECT comment, star FROM {SQL_REVIEWS} r")
+def p1_project(spark, d):
+    return reviews(spark, d).select("comment", "star")
+
+
+_PROFILE_COLS = ("doc_id", "text", "lang", "source", "quality", "toxic")
+
+
+@register("p2_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS rows, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM ({driver.SQL_LABELLED}) x"
+    for c in _PROFILE_COLS))
+def p2_profile(spark, d):
+    from reviewkit.operators.quality import profile
+    return profile(driver.labelled_documents(spark, d).select(*_PROFILE_COLS))
+
+
+@register("p3_preview", f"""
+SELECT review_id, star, comment FROM ({driver.SQL_REVIEWS_A}) a ORDER BY review_id LIMIT 5
+""")
+def p3_preview(spark, d):
+    from reviewkit.operators.quality import preview
+    return preview(driver.reviews_a(spark, d).select("review_id", "star", "comment"), "review_id")
+
+
+@register("p4_drop_nulls", f"""
+SELECT doc_id, quality, toxic FROM ({driver.SQL_LABELLED}) x
+WHERE text IS NOT NULL AND quality IS NOT NULL
+""")
+def p4_drop_nulls(spark, d):
+    from reviewkit.operators.quality import drop_nulls
+    return drop_nulls(driver.labelled_documents(spark, d), ["text", "quality"]) \
+        .select("doc_id", "quality", "toxic")
+
+
+@register("p5_exclude_stars", f"SELECT source, review_id, star FROM {SQL_REVIEWS} r")
+def p5_exclude_stars(spark, d):
+    # The reference passes an empty exclusion list: the operator is a no-op then.
+    from reviewkit.operators.quality import exclude_values
+    return exclude_values(reviews(spark, d), "star", []).select("source", "review_id", "star")
+
+
+@register("p6_star_range", f"""
+SELECT min(star) AS min_value, max(star) AS max_value,
+       CAST(count(*) FILTER (WHERE NOT (star BETWEEN 1 AND 5)) AS BIGINT) AS violations
+FROM {SQL_REVIEWS} r
+""")
+def p6_star_range(spark, d):
+    from reviewkit.operators.quality import range_summary
+    return range_summary(reviews(spark, d), "star")
+
+
+@register("p7_alignment", """
+SELECT CAST(count(*) FILTER (WHERE d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL) AS BIGINT) AS matched,
+       CAST(count(*) FILTER (WHERE l.doc_id IS NULL) AS BIGINT) AS left_only,
+       CAST(count(*) FILTER (WHERE d.doc_id IS NULL) AS BIGINT) AS right_only
+FROM (SELECT doc_id FROM documents) d FULL OUTER JOIN (SELECT doc_id FROM labels) l ON d.doc_id = l.doc_id
+""")
+def p7_alignment(spark, d):
+    from reviewkit.operators.quality import alignment
+    return alignment(driver.table(spark, d, "documents"), driver.table(spark, d, "labels"), "doc_id")
+
+
+@register("p8_short_reviews", f"""
+SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t WHERE len(tokens) < 64
+""")
+def p8_short_reviews(spark, d):
+    from reviewkit.operators.quality import keep_shorter
+    return keep_shorter(doc_tokens(spark, d), "tokens", 64) \
+        .select("review_id", F.size("tokens").alias("n_tokens"))
+
+
+@register("a1_row_count", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT DISTINCT comment, star FROM {SQL_REVIEWS} r
+WHERE comment IS NOT NULL AND star IS NOT NULL) x
+""")
+def a1_row_count(spark, d):
+    """A1 on the reference's working table: union -> drop nulls -> dedup -> count."""
+    from reviewkit.operators.quality import dedup_pairs, drop_nulls
+    w = dedup_pairs(drop_nulls(reviews(spark, d), ["comment", "star"]),
+                    order_cols=("source", "review_id"))
+    return w.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("a2_dedup_pairs", f"""
+SELECT CAST(length(comment) AS INTEGER) AS comment_len, star,
+       min({{'s': source, 'r': review_id}}).s AS source,
+       min({{'s': source, 'r': review_id}}).r AS review_id,
+       CAST(count(*) AS BIGINT) AS copies
+FROM {SQL_REVIEWS} r GROUP BY comment, star
+""")
+def a2_dedup_pairs(spark, d):
+    from reviewkit.operators.quality import dedup_pairs
+    return dedup_pairs(reviews(spark, d), order_cols=("source", "review_id"),
+                       count_col="copies") \
+        .select(F.length("comment").alias("comment_len"), "star", "source", "review_id", "copies")
+
+
+@register("a3_star_distribution", f"""
+SELECT s.star, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(range AS INTEGER) AS star FROM range(1, 6)) s
+LEFT JOIN (SELECT star, count(*) AS n FROM {SQL_REVIEWS} r GROUP BY star) c ON s.star = c.star
+""")
+def a3_star_distribution(spark, d):
+    from reviewkit.operators.quality import star_distribution
+    return star_distribution(reviews(spark, d), "star")
+
+
+@register("j1_zip_columns", """
+SELECT c.doc_id, c.text AS comment, CAST(1 + s.doc_id % 5 AS INTEGER) AS star
+FROM documents c JOIN documents s ON c.doc_id = s.doc_id
+""")
+def j1_zip_columns(spark, d):
+    """The comment column and the star column zipped back on the row key."""
+    from reviewkit.operators.quality import zip_columns
+    docs = driver.table(spark, d, "documents")
+    comments = docs.select("doc_id", F.col("text").alias("comment"))
+    stars = docs.select("doc_id", driver.synthetic_star(F.col("doc_id")).alias("star"))
+    return zip_columns(comments, stars, "doc_id")
+
+
+@register("s2_first_rows", f"""
+SELECT review_id, star FROM ({driver.SQL_REVIEWS_A}) a ORDER BY review_id LIMIT 10000
+""")
+def s2_first_rows(spark, d):
+    """First N rows (N = 10,000 as in the reference scripts), in key order."""
+    return driver.reviews_a(spark, d).select("review_id", "star").orderBy("review_id").limit(10000)
+
+
+# ---------------------------------------------------------------- cleaning T0-T6
+
+def _clean_query(name: str, step, sql_step: str, table: str, id_col: str, text_expr):
+    from reviewkit.functions import text as T
+
+    def q(spark, d):
+        t = driver.table(spark, d, table)
+        return t.select(F.col(id_col), getattr(T, step)(text_expr(t)).alias("cleaned"))
+
+    sql = f"SELECT {id_col}, {sql_step} AS cleaned FROM {table}"
+    register(name, sql)(q)
+
+
+def _sql_step(step: str, e: str) -> str:
+    from reviewkit.functions import text as T
+    return {
+        "replace_cjk_punct": f"regexp_replace({e}, '{T.CJK_PUNCT_RE}', ' ', 'g')",
+        "remove_html_marker": f"replace({e}, '{T.HTML_MARKER}', '')",
+        "strip_tags": f"regexp_replace({e}, '{T.TAG_RE_RE2}', '', 'g')",
+        "strip_urls": f"regexp_replace({e}, '{T.URL_RE}', '', 'g')",
+        "strip_digits": f"regexp_replace({e}, '{T.DIGITS_RE}', '', 'g')",
+        "strip_space": f"trim({e}, {T.sql_ws_chars()})",
+    }[step]
+
+
+_PAGE_TEXT = "url || ' ' || html"
+for _name, _step, _table, _id, _expr, _sqlexpr in [
+    ("t1_cjk_punct", "replace_cjk_punct", "documents", "doc_id", lambda t: t.text, "text"),
+    ("t2_html_marker", "remove_html_marker", "pages", "page_id", lambda t: t.html, "html"),
+    ("t3_strip_tags", "strip_tags", "pages", "page_id", lambda t: t.html, "html"),
+    ("t4_strip_urls", "strip_urls", "pages", "page_id",
+     lambda t: F.concat_ws(" ", t.url, t.html), _PAGE_TEXT),
+    ("t5_strip_digits", "strip_digits", "documents", "doc_id", lambda t: t.text, "text"),
+    ("t6_strip_space", "strip_space", "conversations", "conv_id",
+     lambda t: F.concat(t.text, F.lit(" \n")), "text || ' ' || chr(10)"),
+]:
+    _clean_query(_name, _step, _sql_step(_step, _sqlexpr), _table, _id, _expr)
+
+
+@register("t0_cast_text", f"SELECT review_id, CAST(star AS VARCHAR) AS star_text FROM {SQL_REVIEWS} r")
+def t0_cast_text(spark, d):
+    from reviewkit.functions.text import to_text
+    return reviews(spark, d).select("review_id", to_text(F.col("star")).alias("star_text"))
+
+
+@register("t11_clean_full", f"""
+SELECT page_id, {sql_clean(_PAGE_TEXT, 'full')} AS cleaned FROM pages
+""")
+def t11_clean_full(spark, d):
+    """Full cleaning profile (T1 -> T6 in order) on raw web pages."""
+    from reviewkit.functions.text import clean_text
+    p = driver.table(spark, d, "pages")
+    return p.select("page_id", clean_text(F.concat_ws(" ", p.url, p.html), "full").alias("cleaned"))
+
+
+@register("t11_tokenize", f"""
+SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+FROM {sql_doc_tokens(None)} t
+""")
+def t11_tokenize(spark, d):
+    """Clean + tokenize without stop words."""
+    t = doc_tokens(spark, d, stop=None)
+    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+                    F.array_join("tokens", " ").alias("tokens_text"))
+
+
+@register("j3_stop_ci", f"""
+SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+FROM {sql_doc_tokens('ci')} t
+""")
+def j3_stop_ci(spark, d):
+    t = doc_tokens(spark, d, stop="ci")
+    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+                    F.array_join("tokens", " ").alias("tokens_text"))
+
+
+@register("j4_stop_exact", f"""
+SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+FROM {sql_doc_tokens('exact')} t
+""")
+def j4_stop_exact(spark, d):
+    t = doc_tokens(spark, d, stop="exact")
+    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+                    F.array_join("tokens", " ").alias("tokens_text"))
+
+
+@register("t12_token_count", f"""
+SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t
+""")
+def t12_token_count(spark, d):
+    from reviewkit.functions.text import token_count
+    return doc_tokens(spark, d).select("review_id", token_count(F.col("tokens")).alias("n_tokens"))
+
+
+@register("t13_tokens_json", f"SELECT review_id, to_json(tokens)::VARCHAR AS tokens_json FROM {sql_doc_tokens()} t")
+def t13_tokens_json(spark, d):
+    from reviewkit.functions.text import tokens_to_json
+    return doc_tokens(spark, d).select("review_id", tokens_to_json(F.col("tokens")).alias("tokens_json"))
+
+
+@register("s4_chunk_counts", f"""
+SELECT CAST(floor((row_number() OVER (ORDER BY review_id) - 1) / 100000) * 100000 AS BIGINT) AS chunk,
+       review_id FROM ({driver.SQL_REVIEWS_A}) a
+""")
+def s4_chunk_counts(spark, d):
+    """S4 chunk assignment: start row of the 100,000-row chunk each review goes to."""
+    from reviewkit.sources.chunks import assign_chunks
+    return assign_chunks(driver.reviews_a(spark, d).select("review_id"), "review_id") \
+        .select("chunk", "review_id")
+
+
+# ---------------------------------------------------------------- labels T14-T16, T17
+
+for _rule, _key in [("canonical", "t14_sentiment"), ("shifted", "t15_sentiment_shifted"),
+                    ("top_star", "t16_sentiment_top_star")]:
+    def _q(spark, d, _rule=_rule):
+        from reviewkit.functions.labels import sentiment
+        return reviews(spark, d).select("source", "review_id", "star",
+                                        sentiment(F.col("star"), _rule).alias("label"))
+    from reviewkit.functions.labels import sql_sentiment as _ss
+    register(_key, f"SELECT source, review_id, star, {_ss('star', _rule)} AS label FROM {SQL_REVIEWS} r")(_q)
+
+
+SQL_PRED = ("(SELECT vec_id, [CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE), "
+            "CAST(embedding[3] AS DOUBLE)] AS scores, label % 3 AS label FROM embeddings)")
+SQL_ARGMAX = "CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER)"
+
+
+def predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Deterministic class scores: first three embedding components; label % 3."""
+    from reviewkit.operators.metrics import with_prediction
+    e = driver.table(spark, d, "embeddings")
+    scores = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
+    return with_prediction(e.select("vec_id", scores.alias("scores"),
+                                    (F.col("label") % 3).alias("label")))
+
+
+@register("t17_argmax", f"SELECT vec_id, {SQL_ARGMAX} AS pred FROM {SQL_PRED} p")
+def t17_argmax(spark, d):
+    return predictions(spark, d).select("vec_id", "pred")
+
+
+# ---------------------------------------------------------------- words and vocabulary
+
+@register("a4_word_count", f"""
+WITH t AS (SELECT unnest(tokens) AS token FROM {SQL_CORPUS_TOKENS} c)
+SELECT token, CAST(count(*) AS BIGINT) AS freq FROM t GROUP BY token
+""")
+def a4_word_count(spark, d):
+    from reviewkit.operators.vocab import word_counts
+    return word_counts(corpus_tokens(spark, d))
+
+
+@register("k1_top_words", f"""
+WITH t AS (SELECT unnest(tokens) AS token FROM {SQL_CORPUS_TOKENS} c)
+SELECT token, CAST(count(*) AS BIGINT) AS freq FROM t GROUP BY token ORDER BY freq DESC, token LIMIT 100
+""")
+def k1_top_words(spark, d):
+    """K1 top-k report (k = 100): the limit is the feature."""
+    from reviewkit.operators.vocab import most_common, word_counts
+    return most_common(word_counts(corpus_tokens(spark, d)), 100)
+
+
+VOCAB_MIN_FREQ = 16  # make_vocab default
+
+
+@register("a6_vocabulary", f"SELECT * FROM {sql_vocab(SQL_CORPUS_TOKENS, VOCAB_MIN_FREQ)} v")
+def a6_vocabulary(spark, d):
+    from reviewkit.operators.vocab import build_vocabulary, word_counts
+    return build_vocabulary(word_counts(corpus_tokens(spark, d)), VOCAB_MIN_FREQ)
+
+
+@register("a7_vocab_size", f"""
+SELECT CAST(count(*) AS BIGINT) AS vocab_size FROM {sql_vocab(SQL_CORPUS_TOKENS, VOCAB_MIN_FREQ)} v
+""")
+def a7_vocab_size(spark, d):
+    from reviewkit.operators.vocab import build_vocabulary, vocabulary_size, word_counts
+    return vocabulary_size(build_vocabulary(word_counts(corpus_tokens(spark, d)), VOCAB_MIN_FREQ))
+
+
+# ---------------------------------------------------------------- encoding E1-E5, J2
+
+ENCODE_MIN_FREQ = 2   # notebook / first training script
+ENCODE_LEN = 64       # training length
+SQL_DOC_TOK = sql_doc_tokens()
+
+
+def doc_vocab(spark, d, min_freq=ENCODE_MIN_FREQ, specials=("<unk>", "<pad>")):
+    """Vocabulary over the source-A tokens, materialized and size-checked for broadcast."""
+    from reviewkit.operators.joins import checked_broadcast
+    from reviewkit.operators.vocab import build_vocabulary, word_counts
+    v = build_vocabulary(word_counts(doc_tokens(spark, d)), min_freq, specials)
+    return checked_broadcast(v)
+
+
+def sql_encoded(length: int, tokens_table: str = SQL_DOC_TOK, min_freq: int = ENCODE_MIN_FREQ,
+                width_expr: str | None = None) -> str:
+    """DuckDB E1/E2: ids of the first `width` tokens, right-padded with 1 to `width`."""
+    w = width_expr or str(length)
+    return f"""(
+  WITH tok AS (SELECT * FROM {tokens_table} t0),
+  vocab AS (SELECT * FROM {sql_vocab(tokens_table, min_freq)} v0),
+  ex AS (SELECT review_id, unnest(list_slice(tokens, 1, {w})) AS token,
+                generate_subscripts(list_slice(tokens, 1, {w}), 1) AS pos FROM tok),
+  ids AS (SELECT ex.review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
+          FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY ex.review_id)
+  SELECT tok.review_id, list_resize(coalesce(ids.ids, []::BIGINT[]), {w}, 1) AS input_ids
+  FROM tok LEFT JOIN ids ON tok.review_id = ids.review_id
+)"""
+
+
+@register("j2_vocab_lookup", f"""
+WITH vocab AS (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ)} v0),
+ex AS (SELECT review_id, unnest(tokens) AS token FROM {SQL_DOC_TOK} t)
+SELECT review_id, CAST(count(*) AS BIGINT) AS n_tokens,
+       CAST(count(*) FILTER (WHERE vocab.token_id IS NULL) AS BIGINT) AS n_unknown,
+       CAST(sum(coalesce(vocab.token_id, 0)) AS BIGINT) AS id_sum
+FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY review_id
+""")
+def j2_vocab_lookup(spark, d):
+    """J2 over every token: per review, tokens, unknown tokens and the sum of ids."""
+    from reviewkit.operators.encode import lookup_ids
+    from reviewkit.operators.tokens import explode_tokens
+    ex = explode_tokens(doc_tokens(spark, d), "review_id")
+    j = lookup_ids(ex, doc_vocab(spark, d))
+    return j.groupBy("review_id").agg(
+        F.count(F.lit(1)).alias("n_tokens"),
+        F.count_if(F.col("token_id") == 0).cast("long").alias("n_unknown"),
+        F.sum("token_id").cast("long").alias("id_sum"))
+
+
+@register("e1_encode", f"""
+SELECT review_id, array_to_string(input_ids, ',') AS input_ids FROM {sql_encoded(ENCODE_LEN)} e
+""")
+def e1_encode(spark, d):
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.operators.encode import encode
+    e = encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
+    return e.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"))
+
+
+@register("e2_pad_longest", f"""
+SELECT review_id, array_to_string(input_ids, ',') AS input_ids
+FROM {sql_encoded(ENCODE_LEN, width_expr=f"(SELECT least(max(len(tokens)), {ENCODE_LEN}) FROM {SQL_DOC_TOK} w)")} e
+""")
+def e2_pad_longest(spark, d):
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.operators.encode import encode_to_longest
+    e = encode_to_longest(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
+    return e.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"))
+
+
+@register("e3_mask", f"""
+SELECT review_id, array_to_string(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END), ',')
+       AS attention_mask, CAST(list_sum(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END))
+       AS INTEGER) AS n_valid
+FROM {sql_encoded(ENCODE_LEN)} e
+""")
+def e3_mask(spark, d):
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.operators.encode import encode, with_mask
+    e = with_mask(encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN))
+    return e.select("review_id", ids_text(F.col("attention_mask")).alias("attention_mask"),
+                    F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_valid"))
+
+
+FRAMED_SPECIALS = ("<unk>", "<pad>", "<s>", "</s>")
+
+
+@register("e4_framed", f"""
+WITH tok AS (SELECT * FROM {SQL_DOC_TOK} t0),
+vocab AS (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ, FRAMED_SPECIALS)} v0),
+ex AS (SELECT review_id, unnest(list_slice(tokens, 1, {ENCODE_LEN - 2})) AS token,
+              generate_subscripts(list_slice(tokens, 1, {ENCODE_LEN - 2}), 1) AS pos FROM tok),
+ids AS (SELECT ex.review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
+        FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY ex.review_id),
+fr AS (SELECT tok.review_id, tok.star,
+              list_resize(list_concat([2::BIGINT], coalesce(ids.ids, []::BIGINT[]), [3::BIGINT]), {ENCODE_LEN}, 1) AS x
+       FROM tok LEFT JOIN ids ON tok.review_id = ids.review_id)
+SELECT fr.review_id, d.text AS review_text, array_to_string(x, ',') AS input_ids,
+       array_to_string(list_transform(x, lambda v: CASE WHEN v = 1 THEN 0 ELSE 1 END), ',') AS attention_mask,
+       {__import__('reviewkit.functions.labels', fromlist=['x']).sql_sentiment('fr.star')} AS labels
+FROM fr JOIN documents d ON fr.review_id = d.doc_id
+""")
+def e4_framed(spark, d):
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.functions.labels import sentiment
+    from reviewkit.operators.encode import encode_framed
+    toks = doc_tokens(spark, d)
+    docs = driver.reviews_a(spark, d).select("review_id", "comment")
+    src = toks.join(docs, "review_id").withColumn("label", sentiment(F.col("star")))
+    e = encode_framed(src, doc_vocab(spark, d, specials=FRAMED_SPECIALS), "review_id", "comment",
+                      "label", length=ENCODE_LEN)
+    return e.select("review_id", "example.review_text",
+                    ids_text(F.col("example.input_ids")).alias("input_ids"),
+                    ids_text(F.col("example.attention_mask")).alias("attention_mask"),
+                    "example.labels")
+
+
+@register("e5_examples", f"""
+SELECT e.review_id, array_to_string(e.input_ids, ',') AS input_ids,
+       {__import__('reviewkit.functions.labels', fromlist=['x']).sql_sentiment('a.star')} AS label
+FROM {sql_encoded(ENCODE_LEN)} e JOIN ({driver.SQL_REVIEWS_A}) a ON e.review_id = a.review_id
+""")
+def e5_examples(spark, d):
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.operators.encode import assemble_examples, encode
+    toks = doc_tokens(spark, d)
+    enc = encode(toks, doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
+    ex = assemble_examples(enc, toks.select("review_id", "star"), "review_id")
+    return ex.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"), "label")
