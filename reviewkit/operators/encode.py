@@ -10,6 +10,8 @@ them before the shuffle: one row per review crosses the network.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,19 +106,21 @@ def assemble_examples(encoded: DataFrame, reviews: DataFrame, id_col: str,
 
 def mean_vectors(encoded: DataFrame, vectors: DataFrame, id_col: str,
                  ids_col: str = "input_ids", dim: int = 64, include_pad: bool = True,
-                 pad_id: int = PAD_ID) -> DataFrame:
+                 pad_id: int = PAD_ID, key: Callable[[Column], Column] | None = None) -> DataFrame:
     """Mean of token vectors over positions.
 
-    ``vectors`` has (token_id, vec array<float>), checked for broadcast by the
-    caller. ``include_pad=True`` averages over every position, pads included (the
-    reference's mean has no mask); ``False`` averages over non-pad positions.
-    The per-dimension sums are plain ``sum`` aggregates (partial before the
-    shuffle), so no array of vectors is ever collected.
+    ``vectors`` has (vec_key, vec array<float>) and should be size-checked for
+    broadcast by the caller; ``key`` maps a token id to its ``vec_key``
+    (identity by default). ``include_pad=True`` averages over every position,
+    pads included (the reference's mean has no mask); ``False`` averages over
+    non-pad positions. The per-dimension sums are plain ``sum`` aggregates
+    (partial before the shuffle), so no array of vectors is ever collected.
     """
     ex = encoded.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
     if not include_pad:
         ex = ex.filter(F.col("token_id") != pad_id)
-    j = ex.join(vectors, "token_id")
+    ex = ex.withColumn("vec_key", key(F.col("token_id")) if key else F.col("token_id"))
+    j = ex.join(vectors, "vec_key")
     aggs = [F.sum(F.get(F.col("vec"), i).cast("double")).alias(f"__s{i}") for i in range(dim)]
     aggs.append(F.count(F.lit(1)).alias("__n"))
     g = j.groupBy(id_col).agg(*aggs)

@@ -17,6 +17,15 @@ from reviewkit.functions.arrays import argmax, cross_entropy
 from reviewkit.operators.ranking import exact_rank
 
 ROUND = 6
+# Batch means of 2-decimal values over 32 rows are exact binary fractions, so
+# running means often sit exactly on a 6th-digit tie; float noise from the
+# summation order would then decide the rounding. The guard rounds ties up.
+TIE_GUARD = 1e-9
+
+
+def round_metric(c):
+    """Half-up rounding to 6 digits that is stable at exact ties (non-negative values)."""
+    return F.round(c + F.lit(TIE_GUARD), ROUND)
 
 
 def length_histogram(df: DataFrame, len_col: str = "n_tokens", bins: int = 30) -> DataFrame:
@@ -133,7 +142,7 @@ def metric_history(events: DataFrame, batch_size: int = 32) -> DataFrame:
 
 def epoch_loss(history: DataFrame) -> DataFrame:
     """Epoch loss = mean of the batch means."""
-    return history.groupBy("epoch").agg(F.round(F.avg("loss"), ROUND).alias("epoch_loss"),
+    return history.groupBy("epoch").agg(round_metric(F.avg("loss")).alias("epoch_loss"),
                                         F.count(F.lit(1)).cast("long").alias("batches"))
 
 
@@ -142,15 +151,15 @@ def running_metrics(history: DataFrame) -> DataFrame:
     w = Window.partitionBy("epoch").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
     return history.select(
         "epoch", "batch",
-        F.round(F.avg("loss").over(w), ROUND).alias("running_loss"),
-        F.round(100.0 * F.sum("correct").over(w) / F.sum("total").over(w), ROUND)
+        round_metric(F.avg("loss").over(w)).alias("running_loss"),
+        round_metric(100.0 * F.sum("correct").over(w) / F.sum("total").over(w))
         .alias("running_accuracy"))
 
 
 def epoch_accuracy(history: DataFrame) -> DataFrame:
     """Per-epoch pooled accuracy in percent (one row per epoch)."""
     return history.groupBy("epoch").agg(
-        F.round(100.0 * F.sum("correct") / F.sum("total"), ROUND).alias("accuracy"))
+        round_metric(100.0 * F.sum("correct") / F.sum("total")).alias("accuracy"))
 
 
 def new_best(per_epoch: DataFrame, value_col: str = "accuracy") -> DataFrame:

@@ -38,14 +38,14 @@ def exact_rank(df: DataFrame, buckets: Sequence[tuple[str, Column, bool]],
     names = [n for n, _, _ in buckets]
     keys = list(group_cols) + names
     b = df.withColumns({n: e for n, e, _ in buckets})
-    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
     order = [F.col(n).asc() if asc else F.col(n).desc() for n, _, asc in buckets]
     before = (Window.partitionBy(*group_cols).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    offsets = counts.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
     if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("__n").over(Window.partitionBy(*group_cols)))
-    offsets = offsets.drop("__n")
+        offsets = offsets.withColumn(total_col, F.sum("__cnt").over(Window.partitionBy(*group_cols)))
+    offsets = offsets.drop("__cnt")
     joined = b.join(offsets, keys)
     inner = Window.partitionBy(*keys).orderBy(*within)
     return (joined.withColumn(rank_col, F.col("__before") + F.row_number().over(inner))

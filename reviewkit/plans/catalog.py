@@ -559,3 +559,267 @@ def e5_examples(spark, d):
     enc = encode(toks, doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
     ex = assemble_examples(enc, toks.select("review_id", "star"), "review_id")
     return ex.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"), "label")
+
+
+@register("e10_mean_vectors", f"""
+WITH ex AS (SELECT review_id, unnest(input_ids) AS token_id FROM {sql_encoded(ENCODE_LEN)} e),
+j AS (SELECT ex.review_id, emb.embedding FROM ex
+      JOIN embeddings emb ON emb.vec_id = ex.token_id % (SELECT count(*) FROM embeddings)),
+dims AS (SELECT review_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM j)
+SELECT review_id, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE)) / count(*), 6) AS value
+FROM dims GROUP BY review_id, dim
+""")
+def e10_mean_vectors(spark, d):
+    """Mean token vector per review over the 64 encoded positions, pads included.
+
+    Token id t uses vector t % (number of vectors) of the embeddings table.
+    """
+    from reviewkit.operators.encode import encode, mean_vectors
+    from reviewkit.operators.joins import checked_broadcast
+    emb = driver.table(spark, d, "embeddings")
+    n_vec = emb.select(F.count(F.lit(1))).scalar()
+    vec = checked_broadcast(emb.select(F.col("vec_id").alias("vec_key"), F.col("embedding").alias("vec")),
+                            max_rows=500_000, materialized=True)
+    enc = encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
+    m = mean_vectors(enc, vec, "review_id", key=lambda t: t % n_vec)
+    return m.select("review_id", F.posexplode("mean_vec").alias("dim", "value")) \
+        .select("review_id", "dim", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------- sampling W4, K2, E6-E9
+
+SEED = 42
+SQL_HASH = "md5('{seed}:' || CAST({id} AS VARCHAR))"
+
+
+@register("w4_row_index", """
+SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row_index FROM labels
+""")
+def w4_row_index(spark, d):
+    """W4 on the labelled subset (sparse ids): dense 0-based index in id order."""
+    from reviewkit.operators.sampling import row_index
+    return row_index(driver.table(spark, d, "labels").select("doc_id"), "doc_id")
+
+
+@register("k2_shuffle", f"""
+SELECT doc_id AS review_id, CAST(row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id) - 1
+       AS BIGINT) AS position FROM documents
+""")
+def k2_shuffle(spark, d):
+    from reviewkit.operators.sampling import shuffle_order
+    return shuffle_order(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED)
+
+
+@register("e6_split", f"""
+SELECT doc_id AS review_id,
+       CASE WHEN row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id)
+                 <= floor(CAST(count(*) OVER () AS DOUBLE) * 0.9) THEN 'train' ELSE 'valid' END AS split
+FROM documents
+""")
+def e6_split(spark, d):
+    """Exact 90/10 split (train = floor(n * 0.9))."""
+    from reviewkit.operators.sampling import exact_split
+    return exact_split(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED, 0.9)
+
+
+@register("e7_approx_split", f"""
+SELECT doc_id AS review_id,
+       CASE WHEN CAST(('0x' || substr({SQL_HASH.format(seed=SEED, id='doc_id')}, 1, 8))::BIGINT AS DOUBLE)
+                 / 4294967296.0 < 0.9 THEN 'train' ELSE 'valid' END AS split
+FROM documents
+""")
+def e7_approx_split(spark, d):
+    from reviewkit.operators.sampling import approx_split
+    return approx_split(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED, 0.9)
+
+
+K_FOLDS, FOLD_I = 10, 0
+
+
+@register("e8_k_fold", f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn, count(*) OVER () AS n FROM labels),
+f AS (SELECT doc_id, CAST(floor((rn - 1) / floor(n / {K_FOLDS})) AS BIGINT) AS fold FROM r)
+SELECT doc_id, fold, CASE WHEN fold = {FOLD_I} THEN 'valid' ELSE 'train' END AS role FROM f WHERE fold < {K_FOLDS}
+""")
+def e8_k_fold(spark, d):
+    """Fold 0 of 10 over the labelled subset; the last n % 10 rows are in no fold."""
+    from reviewkit.operators.sampling import k_fold
+    return k_fold(driver.table(spark, d, "labels").select("doc_id"), "doc_id", K_FOLDS, FOLD_I)
+
+
+BATCH = 128
+
+
+@register("e9_batches", f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id) - 1 AS p
+           FROM documents)
+SELECT doc_id AS review_id, CAST(floor(p / {BATCH}) AS BIGINT) AS batch_id, CAST(p % {BATCH} AS BIGINT) AS batch_pos
+FROM r
+""")
+def e9_batches(spark, d):
+    """Shuffled mini-batches of 128 (the last one short)."""
+    from reviewkit.operators.sampling import mini_batches
+    return mini_batches(driver.reviews_a(spark, d).select("review_id"), "review_id", BATCH, SEED)
+
+
+# ---------------------------------------------------------------- lengths A8, A9
+
+@register("a8_length_hist", f"""
+WITH l AS (SELECT len(tokens) AS n FROM {SQL_DOC_TOK} t),
+b AS (SELECT min(n) AS lo, max(n) AS hi FROM l),
+c AS (SELECT CASE WHEN b.hi = b.lo THEN 15 ELSE least(29, floor((l.n - b.lo) * 30 / (b.hi - b.lo))) END AS bin,
+             count(*) AS n FROM l, b GROUP BY 1),
+e AS (SELECT CASE WHEN hi = lo THEN lo - 0.5 ELSE CAST(lo AS DOUBLE) END AS f,
+             CASE WHEN hi = lo THEN hi + 0.5 ELSE CAST(hi AS DOUBLE) END AS t FROM b)
+SELECT CAST(r.range AS INTEGER) AS bin, round(e.f + r.range * (e.t - e.f) / 30, 6) AS lo_edge,
+       round(e.f + (r.range + 1) * (e.t - e.f) / 30, 6) AS hi_edge, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM range(30) r CROSS JOIN e LEFT JOIN c ON c.bin = r.range
+""")
+def a8_length_hist(spark, d):
+    from reviewkit.operators.metrics import length_histogram
+    t = doc_tokens(spark, d)
+    return length_histogram(t.select(F.size("tokens").alias("n_tokens")), "n_tokens", 30)
+
+
+@register("a9_length_coverage", f"""
+SELECT CAST(count(*) FILTER (WHERE len(tokens) < 64) AS BIGINT) AS n_short, CAST(count(*) AS BIGINT) AS n_rows,
+       round(100.0 * count(*) FILTER (WHERE len(tokens) < 64) / count(*), 6) AS pct_short
+FROM {SQL_DOC_TOK} t
+""")
+def a9_length_coverage(spark, d):
+    from reviewkit.operators.metrics import length_coverage
+    t = doc_tokens(spark, d)
+    return length_coverage(t.select(F.size("tokens").alias("n_tokens")), "n_tokens", 64)
+
+
+# ---------------------------------------------------------------- accuracy, loss A10-A16
+
+SQL_PRED_B = f"""(SELECT vec_id, scores, label, {SQL_ARGMAX} AS pred,
+  CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / 32) AS BIGINT) AS batch_id FROM {SQL_PRED} p0)"""
+SQL_BATCH_ACC = f"""(SELECT batch_id, CAST(sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  CAST(count(*) AS BIGINT) AS total, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+  FROM {SQL_PRED_B} pb GROUP BY batch_id)"""
+
+
+def batched_predictions(spark, d):
+    from reviewkit.operators.sampling import mini_batches
+    return mini_batches(predictions(spark, d), "vec_id", 32)
+
+
+@register("a10_pooled_accuracy", f"""
+SELECT round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(100.0 * avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy_pct,
+       CAST(count(*) AS BIGINT) AS total
+FROM (SELECT label, {SQL_ARGMAX} AS pred FROM {SQL_PRED} p) x
+""")
+def a10_pooled_accuracy(spark, d):
+    from reviewkit.operators.metrics import pooled_accuracy
+    return pooled_accuracy(predictions(spark, d))
+
+
+@register("a11_batch_accuracy", f"SELECT * FROM {SQL_BATCH_ACC} b")
+def a11_batch_accuracy(spark, d):
+    from reviewkit.operators.metrics import batch_accuracy
+    return batch_accuracy(batched_predictions(spark, d))
+
+
+@register("a12_mean_batch_accuracy", f"""
+SELECT round(avg(correct / total), 6) AS mean_batch_accuracy, CAST(count(*) AS BIGINT) AS batches FROM {SQL_BATCH_ACC} b
+""")
+def a12_mean_batch_accuracy(spark, d):
+    from reviewkit.operators.metrics import batch_accuracy, mean_batch_accuracy
+    return mean_batch_accuracy(batch_accuracy(batched_predictions(spark, d)))
+
+
+@register("a13_truncated_eval", f"""
+SELECT round(avg(correct / total), 6) AS mean_batch_accuracy, CAST(count(*) AS BIGINT) AS batches
+FROM {SQL_BATCH_ACC} b WHERE batch_id <= 100
+""")
+def a13_truncated_eval(spark, d):
+    """The reference stops after 101 batches (len > 100 tested after append)."""
+    from reviewkit.operators.metrics import batch_accuracy, mean_batch_accuracy
+    return mean_batch_accuracy(batch_accuracy(batched_predictions(spark, d)), max_batch=100)
+
+
+@register("a14_cross_entropy", f"""
+WITH x AS (SELECT scores, label, list_max(scores) AS m FROM {SQL_PRED} p)
+SELECT round(avg(m + ln(list_sum(list_transform(scores, lambda s: exp(s - m)))) - scores[label + 1]), 6)
+       AS cross_entropy, CAST(count(*) AS BIGINT) AS total FROM x
+""")
+def a14_cross_entropy(spark, d):
+    from reviewkit.operators.metrics import mean_cross_entropy
+    return mean_cross_entropy(predictions(spark, d))
+
+
+@register("a16_class_report", f"""
+WITH conf AS (SELECT label, {SQL_ARGMAX} AS pred, count(*) AS n FROM {SQL_PRED} p GROUP BY 1, 2),
+per AS (SELECT cls, sum(tp) AS tp, sum(n) AS support, sum(pn) AS predicted FROM (
+          SELECT label AS cls, n, CASE WHEN label = pred THEN n ELSE 0 END AS tp, 0 AS pn FROM conf
+          UNION ALL SELECT pred AS cls, 0 AS n, 0 AS tp, n AS pn FROM conf) u GROUP BY cls),
+pr AS (SELECT cls, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM per)
+SELECT CAST(cls AS INTEGER) AS class, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1, CAST(support AS BIGINT) AS support
+FROM pr
+""")
+def a16_class_report(spark, d):
+    from reviewkit.operators.metrics import class_report
+    return class_report(predictions(spark, d))
+
+
+# ---------------------------------------------------------------- training history A15, W1-W3
+
+SQL_HISTORY = """(
+  WITH e AS (SELECT event_id, ts, value, event_type,
+                    CAST(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS INTEGER) AS epoch
+             FROM events),
+  r AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY ts, event_id) AS rn FROM e)
+  SELECT epoch, CAST(floor((rn - 1) / 32) AS BIGINT) AS batch, avg(value) AS loss,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS total
+  FROM r GROUP BY 1, 2)"""
+SQL_EPOCH_ACC = f"""(SELECT epoch, round(100.0 * sum(correct) / sum(total) + 1e-9, 6) AS accuracy
+  FROM {SQL_HISTORY} h GROUP BY epoch)"""
+
+
+def history(spark, d):
+    from reviewkit.operators.metrics import metric_history
+    return metric_history(driver.table(spark, d, "events"), 32)
+
+
+@register("a15_epoch_loss", f"""
+SELECT epoch, round(avg(loss) + 1e-9, 6) AS epoch_loss, CAST(count(*) AS BIGINT) AS batches FROM {SQL_HISTORY} h GROUP BY epoch
+""")
+def a15_epoch_loss(spark, d):
+    from reviewkit.operators.metrics import epoch_loss
+    return epoch_loss(history(spark, d))
+
+
+@register("w1_running_metrics", f"""
+SELECT epoch, batch,
+  round(avg(loss) OVER (PARTITION BY epoch ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1e-9, 6)
+    AS running_loss,
+  round(100.0 * sum(correct) OVER (PARTITION BY epoch ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    / sum(total) OVER (PARTITION BY epoch ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1e-9, 6)
+    AS running_accuracy
+FROM {SQL_HISTORY} h
+""")
+def w1_running_metrics(spark, d):
+    from reviewkit.operators.metrics import running_metrics
+    return running_metrics(history(spark, d))
+
+
+@register("w2_new_best", f"""
+SELECT epoch, accuracy,
+       accuracy > coalesce(max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)
+       AS is_best
+FROM {SQL_EPOCH_ACC} a
+""")
+def w2_new_best(spark, d):
+    from reviewkit.operators.metrics import epoch_accuracy, new_best
+    return new_best(epoch_accuracy(history(spark, d)))
+
+
+@register("w3_every_20th", f"SELECT epoch, accuracy FROM {SQL_EPOCH_ACC} a WHERE (epoch + 1) % 20 = 0")
+def w3_every_20th(spark, d):
+    from reviewkit.operators.metrics import epoch_accuracy, every_nth_epoch
+    return every_nth_epoch(epoch_accuracy(history(spark, d)), 20)
