@@ -823,3 +823,131 @@ def w2_new_best(spark, d):
 def w3_every_20th(spark, d):
     from reviewkit.operators.metrics import epoch_accuracy, every_nth_epoch
     return every_nth_epoch(epoch_accuracy(history(spark, d)), 20)
+
+
+# ---------------------------------------------------------------- segmentation T7-T10, J5
+# Driver texts hold no Han characters, so letter runs are the blocks segmented
+# against a dictionary of short frequent words (freq >= 16, <= 4 characters).
+
+SEG_BLOCK_RE = "\\p{L}+"
+SEG_OTHER_RE = "\\p{N}+"
+DICT_MIN_FREQ, DICT_MAX_LEN = 16, 4
+
+
+def doc_dictionary(spark, d):
+    from reviewkit.operators.segment import dictionary_from_counts
+    from reviewkit.operators.vocab import word_counts
+    return dictionary_from_counts(word_counts(doc_tokens(spark, d, stop=None)), DICT_MIN_FREQ, DICT_MAX_LEN)
+
+
+def cleaned_docs(spark, d):
+    from reviewkit.functions.text import clean_text
+    return driver.table(spark, d, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+
+
+SQL_DICT = f"""(SELECT token AS word, CAST(count(*) AS BIGINT) AS weight
+  FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM documents) t
+  GROUP BY token HAVING count(*) >= {DICT_MIN_FREQ} AND length(token) <= {DICT_MAX_LEN})"""
+SQL_UNITS = f"""(SELECT unnest(regexp_extract_all({sql_clean('text')}, '{SEG_BLOCK_RE}|{SEG_OTHER_RE}')) AS u
+  FROM documents)"""
+SQL_BLOCKS = f"""(SELECT u AS block, count(*) AS n FROM {SQL_UNITS} uu
+  WHERE regexp_full_match(u, '{SEG_BLOCK_RE}') GROUP BY u)"""
+
+
+@register("t8_full_mode", f"""
+WITH dict AS (SELECT * FROM {SQL_DICT} d0),
+mx AS (SELECT max(length(word)) AS m FROM dict),
+blocks AS (SELECT * FROM {SQL_BLOCKS} b0),
+pos AS (SELECT block, n, unnest(range(0, length(block))) AS i FROM blocks),
+cand AS (SELECT block, n, i, unnest(range(2, least((SELECT m FROM mx), length(block) - i) + 1)) AS l FROM pos),
+hits AS (SELECT cand.* FROM cand JOIN dict ON substring(cand.block, cand.i + 1, cand.l) = dict.word),
+per AS (SELECT p.block, p.n, p.i, max(h.l) AS maxl FROM pos p
+        LEFT JOIN hits h ON p.block = h.block AND p.i = h.i GROUP BY p.block, p.n, p.i),
+w AS (SELECT *, coalesce(last_value(CASE WHEN maxl IS NOT NULL THEN i + maxl - 1 END IGNORE NULLS)
+        OVER (PARTITION BY block ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS old FROM per),
+pieces AS (SELECT block, n, i, l FROM hits UNION ALL SELECT block, n, i, 1 AS l FROM w WHERE maxl IS NULL AND i > old),
+others AS (SELECT u AS piece, count(*) AS n FROM {SQL_UNITS} uu WHERE NOT regexp_full_match(u, '{SEG_BLOCK_RE}') GROUP BY u)
+SELECT piece, CAST(sum(n) AS BIGINT) AS freq FROM (
+  SELECT substring(block, i + 1, l) AS piece, n FROM pieces UNION ALL SELECT piece, n FROM others) x
+GROUP BY piece
+""")
+def t8_full_mode(spark, d):
+    """Full-mode segmentation of the cleaned corpus, then word counts."""
+    from reviewkit.operators.segment import segment_counts
+    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "full",
+                          SEG_BLOCK_RE, SEG_OTHER_RE)
+
+
+@register("j5_dictionary_hits", f"""
+WITH dict AS (SELECT * FROM {SQL_DICT} d0),
+mx AS (SELECT max(length(word)) AS m FROM dict),
+blocks AS (SELECT * FROM {SQL_BLOCKS} b0),
+pos AS (SELECT block, n, unnest(range(0, length(block))) AS i FROM blocks),
+cand AS (SELECT block, n, i, unnest(range(1, least((SELECT m FROM mx), length(block) - i) + 1)) AS l FROM pos)
+SELECT dict.word, CAST(sum(cand.n) AS BIGINT) AS occurrences
+FROM cand JOIN dict ON substring(cand.block, cand.i + 1, cand.l) = dict.word GROUP BY dict.word
+""")
+def j5_dictionary_hits(spark, d):
+    """Occurrences of each dictionary word as a substring of corpus blocks."""
+    from reviewkit.operators.segment import block_counts, dictionary_hits, split_units
+    units = cleaned_docs(spark, d).select(split_units(F.col("text"), SEG_BLOCK_RE, SEG_OTHER_RE).alias("u"))
+    blocks = block_counts(units, "u").filter(F.col("block").rlike(f"^(?:{SEG_BLOCK_RE})$"))
+    hits = dictionary_hits(blocks, doc_dictionary(spark, d), 1)
+    return hits.groupBy(F.substring("block", F.col("i") + 1, F.col("l")).alias("word")) \
+        .agg(F.sum("n").cast("long").alias("occurrences"))
+
+
+@register("t10_dictionary", f"""
+WITH base AS (SELECT * FROM {SQL_DICT} d0),
+usr AS (SELECT token AS word, CAST(count(*) AS BIGINT) AS weight
+        FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM benchmark) t
+        GROUP BY token HAVING length(token) <= {DICT_MAX_LEN}),
+u AS (SELECT word, weight, 0 AS ld FROM base UNION ALL SELECT word, weight, 1 AS ld FROM usr)
+SELECT word, CAST(arg_max(weight, ld) AS BIGINT) AS weight FROM u
+WHERE NOT list_contains({SQL_STOP}, word) GROUP BY word
+""")
+def t10_dictionary(spark, d):
+    """Base dictionary, then a user dictionary load (later wins), then deletions."""
+    from reviewkit.operators.segment import delete_words, load_user_dictionary
+    from reviewkit.operators.tokens import tokenize
+    from reviewkit.operators.vocab import word_counts
+    from reviewkit.sources.stopwords import stopword_table
+    bench = driver.table(spark, d, "benchmark").select(F.col("text").alias("comment"))
+    usr = word_counts(tokenize(bench)).filter(F.length("token") <= DICT_MAX_LEN) \
+        .select(F.col("token").alias("word"), F.col("freq").alias("weight"))
+    merged = load_user_dictionary(doc_dictionary(spark, d), usr)
+    return delete_words(merged, stopword_table(spark, STOP))
+
+
+@register("t7_exact_mode")
+def t7_exact_mode(spark, d):
+    """T7 (rows check): exact-mode (best path) segmentation of the corpus, word counts."""
+    from reviewkit.operators.segment import segment_counts
+    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "exact",
+                          SEG_BLOCK_RE, SEG_OTHER_RE)
+
+
+@register("t9_search_mode")
+def t9_search_mode(spark, d):
+    """T9 (rows check): search-mode segmentation of the corpus, word counts."""
+    from reviewkit.operators.segment import segment_counts
+    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "search",
+                          SEG_BLOCK_RE, SEG_OTHER_RE)
+
+
+@register("t7_exact_rows")
+def t7_exact_rows(spark, d):
+    """T7 per review: token arrays in text order (rows check)."""
+    from reviewkit.operators.segment import segment_rows
+    seg = segment_rows(cleaned_docs(spark, d), "doc_id", "text", doc_dictionary(spark, d), "exact",
+                       SEG_BLOCK_RE, SEG_OTHER_RE)
+    return seg.select("doc_id", F.size("tokens").alias("n_tokens"))
+
+
+@register("u1_python_tokenizer")
+def u1_python_tokenizer(spark, d):
+    """U1 (rows check): a user ``str -> list[str]`` tokenizer through an Arrow UDF."""
+    from reviewkit.operators.tokens import python_tokenizer
+    tok = python_tokenizer(str.split)
+    docs = driver.table(spark, d, "documents")
+    return docs.select("doc_id", F.size(tok(F.col("text"))).alias("n_tokens"))
