@@ -951,3 +951,86 @@ def u1_python_tokenizer(spark, d):
     tok = python_tokenizer(str.split)
     docs = driver.table(spark, d, "documents")
     return docs.select("doc_id", F.size(tok(F.col("text"))).alias("n_tokens"))
+
+
+# ---------------------------------------------------------------- classifier M1-M4, S8, X1
+# Labels: labels.quality joined to documents; split 90/10 by E6 (seed 42).
+
+MODEL_MIN_FREQ = 8  # vocabulary threshold of the full-data training script
+
+
+def labelled_split(spark, d):
+    from reviewkit.operators.sampling import exact_split
+    docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
+    lab = driver.table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    return exact_split(docs.join(lab, "doc_id"), "doc_id", SEED, 0.9)
+
+
+def model_vocab_tokens(spark, d):
+    from reviewkit.operators.vocab import build_vocabulary, word_counts
+    from reviewkit.plans.model import vocabulary_tokens
+    return vocabulary_tokens(build_vocabulary(word_counts(doc_tokens(spark, d)), MODEL_MIN_FREQ))
+
+
+def fitted_model(spark, d):
+    from reviewkit.plans.model import train
+    data = labelled_split(spark, d)
+    return train(data.filter(F.col("split") == "train"), model_vocab_tokens(spark, d), STOP), data
+
+
+@register("m1_train")
+def m1_train(spark, d):
+    """M1: fit clean -> tokens -> counts -> multinomial LR; one row per class."""
+    model, _ = fitted_model(spark, d)
+    lr = model.stages[-1]
+    coef = lr.coefficientMatrix.toArray()
+    rows = [(k, float(lr.interceptVector[k]), int((coef[k] != 0).sum())) for k in range(coef.shape[0])]
+    return spark.createDataFrame(rows, "class int, intercept double, nonzero_weights int")
+
+
+@register("m2_score")
+def m2_score(spark, d):
+    """M2: score every document with the fitted pipeline."""
+    from reviewkit.plans.model import score
+    model, _ = fitted_model(spark, d)
+    docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
+    return score(model, docs, keep=("doc_id",))
+
+
+@register("m3_evaluate")
+def m3_evaluate(spark, d):
+    """M3: held-out metrics plus the per-class report of the validation rows."""
+    from reviewkit.operators.metrics import class_report
+    from reviewkit.plans.model import score
+    model, data = fitted_model(spark, d)
+    valid = data.filter(F.col("split") == "valid")
+    pred = score(model, valid, keep=("label",)).withColumnRenamed("prediction", "pred")
+    return class_report(pred, "label", "pred")
+
+
+@register("m4_select")
+def m4_select(spark, d):
+    """M4: regParam chosen by validation accuracy; table of candidates."""
+    from reviewkit.plans.model import select_model
+    data = labelled_split(spark, d).filter(F.col("split") == "train")
+    _, table = select_model(data, model_vocab_tokens(spark, d), STOP)
+    return table
+
+
+@register("x1_stream_score")
+def x1_stream_score(spark, d):
+    """Conversation turns arrive as parquet files and are scored by a stream."""
+    import os
+
+    from reviewkit.session import scratch_path
+    from reviewkit.streaming.score import read_sink, run_to_end, score_stream
+    model, _ = fitted_model(spark, d)
+    base = scratch_path(spark, "x1")
+    src = os.path.join(base, "in")
+    conv = driver.table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("comment"))
+    conv.repartition(8).write.parquet(src)
+    q = score_stream(spark, model, src, "conv_id long, turn long, comment string",
+                     os.path.join(base, "out"), os.path.join(base, "ckpt"), keep=("conv_id", "turn"),
+                     max_files_per_trigger=2)
+    run_to_end(q)
+    return read_sink(spark, os.path.join(base, "out"))
