@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def explode_rows(df: DataFrame, keep: list, arr: Column, name: str,
+                 pos_name: str | None = None) -> DataFrame:
+    """One row per array element (``explode`` / ``posexplode``), empty arrays give none.
+
+    For the plain generators Catalyst infers ``size(arr) > 0 AND isnotnull(arr)``
+    and pushes it below the generator (past any exchange), so an expensive array
+    expression such as clean + tokenize is computed for that filter and again
+    for the generator. The ``_outer`` forms get no inferred filter; their one
+    null row for an empty array is dropped right after, which gives the same rows
+    with one evaluation. Array elements must not be null themselves.
+    """
+    if pos_name:
+        out = df.select(*keep, F.posexplode_outer(arr).alias(pos_name, name))
+        return out.filter(F.col(pos_name).isNotNull())
+    out = df.select(*keep, F.explode_outer(arr).alias(name))
+    return out.filter(F.col(name).isNotNull())
+
+
 def argmax(scores: Column) -> Column:
     """0-based index of the first maximum."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")

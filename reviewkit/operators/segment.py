@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewkit.functions.arrays import explode_rows
 from reviewkit.operators.joins import checked_broadcast
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
@@ -82,7 +83,7 @@ def split_units(text: Column, block_re: str = HAN_RE, other_re: str = OTHER_RE)
 
 def block_counts(df: DataFrame, blocks_col: str = "blocks") -> DataFrame:
     """Distinct blocks with their number of occurrences (partial + final aggregate)."""
-    return (df.select(F.explode(blocks_col).alias("block"))
+    return (explode_rows(df, [], F.col(blocks_col), "block")
             .groupBy("block").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -257,8 +258,8 @@ def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFram
     on the block (a shuffle join; AQE splits hot blocks) and regrouped per row
     in unit order.
     """
-    units = df.select(id_col, F.posexplode(split_units(F.col(text_col), block_re, other_re))
-                      .alias("upos", "block"))
+    units = explode_rows(df, [id_col], split_units(F.col(text_col), block_re, other_re),
+                         "block", pos_name="upos")
     counts = units.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     d = _prepared_dict(dictionary, False)

@@ -15,6 +15,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewkit.functions.arrays import explode_rows
 from reviewkit.functions.text import clean_text, letter_tokens
 
 _tmp_counter = [0]
@@ -77,5 +78,6 @@ def python_tokenizer(fn: Callable[[str], list[str]]) -> Callable[[Column], Colum
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str = "tokens",
                    keep_empty: bool = False) -> DataFrame:
     """Long form (id, pos, token); ``keep_empty`` keeps empty lists as one null row."""
-    fn = F.posexplode_outer if keep_empty else F.posexplode
-    return df.select(id_col, fn(tokens_col).alias("pos", "token"))
+    if keep_empty:
+        return df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "token"))
+    return explode_rows(df, [id_col], F.col(tokens_col), "token", pos_name="pos")

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewkit.functions.arrays import explode_rows
+
 from reviewkit.operators.ranking import exact_rank
 
 # --- fixed values ------------------------------------------------------------
@@ -31,7 +33,7 @@ VOCAB_PREFIX_CHARS = 2  # sub-bucket of equal-frequency tokens, keeps id buckets
 
 def word_counts(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """A4: (token, freq) over all token arrays."""
-    return (df.select(F.explode(tokens_col).alias("token"))
+    return (explode_rows(df, [], F.col(tokens_col), "token")
             .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
 
 

@@ -25,8 +25,33 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 REVIEW_COLUMNS = ("review_id", "source", "comment", "star")
 
 
+# Text tables and their keys. Their per-row work (regex cleaning, tokenizing,
+# segmentation) is CPU-heavy, so a scan with fewer splits than cores is spread
+# before that work; see :func:`spread`.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+                   "benchmark": "item_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition an under-split scan to the default parallelism.
+
+    A parquet file with one row group is read by one task, and every narrow
+    operator after it (cleaning, tokenizing, partial counts) then runs on one
+    core. When the scan already has at least as many splits as there are cores
+    (many files / row groups, the normal case at scale) nothing is added, so no
+    text is shuffled. Hashing on the row key is deterministic on retry;
+    Catalyst still pushes projections and filters below the exchange.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
 
 
 def synthetic_star(id_col) -> "F.Column":
