@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import explode_rows
+from reviewkit.operators.joins import materialize
 
 from reviewkit.operators.ranking import exact_rank
 
@@ -56,7 +57,12 @@ def build_vocabulary(counts: DataFrame, min_freq: int = 16,
     carry freq = 0.
     """
     spark = counts.sparkSession
-    words = counts.filter((F.col("freq") >= min_freq) & ~F.col("token").isin(list(specials)))
+    # The thresholded counts (one row per kept word, far smaller than the text)
+    # are checkpointed: the rank reads them twice (bucket sizes and the join)
+    # and callers often count and collect the result, and each read would
+    # otherwise re-run cleaning, tokenizing and counting over the corpus.
+    words = materialize(
+        counts.filter((F.col("freq") >= min_freq) & ~F.col("token").isin(list(specials))))
     ranked = exact_rank(
         words,
         buckets=[("__f", F.col("freq"), False),
