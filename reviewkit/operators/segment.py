@@ -126,18 +126,19 @@ def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
     cand = pos.select("block", "n", "i", F.explode(lens).alias("l"))
     sub = F.substring(F.col("block"), F.col("i") + 1, F.col("l"))
     j = cand.join(d, (cand["l"] >= 2) & (sub == d["word"]), "left")
-    keep = j.filter((F.col("l") == 0) | F.col("word").isNotNull())
-    per = keep.groupBy("block", "n", "i").agg(
-        F.max(F.when(F.col("l") >= 2, F.col("l"))).alias("maxl"),
-        F.sort_array(F.collect_list(F.when(F.col("l") >= 2, F.col("l")))).alias("ls"))
-    w = Window.partitionBy("block").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    old = F.coalesce(F.last(F.when(F.col("maxl").isNotNull(), F.col("i") + F.col("maxl") - 1),
-                            ignorenulls=True).over(w), F.lit(-1))
-    per = per.withColumn("__old", old)
-    lens_out = F.when(F.col("maxl").isNotNull(), F.col("ls")) \
-        .when(F.col("i") > F.col("__old"), F.array(F.lit(1))) \
-        .otherwise(F.array().cast("array<int>"))
-    out = per.select("block", "n", "i", F.explode(lens_out).alias("l"))
+    keep = j.filter((F.col("l") == 0) | F.col("word").isNotNull()).select("block", "n", "i", "l")
+    # One window over (block; i, l): the marker row (l = 0) of a position comes
+    # before its words, so the preceding rows are the words of earlier
+    # positions, and the last of them ends the last emitted group ("old"); the
+    # next row has the same i exactly when the position has a word.
+    order = Window.partitionBy("block").orderBy("i", "l")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    end = F.when(F.col("l") >= 2, F.col("i") + F.col("l") - 1)
+    old = F.coalesce(F.last(end, ignorenulls=True).over(before), F.lit(-1))
+    has_word = F.coalesce(F.lead("i").over(order) == F.col("i"), F.lit(False))
+    marked = keep.select("block", "n", "i", "l", old.alias("__old"), has_word.alias("__hw"))
+    out = marked.filter((F.col("l") >= 2) | (~F.col("__hw") & (F.col("i") > F.col("__old")))) \
+        .select("block", "n", "i", F.when(F.col("l") >= 2, F.col("l")).otherwise(F.lit(1)).alias("l"))
     return out.withColumn("piece", F.substring(F.col("block"), F.col("i") + 1, F.col("l")))
 
 
