@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import argmax, cross_entropy
+from reviewkit.operators.joins import materialize
 from reviewkit.operators.ranking import exact_rank
 
 ROUND = 6
@@ -36,13 +37,17 @@ def length_histogram(df: DataFrame, len_col: str = "n_tokens", bins: int = 30) -
     value lands in the middle bin; that is kept. Empty bins show 0.
     """
     spark = df.sparkSession
-    bounds = df.agg(F.min(len_col).alias("lo"), F.max(len_col).alias("hi"))
+    # One pass over the input: rows per distinct length (a small table, partial
+    # counts before the shuffle), checkpointed; bounds and bins come from it.
+    per_len = materialize(df.groupBy(F.col(len_col).cast("long").alias("__len"))
+                          .agg(F.count(F.lit(1)).alias("__c")))
+    bounds = per_len.agg(F.min("__len").alias("lo"), F.max("__len").alias("hi"))
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
-    n = F.col(len_col).cast("long")
+    n = F.col("__len")
     b = F.when(hi == lo, F.lit(bins // 2)).otherwise(
         F.least(F.lit(bins - 1), F.floor((n - lo) * bins / (hi - lo)))).cast("int")
-    counts = df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_len.groupBy(b.alias("bin")).agg(F.sum("__c").alias("n"))
     first = F.when(hi == lo, lo - 0.5).otherwise(lo.cast("double"))
     last = F.when(hi == lo, hi + 0.5).otherwise(hi.cast("double"))
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
