@@ -144,22 +144,22 @@ def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
 
 # ---------------------------------------------------------------- exact mode
 
-def _best_path(block: str, cands, unknown_logp: float) -> list[str]:
-    """Max log-probability path; ``cands`` are (i, l, logp) dictionary matches.
+def _best_path(block: str, starts, lens, logps, unknown_logp: float) -> list[str]:
+    """Max log-probability path over dictionary matches (start i, length l, logp).
 
     A position with no dictionary word is a one-character word of weight 1.
+    Ties go to the longer word.
     """
     n = len(block)
     at: dict[int, list[tuple[int, float]]] = {}
-    for c in cands if cands is not None else []:
-        at.setdefault(int(c["i"]), []).append((int(c["i"]) + int(c["l"]) - 1, float(c["logp"])))
+    if starts is not None:
+        for i, l, lp in zip(starts.tolist(), lens.tolist(), logps.tolist()):
+            at.setdefault(i, []).append((i + l - 1, lp))
     route_p = [0.0] * (n + 1)
     route_e = [0] * (n + 1)
     for idx in range(n - 1, -1, -1):
-        opts = at.get(idx)
+        opts = at.get(idx) or [(idx, unknown_logp)]
         best_p, best_e = None, None
-        if not opts:
-            opts = [(idx, unknown_logp)]
         for end, lp in opts:
             p = lp + route_p[end + 1]
             if best_p is None or p > best_p or (p == best_p and end > best_e):
@@ -186,15 +186,18 @@ def exact_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
     all_blocks = blocks.select("block", "n").join(cands, ["block", "n"], "left")
     unknown = (F.lit(0.0) - log_total)  # log(1) - log(total) for a character not in the dictionary
 
+    # Candidates reach Python as three primitive arrays (numpy after Arrow),
+    # split from the struct list on the JVM side; a list of structs would
+    # arrive as Python dicts, which costs more than the path search itself.
     @F.pandas_udf("array<string>")
-    def best_path(block: pd.Series, cands: pd.Series, unk: pd.Series) -> pd.Series:
-        res = []
-        for b, c, u in zip(block, cands, unk):
-            res.append(_best_path(b, c, float(u)))
-        return pd.Series(res)
-
-    return all_blocks.select("block", "n", best_path(F.col("block"), F.col("cands"), unknown)
-                             .alias("pieces"))
+    def best_path(block: pd.Series, starts: pd.Series, lens: pd.Series, logps: pd.Series,
+                  unk: pd.Series) -> pd.Series:
+        return pd.Series([_best_path(b, i, l, lp, float(u))
+                          for b, i, l, lp, u in zip(block, starts, lens, logps, unk)])
+
+    return all_blocks.select("block", "n", best_path(
+        F.col("block"), F.col("cands.i"), F.col("cands.l"), F.col("cands.logp"), unknown)
+        .alias("pieces"))
 
 
 # ---------------------------------------------------------------- search mode
