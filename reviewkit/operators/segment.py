@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import explode_rows
 from reviewkit.operators.joins import checked_broadcast
+from reviewkit.session import ship_package
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
 OTHER_RE = "[\\p{L}\\p{N}]+"
@@ -189,6 +190,8 @@ def exact_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
     # Candidates reach Python as three primitive arrays (numpy after Arrow),
     # split from the struct list on the JVM side; a list of structs would
     # arrive as Python dicts, which costs more than the path search itself.
+    ship_package(blocks.sparkSession)
+
     @F.pandas_udf("array<string>")
     def best_path(block: pd.Series, starts: pd.Series, lens: pd.Series, logps: pd.Series,
                   unk: pd.Series) -> pd.Series:

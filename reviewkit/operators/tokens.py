@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import explode_rows
 from reviewkit.functions.text import clean_text, letter_tokens
+from reviewkit.session import ship_package
 
 _tmp_counter = [0]
 
@@ -68,6 +69,10 @@ def python_tokenizer(fn: Callable[[str], list[str]]) -> Callable[[Column], Colum
     workers in Arrow batches, never row by row through the JVM.
     """
 
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)
+
     @F.pandas_udf("array<string>")
     def _tok(texts: pd.Series) -> pd.Series:
         return texts.map(lambda s: None if s is None else list(fn(s)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared work folder."""
     base = work_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reviewkit`` importable in the Python workers (once per application).
+
+    Python UDFs that call library functions are pickled by reference, so every
+    executor must be able to import the package. This zips the package next to
+    the driver and hands it to ``SparkContext.addPyFile``, the programmatic form
+    of ``spark-submit --py-files``; Spark copies it to each executor.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="reviewkit-pyfiles-"), "reviewkit.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
