@@ -262,8 +262,8 @@ def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFram
     """Per-row token arrays in text order (the ``jieba.cut`` equivalent per review).
 
     Distinct blocks are segmented once; their pieces are joined back to the rows
-    on the block (a shuffle join; AQE splits hot blocks) and regrouped per row
-    in unit order.
+    on the block (size-checked broadcast, else a shuffle join whose hot blocks
+    AQE splits) and regrouped per row in unit order.
     """
     units = explode_rows(df, [id_col], split_units(F.col(text_col), block_re, other_re),
                          "block", pos_name="upos")
@@ -284,7 +284,10 @@ def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFram
                                   .alias("__p")).select("block", F.col("__p.piece").alias("pieces"))
     else:
         raise ValueError("mode must be 'full', 'exact' or 'search'")
-    j = units.join(pieces, "block", "left")
+    # One row per distinct block: broadcast when within bounds, so a block that
+    # holds a large share of all units never lands in one join partition;
+    # beyond the bounds AQE splits skewed partitions of the shuffle join.
+    j = units.join(checked_broadcast(pieces), "block", "left")
     seg = F.when(F.col("pieces").isNotNull(), F.col("pieces")).otherwise(F.array(F.col("block")))
     per = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("upos", seg.alias("s"))))
                                 .alias("__u"))

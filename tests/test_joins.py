@@ -31,3 +31,17 @@ def test_broadcast_only_within_bounds(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
+
+
+def test_spread_only_when_under_split(spark, tmp_dir):
+    import os
+
+    from reviewkit.sources.driver import spread
+    one = os.path.join(tmp_dir, "one")
+    spark.range(100).coalesce(1).write.parquet(one)
+    df = spark.read.parquet(one)
+    assert "Exchange" in plan_of(spread(df, "id"))
+    target = spark.sparkContext.defaultParallelism
+    many = os.path.join(tmp_dir, "many")
+    spark.range(1000).repartition(target).write.parquet(many)
+    assert "Exchange" not in plan_of(spread(spark.read.parquet(many), "id"))
