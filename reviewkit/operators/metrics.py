@@ -131,12 +131,13 @@ def metric_history(events: DataFrame, batch_size: int = 32) -> DataFrame:
     epoch = days since the first event day; batches of ``batch_size`` events in
     (ts, event_id) order inside the epoch; loss = mean ``value`` of the batch,
     correct = purchase events, total = events. Ranks inside an epoch use
-    minute buckets, so no epoch is sorted in one task.
+    one-second buckets (at most 86,400 per epoch in the prefix-sum table), so
+    no epoch, and no busy minute, is sorted in one task.
     """
     first_day = events.agg(F.min(F.to_date("ts")).alias("d")).select("d").scalar()
     e = events.select("event_id", "ts", "value", "event_type",
                       F.datediff(F.to_date("ts"), first_day).alias("epoch"))
-    r = exact_rank(e, [("__m", F.date_trunc("minute", "ts"), True)],
+    r = exact_rank(e, [("__m", F.date_trunc("second", "ts"), True)],
                    [F.col("ts"), F.col("event_id")], "__r", group_cols=["epoch"])
     r = r.withColumn("batch", F.floor((F.col("__r") - 1) / batch_size).cast("long"))
     return r.groupBy("epoch", "batch").agg(
