@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import explode_rows
-from reviewkit.operators.joins import checked_broadcast
+from reviewkit.operators.joins import checked_broadcast, materialize
 from reviewkit.session import ship_package
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
@@ -119,7 +119,12 @@ def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
     d = _prepared_dict(dictionary, dict_checked)
     maxlen = _max_word_len(dictionary)
     n = F.length("block")
-    pos = blocks.select("block", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
+    # Cluster the distinct blocks before exploding them: the window below needs
+    # all rows of a block together, and the explode, the broadcast join and the
+    # filter keep this partitioning, so one row per block is shuffled instead
+    # of one row per (position, length).
+    pos = blocks.select("block", "n").repartition("block") \
+        .select("block", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
     top = F.least(maxlen, n - F.col("i"))
     # l = 0 marks the position itself, so positions without any word survive the join
     lens = F.when(top >= 2, F.concat(F.array(F.lit(0)), F.sequence(F.lit(2), top))) \
@@ -238,7 +243,11 @@ def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: st
     other runs count as themselves.
     """
     units = df.select(split_units(F.col(text_col), block_re, other_re).alias("u"))
-    counts = block_counts(units, "u")
+    # Checkpointed (one row per distinct unit): both branches below filter on
+    # the grouping key, Catalyst pushes those filters under the aggregate, and
+    # the two differing subtrees would otherwise each re-read and re-split the
+    # corpus.
+    counts = materialize(block_counts(units, "u"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     blocks = counts.filter(is_block)
     others = counts.filter(~is_block).select(F.col("block").alias("piece"), "n")
