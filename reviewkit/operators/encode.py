@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from reviewkit.functions.arrays import pad_to, padding_mask
 from reviewkit.functions.labels import sentiment
 from reviewkit.operators import quality
+from reviewkit.operators.joins import materialize
 
 UNK_ID, PAD_ID = 0, 1
 
@@ -96,12 +97,23 @@ def encode_framed(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
 def assemble_examples(encoded: DataFrame, reviews: DataFrame, id_col: str,
                       star_col: str = "star", rule: str = "canonical",
                       check: bool = True) -> DataFrame:
-    """E5: (id, input_ids, label) with the star-range (P6) and alignment (P7) checks."""
-    if check:
-        quality.assert_range(reviews, star_col)
-        quality.assert_aligned(encoded, reviews, id_col)
-    lab = reviews.select(id_col, sentiment(F.col(star_col), rule).alias("label"))
-    return encoded.join(lab, id_col)
+    """E5: (id, input_ids, label) with the star-range (P6) and alignment (P7) checks.
+
+    The alignment check and the result come from one full outer join,
+    checkpointed: one-sided rows are counted on the stored join, and the
+    matched rows are returned, so the encoding is not computed twice.
+    """
+    if not check:
+        lab = reviews.select(id_col, sentiment(F.col(star_col), rule).alias("label"))
+        return encoded.join(lab, id_col)
+    quality.assert_range(reviews, star_col)
+    lab = reviews.select(id_col, F.col(star_col).alias("__star"), F.lit(True).alias("__r"))
+    both = materialize(encoded.withColumn("__l", F.lit(True)).join(lab, id_col, "full_outer"))
+    r = both.agg(F.count_if(F.col("__r").isNull()).alias("left_only"),
+                 F.count_if(F.col("__l").isNull()).alias("right_only")).first()
+    if r["left_only"] or r["right_only"]:
+        raise ValueError(f"inputs and labels are not aligned: {r.asDict()}")
+    return both.select(*encoded.columns, sentiment(F.col("__star"), rule).alias("label"))
 
 
 def mean_vectors(encoded: DataFrame, vectors: DataFrame, id_col: str,

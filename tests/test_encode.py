@@ -81,3 +81,16 @@ def test_stopwords_case(spark):
 def test_stopwords_keep_duplicates(spark):
     df = spark.createDataFrame([(["a", "a", "b"],)], "tokens array<string>")
     assert list(remove_stopwords(df, "tokens", ["b"]).first().tokens) == ["a", "a"]
+
+
+def test_examples_aligned_and_misaligned(spark):
+    from reviewkit.operators.encode import assemble_examples
+    enc = spark.createDataFrame([(1, [2, 3]), (2, [4, 1])], "rid long, input_ids array<long>")
+    ok = spark.createDataFrame([(1, 5), (2, 3)], "rid long, star int")
+    got = {r.rid: r.label for r in assemble_examples(enc, ok, "rid").collect()}
+    assert got == {1: 2, 2: 1}
+    bad = spark.createDataFrame([(1, 5), (3, 3)], "rid long, star int")
+    with pytest.raises(ValueError, match="not aligned"):
+        assemble_examples(enc, bad, "rid")
+    with pytest.raises(ValueError, match="out of range"):
+        assemble_examples(enc, spark.createDataFrame([(1, 6), (2, 3)], "rid long, star int"), "rid")
