@@ -62,11 +62,12 @@ def encode_to_longest(df: DataFrame, vocab: DataFrame, id_col: str,
                       out_col: str = "input_ids", pad_id: int = PAD_ID) -> DataFrame:
     """Pad to the longest list, then cut to ``length``: width = min(longest, length).
 
-    The width comes from a scalar subquery (one small aggregate).
+    The ids of the first ``length`` tokens are computed once and checkpointed;
+    the longest of them is exactly min(longest list, length), so the width is
+    a scalar over the stored ids and the text is not tokenized a second time.
     """
-    longest = df.agg(F.max(F.size(tokens_col)).alias("m")).select("m").scalar()
-    width = F.least(F.coalesce(longest, F.lit(0)), F.lit(length))
-    enc = encode_ids(df, vocab, id_col, tokens_col, width, "__ids")
+    enc = materialize(encode_ids(df, vocab, id_col, tokens_col, length, "__ids"))
+    width = F.coalesce(enc.agg(F.max(F.size("__ids")).alias("m")).select("m").scalar(), F.lit(0))
     return enc.select(id_col, pad_to(F.col("__ids"), width, pad_id).alias(out_col))
 
 
