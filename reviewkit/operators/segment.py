@@ -36,10 +36,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import explode_rows
+from reviewkit.functions.text import WHITESPACE_RANGES
+from reviewkit.functions.text import _char_class as _ws_class
 from reviewkit.operators.joins import checked_broadcast, materialize
 from reviewkit.session import ship_package
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
+WS_CLASS_RE = _ws_class(WHITESPACE_RANGES)
 OTHER_RE = "[\\p{L}\\p{N}]+"
 DICT_MAX_ROWS = 5_000_000
 
@@ -77,9 +80,18 @@ def delete_words(dictionary: DataFrame, words: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- blocks
 
-def split_units(text: Column, block_re: str = HAN_RE, other_re: str = OTHER_RE) -> Column:
-    """Array of units in text order: blocks (to segment) and other runs."""
-    return F.regexp_extract_all(text, F.lit(f"{block_re}|{other_re}"), 0)
+def split_units(text: Column, block_re: str = HAN_RE, other_re: str = OTHER_RE,
+                keep_whitespace: bool = False) -> Column:
+    """Array of units in text order: blocks (to segment) and other runs.
+
+    ``keep_whitespace`` also emits every whitespace character as its own unit
+    (``\\r\\n`` as one), as the reference's segmenter does; those units then
+    reach counts and lengths. Off by default.
+    """
+    pattern = f"{block_re}|{other_re}"
+    if keep_whitespace:
+        pattern += f"|\\r\\n|{WS_CLASS_RE}"
+    return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
 def block_counts(df: DataFrame, blocks_col: str = "blocks") -> DataFrame:
@@ -236,13 +248,15 @@ def search_mode_pieces(exact: DataFrame, dictionary: DataFrame,
 # ---------------------------------------------------------------- corpus-level jobs
 
 def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: str = "full",
-                   block_re: str = HAN_RE, other_re: str = OTHER_RE) -> DataFrame:
+                   block_re: str = HAN_RE, other_re: str = OTHER_RE,
+                   keep_whitespace_tokens: bool = False) -> DataFrame:
     """Word counts of the segmented corpus: (piece, freq).
 
     Blocks are segmented once per distinct block and weighted by occurrences;
     other runs count as themselves.
     """
-    units = df.select(split_units(F.col(text_col), block_re, other_re).alias("u"))
+    units = df.select(split_units(F.col(text_col), block_re, other_re,
+                                  keep_whitespace_tokens).alias("u"))
     # Checkpointed (one row per distinct unit): both branches below filter on
     # the grouping key, Catalyst pushes those filters under the aggregate, and
     # the two differing subtrees would otherwise each re-read and re-split the
@@ -267,14 +281,15 @@ def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: st
 
 def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
                  mode: str = "exact", block_re: str = HAN_RE, other_re: str = OTHER_RE,
-                 out_col: str = "tokens") -> DataFrame:
-    """Per-row token arrays in text order (the ``jieba.cut`` equivalent per review).
+                 out_col: str = "tokens", keep_whitespace_tokens: bool = False) -> DataFrame:
+    """Per-row token arrays in text order (word segmentation of each review).
 
     Distinct blocks are segmented once; their pieces are joined back to the rows
     on the block (size-checked broadcast, else a shuffle join whose hot blocks
     AQE splits) and regrouped per row in unit order.
     """
-    units = explode_rows(df, [id_col], split_units(F.col(text_col), block_re, other_re),
+    units = explode_rows(df, [id_col], split_units(F.col(text_col), block_re, other_re,
+                                                   keep_whitespace_tokens),
                          "block", pos_name="upos")
     counts = units.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")

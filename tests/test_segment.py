@@ -84,3 +84,15 @@ def test_counts_weighted_by_occurrence(spark):
     df = spark.createDataFrame([(TEXT,), (TEXT,), ("北京",)], "text string")
     c = {r.piece: r.freq for r in S.segment_counts(df, "text", _dict(spark), "exact").collect()}
     assert c["北京"] == 3 and c["清华大学"] == 2 and c["我"] == 2
+
+
+def test_whitespace_tokens_optional(spark):
+    df = spark.createDataFrame([(0, "我来到 北京\r\n好　ok")], "id long, text string")
+    d = _dict(spark)
+    off = S.segment_rows(df, "id", "text", d, "exact").first().tokens
+    on = S.segment_rows(df, "id", "text", d, "exact", keep_whitespace_tokens=True).first().tokens
+    assert list(off) == ["我", "来到", "北京", "好", "ok"]
+    assert list(on) == ["我", "来到", " ", "北京", "\r\n", "好", "　", "ok"]
+    counts = {r.piece: r.freq for r in S.segment_counts(df, "text", d, "exact",
+                                                       keep_whitespace_tokens=True).collect()}
+    assert counts[" "] == 1 and counts["\r\n"] == 1 and counts["　"] == 1
