@@ -41,9 +41,13 @@ def length_histogram(df: DataFrame, len_col: str = "n_tokens", bins: int = 30) -
     # counts before the shuffle), checkpointed; bounds and bins come from it.
     per_len = materialize(df.groupBy(F.col(len_col).cast("long").alias("__len"))
                           .agg(F.count(F.lit(1)).alias("__c")))
-    bounds = per_len.agg(F.min("__len").alias("lo"), F.max("__len").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    # Two numbers from the small stored table, used as literals (a scalar
+    # subquery column would be planned once per expression that uses it).
+    r = per_len.agg(F.min("__len").alias("lo"), F.max("__len").alias("hi")).first()
+    if r["lo"] is None:
+        lo = hi = F.lit(None).cast("long")
+    else:
+        lo, hi = F.lit(int(r["lo"])), F.lit(int(r["hi"]))
     n = F.col("__len")
     b = F.when(hi == lo, F.lit(bins // 2)).otherwise(
         F.least(F.lit(bins - 1), F.floor((n - lo) * bins / (hi - lo)))).cast("int")

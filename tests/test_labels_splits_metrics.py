@@ -105,3 +105,16 @@ def test_new_best_strict(spark):
     df = spark.createDataFrame(list(enumerate([50.0, 50.0, 60.0, 55.0, 61.0])), "epoch int, accuracy double")
     best = [r.epoch + 1 for r in new_best(df).orderBy("epoch").collect() if r.is_best]
     assert best == [1, 3, 5]
+
+
+@pytest.mark.parametrize("lengths", [[1, 2, 2, 3, 10, 64, 64, 7], [5, 5, 5]])
+def test_length_histogram_matches_numpy(spark, lengths):
+    import numpy as np
+
+    from reviewkit.operators.metrics import length_histogram
+    df = spark.createDataFrame([(n,) for n in lengths], "n_tokens int")
+    got = length_histogram(df).orderBy("bin").collect()
+    counts, edges = np.histogram(lengths, bins=30)
+    assert [r.n for r in got] == counts.tolist()
+    assert [r.lo_edge for r in got] == pytest.approx(edges[:-1].tolist(), abs=1e-6)
+    assert got[-1].hi_edge == pytest.approx(edges[-1], abs=1e-6)
