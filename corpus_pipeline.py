@@ -42,14 +42,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     found = jaccard_components(docs, SHINGLE_WORDS, SIMILARITY)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("__gone"), "left_anti").select(*docs.columns)
+    return docs.join(gone, docs.doc_id == gone["__gone"], "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     found = decontaminate(docs, _table(spark, sf_dir, "benchmark"))
     gone = found.where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("__gone")), "left_anti").select(*docs.columns)
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone["__gone"]), "left_anti").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,15 +96,22 @@ def assign_shards(docs: DataFrame, shards: int = 40, keep: bool = False) -> Data
     versions = (by_slot.join(mapped, "vslot")
                 .select("vslot", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
                 .join(grown.withColumnRenamed("shard", "next_shard"), "vslot"))
-    versions = F.broadcast(versions)  # SLOTS rows at most
+    # SLOTS rows at most; names of their own beside any input column.
+    versions = F.broadcast(versions.select([F.col(c).alias(_P + c) for c in versions.columns]))
     if keep:
         own = [c for c in docs.columns if c.lower() not in ("shard", "slot", "vslot")]
-        rows = docs.select(*own, virtual_slot(doc_id, text).alias("vslot"))
-        inside = Window.partitionBy("vslot").orderBy("doc_id", F.xxhash64("text"))
-        return (rows.withColumn(_P + "n", F.row_number().over(inside) - 1).join(versions, "vslot")
-                .select(*own, "shard", (F.col("offset") + F.col(_P + "n")).cast("long").alias("slot"), "vslot"))
-    inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
-    return (records.withColumn("k", F.row_number().over(inside) - 1).join(versions, "vslot")
-            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("offset") + F.col("k")).cast("long").alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(1).alias("map_version"), "next_shard"))
+        rows = docs.select(*own, virtual_slot(doc_id, text).alias(_P + "v"))
+        order = [doc_id, F.xxhash64(text)]
+    else:
+        own = ["doc_id", "size", "text_crc32"]
+        rows = records.withColumnRenamed("vslot", _P + "v")
+        order = list(map(F.col, own))
+    inside = Window.partitionBy(_P + "v").orderBy(*order)
+    placed = (rows.withColumn(_P + "k", F.row_number().over(inside) - 1)
+              .join(versions, F.col(_P + "v") == F.col(_P + "vslot")))
+    shard, vslot = F.col(_P + "shard").alias("shard"), F.col(_P + "v").alias("vslot")
+    slot = (F.col(_P + "offset") + F.col(_P + "k")).cast("long").alias("slot")
+    if keep:
+        return placed.select(*own, shard, slot, vslot)
+    return placed.select(*own, F.lit("bytes").alias("law"), shard, slot, F.lit(None).cast("int").alias("grown_shard"),
+                         vslot, F.lit(1).alias("map_version"), F.col(_P + "next_shard").alias("next_shard"))
