@@ -75,20 +75,19 @@ class _Signer:
         self.schemes: dict[int, tuple[int, int, int]] = {}
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
-        """Of a set of 64-bit hashes: signatures in its own band, and in the next if a partner may lie there."""
+        """Of a set of 64-bit hashes: signatures in its own band, and in larger ones where a partner may lie."""
         n = len(s)
-        while self.lows[-2] <= n:
+        while self.t * self.lows[-2] <= 100 * n:
             self.lows = bands(2 * self.lows[-1])
         b = int(np.searchsorted(self.lows, n, side="right")) - 1
         out = [self._in(b, s)]
-        if 100 * n >= self.t * self.lows[b + 1]:
-            out.append(self._in(b + 1, s))
+        while 100 * n >= self.t * self.lows[b + 1]:
+            b += 1
+            out.append(self._in(b, s))
         return np.concatenate(out)
 
     def _in(self, b: int, s: np.ndarray) -> np.ndarray:
         if b not in self.schemes:
-            if b + 1 >= len(self.lows):
-                self.lows = bands(2 * self.lows[-1])
             self.schemes[b] = scheme(self.lows[b], self.lows[b + 1], self.t)
         m, deletions, slack = self.schemes[b]
         e = mix(s + _SALT[0])
@@ -279,7 +278,7 @@ def _block_links(table: pa.Table, k: int, t: int) -> pa.Table:
     copies = np.array([rows[n][1] for n in names], np.int64)
     sets = [rows[n][2] for n in names]
     size = np.array([len(s) for s in sets], np.int64)
-    one = not (side == 1).any()
+    one = table.column("p")[0].as_py() == table.column("q")[0].as_py()
     a = np.flatnonzero(side == 0)
     b = a if one else np.flatnonzero(side == 1)
     u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -349,7 +348,6 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
               .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("grp", F.least("blk", "o").alias("p"), F.greatest("blk", "o").alias("q"),
                       (F.col("blk") > F.col("o")).cast("int").alias("side"), "set", "copies", "key"))
-    # Sides of a block with itself are all 0; a lone side of a pair has nothing to meet.
     held = paired.join(docs.select("key", "text"), "key")
     links = stored(held.groupBy("grp", "p", "q").applyInArrow(lambda x: _block_links(x, k, t),
                                                              "u binary, v binary, links long"), "links")
