@@ -47,22 +47,20 @@ def split(text: bytes) -> list[bytes]:
 def suffix_array(ids: np.ndarray) -> np.ndarray:
     """Positions of all suffixes of ``ids`` that start with a non-zero id, sorted.
 
-    A suffix ends at the next 0. Ranks double in length until all differ or
-    nothing changes any more (equal suffixes stay in text order).
+    A suffix ends at the next 0 (the last element is one). Ranks double in length until the longest
+    suffix is covered; equal suffixes keep one rank and stay in text order.
     """
     n = len(ids)
-    rank, step, last = ids.astype(np.int64), 1, -1
-    while n:
+    ends = np.flatnonzero(ids == 0)
+    left = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)  # words before the end
+    rank, step = ids.astype(np.int64), 1
+    while n and step < left.max():
         ahead = np.zeros(n, np.int64)
-        ahead[:n - step] = rank[step:] if step < n else 0
-        ahead[rank == 0] = 0
-        key = rank * (rank.max() + 1) + ahead
-        _, rank = np.unique(key, return_inverse=True)  # 0 stays the rank of the ends
-        if rank.max() == last:
-            break
-        last, step = rank.max(), step * 2
-        if step >= n:
-            break
+        ahead[:n - step] = rank[step:]
+        ahead[left <= step] = 0
+        # 0 stays the rank of the ends alone.
+        rank = np.unique(rank * (rank.max() + 1) + ahead, return_inverse=True)[1]
+        step *= 2
     by = np.argsort(rank, kind="stable")
     return by[ids[by] != 0]
 
@@ -73,7 +71,8 @@ def _bound(at: np.ndarray, sa: np.ndarray, depth: int, lo: np.ndarray, hi: np.nd
     lo, hi = lo.copy(), hi.copy()
     while (open_ := lo < hi).any():
         mid = (lo + hi) >> 1
-        word = at[sa[np.minimum(mid, len(sa) - 1)] + depth]
+        # Closed intervals are looked at too, anywhere; their answers are not used.
+        word = at[np.minimum(sa[np.minimum(mid, len(sa) - 1)] + depth, len(at) - 1)]
         right = open_ & ((word <= want) if above else (word < want))
         lo = np.where(right, mid + 1, lo)
         hi = np.where(open_ & ~right, mid, hi)
