@@ -134,26 +134,46 @@ def sql_ws_chars() -> str:
         f"chr({c})" for lo, hi in WHITESPACE_RANGES for c in range(lo, hi + 1))
 
 
+def _duck_literal(s: str) -> str:
+    return "'" + s + "'"
+
+
+# Cleaning steps as (SQL template, pattern) of one dialect; {e} is the text, {p} the pattern's literal.
+SPARK_STEPS = {
+    "to_text": ("CAST({e} AS STRING)", ""), "replace_cjk_punct": ("regexp_replace({e}, {p}, ' ')", CJK_PUNCT_RE),
+    "remove_html_marker": ("replace({e}, {p}, '')", HTML_MARKER), "strip_tags": ("regexp_replace({e}, {p}, '')", TAG_RE_JAVA),
+    "strip_urls": ("regexp_replace({e}, {p}, '')", URL_RE), "strip_digits": ("regexp_replace({e}, {p}, '')", DIGITS_RE),
+    "strip_space": ("btrim({e}, {p})", WS_CHARS),
+}
+DUCK_STEPS = {
+    "to_text": ("CAST({e} AS VARCHAR)", ""), "replace_cjk_punct": ("regexp_replace({e}, {p}, ' ', 'g')", CJK_PUNCT_RE),
+    "remove_html_marker": ("replace({e}, {p}, '')", HTML_MARKER), "strip_tags": ("regexp_replace({e}, {p}, '', 'g')", TAG_RE_RE2),
+    "strip_urls": ("regexp_replace({e}, {p}, '', 'g')", URL_RE), "strip_digits": ("regexp_replace({e}, {p}, '', 'g')", DIGITS_RE),
+    "strip_space": ("trim({e}, {p})", None),
+}
+
+
+def render_step(expr: str, step: str, steps: dict, literal) -> str:
+    """One cleaning step as SQL text; a pattern None stands for the whitespace set as an expression."""
+    template, pattern = steps[step]
+    return template.format(e=expr, p=sql_ws_chars() if pattern is None else literal(pattern))
+
+
+def render_clean(expr: str, profile: str, steps: dict, literal) -> str:
+    """The steps of a cleaning profile, in the order :func:`clean_text` applies them."""
+    for step in PROFILES[profile]:
+        expr = render_step(expr, step.__name__, steps, literal)
+    return expr
+
+
+def sql_step(expr: str, step: str) -> str:
+    """DuckDB rendering of one cleaning step."""
+    return render_step(expr, step, DUCK_STEPS, _duck_literal)
+
+
 def sql_clean(expr: str, profile: str = "full") -> str:
     """DuckDB rendering of :func:`clean_text`."""
-    steps = {
-        "t0": lambda e: f"CAST({e} AS VARCHAR)",
-        "t1": lambda e: f"regexp_replace({e}, '{CJK_PUNCT_RE}', ' ', 'g')",
-        "t2": lambda e: f"replace({e}, '{HTML_MARKER}', '')",
-        "t3": lambda e: f"regexp_replace({e}, '{TAG_RE_RE2}', '', 'g')",
-        "t4": lambda e: f"regexp_replace({e}, '{URL_RE}', '', 'g')",
-        "t5": lambda e: f"regexp_replace({e}, '{DIGITS_RE}', '', 'g')",
-        "t6": lambda e: f"trim({e}, {sql_ws_chars()})",
-    }
-    order = {
-        "full": ["t0", "t1", "t2", "t3", "t4", "t5", "t6"],
-        "punct_only": ["t0", "t1", "t6"],
-        "strip_only": ["t0", "t6"],
-        "none": ["t0"],
-    }[profile]
-    for s in order:
-        expr = steps[s](expr)
-    return expr
+    return render_clean(expr, profile, DUCK_STEPS, _duck_literal)
 
 
 def sql_letter_tokens(expr: str) -> str:

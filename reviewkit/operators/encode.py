@@ -5,12 +5,16 @@ tokens that would be cut anyway), ``posexplode_outer`` so an empty list still
 yields a row, look ids up by an equi join with the vocabulary (broadcast when its
 size is checked), then rebuild the ordered array per review. Rows of one review
 sit next to each other in the same task, so the partial ``collect_list`` folds
-them before the shuffle: one row per review crosses the network.
+them before the shuffle: one row per review crosses the network. With a
+vocabulary past the broadcast bound the lookup is a shuffle join on the token (hot
+tokens are split by AQE), and the regrouping is a second shuffle of the positions.
+
+Reviews are keyed by one column or a list, (source, review_id) in the working table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +23,9 @@ from reviewkit.functions.arrays import pad_to, padding_mask
 from reviewkit.functions.labels import sentiment
 from reviewkit.operators import quality
 from reviewkit.operators.joins import materialize
+from reviewkit.operators.ranking import as_list
 
+Key = str | Sequence[str]
 UNK_ID, PAD_ID = 0, 1
 
 
@@ -36,39 +42,40 @@ def lookup_ids(exploded: DataFrame, vocab: DataFrame, token_col: str = "token",
         .otherwise(F.coalesce(F.col("__vid"), F.lit(unk_id).cast("long")))).drop("__vid")
 
 
-def encode_ids(df: DataFrame, vocab: DataFrame, id_col: str, tokens_col: str = "tokens",
+def encode_ids(df: DataFrame, vocab: DataFrame, key: Key, tokens_col: str = "tokens",
                max_tokens: Column | int | None = None, out_col: str = "ids") -> DataFrame:
     """Token arrays -> id arrays in the same order (no padding), one row per input row."""
     t = F.col(tokens_col)
     if max_tokens is not None:
         n = F.lit(max_tokens) if isinstance(max_tokens, int) else max_tokens
         t = F.slice(t, 1, n)
-    ex = df.select(id_col, F.posexplode_outer(t).alias("pos", "token"))
+    key = as_list(key)
+    ex = df.select(*key, F.posexplode_outer(t).alias("pos", "token"))
     looked = lookup_ids(ex, vocab)
     item = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.col("token_id")))
-    grouped = looked.groupBy(id_col).agg(F.sort_array(F.collect_list(item)).alias("__s"))
-    return grouped.select(id_col, F.col("__s.token_id").alias(out_col))
+    grouped = looked.groupBy(*key).agg(F.sort_array(F.collect_list(item)).alias("__s"))
+    return grouped.select(*key, F.col("__s.token_id").alias(out_col))
 
 
-def encode(df: DataFrame, vocab: DataFrame, id_col: str, tokens_col: str = "tokens",
+def encode(df: DataFrame, vocab: DataFrame, key: Key, tokens_col: str = "tokens",
            length: int = 32, out_col: str = "input_ids", pad_id: int = PAD_ID) -> DataFrame:
     """Ids right-padded with ``<pad>`` / truncated to exactly ``length``."""
-    enc = encode_ids(df, vocab, id_col, tokens_col, length, "__ids")
-    return enc.select(id_col, pad_to(F.col("__ids"), length, pad_id).alias(out_col))
+    enc = encode_ids(df, vocab, key, tokens_col, length, "__ids")
+    return enc.select(*as_list(key), pad_to(F.col("__ids"), length, pad_id).alias(out_col))
 
 
-def encode_to_longest(df: DataFrame, vocab: DataFrame, id_col: str,
+def encode_to_longest(df: DataFrame, vocab: DataFrame, key: Key,
                       tokens_col: str = "tokens", length: int = 32,
                       out_col: str = "input_ids", pad_id: int = PAD_ID) -> DataFrame:
     """Pad to the longest list, then cut to ``length``: width = min(longest, length).
 
-    The ids of the first ``length`` tokens are computed once and checkpointed;
+    The ids of the first ``length`` tokens are computed once and stored;
     the longest of them is exactly min(longest list, length), so the width is
     a scalar over the stored ids and the text is not tokenized a second time.
     """
-    enc = materialize(encode_ids(df, vocab, id_col, tokens_col, length, "__ids"))
+    enc = materialize(encode_ids(df, vocab, key, tokens_col, length, "__ids"))
     width = F.coalesce(enc.agg(F.max(F.size("__ids")).alias("m")).select("m").scalar(), F.lit(0))
-    return enc.select(id_col, pad_to(F.col("__ids"), width, pad_id).alias(out_col))
+    return enc.select(*as_list(key), pad_to(F.col("__ids"), width, pad_id).alias(out_col))
 
 
 def with_mask(df: DataFrame, ids_col: str = "input_ids", out_col: str = "attention_mask",
@@ -77,39 +84,40 @@ def with_mask(df: DataFrame, ids_col: str = "input_ids", out_col: str = "attenti
     return df.withColumn(out_col, padding_mask(F.col(ids_col), pad_id))
 
 
-def encode_framed(df: DataFrame, vocab: DataFrame, id_col: str, text_col: str,
+def encode_framed(df: DataFrame, vocab: DataFrame, key: Key, text_col: str,
                   label_col: str, tokens_col: str = "tokens", length: int = 64,
                   start_id: int = 2, end_id: int = 3, pad_id: int = PAD_ID) -> DataFrame:
     """[start] + body (cut to length-2) + [end], padded to ``length``, with mask.
 
-    Output: id, struct(review_text, input_ids, attention_mask, labels). The
+    Output: key, struct(review_text, input_ids, attention_mask, labels). The
     vocabulary must reserve ``start_id`` / ``end_id`` among its specials.
     """
-    body = encode_ids(df, vocab, id_col, tokens_col, length - 2, "__ids")
+    key = as_list(key)
+    body = encode_ids(df, vocab, key, tokens_col, length - 2, "__ids")
     framed = F.concat(F.array(F.lit(start_id).cast("long")), F.col("__ids"),
                       F.array(F.lit(end_id).cast("long")))
-    enc = body.select(id_col, pad_to(framed, length, pad_id).alias("input_ids"))
+    enc = body.select(*key, pad_to(framed, length, pad_id).alias("input_ids"))
     enc = with_mask(enc, "input_ids", "attention_mask", pad_id)
-    side = df.select(id_col, F.col(text_col).alias("review_text"), F.col(label_col).alias("labels"))
-    return enc.join(side, id_col).select(
-        id_col, F.struct("review_text", "input_ids", "attention_mask", "labels").alias("example"))
+    side = df.select(*key, F.col(text_col).alias("review_text"), F.col(label_col).alias("labels"))
+    return enc.join(side, key).select(
+        *key, F.struct("review_text", "input_ids", "attention_mask", "labels").alias("example"))
 
 
-def assemble_examples(encoded: DataFrame, reviews: DataFrame, id_col: str,
+def assemble_examples(encoded: DataFrame, reviews: DataFrame, key: Key,
                       star_col: str = "star", rule: str = "canonical",
                       check: bool = True) -> DataFrame:
-    """E5: (id, input_ids, label) with the star-range (P6) and alignment (P7) checks.
+    """E5: (key, input_ids, label) with the star-range (P6) and alignment (P7) checks.
 
     The alignment check and the result come from one full outer join,
-    checkpointed: one-sided rows are counted on the stored join, and the
-    matched rows are returned, so the encoding is not computed twice.
+    stored: one-sided rows are counted on the stored join, and the matched rows are returned, so the encoding is not computed twice.
     """
+    key = as_list(key)
     if not check:
-        lab = reviews.select(id_col, sentiment(F.col(star_col), rule).alias("label"))
-        return encoded.join(lab, id_col)
+        lab = reviews.select(*key, sentiment(F.col(star_col), rule).alias("label"))
+        return encoded.join(lab, key)
     quality.assert_range(reviews, star_col)
-    lab = reviews.select(id_col, F.col(star_col).alias("__star"), F.lit(True).alias("__r"))
-    both = materialize(encoded.withColumn("__l", F.lit(True)).join(lab, id_col, "full_outer"))
+    lab = reviews.select(*key, F.col(star_col).alias("__star"), F.lit(True).alias("__r"))
+    both = materialize(encoded.withColumn("__l", F.lit(True)).join(lab, key, "full_outer"))
     r = both.agg(F.count_if(F.col("__r").isNull()).alias("left_only"),
                  F.count_if(F.col("__l").isNull()).alias("right_only")).first()
     if r["left_only"] or r["right_only"]:
@@ -117,25 +125,28 @@ def assemble_examples(encoded: DataFrame, reviews: DataFrame, id_col: str,
     return both.select(*encoded.columns, sentiment(F.col("__star"), rule).alias("label"))
 
 
-def mean_vectors(encoded: DataFrame, vectors: DataFrame, id_col: str,
+def mean_vectors(encoded: DataFrame, vectors: DataFrame, key: Key,
                  ids_col: str = "input_ids", dim: int = 64, include_pad: bool = True,
-                 pad_id: int = PAD_ID, key: Callable[[Column], Column] | None = None) -> DataFrame:
+                 pad_id: int = PAD_ID, vec_key: Callable[[Column], Column] | None = None) -> DataFrame:
     """Mean of token vectors over positions.
 
     ``vectors`` has (vec_key, vec array<float>) and should be size-checked for
-    broadcast by the caller; ``key`` maps a token id to its ``vec_key``
+    broadcast by the caller; ``vec_key`` maps a token id to its ``vec_key``
     (identity by default). ``include_pad=True`` averages over every position,
     pads included (the reference's mean has no mask); ``False`` averages over
-    non-pad positions. The per-dimension sums are plain ``sum`` aggregates
-    (partial before the shuffle), so no array of vectors is ever collected.
+    non-pad positions. Positions are counted per (review, vector) first, so a review
+    brings one row per distinct token to the join, not one per position; the
+    per-dimension sums are plain ``sum`` aggregates (partial before the shuffle).
     """
-    ex = encoded.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
+    key = as_list(key)
+    ex = encoded.select(*key, F.posexplode(ids_col).alias("pos", "token_id"))
     if not include_pad:
         ex = ex.filter(F.col("token_id") != pad_id)
-    ex = ex.withColumn("vec_key", key(F.col("token_id")) if key else F.col("token_id"))
-    j = ex.join(vectors, "vec_key")
-    aggs = [F.sum(F.get(F.col("vec"), i).cast("double")).alias(f"__s{i}") for i in range(dim)]
-    aggs.append(F.count(F.lit(1)).alias("__n"))
-    g = j.groupBy(id_col).agg(*aggs)
-    return g.select(id_col, F.array(*[F.col(f"__s{i}") / F.col("__n") for i in range(dim)])
+    ex = ex.select(*key, (vec_key(F.col("token_id")) if vec_key else F.col("token_id")).alias("vec_key"))
+    counted = ex.groupBy(*key, "vec_key").agg(F.count(F.lit(1)).alias("__c"))
+    j = counted.join(vectors, "vec_key")
+    aggs = [F.sum(F.get(F.col("vec"), i).cast("double") * F.col("__c")).alias(f"__s{i}") for i in range(dim)]
+    aggs.append(F.sum("__c").alias("__n"))
+    g = j.groupBy(*key).agg(*aggs)
+    return g.select(*key, F.array(*[F.col(f"__s{i}") / F.col("__n") for i in range(dim)])
                     .alias("mean_vec"))

@@ -2,9 +2,9 @@
 
 A side is broadcast only after its row count is known to be under a bound;
 otherwise the join stays a shuffle join (sort-merge), and AQE's skew handling
-splits hot keys. Derived tables are first materialized with a reliable
-``checkpoint()`` in the shared ``spark.checkpoint.dir`` so the count and the join
-read the same stored rows and the lineage is cut.
+splits hot keys. Derived tables are first written as parquet in the shared
+``spark.checkpoint.dir``, so the count and the join read the same stored rows, later
+reads prune columns and know sizes, and the lineage is cut.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewkit.session import work_dir
+from reviewkit.session import scratch_path
 
 # Broadcast bounds for lookup tables such as vocabularies and vector tables: a
 # row count and an estimate of the in-memory bytes every executor receives.
@@ -22,9 +22,10 @@ DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as parquet in the shared folder, and read again."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _row_bytes(field: T.StructField) -> Column:
@@ -53,8 +54,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``df`` if it is within both bounds, else return it as is.
 
-    ``materialized=True`` means ``df`` is a stored table (parquet scan or
-    checkpoint) that is cheap to measure; otherwise it is checkpointed first.
+    ``materialized=True`` means ``df`` is a stored table that is cheap to measure;
+    otherwise it is stored first.
     Beyond the bounds the join stays a shuffle join (AQE may still pick a
     broadcast from measured sizes under its own threshold).
     """

@@ -4,8 +4,8 @@ Inputs:
 * predictions: (id, scores array<double>, label int) -> :func:`with_prediction`
 * metric history: (epoch, batch, loss, correct, total), one row per mini-batch.
 
-Per-row work is array expressions; per-batch and per-epoch tables are tiny, so
-windows without a partition are used only on those.
+Per-row work is array expressions. A window without a partition runs only over the
+per-epoch table (one row per epoch).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ ROUND = 6
 # running means often sit exactly on a 6th-digit tie; float noise from the
 # summation order would then decide the rounding. The guard rounds ties up.
 TIE_GUARD = 1e-9
+RUN_BATCHES = 1024  # batches of one run of the running metrics
 
 
 def round_metric(c):
@@ -134,16 +135,17 @@ def metric_history(events: DataFrame, batch_size: int = 32) -> DataFrame:
 
     epoch = days since the first event day; batches of ``batch_size`` events in
     (ts, event_id) order inside the epoch; loss = mean ``value`` of the batch,
-    correct = purchase events, total = events. Ranks inside an epoch use
-    one-second buckets (at most 86,400 per epoch in the prefix-sum table), so
-    no epoch, and no busy minute, is sorted in one task.
+    correct = purchase events, total = events. One exact rank over (epoch, ts,
+    event_id), minus the rows of earlier epochs: no epoch, and no busy second, is
+    sorted in one task. Events without a time form an epoch of their own (null).
     """
     first_day = events.agg(F.min(F.to_date("ts")).alias("d")).select("d").scalar()
     e = events.select("event_id", "ts", "value", "event_type",
                       F.datediff(F.to_date("ts"), first_day).alias("epoch"))
-    r = exact_rank(e, [("__m", F.date_trunc("second", "ts"), True)],
-                   [F.col("ts"), F.col("event_id")], "__r", group_cols=["epoch"])
-    r = r.withColumn("batch", F.floor((F.col("__r") - 1) / batch_size).cast("long"))
+    r = exact_rank(e, [F.col("epoch"), F.col("ts"), F.col("event_id")], "__r")
+    starts = r.groupBy(F.col("epoch").alias("__e")).agg(F.min("__r").alias("__first"))  # a row per epoch
+    r = r.join(F.broadcast(starts), F.col("epoch").eqNullSafe(F.col("__e")))
+    r = r.withColumn("batch", F.floor((F.col("__r") - F.col("__first")) / batch_size).cast("long"))
     return r.groupBy("epoch", "batch").agg(
         F.avg("value").alias("loss"),
         F.count_if(F.col("event_type") == "purchase").cast("long").alias("correct"),
@@ -157,13 +159,23 @@ def epoch_loss(history: DataFrame) -> DataFrame:
 
 
 def running_metrics(history: DataFrame) -> DataFrame:
-    """Running mean loss and running pooled accuracy (percent) within each epoch."""
-    w = Window.partitionBy("epoch").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    return history.select(
-        "epoch", "batch",
-        round_metric(F.avg("loss").over(w)).alias("running_loss"),
-        round_metric(100.0 * F.sum("correct").over(w) / F.sum("total").over(w))
-        .alias("running_accuracy"))
+    """Running mean loss and running pooled accuracy (percent) within each epoch.
+
+    A two-level prefix sum: sums per run of ``RUN_BATCHES`` batches, their running sums
+    (one row per run), and running sums inside a run, so an epoch's batches are many tasks.
+    """
+    h = history.withColumn("__run", F.floor(F.col("batch") / RUN_BATCHES))
+    sums = {"__loss": F.sum("loss"), "__n": F.count("loss"), "__correct": F.sum("correct"), "__total": F.sum("total")}
+    runs = h.groupBy("epoch", "__run").agg(*[v.alias(k) for k, v in sums.items()])
+    before = Window.partitionBy("epoch").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("epoch").alias("__e"), F.col("__run").alias("__r"),
+                       *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(k + "_before") for k in sums])
+    j = h.join(runs, F.col("epoch").eqNullSafe(F.col("__e")) & (F.col("__run") == F.col("__r")))
+    w = Window.partitionBy("epoch", "__run").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    upto = {k: F.col(k + "_before") + F.coalesce(agg.over(w), F.lit(0)) for k, agg in sums.items()}
+    return j.select("epoch", "batch",
+                    round_metric(upto["__loss"] / upto["__n"]).alias("running_loss"),
+                    round_metric(100.0 * upto["__correct"] / upto["__total"]).alias("running_accuracy"))
 
 
 def epoch_accuracy(history: DataFrame) -> DataFrame:

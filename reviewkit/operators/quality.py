@@ -80,20 +80,20 @@ def dedup_pairs(df: DataFrame, cols: Sequence[str] = ("comment", "star"),
     """A2: one row per distinct (comment, star) pair, keeping the first row.
 
     "First" is the smallest ``order_cols`` tuple (the reference keeps the first
-    row in file order; here the row key carries that order). ``min`` over a
-    struct and ``min_by`` aggregate partially before the shuffle, so a pair
-    repeated millions of times costs one row per task. ``count_col`` adds the
-    number of copies.
+    row in file order; here the row key carries that order). Rows are grouped by a
+    256-bit digest of long columns, so texts are neither compared nor sorted; the first
+    row travels as one struct, whose minimum is partial before the shuffle: a pair
+    repeated millions of times costs one row per task. ``count_col`` adds the number
+    of copies.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
-    rest = [c for c in df.columns if c not in cols and c not in order_cols]
-    aggs = [F.min(order).alias("__first")]
-    aggs += [F.min_by(F.col(c), order).alias(c) for c in rest]
+    kinds = dict(df.dtypes)
+    keys = [F.sha2(F.col(c), 256) if kinds[c] == "string" else F.col(c) for c in cols]
+    rest = [c for c in df.columns if c not in order_cols]
+    aggs = [F.min(F.struct(*order_cols, *rest)).alias("__first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
-    g = df.groupBy(*cols).agg(*aggs)
-    out = [F.col(f"__first.{c}").alias(c) if c in order_cols else F.col(c) for c in df.columns]
-    return g.select(*out, *([count_col] if count_col else []))
+    g = df.groupBy(*[k.alias(f"__k{i}") for i, k in enumerate(keys)]).agg(*aggs)
+    return g.select(*[F.col(f"__first.{c}").alias(c) for c in df.columns], *([count_col] if count_col else []))
 
 
 def star_distribution(df: DataFrame, col: str = "star", lo: int = 1, hi: int = 5) -> DataFrame:

@@ -1,17 +1,12 @@
 """Exact global row numbers without a one-partition sort (W4 machinery).
 
-A plain ``row_number() OVER (ORDER BY k)`` moves every row into one task. Here
-the ordering is cut into coarse, order-preserving buckets:
-
-1. count rows per bucket (partial + final aggregate; the result has one row per
-   bucket);
-2. prefix-sum the counts over the small bucket table -> rows before each bucket;
-3. join the offsets back on the bucket and number rows inside each bucket with a
-   window partitioned by the bucket.
-
-The join and the window share the same hash partitioning on the bucket, so the
-big side is shuffled once. Buckets must be fine enough that none is large: a hash
-prefix (65,536 buckets) for random orders, an id range for id order.
+A plain ``row_number() OVER (ORDER BY k)`` moves every row into one task. Here the
+rows are range-partitioned on the order itself (Spark samples the keys for even
+ranges, so sparse ids, one far-away id or many equal frequencies do not matter) and
+sorted inside each partition. ``monotonically_increasing_id`` then holds the partition
+and the position in it, both already in the wanted order. The rows are stored once;
+the rank is the position plus the rows of all earlier partitions, a table of one row
+per partition. Rows with null keys sort first and are kept: nothing is joined on a key.
 """
 
 from __future__ import annotations
@@ -21,61 +16,57 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKET_HEX = 4  # 16**4 = 65,536 buckets for hash-ordered ranks
+from reviewkit.operators.joins import materialize
 
+# Bits of monotonically_increasing_id that hold the position inside a partition.
+POSITION_BITS = 33
 
-def exact_rank(df: DataFrame, buckets: Sequence[tuple[str, Column, bool]],
-               within: Sequence[Column], rank_col: str = "rank",
-               total_col: str | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Add a 1-based rank in the order (buckets..., within...).
 
-    ``buckets`` lists (name, expression, ascending); the bucket order must be a
-    coarse version of the full order. ``within`` is the exact order inside a
-    bucket and must break every tie. ``total_col`` adds the row count. With
-    ``group_cols`` the rank restarts in every group (bucket table windows are
-    then partitioned by the group).
+def as_list(cols: str | Sequence[str]) -> list[str]:
+    return [cols] if isinstance(cols, str) else list(cols)
+
+
+def exact_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
+               total_col: str | None = None) -> DataFrame:
+    """Add a 1-based rank in ``order``; ``total_col`` adds the row count.
+
+    The rows that go in are sorted and stored, so pass the key columns only and join
+    or compare the rest. Rows that tie in ``order`` get different ranks in any order.
     """
-    names = [n for n, _, _ in buckets]
-    keys = list(group_cols) + names
-    b = df.withColumns({n: e for n, e, _ in buckets})
-    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))
-    order = [F.col(n).asc() if asc else F.col(n).desc() for n, _, asc in buckets]
-    before = (Window.partitionBy(*group_cols).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("__at", F.monotonically_increasing_id()))
+    placed = materialize(placed.select(
+        *df.columns, F.shiftright("__at", POSITION_BITS).cast("int").alias("__part"),
+        F.col("__at").bitwiseAND((1 << POSITION_BITS) - 1).alias("__pos")))
+    counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+                            F.sum("__n").over(Window.partitionBy()).alias("__total"))
+    ranked = placed.join(F.broadcast(offsets), "__part")
+    out = ranked.withColumn(rank_col, F.col("__before") + F.col("__pos") + 1)
     if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("__cnt").over(Window.partitionBy(*group_cols)))
-    offsets = offsets.drop("__cnt")
-    joined = b.join(offsets, keys)
-    inner = Window.partitionBy(*keys).orderBy(*within)
-    return (joined.withColumn(rank_col, F.col("__before") + F.row_number().over(inner))
-            .drop("__before", *names))
+        out = out.withColumn(total_col, F.col("__total"))
+    return out.select(*df.columns, rank_col, *([total_col] if total_col else []))
 
 
-def hash_key(seed: int | str, id_col: str) -> Column:
-    """Repeatable random order key: md5 of 'seed:id' (same value in DuckDB)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+def hash_key(seed: int | str, key: str | Sequence[str]) -> Column:
+    """Repeatable random order key: md5 of 'seed:key' (same value in DuckDB).
 
+    Several key columns are joined by ``:``; a null is written as ``~``.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in as_list(key)]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
-def rank_by_hash(df: DataFrame, id_col: str, seed: int | str, rank_col: str = "rank",
-                 total_col: str | None = None) -> DataFrame:
-    """Exact rank in md5('seed:id') order (K2 shuffle order, E6 split, E9 batches)."""
-    key = "__hkey"
-    d = df.withColumn(key, hash_key(seed, id_col))
-    res = exact_rank(d, [("__hb", F.substring(F.col(key), 1, HASH_BUCKET_HEX), True)],
-                     [F.col(key), F.col(id_col)], rank_col, total_col)
-    return res.drop(key)
 
+def rank_by_hash(df: DataFrame, key: str | Sequence[str], seed: int | str, rank_col: str = "rank",
+                 total_col: str | None = None) -> DataFrame:
+    """Exact rank in md5('seed:key') order, ties by key (K2 shuffle order, E9 batches)."""
+    d = df.withColumn("__hkey", hash_key(seed, key))
+    return exact_rank(d, [F.col("__hkey"), *map(F.col, as_list(key))], rank_col, total_col).drop("__hkey")
 
-def rank_by_id(df: DataFrame, id_col: str, rank_col: str = "rank",
-               total_col: str | None = None, n_buckets: int = 65536) -> DataFrame:
-    """Exact rank in id order (W4), buckets are equal-width id ranges.
 
-    min/max come from a scalar subquery: one small aggregate, no join.
-    """
-    bounds = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    width = F.greatest(F.lit(1), F.ceil((hi - lo + F.lit(1)) / F.lit(n_buckets)))
-    bucket = F.floor((F.col(id_col) - lo) / width)
-    return exact_rank(df, [("__ib", bucket, True)], [F.col(id_col)], rank_col, total_col)
+def rank_by_key(df: DataFrame, key: str | Sequence[str], rank_col: str = "rank",
+                total_col: str | None = None) -> DataFrame:
+    """Exact rank in key order (W4); null keys first."""
+    return exact_rank(df, list(map(F.col, as_list(key))), rank_col, total_col)

@@ -1,53 +1,90 @@
 """Row index, shuffles, splits, folds and mini-batches.
 
-Every random operator takes a seed and orders by md5('seed:id'), which is
-repeatable, independent of partitioning, and equal in DuckDB. Exact ranks come
-from :mod:`reviewkit.operators.ranking` (no one-partition sort).
+Keys are one column or a list (a review is keyed by source and review_id). Every
+random operator takes a seed and orders by md5('seed:key'), which is repeatable,
+independent of partitioning, and equal in DuckDB. Exact ranks come from
+:mod:`reviewkit.operators.ranking`; the exact split compares rows with one threshold
+and moves none. Rows with null keys are kept everywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewkit.operators.ranking import hash_key, rank_by_hash, rank_by_id
+from reviewkit.operators.ranking import as_list, hash_key, rank_by_hash, rank_by_key
+
+Key = str | Sequence[str]
 
 
-def row_index(df: DataFrame, id_col: str, out_col: str = "row_index",
+def row_index(df: DataFrame, key: Key, out_col: str = "row_index",
               keep_old: bool = False, old_col: str = "index") -> DataFrame:
-    """Dense 0-based index in id order; optionally keep the old key as ``index``."""
-    res = rank_by_id(df, id_col, "__r").withColumn(out_col, F.col("__r") - 1).drop("__r")
-    return res.withColumn(old_col, F.col(id_col)) if keep_old else res
+    """Dense 0-based index in key order; optionally keep the (first) old key as ``index``."""
+    res = rank_by_key(df, key, "__r").withColumn(out_col, F.col("__r") - 1).drop("__r")
+    return res.withColumn(old_col, F.col(as_list(key)[0])) if keep_old else res
 
 
-def shuffle_order(df: DataFrame, id_col: str, seed: int, out_col: str = "position") -> DataFrame:
+def shuffle_order(df: DataFrame, key: Key, seed: int, out_col: str = "position") -> DataFrame:
     """K2: repeatable random order, 0-based position."""
-    return rank_by_hash(df, id_col, seed, "__r").withColumn(out_col, F.col("__r") - 1).drop("__r")
+    return rank_by_hash(df, key, seed, "__r").withColumn(out_col, F.col("__r") - 1).drop("__r")
 
 
-def exact_split(df: DataFrame, id_col: str, seed: int, fraction: float = 0.9,
-                out_col: str = "split") -> DataFrame:
-    """Exactly floor(n * fraction) rows 'train' (double arithmetic), rest 'valid'."""
-    r = rank_by_hash(df, id_col, seed, "__r", total_col="__n")
-    cut = F.floor(F.col("__n").cast("double") * F.lit(float(fraction)))
-    return r.withColumn(out_col, F.when(F.col("__r") <= cut, F.lit("train"))
-                        .otherwise(F.lit("valid"))).drop("__r", "__n")
+def _sort_text(key: Key, seed: int) -> Column:
+    """Hash and key as one text that is unique for a key, so that the split has one threshold."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in as_list(key)]
+    return F.concat_ws(":", hash_key(seed, key), *parts)
 
 
-def approx_split(df: DataFrame, id_col: str, seed: int, fraction: float = 0.9,
+def exact_split(df: DataFrame, key: Key, seed: int, fraction: float = 0.9,
+                out_col: str = "split") -> DataFrame:
+    """Exactly floor(n * fraction) rows 'train' (double arithmetic), rest 'valid'.
+
+    Counts per hash prefix (65,536 at most) tell in which prefix the cut falls; only
+    the keys of that prefix are sorted, up to the cut, and its last key is the
+    threshold every row is compared with. No row is shuffled. Rows that share a key
+    at the threshold, if there are any, are told apart by an exact rank.
+    """
+    text = _sort_text(key, seed)
+    keys = df.select(text.alias("t"))
+    per = {r.p: r.n for r in keys.groupBy(F.substring("t", 1, 4).alias("p"))
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    cut = int(float(sum(per.values())) * fraction)
+    left, at = cut, None
+    for p in sorted(per):
+        if left <= per[p]:
+            at = p
+            break
+        left -= per[p]
+    if not cut or at is None:
+        return df.withColumn(out_col, F.lit("valid"))
+    inside = keys.where(F.substring("t", 1, 4) == at)
+    last = inside.orderBy("t").limit(left).agg(F.max("t")).first()[0]
+    upto = inside.agg(F.count_if(F.col("t") < last).alias("below"), F.count_if(F.col("t") <= last).alias("upto")).first()
+    if upto["upto"] == left:
+        return df.withColumn(out_col, F.when(text <= last, F.lit("train")).otherwise(F.lit("valid")))
+    tied = rank_by_hash(df.where(text == last), key, seed, "__r")
+    tied = tied.withColumn(out_col, F.when(F.col("__r") <= left - upto["below"], F.lit("train"))
+                           .otherwise(F.lit("valid"))).drop("__r")
+    rest = df.where(text != last).withColumn(out_col, F.when(text < last, F.lit("train")).otherwise(F.lit("valid")))
+    return rest.unionByName(tied)
+
+
+def approx_split(df: DataFrame, key: Key, seed: int, fraction: float = 0.9,
                  out_col: str = "split") -> DataFrame:
     """Each row independently 'train' with probability ``fraction``.
 
-    The draw is the first 8 hex digits of md5('seed:id') / 16**8, so it is
+    The draw is the first 8 hex digits of md5('seed:key') / 16**8, so it is
     repeatable and needs no count.
     """
-    u = F.conv(F.substring(hash_key(seed, id_col), 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
+    u = F.conv(F.substring(hash_key(seed, key), 1, 8), 16, 10).cast("double") / F.lit(float(16 ** 8))
     return df.withColumn(out_col, F.when(u < F.lit(float(fraction)), F.lit("train"))
                          .otherwise(F.lit("valid")))
 
 
-def k_fold(df: DataFrame, id_col: str, k: int, i: int, out_col: str = "role") -> DataFrame:
-    """Contiguous folds of n // k rows in id order; the last n % k rows are in no fold.
+def k_fold(df: DataFrame, key: Key, k: int, i: int, out_col: str = "role") -> DataFrame:
+    """Contiguous folds of n // k rows in key order; the last n % k rows are in no fold.
 
     Returns rows of fold ``i`` as 'valid', other folds as 'train', with ``fold``.
     """
@@ -55,7 +92,7 @@ def k_fold(df: DataFrame, id_col: str, k: int, i: int, out_col: str = "role") ->
         raise ValueError("k must be greater than 1")
     if not 0 <= i < k:
         raise ValueError("fold index out of range")
-    r = rank_by_id(df, id_col, "__r", total_col="__n")
+    r = rank_by_key(df, key, "__r", total_col="__n")
     size = F.floor(F.col("__n") / F.lit(k))
     fold = F.when(size > 0, F.floor((F.col("__r") - 1) / size))
     res = r.withColumn("fold", fold.cast("long")).filter(F.col("fold") < k)
@@ -63,12 +100,9 @@ def k_fold(df: DataFrame, id_col: str, k: int, i: int, out_col: str = "role") ->
                           .otherwise(F.lit("train"))).drop("__r", "__n")
 
 
-def mini_batches(df: DataFrame, id_col: str, batch_size: int, seed: int | None = None,
+def mini_batches(df: DataFrame, key: Key, batch_size: int, seed: int | None = None,
                  out_col: str = "batch_id") -> DataFrame:
-    """batch = position div batch_size, in shuffled order (seed) or id order."""
-    if seed is None:
-        r = rank_by_id(df, id_col, "__r")
-    else:
-        r = rank_by_hash(df, id_col, seed, "__r")
+    """batch = position div batch_size, in shuffled order (seed) or key order."""
+    r = rank_by_key(df, key, "__r") if seed is None else rank_by_hash(df, key, seed, "__r")
     return r.withColumn(out_col, F.floor((F.col("__r") - 1) / F.lit(batch_size)).cast("long")) \
         .withColumn("batch_pos", ((F.col("__r") - 1) % batch_size).cast("long")).drop("__r")

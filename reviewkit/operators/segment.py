@@ -29,7 +29,7 @@ count or the join back to rows.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -39,21 +39,21 @@ from reviewkit.functions.arrays import explode_rows
 from reviewkit.functions.text import WHITESPACE_RANGES
 from reviewkit.functions.text import _char_class as _ws_class
 from reviewkit.operators.joins import checked_broadcast, materialize
+from reviewkit.operators.ranking import as_list
 from reviewkit.session import ship_package
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
 WS_CLASS_RE = _ws_class(WHITESPACE_RANGES)
-OTHER_RE = "[\\p{L}\\p{N}]+"
+# Letters and digits that are not Han: a Latin letter or digit before Han text ends its own run.
+OTHER_RE = "[\\p{L}\\p{N}&&[^\\x{4e00}-\\x{9fd5}]]+"
 DICT_MAX_ROWS = 5_000_000
 
 
 # ---------------------------------------------------------------- dictionary
 
-def dictionary_from_counts(counts: DataFrame, min_freq: int = 16, max_len: int = 4,
-                           min_len: int = 1) -> DataFrame:
-    """Dictionary (word, weight) from word counts: freq >= min_freq, short words only."""
-    L = F.length("token")
-    return counts.filter((F.col("freq") >= min_freq) & (L <= max_len) & (L >= min_len)) \
+def dictionary_from_counts(counts: DataFrame, min_freq: int = 16) -> DataFrame:
+    """Dictionary (word, weight) from word counts: freq >= min_freq, words of any length."""
+    return counts.filter(F.col("freq") >= min_freq) \
         .select(F.col("token").alias("word"), F.col("freq").cast("long").alias("weight"))
 
 
@@ -230,38 +230,40 @@ def search_mode_pieces(exact: DataFrame, dictionary: DataFrame,
     dictionary words are emitted before the word itself.
     """
     d = _prepared_dict(dictionary, dict_checked)
-    words = exact.select("block", "n", F.posexplode("pieces").alias("wpos", "w"))
+    words = explode_rows(exact, ["block", "n"], F.col("pieces"), "w", pos_name="wpos")
     wl = F.length("w")
-    grams = []
-    for g in (2, 3):
-        starts = F.when(wl > g, F.sequence(F.lit(0), wl - g)).otherwise(F.array().cast("array<int>"))
-        gg = words.select("block", "n", "wpos", F.lit(g).alias("kind"),
-                          F.explode(starts).alias("gpos"), "w")
-        gg = gg.withColumn("piece", F.substring(F.col("w"), F.col("gpos") + 1, F.lit(g)))
-        grams.append(gg.join(d.select(F.col("word").alias("piece")), "piece", "left_semi"))
-    whole = words.select("block", "n", "wpos", F.lit(9).alias("kind"), F.lit(0).alias("gpos"),
-                         "w", F.col("w").alias("piece"))
-    cols = ["block", "n", "wpos", "kind", "gpos", "piece"]
-    return grams[0].select(*cols).unionByName(grams[1].select(*cols)).unionByName(whole.select(*cols))
+
+    def starts(g: int) -> Column:
+        """(kind, gpos) of every g-gram of a word longer than g."""
+        at = F.when(wl > g, F.sequence(F.lit(0), wl - g)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(F.lit(g).alias("kind"), i.alias("gpos")))
+
+    # One explode of all sub-words and the word itself (kind 9), so the best paths are computed once.
+    whole = F.array(F.struct(F.lit(9).alias("kind"), F.lit(0).alias("gpos")))
+    parts = words.select("block", "n", "wpos", "w", F.explode(F.concat(starts(2), starts(3), whole)).alias("__p"))
+    parts = parts.select("block", "n", "wpos", "__p.kind", "__p.gpos", F.when(F.col("__p.kind") == 9, F.col("w")).otherwise(
+        F.substring(F.col("w"), F.col("__p.gpos") + 1, F.col("__p.kind"))).alias("piece"))
+    hit = parts.join(d.select(F.col("word").alias("__w")).distinct() if not dict_checked else
+                     d.select(F.col("word").alias("__w")), F.col("piece") == F.col("__w"), "left")
+    return hit.where((F.col("kind") == 9) | F.col("__w").isNotNull()).drop("__w")
 
 
 # ---------------------------------------------------------------- corpus-level jobs
 
-def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: str = "full",
-                   block_re: str = HAN_RE, other_re: str = OTHER_RE,
-                   keep_whitespace_tokens: bool = False) -> DataFrame:
-    """Word counts of the segmented corpus: (piece, freq).
+def unit_counts(df: DataFrame, text_col: str, block_re: str = HAN_RE, other_re: str = OTHER_RE,
+                keep_whitespace_tokens: bool = False) -> DataFrame:
+    """(block, n): occurrences of every distinct unit of the texts, stored.
 
-    Blocks are segmented once per distinct block and weighted by occurrences;
-    other runs count as themselves.
+    One pass over the texts serves the dictionary, the segmentation and the counts of the
+    other runs; each of them would otherwise split the texts again.
     """
-    units = df.select(split_units(F.col(text_col), block_re, other_re,
-                                  keep_whitespace_tokens).alias("u"))
-    # Checkpointed (one row per distinct unit): both branches below filter on
-    # the grouping key, Catalyst pushes those filters under the aggregate, and
-    # the two differing subtrees would otherwise each re-read and re-split the
-    # corpus.
-    counts = materialize(block_counts(units, "u"))
+    units = df.select(split_units(F.col(text_col), block_re, other_re, keep_whitespace_tokens).alias("u"))
+    return materialize(block_counts(units, "u"))
+
+
+def pieces_of_units(counts: DataFrame, dictionary: DataFrame, mode: str = "full",
+                    block_re: str = HAN_RE) -> DataFrame:
+    """(piece, freq) from unit counts: blocks segmented once each, other runs as they are."""
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     blocks = counts.filter(is_block)
     others = counts.filter(~is_block).select(F.col("block").alias("piece"), "n")
@@ -269,8 +271,8 @@ def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: st
     if mode == "full":
         p = full_mode_pieces(blocks, d, dict_checked=True).select("piece", "n")
     elif mode == "exact":
-        p = exact_mode_pieces(blocks, d, dict_checked=True) \
-            .select(F.explode("pieces").alias("piece"), "n")
+        p = explode_rows(exact_mode_pieces(blocks, d, dict_checked=True), ["n"], F.col("pieces"), "piece") \
+            .select("piece", "n")
     elif mode == "search":
         ex = exact_mode_pieces(blocks, d, dict_checked=True)
         p = search_mode_pieces(ex, d, dict_checked=True).select("piece", "n")
@@ -279,7 +281,18 @@ def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: st
     return p.unionByName(others).groupBy("piece").agg(F.sum("n").cast("long").alias("freq"))
 
 
-def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,
+def segment_counts(df: DataFrame, text_col: str, dictionary: DataFrame, mode: str = "full",
+                   block_re: str = HAN_RE, other_re: str = OTHER_RE,
+                   keep_whitespace_tokens: bool = False) -> DataFrame:
+    """Word counts of the segmented corpus: (piece, freq).
+
+    Blocks are segmented once per distinct block and weighted by occurrences;
+    other runs count as themselves.
+    """
+    return pieces_of_units(unit_counts(df, text_col, block_re, other_re, keep_whitespace_tokens), dictionary, mode, block_re)
+
+
+def segment_rows(df: DataFrame, key: str | Sequence[str], text_col: str, dictionary: DataFrame,
                  mode: str = "exact", block_re: str = HAN_RE, other_re: str = OTHER_RE,
                  out_col: str = "tokens", keep_whitespace_tokens: bool = False) -> DataFrame:
     """Per-row token arrays in text order (word segmentation of each review).
@@ -288,9 +301,10 @@ def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFram
     on the block (size-checked broadcast, else a shuffle join whose hot blocks
     AQE splits) and regrouped per row in unit order.
     """
-    units = explode_rows(df, [id_col], split_units(F.col(text_col), block_re, other_re,
-                                                   keep_whitespace_tokens),
-                         "block", pos_name="upos")
+    key = as_list(key)
+    split = df.select(*key, split_units(F.col(text_col), block_re, other_re, keep_whitespace_tokens).alias("__units"))
+    split = materialize(split)  # read twice below: for the distinct blocks and for the rows
+    units = explode_rows(split, key, F.col("__units"), "block", pos_name="upos")
     counts = units.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     d = _prepared_dict(dictionary, False)
@@ -313,14 +327,9 @@ def segment_rows(df: DataFrame, id_col: str, text_col: str, dictionary: DataFram
     # beyond the bounds AQE splits skewed partitions of the shuffle join.
     j = units.join(checked_broadcast(pieces), "block", "left")
     seg = F.when(F.col("pieces").isNotNull(), F.col("pieces")).otherwise(F.array(F.col("block")))
-    per = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("upos", seg.alias("s"))))
+    per = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("upos", seg.alias("s"))))
                                 .alias("__u"))
-    res = per.select(id_col, F.flatten(F.col("__u.s")).alias(out_col))
+    res = per.select(*key, F.flatten(F.col("__u.s")).alias(out_col))
     # rows whose text has no unit at all get an empty list
-    return df.select(id_col).join(res, id_col, "left").select(
-        id_col, F.coalesce(F.col(out_col), F.array().cast("array<string>")).alias(out_col))
-
-
-def log_total_weight(dictionary: DataFrame) -> float:
-    """Helper for tests: natural log of the summed dictionary weight."""
-    return math.log(dictionary.agg(F.sum("weight")).first()[0])
+    return split.select(*key).join(res, key, "left").select(
+        *key, F.coalesce(F.col(out_col), F.array().cast("array<string>")).alias(out_col))

@@ -7,8 +7,9 @@ one row per occurrence.
 Vocabulary layout: ``(token, freq, token_id)``; special tokens first
 (``<unk>`` = 0, ``<pad>`` = 1), then words by frequency descending and token
 ascending (Spark compares strings by UTF-8 bytes = code point order). Ids come
-from :func:`reviewkit.operators.ranking.exact_rank`, so no step sorts the whole
-vocabulary in one task.
+from :func:`reviewkit.operators.ranking.exact_rank`, which range-partitions on
+(frequency, token): no step sorts or broadcasts the whole vocabulary, whatever
+the language.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ SPECIALS = (UNK, PAD)
 HIGH_FREQUENCY_MIN = 1000  # inclusive threshold of the high-frequency word list
 # -----------------------------------------------------------------------------
 
-VOCAB_PREFIX_CHARS = 2  # sub-bucket of equal-frequency tokens, keeps id buckets small
-
 
 def word_counts(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """A4: (token, freq) over all token arrays."""
@@ -58,18 +57,11 @@ def build_vocabulary(counts: DataFrame, min_freq: int = 16,
     """
     spark = counts.sparkSession
     # The thresholded counts (one row per kept word, far smaller than the text)
-    # are checkpointed: the rank reads them twice (bucket sizes and the join)
-    # and callers often count and collect the result, and each read would
-    # otherwise re-run cleaning, tokenizing and counting over the corpus.
+    # are stored: the range sort samples them before it sorts them, and each read
+    # would otherwise re-run cleaning, tokenizing and counting over the corpus.
     words = materialize(
         counts.filter((F.col("freq") >= min_freq) & ~F.col("token").isin(list(specials))))
-    ranked = exact_rank(
-        words,
-        buckets=[("__f", F.col("freq"), False),
-                 ("__p", F.substring("token", 1, VOCAB_PREFIX_CHARS), True)],
-        within=[F.col("token")],
-        rank_col="__r",
-    )
+    ranked = exact_rank(words, [F.col("freq").desc(), F.col("token").asc()], "__r")
     words = ranked.select("token", "freq",
                           (F.col("__r") + F.lit(len(specials) - 1)).cast("long").alias("token_id"))
     special_rows = spark.createDataFrame(
@@ -95,6 +87,18 @@ def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_word_list(words: DataFrame, path: str) -> None:
-    """One word per line, most frequent first (the thresholded list is small)."""
-    (words.orderBy(F.desc("freq"), F.asc("token")).select("token")
-     .coalesce(1).write.mode("overwrite").text(path))
+    """One word per line, most frequent first.
+
+    A range sort: the part files follow one another in the order, so reading them by
+    name gives the list whatever its size.
+    """
+    words.orderBy(F.desc("freq"), F.asc("token")).select("token").write.mode("overwrite").text(path)
+
+
+def read_word_list(spark: SparkSession, path: str) -> DataFrame:
+    """(line, token) of a written word list, lines counted over the part files in order."""
+    from reviewkit.operators.ranking import exact_rank
+    lines = spark.read.text(path).select(
+        F.col("value").alias("token"), F.col("_metadata.file_name").alias("__file"),
+        F.monotonically_increasing_id().alias("__id"))
+    return exact_rank(lines, [F.col("__file"), F.col("__id")], "line").select("line", "token")

@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewkit.functions.text import sql_clean, sql_letter_tokens
+from reviewkit.functions.labels import sql_sentiment
+from reviewkit.functions.text import NON_SPACE_RE, sql_clean, sql_letter_tokens, sql_step
 from reviewkit.plans.high_frequency import high_frequency_job
 from reviewkit.plans.sqlbits import sql_list
 from reviewkit.sources import driver
@@ -55,42 +56,37 @@ def sql_tokens(text_expr: str, profile: str = "full", stop: str | None = "ci") -
     return toks
 
 
-# ---------------------------------------------------------------- flagship A5
+# ---------------------------------------------------------------- more shared parts
 
-@register("a5_high_frequency_words", f"""
-WITH t AS (SELECT unnest({sql_tokens('comment')}) AS token FROM {SQL_REVIEWS} r)
-SELECT token, CAST(count(*) AS BIGINT) AS freq FROM t GROUP BY token HAVING count(*) >= 1000
-""")
-def a5_high_frequency_words(spark: SparkSession, d: str) -> DataFrame:
-    return high_frequency_job(reviews(spark, d), STOP)
+KEY = ("source", "review_id")
 
 
-# ---------------------------------------------------------------- more shared parts
-
 def doc_tokens(spark: SparkSession, d: str, stop: str | None = "ci",
                profile: str = "full") -> DataFrame:
-    """Source A reviews with token arrays (review_id, star, tokens)."""
+    """Both review sources with token arrays (source, review_id, star, tokens)."""
     from reviewkit.operators.tokens import tokenize
-    r = driver.reviews_a(spark, d).select("review_id", "star", "comment")
+    r = reviews(spark, d).select("source", "review_id", "star", "comment")
     return tokenize(r, profile=profile,
                     stopwords=STOP if stop == "ci" else None,
                     exact_stopwords=STOP if stop == "exact" else None).drop("comment")
 
 
+def stored_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """The tokens with the case-insensitive stop filter, stored: a query reads them twice or more."""
+    from reviewkit.operators.joins import materialize
+    return materialize(doc_tokens(spark, d))
+
+
 def corpus_tokens(spark: SparkSession, d: str) -> DataFrame:
-    """Both sources, tokenized with the case-insensitive stop filter."""
-    from reviewkit.operators.tokens import tokenize
-    return tokenize(reviews(spark, d).select("source", "review_id", "star", "comment"),
-                    stopwords=STOP).drop("comment")
+    return doc_tokens(spark, d)
 
 
 def sql_doc_tokens(stop: str | None = "ci") -> str:
-    return (f"(SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS star, "
-            f"{sql_tokens('text', 'full', stop)} AS tokens FROM documents)")
+    return (f"(SELECT source, review_id, star, {sql_tokens('comment', 'full', stop)} AS tokens "
+            f"FROM {SQL_REVIEWS} r)")
 
 
-SQL_CORPUS_TOKENS = (f"(SELECT source, review_id, star, {sql_tokens('comment')} AS tokens "
-                     f"FROM {SQL_REVIEWS} r)")
+SQL_CORPUS_TOKENS = sql_doc_tokens()
 
 
 def sql_vocab(tokens_table: str, min_freq: int, specials=("<unk>", "<pad>")) -> str:
@@ -154,11 +150,10 @@ def p4_drop_nulls(spark, d):
         .select("doc_id", "quality", "toxic")
 
 
-@register("p5_exclude_stars", f"SELECT source, review_id, star FROM {SQL_REVIEWS} r")
+@register("p5_exclude_stars", f"SELECT source, review_id, star FROM {SQL_REVIEWS} r WHERE star NOT IN (1, 5)")
 def p5_exclude_stars(spark, d):
-    # The reference passes an empty exclusion list: the operator is a no-op then.
     from reviewkit.operators.quality import exclude_values
-    return exclude_values(reviews(spark, d), "star", []).select("source", "review_id", "star")
+    return exclude_values(reviews(spark, d), "star", [1, 5]).select("source", "review_id", "star")
 
 
 @register("p6_star_range", f"""
@@ -183,12 +178,12 @@ def p7_alignment(spark, d):
 
 
 @register("p8_short_reviews", f"""
-SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t WHERE len(tokens) < 64
+SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t WHERE len(tokens) < 64
 """)
 def p8_short_reviews(spark, d):
     from reviewkit.operators.quality import keep_shorter
     return keep_shorter(doc_tokens(spark, d), "tokens", 64) \
-        .select("review_id", F.size("tokens").alias("n_tokens"))
+        .select("source", "review_id", F.size("tokens").alias("n_tokens"))
 
 
 @register("a1_row_count", f"""
@@ -241,11 +236,12 @@ def j1_zip_columns(spark, d):
 
 
 @register("s2_first_rows", f"""
-SELECT review_id, star FROM ({driver.SQL_REVIEWS_A}) a ORDER BY review_id LIMIT 10000
+SELECT review_id, star FROM ({driver.SQL_REVIEWS_A}) a ORDER BY review_id LIMIT 100
 """)
 def s2_first_rows(spark, d):
-    """First N rows (N = 10,000 as in the reference scripts), in key order."""
-    return driver.reviews_a(spark, d).select("review_id", "star").orderBy("review_id").limit(10000)
+    """The first N rows in key order; N is the feature (100 here, below every table's size)."""
+    from reviewkit.sources.reviews_csv import first_rows
+    return first_rows(driver.reviews_a(spark, d).select("review_id", "star"), 100, "review_id")
 
 
 # ---------------------------------------------------------------- cleaning T0-T6
@@ -261,22 +257,13 @@ def _clean_query(name: str, step, sql_step: str, table: str, id_col: str, text_e
     register(name, sql)(q)
 
 
-def _sql_step(step: str, e: str) -> str:
-    from reviewkit.functions import text as T
-    return {
-        "replace_cjk_punct": f"regexp_replace({e}, '{T.CJK_PUNCT_RE}', ' ', 'g')",
-        "remove_html_marker": f"replace({e}, '{T.HTML_MARKER}', '')",
-        "strip_tags": f"regexp_replace({e}, '{T.TAG_RE_RE2}', '', 'g')",
-        "strip_urls": f"regexp_replace({e}, '{T.URL_RE}', '', 'g')",
-        "strip_digits": f"regexp_replace({e}, '{T.DIGITS_RE}', '', 'g')",
-        "strip_space": f"trim({e}, {T.sql_ws_chars()})",
-    }[step]
-
-
 _PAGE_TEXT = "url || ' ' || html"
 for _name, _step, _table, _id, _expr, _sqlexpr in [
-    ("t1_cjk_punct", "replace_cjk_punct", "documents", "doc_id", lambda t: t.text, "text"),
-    ("t2_html_marker", "remove_html_marker", "pages", "page_id", lambda t: t.html, "html"),
+    # Full stops become ideographic ones and commas full-width ones; list items get the marker.
+    ("t1_cjk_punct", "replace_cjk_punct", "documents", "doc_id", lambda t: F.translate(t.text, ".,", "\u3002\uff0c"),
+     "translate(text, '.,', '\u3002\uff0c')"),
+    ("t2_html_marker", "remove_html_marker", "pages", "page_id",
+     lambda t: F.replace(t.html, F.lit("<p>"), F.lit("{html}<p>")), "replace(html, '<p>', '{html}<p>')"),
     ("t3_strip_tags", "strip_tags", "pages", "page_id", lambda t: t.html, "html"),
     ("t4_strip_urls", "strip_urls", "pages", "page_id",
      lambda t: F.concat_ws(" ", t.url, t.html), _PAGE_TEXT),
@@ -284,13 +271,13 @@ for _name, _step, _table, _id, _expr, _sqlexpr in [
     ("t6_strip_space", "strip_space", "conversations", "conv_id",
      lambda t: F.concat(t.text, F.lit(" \n")), "text || ' ' || chr(10)"),
 ]:
-    _clean_query(_name, _step, _sql_step(_step, _sqlexpr), _table, _id, _expr)
+    _clean_query(_name, _step, sql_step(_sqlexpr, _step), _table, _id, _expr)
 
 
-@register("t0_cast_text", f"SELECT review_id, CAST(star AS VARCHAR) AS star_text FROM {SQL_REVIEWS} r")
+@register("t0_cast_text", f"SELECT source, review_id, CAST(star AS VARCHAR) AS star_text FROM {SQL_REVIEWS} r")
 def t0_cast_text(spark, d):
     from reviewkit.functions.text import to_text
-    return reviews(spark, d).select("review_id", to_text(F.col("star")).alias("star_text"))
+    return reviews(spark, d).select("source", "review_id", to_text(F.col("star")).alias("star_text"))
 
 
 @register("t11_clean_full", f"""
@@ -304,59 +291,125 @@ def t11_clean_full(spark, d):
 
 
 @register("t11_tokenize", f"""
-SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
 FROM {sql_doc_tokens(None)} t
 """)
 def t11_tokenize(spark, d):
     """Clean + tokenize without stop words."""
     t = doc_tokens(spark, d, stop=None)
-    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+    return t.select(*KEY, F.size("tokens").alias("n_tokens"),
                     F.array_join("tokens", " ").alias("tokens_text"))
 
 
 @register("j3_stop_ci", f"""
-SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
 FROM {sql_doc_tokens('ci')} t
 """)
 def j3_stop_ci(spark, d):
     t = doc_tokens(spark, d, stop="ci")
-    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+    return t.select(*KEY, F.size("tokens").alias("n_tokens"),
                     F.array_join("tokens", " ").alias("tokens_text"))
 
 
 @register("j4_stop_exact", f"""
-SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
+SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text
 FROM {sql_doc_tokens('exact')} t
 """)
 def j4_stop_exact(spark, d):
     t = doc_tokens(spark, d, stop="exact")
-    return t.select("review_id", F.size("tokens").alias("n_tokens"),
+    return t.select(*KEY, F.size("tokens").alias("n_tokens"),
                     F.array_join("tokens", " ").alias("tokens_text"))
 
 
 @register("t12_token_count", f"""
-SELECT review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t
+SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t
 """)
 def t12_token_count(spark, d):
     from reviewkit.functions.text import token_count
-    return doc_tokens(spark, d).select("review_id", token_count(F.col("tokens")).alias("n_tokens"))
+    return doc_tokens(spark, d).select(*KEY, token_count(F.col("tokens")).alias("n_tokens"))
 
 
-@register("t13_tokens_json", f"SELECT review_id, to_json(tokens)::VARCHAR AS tokens_json FROM {sql_doc_tokens()} t")
+@register("t13_tokens_json", f"SELECT source, review_id, to_json(tokens)::VARCHAR AS tokens_json FROM {sql_doc_tokens()} t")
 def t13_tokens_json(spark, d):
     from reviewkit.functions.text import tokens_to_json
-    return doc_tokens(spark, d).select("review_id", tokens_to_json(F.col("tokens")).alias("tokens_json"))
+    return doc_tokens(spark, d).select(*KEY, tokens_to_json(F.col("tokens")).alias("tokens_json"))
 
 
-@register("s4_chunk_counts", f"""
-SELECT CAST(floor((row_number() OVER (ORDER BY review_id) - 1) / 100000) * 100000 AS BIGINT) AS chunk,
-       review_id FROM ({driver.SQL_REVIEWS_A}) a
-""")
+CHUNK = 100
+SQL_CHUNKS = f"""(SELECT *, CAST(floor((row_number() OVER (ORDER BY source, review_id) - 1) / {CHUNK}) * {CHUNK} AS BIGINT) AS chunk
+  FROM {SQL_CORPUS_TOKENS} t)"""
+
+
+@register("s4_chunk_counts", f"SELECT chunk, source, review_id FROM {SQL_CHUNKS} c")
 def s4_chunk_counts(spark, d):
-    """S4 chunk assignment: start row of the 100,000-row chunk each review goes to."""
+    """S4 chunk assignment: start row of the chunk (of 100 rows here) each review goes to."""
     from reviewkit.sources.chunks import assign_chunks
-    return assign_chunks(driver.reviews_a(spark, d).select("review_id"), "review_id") \
-        .select("chunk", "review_id")
+    return assign_chunks(reviews(spark, d).select(*KEY), KEY, CHUNK).select("chunk", *KEY)
+
+
+@register("s5_chunk_round_trip", f"""
+SELECT chunk, source, review_id, star, array_to_string(tokens, ' ') AS tokens_text FROM {SQL_CHUNKS} c
+""")
+def s5_chunk_round_trip(spark, d):
+    """S4 + S5: token chunks written as CSV in the shared folder and read back."""
+    from reviewkit.session import scratch_path
+    from reviewkit.sources.chunks import read_token_chunks, write_token_chunks
+    path = scratch_path(spark, "chunks")
+    write_token_chunks(doc_tokens(spark, d), path, KEY, chunk_rows=CHUNK)
+    back = read_token_chunks(spark, path, "source string, review_id long")
+    return back.select("chunk", *KEY, "star", F.array_join("tokens", " ").alias("tokens_text"))
+
+
+def _csv_comment(text, key):
+    """A comment with quotes, a line break, or a missing-value token, by key."""
+    return F.when(key % 10 == 3, F.lit("None")).when(key % 10 == 4, F.concat(F.lit('say "hi", '), text)) \
+        .when(key % 10 == 5, F.concat(F.lit("two\nlines,"), text)).otherwise(text)
+
+
+@register("s1_csv_round_trip", """
+WITH c AS (SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS star,
+  CASE doc_id % 10 WHEN 3 THEN NULL WHEN 4 THEN 'say "hi", ' || text WHEN 5 THEN 'two' || chr(10) || 'lines,' || text ELSE text END AS comment
+  FROM documents)
+SELECT review_id, star, comment, CAST(0 AS BIGINT) AS n_corrupt FROM c
+""")
+def s1_csv_round_trip(spark, d):
+    """A review dump written as CSV (quotes, line breaks, NA tokens) and scanned with the declared schema."""
+    from reviewkit.session import scratch_path
+    from reviewkit.sources.reviews_csv import SCHEMA_A, corrupt_records, read_reviews_csv
+    a = driver.reviews_a(spark, d)
+    given = {"ID": F.col("review_id"), "Star": F.col("star"), "Comment": _csv_comment(F.col("comment"), F.col("review_id")),
+             "Username": F.lit('a "b"')}
+    rows = a.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMA_A.fields])
+    path = scratch_path(spark, "dump")
+    rows.write.options(header=True, quote='"', escape='"', quoteAll=False).csv(path)
+    read = read_reviews_csv(spark, path, SCHEMA_A, keep_corrupt=True)
+    bad = corrupt_records(read).select(F.col("n_corrupt").alias("n_corrupt"))
+    return read.select(F.col("ID").alias("review_id"), F.col("Star").alias("star"), F.col("Comment").alias("comment")) \
+        .crossJoin(F.broadcast(bad))  # one row
+
+
+_KEPT = ("the", "of")
+
+
+@register("s3_stopword_files", f"""
+SELECT DISTINCT token AS word FROM (
+  SELECT unnest({sql_letter_tokens(sql_clean('text'))}) AS token FROM benchmark
+  UNION ALL SELECT lang FROM documents UNION ALL SELECT role FROM conversations) t
+WHERE token NOT IN {_KEPT!r}
+""")
+def s3_stopword_files(spark, d):
+    """S3 + K4: word files with blanks around the words, read, stripped, united, minus the words to keep."""
+    from reviewkit.operators.tokens import tokenize
+    from reviewkit.session import scratch_path
+    from reviewkit.sources.stopwords import read_stopword_files
+    words = tokenize(driver.reviews_b(spark, d)).select(F.explode("tokens").alias("w"))
+    lists = [words, driver.table(spark, d, "documents").select(F.col("lang").alias("w")),
+             driver.table(spark, d, "conversations").select(F.col("role").alias("w"))]
+    paths = []
+    for k, one in enumerate(lists):
+        paths.append(scratch_path(spark, f"stop-{k}"))
+        one.distinct().select(F.concat(F.lit(" \u3000"), "w", F.lit("\t"))).write.text(paths[-1])
+    return read_stopword_files(spark, paths, keep=_KEPT)
 
 
 # ---------------------------------------------------------------- labels T14-T16, T17
@@ -371,17 +424,26 @@ for _rule, _key in [("canonical", "t14_sentiment"), ("shifted", "t15_sentiment_s
     register(_key, f"SELECT source, review_id, star, {_ss('star', _rule)} AS label FROM {SQL_REVIEWS} r")(_q)
 
 
-SQL_PRED = ("(SELECT vec_id, [CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE), "
-            "CAST(embedding[3] AS DOUBLE)] AS scores, label % 3 AS label FROM embeddings)")
+def _sql_class_score(k: int) -> str:
+    parts = f"list_filter(embedding, lambda x, i: (i - 1) % 3 = {k})"
+    return f"list_sum(list_transform({parts}, lambda x: CAST(x AS DOUBLE))) / len({parts})"
+
+
+SQL_PRED = (f"(SELECT vec_id, [{', '.join(_sql_class_score(k) for k in range(3))}] AS scores, label % 3 AS label "
+            "FROM embeddings)")
 SQL_ARGMAX = "CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER)"
 
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:
-    """Deterministic class scores: first three embedding components; label % 3."""
+    """Deterministic class scores from all components: score k = mean of the components i with i % 3 = k; label % 3."""
     from reviewkit.operators.metrics import with_prediction
     e = driver.table(spark, d, "embeddings")
-    scores = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    return with_prediction(e.select("vec_id", scores.alias("scores"),
+
+    def mean(k: int):
+        parts = F.transform(F.filter("embedding", lambda x, i: i % 3 == k), lambda x: x.cast("double"))
+        return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.size(parts)
+
+    return with_prediction(e.select("vec_id", F.array(*[mean(k) for k in range(3)]).alias("scores"),
                                     (F.col("label") % 3).alias("label")))
 
 
@@ -428,6 +490,30 @@ def a7_vocab_size(spark, d):
     return vocabulary_size(build_vocabulary(word_counts(corpus_tokens(spark, d)), VOCAB_MIN_FREQ))
 
 
+@register("s6_vocabulary_round_trip", f"SELECT * FROM {sql_vocab(SQL_CORPUS_TOKENS, VOCAB_MIN_FREQ)} v")
+def s6_vocabulary_round_trip(spark, d):
+    """The vocabulary saved to the shared folder and loaded."""
+    from reviewkit.operators.vocab import build_vocabulary, load_vocabulary, save_vocabulary, word_counts
+    from reviewkit.session import scratch_path
+    path = scratch_path(spark, "vocabulary")
+    save_vocabulary(build_vocabulary(word_counts(corpus_tokens(spark, d)), VOCAB_MIN_FREQ), path, VOCAB_MIN_FREQ)
+    return load_vocabulary(spark, path)
+
+
+@register("s7_word_list_round_trip", f"""
+WITH t AS (SELECT unnest(tokens) AS token FROM {SQL_CORPUS_TOKENS} c),
+f AS (SELECT token, count(*) AS freq FROM t GROUP BY token HAVING count(*) >= 20)
+SELECT CAST(row_number() OVER (ORDER BY freq DESC, token) AS BIGINT) AS line, token FROM f
+""")
+def s7_word_list_round_trip(spark, d):
+    """The frequent words written one per line, most frequent first, and read back with their line numbers."""
+    from reviewkit.operators.vocab import high_frequency_words, read_word_list, word_counts, write_word_list
+    from reviewkit.session import scratch_path
+    path = scratch_path(spark, "words")
+    write_word_list(high_frequency_words(word_counts(corpus_tokens(spark, d)), 20), path)
+    return read_word_list(spark, path)
+
+
 # ---------------------------------------------------------------- encoding E1-E5, J2
 
 ENCODE_MIN_FREQ = 2   # notebook / first training script
@@ -435,12 +521,10 @@ ENCODE_LEN = 64       # training length
 SQL_DOC_TOK = sql_doc_tokens()
 
 
-def doc_vocab(spark, d, min_freq=ENCODE_MIN_FREQ, specials=("<unk>", "<pad>")):
-    """Vocabulary over the source-A tokens, materialized and size-checked for broadcast."""
-    from reviewkit.operators.joins import checked_broadcast
-    from reviewkit.operators.vocab import build_vocabulary, word_counts
-    v = build_vocabulary(word_counts(doc_tokens(spark, d)), min_freq, specials)
-    return checked_broadcast(v)
+def prepared(spark, d, specials=("<unk>", "<pad>")):
+    """Both sources: tokens stored once and the vocabulary over them (plans/corpus.py)."""
+    from reviewkit.plans.corpus import prepare
+    return prepare(reviews(spark, d), STOP, ENCODE_MIN_FREQ, specials)
 
 
 def sql_encoded(length: int, tokens_table: str = SQL_DOC_TOK, min_freq: int = ENCODE_MIN_FREQ,
@@ -450,67 +534,66 @@ def sql_encoded(length: int, tokens_table: str = SQL_DOC_TOK, min_freq: int = EN
     return f"""(
   WITH tok AS (SELECT * FROM {tokens_table} t0),
   vocab AS (SELECT * FROM {sql_vocab(tokens_table, min_freq)} v0),
-  ex AS (SELECT review_id, unnest(list_slice(tokens, 1, {w})) AS token,
+  ex AS (SELECT source, review_id, unnest(list_slice(tokens, 1, {w})) AS token,
                 generate_subscripts(list_slice(tokens, 1, {w}), 1) AS pos FROM tok),
-  ids AS (SELECT ex.review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
-          FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY ex.review_id)
-  SELECT tok.review_id, list_resize(coalesce(ids.ids, []::BIGINT[]), {w}, 1) AS input_ids
-  FROM tok LEFT JOIN ids ON tok.review_id = ids.review_id
+  ids AS (SELECT source, review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
+          FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY source, review_id)
+  SELECT source, review_id, list_resize(coalesce(ids.ids, []::BIGINT[]), {w}, 1) AS input_ids
+  FROM tok LEFT JOIN ids USING (source, review_id)
 )"""
 
 
 @register("j2_vocab_lookup", f"""
 WITH vocab AS (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ)} v0),
-ex AS (SELECT review_id, unnest(tokens) AS token FROM {SQL_DOC_TOK} t)
-SELECT review_id, CAST(count(*) AS BIGINT) AS n_tokens,
+ex AS (SELECT source, review_id, unnest(tokens) AS token FROM {SQL_DOC_TOK} t)
+SELECT source, review_id, CAST(count(*) AS BIGINT) AS n_tokens,
        CAST(count(*) FILTER (WHERE vocab.token_id IS NULL) AS BIGINT) AS n_unknown,
        CAST(sum(coalesce(vocab.token_id, 0)) AS BIGINT) AS id_sum
-FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY review_id
+FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY source, review_id
 """)
 def j2_vocab_lookup(spark, d):
     """J2 over every token: per review, tokens, unknown tokens and the sum of ids."""
     from reviewkit.operators.encode import lookup_ids
     from reviewkit.operators.tokens import explode_tokens
-    ex = explode_tokens(doc_tokens(spark, d), "review_id")
-    j = lookup_ids(ex, doc_vocab(spark, d))
-    return j.groupBy("review_id").agg(
+    c = prepared(spark, d)
+    j = lookup_ids(explode_tokens(c.tokens, KEY), c.vocabulary)
+    return j.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.count_if(F.col("token_id") == 0).cast("long").alias("n_unknown"),
         F.sum("token_id").cast("long").alias("id_sum"))
 
 
 @register("e1_encode", f"""
-SELECT review_id, array_to_string(input_ids, ',') AS input_ids FROM {sql_encoded(ENCODE_LEN)} e
+SELECT source, review_id, array_to_string(input_ids, ',') AS input_ids FROM {sql_encoded(ENCODE_LEN)} e
 """)
 def e1_encode(spark, d):
     from reviewkit.functions.arrays import ids_text
-    from reviewkit.operators.encode import encode
-    e = encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
-    return e.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"))
+    return prepared(spark, d).encoded(ENCODE_LEN).select(*KEY, ids_text(F.col("input_ids")).alias("input_ids"))
 
 
 @register("e2_pad_longest", f"""
-SELECT review_id, array_to_string(input_ids, ',') AS input_ids
+SELECT source, review_id, array_to_string(input_ids, ',') AS input_ids
 FROM {sql_encoded(ENCODE_LEN, width_expr=f"(SELECT least(max(len(tokens)), {ENCODE_LEN}) FROM {SQL_DOC_TOK} w)")} e
 """)
 def e2_pad_longest(spark, d):
     from reviewkit.functions.arrays import ids_text
     from reviewkit.operators.encode import encode_to_longest
-    e = encode_to_longest(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
-    return e.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"))
+    c = prepared(spark, d)
+    e = encode_to_longest(c.tokens, c.vocabulary, KEY, length=ENCODE_LEN)
+    return e.select(*KEY, ids_text(F.col("input_ids")).alias("input_ids"))
 
 
 @register("e3_mask", f"""
-SELECT review_id, array_to_string(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END), ',')
+SELECT source, review_id, array_to_string(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END), ',')
        AS attention_mask, CAST(list_sum(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END))
        AS INTEGER) AS n_valid
 FROM {sql_encoded(ENCODE_LEN)} e
 """)
 def e3_mask(spark, d):
     from reviewkit.functions.arrays import ids_text
-    from reviewkit.operators.encode import encode, with_mask
-    e = with_mask(encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN))
-    return e.select("review_id", ids_text(F.col("attention_mask")).alias("attention_mask"),
+    from reviewkit.operators.encode import with_mask
+    e = with_mask(prepared(spark, d).encoded(ENCODE_LEN))
+    return e.select(*KEY, ids_text(F.col("attention_mask")).alias("attention_mask"),
                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_valid"))
 
 
@@ -520,76 +603,90 @@ FRAMED_SPECIALS = ("<unk>", "<pad>", "<s>", "</s>")
 @register("e4_framed", f"""
 WITH tok AS (SELECT * FROM {SQL_DOC_TOK} t0),
 vocab AS (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ, FRAMED_SPECIALS)} v0),
-ex AS (SELECT review_id, unnest(list_slice(tokens, 1, {ENCODE_LEN - 2})) AS token,
+ex AS (SELECT source, review_id, unnest(list_slice(tokens, 1, {ENCODE_LEN - 2})) AS token,
               generate_subscripts(list_slice(tokens, 1, {ENCODE_LEN - 2}), 1) AS pos FROM tok),
-ids AS (SELECT ex.review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
-        FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY ex.review_id),
-fr AS (SELECT tok.review_id, tok.star,
+ids AS (SELECT source, review_id, list(coalesce(vocab.token_id, 0) ORDER BY pos) AS ids
+        FROM ex LEFT JOIN vocab ON ex.token = vocab.token GROUP BY source, review_id),
+fr AS (SELECT source, review_id, tok.star,
               list_resize(list_concat([2::BIGINT], coalesce(ids.ids, []::BIGINT[]), [3::BIGINT]), {ENCODE_LEN}, 1) AS x
-       FROM tok LEFT JOIN ids ON tok.review_id = ids.review_id)
-SELECT fr.review_id, d.text AS review_text, array_to_string(x, ',') AS input_ids,
+       FROM tok LEFT JOIN ids USING (source, review_id))
+SELECT source, review_id, r.comment AS review_text, array_to_string(x, ',') AS input_ids,
        array_to_string(list_transform(x, lambda v: CASE WHEN v = 1 THEN 0 ELSE 1 END), ',') AS attention_mask,
-       {__import__('reviewkit.functions.labels', fromlist=['x']).sql_sentiment('fr.star')} AS labels
-FROM fr JOIN documents d ON fr.review_id = d.doc_id
+       {sql_sentiment('fr.star')} AS labels
+FROM fr JOIN {SQL_REVIEWS} r USING (source, review_id)
 """)
 def e4_framed(spark, d):
     from reviewkit.functions.arrays import ids_text
     from reviewkit.functions.labels import sentiment
     from reviewkit.operators.encode import encode_framed
-    toks = doc_tokens(spark, d)
-    docs = driver.reviews_a(spark, d).select("review_id", "comment")
-    src = toks.join(docs, "review_id").withColumn("label", sentiment(F.col("star")))
-    e = encode_framed(src, doc_vocab(spark, d, specials=FRAMED_SPECIALS), "review_id", "comment",
-                      "label", length=ENCODE_LEN)
-    return e.select("review_id", "example.review_text",
+    c = prepared(spark, d, FRAMED_SPECIALS)
+    texts = reviews(spark, d).select(*KEY, "comment")
+    src = c.tokens.join(texts, list(KEY)).withColumn("label", sentiment(F.col("star")))
+    e = encode_framed(src, c.vocabulary, KEY, "comment", "label", length=ENCODE_LEN)
+    return e.select(*KEY, "example.review_text",
                     ids_text(F.col("example.input_ids")).alias("input_ids"),
                     ids_text(F.col("example.attention_mask")).alias("attention_mask"),
                     "example.labels")
 
 
 @register("e5_examples", f"""
-SELECT e.review_id, array_to_string(e.input_ids, ',') AS input_ids,
-       {__import__('reviewkit.functions.labels', fromlist=['x']).sql_sentiment('a.star')} AS label
-FROM {sql_encoded(ENCODE_LEN)} e JOIN ({driver.SQL_REVIEWS_A}) a ON e.review_id = a.review_id
+SELECT source, review_id, array_to_string(e.input_ids, ',') AS input_ids, {sql_sentiment('r.star')} AS label
+FROM {sql_encoded(ENCODE_LEN)} e JOIN {SQL_REVIEWS} r USING (source, review_id)
 """)
 def e5_examples(spark, d):
     from reviewkit.functions.arrays import ids_text
-    from reviewkit.operators.encode import assemble_examples, encode
-    toks = doc_tokens(spark, d)
-    enc = encode(toks, doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
-    ex = assemble_examples(enc, toks.select("review_id", "star"), "review_id")
-    return ex.select("review_id", ids_text(F.col("input_ids")).alias("input_ids"), "label")
+    ex = prepared(spark, d).examples(ENCODE_LEN)
+    return ex.select(*KEY, ids_text(F.col("input_ids")).alias("input_ids"), "label")
+
+
+SQL_WORKING = f"""(SELECT first.source AS source, first.review_id AS review_id, star, comment FROM (
+  SELECT comment, star, min({{'source': source, 'review_id': review_id}}) AS first
+  FROM {SQL_REVIEWS} r WHERE comment IS NOT NULL AND star IS NOT NULL GROUP BY comment, star) g)"""
+SQL_WORKING_TOKENS = f"(SELECT source, review_id, star, {sql_tokens('comment')} AS tokens FROM {SQL_WORKING} w)"
+
+
+@register("e5_corpus_examples", f"""
+SELECT source, review_id, array_to_string(e.input_ids, ',') AS input_ids, {sql_sentiment('r.star')} AS label
+FROM {sql_encoded(ENCODE_LEN, SQL_WORKING_TOKENS)} e JOIN {SQL_WORKING} r USING (source, review_id)
+""")
+def e5_corpus_examples(spark, d):
+    """The whole preparation: union, null drop, dedup, clean, tokens, vocabulary, encoding, labels."""
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.plans.corpus import prepare, working_reviews
+    ex = prepare(working_reviews(reviews(spark, d)), STOP, ENCODE_MIN_FREQ).examples(ENCODE_LEN)
+    return ex.select(*KEY, ids_text(F.col("input_ids")).alias("input_ids"), "label")
 
 
 @register("e10_mean_vectors", f"""
-WITH ex AS (SELECT review_id, unnest(input_ids) AS token_id FROM {sql_encoded(ENCODE_LEN)} e),
-j AS (SELECT ex.review_id, emb.embedding FROM ex
+WITH ex AS (SELECT source, review_id, unnest(input_ids) AS token_id FROM {sql_encoded(ENCODE_LEN)} e),
+j AS (SELECT ex.source, ex.review_id, emb.embedding FROM ex
       JOIN embeddings emb ON emb.vec_id = ex.token_id % (SELECT count(*) FROM embeddings)),
-dims AS (SELECT review_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM j)
-SELECT review_id, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE)) / count(*), 6) AS value
-FROM dims GROUP BY review_id, dim
+dims AS (SELECT source, review_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM j)
+SELECT source, review_id, CAST(dim AS INTEGER) AS dim, round(sum(CAST(v AS DOUBLE)) / count(*), 6) AS value
+FROM dims GROUP BY source, review_id, dim
 """)
 def e10_mean_vectors(spark, d):
     """Mean token vector per review over the 64 encoded positions, pads included.
 
     Token id t uses vector t % (number of vectors) of the embeddings table.
     """
-    from reviewkit.operators.encode import encode, mean_vectors
+    from reviewkit.operators.encode import mean_vectors
     from reviewkit.operators.joins import checked_broadcast
     emb = driver.table(spark, d, "embeddings")
     n_vec = emb.select(F.count(F.lit(1))).scalar()
     vec = checked_broadcast(emb.select(F.col("vec_id").alias("vec_key"), F.col("embedding").alias("vec")),
                             max_rows=500_000, materialized=True)
-    enc = encode(doc_tokens(spark, d), doc_vocab(spark, d), "review_id", length=ENCODE_LEN)
-    m = mean_vectors(enc, vec, "review_id", key=lambda t: t % n_vec)
-    return m.select("review_id", F.posexplode("mean_vec").alias("dim", "value")) \
-        .select("review_id", "dim", F.round("value", 6).alias("value"))
+    m = mean_vectors(prepared(spark, d).encoded(ENCODE_LEN), vec, KEY, vec_key=lambda t: t % n_vec)
+    return m.select(*KEY, F.posexplode("mean_vec").alias("dim", "value")) \
+        .select(*KEY, "dim", F.round("value", 6).alias("value"))
 
 
 # ---------------------------------------------------------------- sampling W4, K2, E6-E9
 
 SEED = 42
-SQL_HASH = "md5('{seed}:' || CAST({id} AS VARCHAR))"
+SQL_HASH = "md5('{seed}:' || {id})"
+SQL_KEY_TEXT = "source || ':' || CAST(review_id AS VARCHAR)"
+SQL_ORDER = f"{SQL_HASH.format(seed=SEED, id=SQL_KEY_TEXT)}, source, review_id"
 
 
 @register("w4_row_index", """
@@ -602,35 +699,33 @@ def w4_row_index(spark, d):
 
 
 @register("k2_shuffle", f"""
-SELECT doc_id AS review_id, CAST(row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id) - 1
-       AS BIGINT) AS position FROM documents
+SELECT source, review_id, CAST(row_number() OVER (ORDER BY {SQL_ORDER}) - 1 AS BIGINT) AS position FROM {SQL_REVIEWS} r
 """)
 def k2_shuffle(spark, d):
     from reviewkit.operators.sampling import shuffle_order
-    return shuffle_order(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED)
+    return shuffle_order(reviews(spark, d).select(*KEY), KEY, SEED)
 
 
 @register("e6_split", f"""
-SELECT doc_id AS review_id,
-       CASE WHEN row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id)
+SELECT source, review_id, CASE WHEN row_number() OVER (ORDER BY {SQL_ORDER})
                  <= floor(CAST(count(*) OVER () AS DOUBLE) * 0.9) THEN 'train' ELSE 'valid' END AS split
-FROM documents
+FROM {SQL_REVIEWS} r
 """)
 def e6_split(spark, d):
     """Exact 90/10 split (train = floor(n * 0.9))."""
     from reviewkit.operators.sampling import exact_split
-    return exact_split(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED, 0.9)
+    return exact_split(reviews(spark, d).select(*KEY), KEY, SEED, 0.9)
 
 
 @register("e7_approx_split", f"""
-SELECT doc_id AS review_id,
-       CASE WHEN CAST(('0x' || substr({SQL_HASH.format(seed=SEED, id='doc_id')}, 1, 8))::BIGINT AS DOUBLE)
+SELECT source, review_id,
+       CASE WHEN CAST(('0x' || substr({SQL_HASH.format(seed=SEED, id=SQL_KEY_TEXT)}, 1, 8))::BIGINT AS DOUBLE)
                  / 4294967296.0 < 0.9 THEN 'train' ELSE 'valid' END AS split
-FROM documents
+FROM {SQL_REVIEWS} r
 """)
 def e7_approx_split(spark, d):
     from reviewkit.operators.sampling import approx_split
-    return approx_split(driver.reviews_a(spark, d).select("review_id"), "review_id", SEED, 0.9)
+    return approx_split(reviews(spark, d).select(*KEY), KEY, SEED, 0.9)
 
 
 K_FOLDS, FOLD_I = 10, 0
@@ -651,15 +746,14 @@ BATCH = 128
 
 
 @register("e9_batches", f"""
-WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {SQL_HASH.format(seed=SEED, id='doc_id')}, doc_id) - 1 AS p
-           FROM documents)
-SELECT doc_id AS review_id, CAST(floor(p / {BATCH}) AS BIGINT) AS batch_id, CAST(p % {BATCH} AS BIGINT) AS batch_pos
+WITH r AS (SELECT source, review_id, row_number() OVER (ORDER BY {SQL_ORDER}) - 1 AS p FROM {SQL_REVIEWS} r0)
+SELECT source, review_id, CAST(floor(p / {BATCH}) AS BIGINT) AS batch_id, CAST(p % {BATCH} AS BIGINT) AS batch_pos
 FROM r
 """)
 def e9_batches(spark, d):
     """Shuffled mini-batches of 128 (the last one short)."""
     from reviewkit.operators.sampling import mini_batches
-    return mini_batches(driver.reviews_a(spark, d).select("review_id"), "review_id", BATCH, SEED)
+    return mini_batches(reviews(spark, d).select(*KEY), KEY, BATCH, SEED)
 
 
 # ---------------------------------------------------------------- lengths A8, A9
@@ -695,7 +789,7 @@ def a9_length_coverage(spark, d):
 # ---------------------------------------------------------------- accuracy, loss A10-A16
 
 SQL_PRED_B = f"""(SELECT vec_id, scores, label, {SQL_ARGMAX} AS pred,
-  CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / 32) AS BIGINT) AS batch_id FROM {SQL_PRED} p0)"""
+  CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / 4) AS BIGINT) AS batch_id FROM {SQL_PRED} p0)"""
 SQL_BATCH_ACC = f"""(SELECT batch_id, CAST(sum(CASE WHEN pred = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
   CAST(count(*) AS BIGINT) AS total, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
   FROM {SQL_PRED_B} pb GROUP BY batch_id)"""
@@ -703,7 +797,7 @@ SQL_BATCH_ACC = f"""(SELECT batch_id, CAST(sum(CASE WHEN pred = label THEN 1 ELS
 
 def batched_predictions(spark, d):
     from reviewkit.operators.sampling import mini_batches
-    return mini_batches(predictions(spark, d), "vec_id", 32)
+    return mini_batches(predictions(spark, d), "vec_id", 4)
 
 
 @register("a10_pooled_accuracy", f"""
@@ -826,211 +920,333 @@ def w3_every_20th(spark, d):
 
 
 # ---------------------------------------------------------------- segmentation T7-T10, J5
-# Driver texts hold no Han characters, so letter runs are the blocks segmented
-# against a dictionary of short frequent words (freq >= 16, <= 4 characters).
-
-SEG_BLOCK_RE = "\\p{L}+"
-SEG_OTHER_RE = "\\p{N}+"
-DICT_MIN_FREQ, DICT_MAX_LEN = 16, 4
+# Driver texts hold no Han characters. Frequent letters are mapped to Han ones (one translate on both sides), so
+# that words become runs of Han and Latin letters, segmented with the default patterns.
 
-
-def doc_dictionary(spark, d):
-    from reviewkit.operators.segment import dictionary_from_counts
-    from reviewkit.operators.vocab import word_counts
-    return dictionary_from_counts(word_counts(doc_tokens(spark, d, stop=None)), DICT_MIN_FREQ, DICT_MAX_LEN)
+HAN_FROM, HAN_TO = "etnhorsiad", "的一是不了在人有我他"
+SQL_HAN = r"[\x{4e00}-\x{9fd5}]+"
+SQL_OTHER = r"[\p{Latin}\p{N}]+"   # the driver's other letters are Latin
+DICT_MIN_FREQ = 16
 
 
 def cleaned_docs(spark, d):
+    """Documents with Han letters, cleaned."""
     from reviewkit.functions.text import clean_text
-    return driver.table(spark, d, "documents").select("doc_id", clean_text(F.col("text")).alias("text"))
+    text = F.translate("text", HAN_FROM, HAN_TO)
+    return driver.table(spark, d, "documents").select("doc_id", clean_text(text).alias("text"))
+
+
+def han_units(docs):
+    """Counts of the texts' units (Han blocks and other runs), stored: dictionary and segmentation read them."""
+    from reviewkit.operators.segment import unit_counts
+    return unit_counts(docs, "text")
 
 
-SQL_DICT = f"""(SELECT token AS word, CAST(count(*) AS BIGINT) AS weight
-  FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM documents) t
-  GROUP BY token HAVING count(*) >= {DICT_MIN_FREQ} AND length(token) <= {DICT_MAX_LEN})"""
-SQL_UNITS = f"""(SELECT unnest(regexp_extract_all({sql_clean('text')}, '{SEG_BLOCK_RE}|{SEG_OTHER_RE}')) AS u
-  FROM documents)"""
-SQL_BLOCKS = f"""(SELECT u AS block, count(*) AS n FROM {SQL_UNITS} uu
-  WHERE regexp_full_match(u, '{SEG_BLOCK_RE}') GROUP BY u)"""
+def block_dictionary(units):
+    """Dictionary of the frequent Han blocks, whatever their length."""
+    from reviewkit.operators.segment import HAN_RE, dictionary_from_counts
+    blocks = units.where(F.col("block").rlike(f"^{HAN_RE}$"))
+    return dictionary_from_counts(blocks.select(F.col("block").alias("token"), F.col("n").alias("freq")), DICT_MIN_FREQ)
 
 
-@register("t8_full_mode", f"""
-WITH dict AS (SELECT * FROM {SQL_DICT} d0),
+SQL_HAN_TEXT = sql_clean(f"translate(text, '{HAN_FROM}', '{HAN_TO}')")
+SQL_UNIT_COUNTS = f"""(SELECT u AS block, count(*) AS n, regexp_full_match(u, '{SQL_HAN}') AS han
+  FROM (SELECT unnest(regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}')) AS u FROM documents) uu GROUP BY u)"""
+SQL_DICT = f"(SELECT block AS word, CAST(n AS BIGINT) AS weight FROM units WHERE han AND n >= {DICT_MIN_FREQ})"
+SQL_SEG_BASE = f"""
+units AS MATERIALIZED (SELECT * FROM {SQL_UNIT_COUNTS} u0),
+dict AS MATERIALIZED (SELECT * FROM {SQL_DICT} d0),
 mx AS (SELECT max(length(word)) AS m FROM dict),
-blocks AS (SELECT * FROM {SQL_BLOCKS} b0),
+blocks AS (SELECT block, n FROM units WHERE han),
 pos AS (SELECT block, n, unnest(range(0, length(block))) AS i FROM blocks),
-cand AS (SELECT block, n, i, unnest(range(2, least((SELECT m FROM mx), length(block) - i) + 1)) AS l FROM pos),
-hits AS (SELECT cand.* FROM cand JOIN dict ON substring(cand.block, cand.i + 1, cand.l) = dict.word),
+cand AS (SELECT block, n, i, unnest(range(1, least((SELECT m FROM mx), length(block) - i) + 1)) AS l FROM pos),
+hits AS MATERIALIZED (SELECT block, n, i, l, word, weight FROM cand JOIN dict ON substring(cand.block, cand.i + 1, cand.l) = dict.word)"""
+# Pieces (block, n, piece) of the modes.
+SQL_FULL = """
 per AS (SELECT p.block, p.n, p.i, max(h.l) AS maxl FROM pos p
-        LEFT JOIN hits h ON p.block = h.block AND p.i = h.i GROUP BY p.block, p.n, p.i),
+        LEFT JOIN hits h ON p.block = h.block AND p.i = h.i AND h.l >= 2 GROUP BY p.block, p.n, p.i),
 w AS (SELECT *, coalesce(last_value(CASE WHEN maxl IS NOT NULL THEN i + maxl - 1 END IGNORE NULLS)
         OVER (PARTITION BY block ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS old FROM per),
-pieces AS (SELECT block, n, i, l FROM hits UNION ALL SELECT block, n, i, 1 AS l FROM w WHERE maxl IS NULL AND i > old),
-others AS (SELECT u AS piece, count(*) AS n FROM {SQL_UNITS} uu WHERE NOT regexp_full_match(u, '{SEG_BLOCK_RE}') GROUP BY u)
+pieces AS (SELECT block, n, substring(block, i + 1, l) AS piece FROM hits WHERE l >= 2
+           UNION ALL SELECT block, n, substring(block, i + 1, 1) FROM w WHERE maxl IS NULL AND i > old)"""
+# Best path from the last character to the first: each step adds one position's best (log probability, end); of equal
+# ones the later end. ``p`` and ``e`` hold the positions done so far, the latest first.
+SQL_EXACT = """
+total AS (SELECT ln(CAST(sum(weight) AS DOUBLE)) AS t FROM dict),
+options AS MATERIALIZED (SELECT block, i, list({'l': l, 'w': ln(CAST(weight AS DOUBLE)) - (SELECT t FROM total)} ORDER BY l) AS o
+            FROM hits GROUP BY block, i),
+walk(block, n, i, p, e) AS (
+  SELECT block, n, length(block), [0.0::DOUBLE], []::BIGINT[] FROM blocks
+  UNION ALL
+  SELECT block, n, i - 1, list_prepend(best.p, p), list_prepend(best.l, e) FROM (
+    SELECT s.block, s.n, s.i, s.p, s.e, list_max(list_transform(
+             coalesce(o.o, [{'l': 1::BIGINT, 'w': 0.0::DOUBLE - (SELECT t FROM total)}]),
+             lambda x: {'p': x.w + s.p[x.l], 'l': x.l})) AS best
+    FROM walk s LEFT JOIN options o ON o.block = s.block AND o.i = s.i - 1 WHERE s.i > 0) step),
+paths AS (SELECT block, n, e FROM walk WHERE i = 0),
+cut(block, n, e, i) AS (
+  SELECT block, n, e, 0::BIGINT FROM paths UNION ALL SELECT block, n, e, i + e[i + 1] FROM cut WHERE i + e[i + 1] < length(block)),
+exact AS MATERIALIZED (SELECT block, n, i, substring(block, i + 1, e[i + 1]) AS piece FROM cut)"""
+
+
+def _sql_words(parts: str, pieces: str) -> str:
+    return f"""
+WITH RECURSIVE {SQL_SEG_BASE},{parts}
 SELECT piece, CAST(sum(n) AS BIGINT) AS freq FROM (
-  SELECT substring(block, i + 1, l) AS piece, n FROM pieces UNION ALL SELECT piece, n FROM others) x
-GROUP BY piece
-""")
+  SELECT piece, n FROM {pieces} UNION ALL SELECT block, n FROM units WHERE NOT han) x GROUP BY piece"""
+
+
+SQL_SEARCH = SQL_EXACT + """,
+grams AS (SELECT block, n, piece, g, unnest(range(0, length(piece) - g + 1)) AS off
+          FROM exact, (VALUES (2), (3)) v(g) WHERE length(piece) > g),
+searched AS (SELECT n, piece FROM exact
+             UNION ALL SELECT n, substring(piece, off + 1, g) FROM grams JOIN dict ON substring(piece, off + 1, g) = word)"""
+
+
+def _segmented(spark, d, mode):
+    from reviewkit.operators.segment import pieces_of_units
+    units = han_units(cleaned_docs(spark, d))
+    return pieces_of_units(units, block_dictionary(units), mode)
+
+
+@register("t8_full_mode", _sql_words(SQL_FULL, "pieces"))
 def t8_full_mode(spark, d):
-    """Full-mode segmentation of the cleaned corpus, then word counts."""
-    from reviewkit.operators.segment import segment_counts
-    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "full",
-                          SEG_BLOCK_RE, SEG_OTHER_RE)
+    """Full-mode segmentation of the mixed-script corpus, then word counts."""
+    return _segmented(spark, d, "full")
+
+
+@register("t7_exact_mode", _sql_words(SQL_EXACT, "exact"))
+def t7_exact_mode(spark, d):
+    """Exact-mode (best path) segmentation of the corpus, word counts."""
+    return _segmented(spark, d, "exact")
+
+
+@register("t9_search_mode", _sql_words(SQL_SEARCH, "searched"))
+def t9_search_mode(spark, d):
+    """Search-mode segmentation of the corpus, word counts."""
+    return _segmented(spark, d, "search")
+
+
+@register("t7_exact_rows", f"""
+WITH RECURSIVE {SQL_SEG_BASE},{SQL_EXACT},
+parts AS (SELECT block, list(piece ORDER BY i) AS pieces FROM exact GROUP BY block),
+rows AS (SELECT doc_id, regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}') AS us FROM documents),
+long AS (SELECT doc_id, unnest(us) AS u, generate_subscripts(us, 1) AS k FROM rows),
+text AS (SELECT doc_id, string_agg(coalesce(array_to_string(pieces, ' '), u), ' ' ORDER BY k) AS t,
+                sum(coalesce(len(pieces), 1)) AS c FROM long LEFT JOIN parts ON u = block GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(c, 0) AS INTEGER) AS n_tokens, coalesce(t, '') AS tokens_text FROM rows LEFT JOIN text USING (doc_id)
+""")
+def t7_exact_rows(spark, d):
+    """T7 per review: token arrays in text order."""
+    from reviewkit.operators.segment import segment_rows
+    docs = cleaned_docs(spark, d)
+    seg = segment_rows(docs, "doc_id", "text", block_dictionary(han_units(docs)), "exact")
+    return seg.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens_text"))
 
 
 @register("j5_dictionary_hits", f"""
-WITH dict AS (SELECT * FROM {SQL_DICT} d0),
-mx AS (SELECT max(length(word)) AS m FROM dict),
-blocks AS (SELECT * FROM {SQL_BLOCKS} b0),
-pos AS (SELECT block, n, unnest(range(0, length(block))) AS i FROM blocks),
-cand AS (SELECT block, n, i, unnest(range(1, least((SELECT m FROM mx), length(block) - i) + 1)) AS l FROM pos)
-SELECT dict.word, CAST(sum(cand.n) AS BIGINT) AS occurrences
-FROM cand JOIN dict ON substring(cand.block, cand.i + 1, cand.l) = dict.word GROUP BY dict.word
+WITH {SQL_SEG_BASE} SELECT word, CAST(sum(n) AS BIGINT) AS occurrences FROM hits GROUP BY word
 """)
 def j5_dictionary_hits(spark, d):
     """Occurrences of each dictionary word as a substring of corpus blocks."""
-    from reviewkit.operators.segment import block_counts, dictionary_hits, split_units
-    units = cleaned_docs(spark, d).select(split_units(F.col("text"), SEG_BLOCK_RE, SEG_OTHER_RE).alias("u"))
-    blocks = block_counts(units, "u").filter(F.col("block").rlike(f"^(?:{SEG_BLOCK_RE})$"))
-    hits = dictionary_hits(blocks, doc_dictionary(spark, d), 1)
+    from reviewkit.operators.segment import HAN_RE, dictionary_hits
+    units = han_units(cleaned_docs(spark, d))
+    hits = dictionary_hits(units.where(F.col("block").rlike(f"^{HAN_RE}$")), block_dictionary(units), 1)
     return hits.groupBy(F.substring("block", F.col("i") + 1, F.col("l")).alias("word")) \
         .agg(F.sum("n").cast("long").alias("occurrences"))
 
 
 @register("t10_dictionary", f"""
-WITH base AS (SELECT * FROM {SQL_DICT} d0),
+WITH base AS (SELECT token AS word, CAST(count(*) AS BIGINT) AS weight
+  FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM documents) t GROUP BY token HAVING count(*) >= {DICT_MIN_FREQ}),
 usr AS (SELECT token AS word, CAST(count(*) AS BIGINT) AS weight
-        FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM benchmark) t
-        GROUP BY token HAVING length(token) <= {DICT_MAX_LEN}),
+        FROM (SELECT unnest({sql_tokens('text', 'full', None)}) AS token FROM benchmark) t GROUP BY token),
 u AS (SELECT word, weight, 0 AS ld FROM base UNION ALL SELECT word, weight, 1 AS ld FROM usr)
 SELECT word, CAST(arg_max(weight, ld) AS BIGINT) AS weight FROM u
 WHERE NOT list_contains({SQL_STOP}, word) GROUP BY word
 """)
 def t10_dictionary(spark, d):
     """Base dictionary, then a user dictionary load (later wins), then deletions."""
-    from reviewkit.operators.segment import delete_words, load_user_dictionary
+    from reviewkit.operators.segment import delete_words, dictionary_from_counts, load_user_dictionary
     from reviewkit.operators.tokens import tokenize
     from reviewkit.operators.vocab import word_counts
     from reviewkit.sources.stopwords import stopword_table
-    bench = driver.table(spark, d, "benchmark").select(F.col("text").alias("comment"))
-    usr = word_counts(tokenize(bench)).filter(F.length("token") <= DICT_MAX_LEN) \
-        .select(F.col("token").alias("word"), F.col("freq").alias("weight"))
-    merged = load_user_dictionary(doc_dictionary(spark, d), usr)
-    return delete_words(merged, stopword_table(spark, STOP))
+    base = dictionary_from_counts(word_counts(tokenize(driver.reviews_a(spark, d))), DICT_MIN_FREQ)
+    usr = word_counts(tokenize(driver.reviews_b(spark, d))).select(F.col("token").alias("word"), F.col("freq").alias("weight"))
+    return delete_words(load_user_dictionary(base, usr), stopword_table(spark, STOP))
 
 
-@register("t7_exact_mode")
-def t7_exact_mode(spark, d):
-    """T7 (rows check): exact-mode (best path) segmentation of the corpus, word counts."""
-    from reviewkit.operators.segment import segment_counts
-    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "exact",
-                          SEG_BLOCK_RE, SEG_OTHER_RE)
+# ---------------------------------------------------------------- flagship A5
+# Stop words of the mapped corpus, as the two lists of the job: one compared with the lower-cased word, one exactly.
 
+def mapped(words):
+    return [w.translate(str.maketrans(HAN_FROM, HAN_TO)) for w in words]
 
-@register("t9_search_mode")
-def t9_search_mode(spark, d):
-    """T9 (rows check): search-mode segmentation of the corpus, word counts."""
-    from reviewkit.operators.segment import segment_counts
-    return segment_counts(cleaned_docs(spark, d), "text", doc_dictionary(spark, d), "search",
-                          SEG_BLOCK_RE, SEG_OTHER_RE)
 
+STOP_CI, STOP_EXACT = mapped(STOP[:60]) + ["The", "NBA"], mapped(STOP[60:])
 
-@register("t7_exact_rows")
-def t7_exact_rows(spark, d):
-    """T7 per review: token arrays in text order (rows check)."""
-    from reviewkit.operators.segment import segment_rows
-    seg = segment_rows(cleaned_docs(spark, d), "doc_id", "text", doc_dictionary(spark, d), "exact",
-                       SEG_BLOCK_RE, SEG_OTHER_RE)
-    return seg.select("doc_id", F.size("tokens").alias("n_tokens"))
 
+def _sql_flagship(min_count: int) -> str:
+    return f"""
+WITH RECURSIVE {SQL_SEG_BASE},{SQL_FULL},
+words AS (SELECT piece, CAST(sum(n) AS BIGINT) AS freq FROM (
+  SELECT piece, n FROM pieces UNION ALL SELECT block, n FROM units WHERE NOT han) x GROUP BY piece)
+SELECT piece AS token, freq FROM words WHERE NOT list_contains({sql_list(STOP_CI)}, lower(piece))
+  AND NOT list_contains({sql_list(STOP_EXACT)}, piece) AND freq >= {min_count}"""
 
-@register("u1_python_tokenizer")
-def u1_python_tokenizer(spark, d):
-    """U1 (rows check): a user ``str -> list[str]`` tokenizer through an Arrow UDF."""
-    from reviewkit.operators.tokens import python_tokenizer
-    tok = python_tokenizer(str.split)
-    docs = driver.table(spark, d, "documents")
-    return docs.select("doc_id", F.size(tok(F.col("text"))).alias("n_tokens"))
 
+def _flagship(spark, d, min_count):
+    from reviewkit.plans.high_frequency import high_frequency_job
+    docs = driver.table(spark, d, "documents").select("doc_id", F.translate("text", HAN_FROM, HAN_TO).alias("comment"))
+    dictionary = block_dictionary(han_units(cleaned_docs(spark, d)))
+    return high_frequency_job(docs, dictionary, STOP_CI, STOP_EXACT, min_count)
 
-# ---------------------------------------------------------------- classifier M1-M4, S8, X1
-# Labels: labels.quality joined to documents; split 90/10 by E6 (seed 42).
 
-MODEL_MIN_FREQ = 8  # vocabulary threshold of the full-data training script
+@register("a5_high_frequency_words", _sql_flagship(1000))
+def a5_high_frequency_words(spark, d):
+    """Clean, segment in full mode, drop both stop lists, count, keep words seen 1,000 times."""
+    return _flagship(spark, d, 1000)
+
 
+@register("a5_frequent_words", _sql_flagship(20))
+def a5_frequent_words(spark, d):
+    """The same job at a threshold of 20."""
+    return _flagship(spark, d, 20)
+
+
+@register("u1_python_tokenizer", f"""
+SELECT doc_id, CAST(len(regexp_extract_all(text, '{NON_SPACE_RE}+')) AS INTEGER) AS n_tokens FROM documents
+""")
+def u1_python_tokenizer(spark, d):
+    """A caller's tokenizer as a column expression (runs without white space)."""
+    from reviewkit.operators.tokens import tokenize
+    docs = driver.reviews_a(spark, d)
+    t = tokenize(docs, profile="none", tokenizer=lambda c: F.regexp_extract_all(c, F.lit(f"{NON_SPACE_RE}+"), 0))
+    return t.select(F.col("review_id").alias("doc_id"), F.size("tokens").alias("n_tokens"))
+
+
+# ---------------------------------------------------------------- classifier M1-M4, S8, X1
+# Labels: labels.quality joined to documents; split 90/10 by E6 (seed 42) over the labelled ids.
 
 def labelled_split(spark, d):
+    """The split is marked on the ids alone; the text is joined once."""
     from reviewkit.operators.sampling import exact_split
-    docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
     lab = driver.table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
-    return exact_split(docs.join(lab, "doc_id"), "doc_id", SEED, 0.9)
+    docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
+    return exact_split(lab, "doc_id", SEED, 0.9).join(docs, "doc_id")
 
 
-def model_vocab_tokens(spark, d):
-    from reviewkit.operators.vocab import build_vocabulary, word_counts
-    from reviewkit.plans.model import vocabulary_tokens
-    return vocabulary_tokens(build_vocabulary(word_counts(doc_tokens(spark, d)), MODEL_MIN_FREQ))
+SQL_LABELLED_SPLIT = f"""(SELECT d.doc_id, d.text, l.quality AS label, CASE WHEN row_number() OVER (
+    ORDER BY {SQL_HASH.format(seed=SEED, id='l.doc_id')}, CAST(l.doc_id AS VARCHAR)) <= floor(CAST(count(*) OVER () AS DOUBLE) * 0.9)
+    THEN 'train' ELSE 'valid' END AS split FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
+_MODELS: dict[tuple[str, str], str] = {}
 
 
-def fitted_model(spark, d):
-    from reviewkit.plans.model import train
-    data = labelled_split(spark, d)
-    return train(data.filter(F.col("split") == "train"), model_vocab_tokens(spark, d), STOP), data
+def saved_model(spark, d):
+    """The fitted model, trained once for an application and table folder, saved in the shared folder and loaded."""
+    from reviewkit.plans.model import load_model, save_model, train
+    from reviewkit.session import scratch_path
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        path = scratch_path(spark, "model")
+        save_model(train(labelled_split(spark, d).where("split = 'train'"), STOP), path)
+        _MODELS[key] = path
+    return load_model(_MODELS[key])
 
 
 @register("m1_train")
 def m1_train(spark, d):
-    """M1: fit clean -> tokens -> counts -> multinomial LR; one row per class."""
-    model, _ = fitted_model(spark, d)
-    lr = model.stages[-1]
+    """M1: fit clean -> tokens -> hashed counts -> multinomial LR; one row per class."""
+    from reviewkit.plans.model import train
+    lr = train(labelled_split(spark, d).where("split = 'train'"), STOP).stages[-1]
     coef = lr.coefficientMatrix.toArray()
     rows = [(k, float(lr.interceptVector[k]), int((coef[k] != 0).sum())) for k in range(coef.shape[0])]
     return spark.createDataFrame(rows, "class int, intercept double, nonzero_weights int")
 
 
+@register("m1_features", f"""
+SELECT doc_id, split, label, CAST(len(tokens) AS BIGINT) AS n_terms
+FROM (SELECT doc_id, split, label, {sql_tokens('text')} AS tokens FROM {SQL_LABELLED_SPLIT} s) t
+""")
+def m1_features(spark, d):
+    """M1's input: the split, and the number of terms in each labelled document's feature vector."""
+    from pyspark.ml.functions import vector_to_array
+    from reviewkit.plans.model import feature_vectors
+    v = feature_vectors(labelled_split(spark, d), STOP, ("doc_id", "split", "label"), num_features=1024)
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return v.select("doc_id", "split", "label", total.cast("long").alias("n_terms"))
+
+
+def _score_checks(scored, keys):
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    best = (F.array_position("scores", F.array_max("scores")) - 1).cast("int")
+    return scored.select(*keys, F.size("scores").alias("n_scores"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+                         (best == F.col("prediction")).alias("is_argmax"))
+
+
 @register("m2_score")
 def m2_score(spark, d):
-    """M2: score every document with the fitted pipeline."""
+    """M2: score every document with the saved pipeline."""
     from reviewkit.plans.model import score
-    model, _ = fitted_model(spark, d)
     docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
-    return score(model, docs, keep=("doc_id",))
+    return score(saved_model(spark, d), docs, keep=("doc_id",))
+
+
+@register("m2_score_checks", """
+SELECT doc_id, CAST(2 AS INTEGER) AS n_scores, true AS sums_to_one, true AS is_argmax FROM documents
+""")
+def m2_score_checks(spark, d):
+    """M2's exact part: every document is scored, its two probabilities sum to 1, the prediction is their argmax."""
+    return _score_checks(m2_score(spark, d), ["doc_id"])
 
 
 @register("m3_evaluate")
 def m3_evaluate(spark, d):
-    """M3: held-out metrics plus the per-class report of the validation rows."""
-    from reviewkit.operators.metrics import class_report
-    from reviewkit.plans.model import score
-    model, data = fitted_model(spark, d)
-    valid = data.filter(F.col("split") == "valid")
-    pred = score(model, valid, keep=("label",)).withColumnRenamed("prediction", "pred")
-    return class_report(pred, "label", "pred")
+    """M3: accuracy, loss and the class report of the validation rows."""
+    from reviewkit.plans.model import evaluate
+    return evaluate(saved_model(spark, d), labelled_split(spark, d).where("split = 'valid'"))
 
 
-@register("m4_select")
+@register("m3_support", f"""
+SELECT CAST(label AS INTEGER) AS class, CAST(count(*) AS BIGINT) AS support,
+       CAST(sum(count(*)) OVER () AS BIGINT) AS n_rows FROM {SQL_LABELLED_SPLIT} s WHERE split = 'valid' GROUP BY label
+""")
+def m3_support(spark, d):
+    """M3's exact part: held-out rows in all and of each class."""
+    return m3_evaluate(spark, d).where("support > 0").select("class", "support", "n_rows")
+
+
+@register("m4_select", """
+SELECT CAST(3 AS BIGINT) AS candidates, CAST(1 AS BIGINT) AS best, true AS best_is_highest FROM (SELECT count(*) FROM labels)
+""")
 def m4_select(spark, d):
-    """M4: regParam chosen by validation accuracy; table of candidates."""
+    """M4: regParam chosen by validation accuracy: one of the candidates is the best, and none is above it."""
     from reviewkit.plans.model import select_model
-    data = labelled_split(spark, d).filter(F.col("split") == "train")
-    _, table = select_model(data, model_vocab_tokens(spark, d), STOP)
-    return table
+    _, table = select_model(labelled_split(spark, d).where("split = 'train'"), STOP, num_features=1 << 14, max_iter=20)
+    return table.agg(F.count(F.lit(1)).alias("candidates"), F.count_if("is_best").cast("long").alias("best"),
+                     (F.max(F.when(F.col("is_best"), F.col("accuracy"))) == F.max("accuracy")).alias("best_is_highest"))
 
 
-@register("x1_stream_score")
+@register("x1_stream_score", """
+SELECT conv_id, turn, CAST(2 AS INTEGER) AS n_scores, true AS sums_to_one, true AS is_argmax, true AS equals_batch FROM conversations
+""")
 def x1_stream_score(spark, d):
-    """Conversation turns arrive as parquet files and are scored by a stream."""
+    """Conversation turns arrive as parquet files and are scored by a stream; compared with M2 in batch."""
     import os
 
+    from reviewkit.plans.model import score
     from reviewkit.session import scratch_path
     from reviewkit.streaming.score import read_sink, run_to_end, score_stream
-    model, _ = fitted_model(spark, d)
+    model = saved_model(spark, d)
     base = scratch_path(spark, "x1")
     src = os.path.join(base, "in")
     conv = driver.table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("comment"))
-    conv.repartition(8).write.parquet(src)
+    conv.write.parquet(src)
     q = score_stream(spark, model, src, "conv_id long, turn long, comment string",
-                     os.path.join(base, "out"), os.path.join(base, "ckpt"), keep=("conv_id", "turn"),
-                     max_files_per_trigger=2)
+                     os.path.join(base, "out"), os.path.join(base, "ckpt"), keep=("conv_id", "turn"))
     run_to_end(q)
-    return read_sink(spark, os.path.join(base, "out"))
+    streamed = read_sink(spark, os.path.join(base, "out"))
+    batch = score(model, conv, keep=("conv_id", "turn")).select(
+        "conv_id", "turn", F.col("scores").alias("b"), F.col("prediction").alias("bp"))
+    same = F.coalesce((F.col("b") == F.col("scores")) & (F.col("bp") == F.col("prediction")), F.lit(False))
+    return _score_checks(streamed.join(batch, ["conv_id", "turn"], "full_outer"), ["conv_id", "turn", same.alias("equals_batch")])

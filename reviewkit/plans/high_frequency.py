@@ -1,12 +1,11 @@
 """High-frequency word job (flagship).
 
-reviews -> clean (full profile) -> letter-run tokens -> case-insensitive stop
-filter -> word count -> keep freq >= 1000 -> most frequent first.
+reviews -> clean (full profile) -> full-mode dictionary segmentation -> case-insensitive
+stop list -> exact stop list -> word count -> keep freq >= ``min_count``, most frequent first.
 
-Plan shape: one parquet scan reading only ``text`` (and the id for the review
-stand-in), a narrow stage that cleans, tokenizes, filters and explodes, a partial
-count per task, one shuffle on the token and the final count. The only ordering
-is on the thresholded list.
+Segmentation works once per distinct block and already yields (word, count); the stop lists
+are then applied to the counted words, which gives the same counts as filtering every
+occurrence and touches each distinct word once.
 """
 
 from __future__ import annotations
@@ -14,15 +13,19 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-
-from reviewkit.operators.tokens import tokenize
-from reviewkit.operators.vocab import HIGH_FREQUENCY_MIN, high_frequency_words, word_counts
-
-
-def high_frequency_job(reviews: DataFrame, stopwords: Iterable[str],
-                       exact_stopwords: Iterable[str] | None = None,
-                       min_count: int = HIGH_FREQUENCY_MIN,
-                       text_col: str = "comment") -> DataFrame:
-    tokens = tokenize(reviews.select(text_col), text_col=text_col, profile="full",
-                      stopwords=stopwords, exact_stopwords=exact_stopwords)
-    return high_frequency_words(word_counts(tokens, "tokens"), min_count)
+from pyspark.sql import functions as F
+
+from reviewkit.functions.text import clean_text
+from reviewkit.operators.segment import HAN_RE, OTHER_RE, segment_counts
+from reviewkit.operators.tokens import not_stopped
+from reviewkit.operators.vocab import HIGH_FREQUENCY_MIN, high_frequency_words
+
+
+def high_frequency_job(reviews: DataFrame, dictionary: DataFrame, stopwords: Iterable[str],
+                       exact_stopwords: Iterable[str] = (), min_count: int = HIGH_FREQUENCY_MIN,
+                       text_col: str = "comment", block_re: str = HAN_RE, other_re: str = OTHER_RE) -> DataFrame:
+    """(token, freq), most frequent first."""
+    cleaned = reviews.select(clean_text(F.col(text_col), "full").alias("text"))
+    words = segment_counts(cleaned, "text", dictionary, "full", block_re, other_re)
+    kept = words.where(not_stopped(F.col("piece"), stopwords, False) & not_stopped(F.col("piece"), exact_stopwords, True))
+    return high_frequency_words(kept.select(F.col("piece").alias("token"), "freq"), min_count)

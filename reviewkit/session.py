@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -51,9 +52,9 @@ def get_session(
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset (local
-    runs and tests) a fresh local folder is created and registered, so that
-    ``DataFrame.checkpoint()`` works there too.
+    Uses the session's ``spark.checkpoint.dir``. When it is unset, a run on one
+    machine (master ``local`` or ``local[...]``) gets a fresh local folder; on a
+    cluster there is no folder that all executors share, so this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +62,8 @@ def work_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="reviewkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

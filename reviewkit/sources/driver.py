@@ -25,33 +25,29 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 REVIEW_COLUMNS = ("review_id", "source", "comment", "star")
 
 
-# Text tables and their keys. Their per-row work (regex cleaning, tokenizing,
-# segmentation) is CPU-heavy, so a scan with fewer splits than cores is spread
-# before that work; see :func:`spread`.
-TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
-                   "benchmark": "item_id"}
+# Row keys of the text tables, for a caller that wants to spread an under-split scan.
+TEXT_TABLE_KEYS = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn"),
+                   "benchmark": ("item_id",)}
+
+# Session setting that asks :func:`table` for :func:`spread` (number of partitions); off when unset.
+SPREAD_CONF = "reviewkit.spread"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. No shuffle is added unless the session sets ``reviewkit.spread``."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    key = TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    parts = int(spark.conf.get(SPREAD_CONF, "0"))
+    return spread(df, parts, TEXT_TABLE_KEYS[name]) if parts and name in TEXT_TABLE_KEYS else df
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition an under-split scan to the default parallelism.
+def spread(df: DataFrame, parts: int, key: tuple[str, ...]) -> DataFrame:
+    """Hash-repartition a scan on its full row key to ``parts`` partitions.
 
-    A parquet file with one row group is read by one task, and every narrow
-    operator after it (cleaning, tokenizing, partial counts) then runs on one
-    core. When the scan already has at least as many splits as there are cores
-    (many files / row groups, the normal case at scale) nothing is added, so no
-    text is shuffled. Hashing on the row key is deterministic on retry;
-    Catalyst still pushes projections and filters below the exchange.
+    For a table that is one parquet row group, which one task reads: cleaning and
+    tokenizing then run on one core. It shuffles the texts, so it is a caller's choice
+    (bench and tests on one machine ask for it), never a default.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(parts, *key)
 
 
 def synthetic_star(id_col) -> "F.Column":

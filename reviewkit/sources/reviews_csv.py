@@ -40,28 +40,42 @@ SCHEMA_B = StructType([
 ])
 
 
+#: Column that holds a record the parser could not read (null for good records).
+CORRUPT = "_corrupt_record"
+
+
 def read_reviews_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
-                     pandas_na: bool = True) -> DataFrame:
+                     pandas_na: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """Scan review CSV files with a declared schema.
 
     ``pandas_na=True`` turns the NA tokens above into nulls in string columns,
     as the reference's reader does (a comment that is literally "None" then
-    disappears at the null drop).
+    disappears at the null drop). A record with too many, too few or unreadable fields
+    keeps what could be read; with ``keep_corrupt`` its text stands in
+    ``_corrupt_record``, so :func:`corrupt_records` can count what a null drop loses.
     """
-    df = (spark.read.schema(schema)
-          .options(header=True, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
+    full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    df = (spark.read.schema(full if keep_corrupt else schema)
+          .options(columnNameOfCorruptRecord=CORRUPT, header=True, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
           .csv(paths if isinstance(paths, str) else list(paths)))
     if not pandas_na:
         return df
     out = []
-    for f in schema.fields:
+    for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, StringType):
+        if isinstance(f.dataType, StringType) and f.name != CORRUPT:
             c = F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 
 
+def corrupt_records(df: DataFrame) -> DataFrame:
+    """Rows and unreadable records of a scan with ``keep_corrupt`` (one row)."""
+    # The scan refuses to read the corrupt record alone, so the count takes in the parsed columns.
+    whole = F.hash(*[c for c in df.columns if c != CORRUPT])
+    return df.agg(F.count(whole).alias("n_rows"), F.count(F.when(F.col(CORRUPT).isNotNull(), whole)).alias("n_corrupt"))
+
+
 def to_parquet(df: DataFrame, path: str) -> None:
     """Store a parsed dump as parquet (splittable, columnar, pruned reads)."""
     df.write.mode("overwrite").parquet(path)
@@ -76,15 +90,16 @@ def working_table(sources: dict[str, DataFrame], id_col: str = "ID", exclude_sta
                   dedup: bool = False) -> DataFrame:
     """P1 + K3 + P4 + P5 (+ A2): (source, review_id, comment, star) from several dumps.
 
-    Sources are unioned in the given order; ``source`` and ``review_id`` carry
-    that order. ``dedup`` keeps the first row of every (comment, star) pair.
+    Sources are unioned in the given order, which an ordinal carries (their names do
+    not sort that way). ``dedup`` keeps the first row, in source and id order, of every
+    (comment, star) pair.
     """
     from reviewkit.operators.quality import dedup_pairs, drop_nulls, exclude_values
-    parts = [df.select(F.lit(name).alias("source"), F.col(id_col).cast("long").alias("review_id"),
+    parts = [df.select(F.lit(at).alias("__ordinal"), F.lit(name).alias("source"), F.col(id_col).cast("long").alias("review_id"),
                        F.col("Comment").alias("comment"), F.col("Star").cast("int").alias("star"))
-             for name, df in sources.items()]
+             for at, (name, df) in enumerate(sources.items())]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     u = exclude_values(drop_nulls(u, ["comment", "star"]), "star", list(exclude_stars))
-    return dedup_pairs(u, order_cols=("source", "review_id")) if dedup else u
+    return (dedup_pairs(u, order_cols=("__ordinal", "review_id")) if dedup else u).drop("__ordinal")

@@ -50,15 +50,3 @@ def read_stopword_files(spark: SparkSession, paths: Sequence[str],
         words = words.join(spark.createDataFrame([(k,) for k in keep], "word string"),
                            "word", "left_anti")
     return words
-
-
-def collect_stopwords(df: DataFrame, limit: int = 1_000_000) -> list[str]:
-    """Bring a stop-word table to the driver for an ML StopWordsRemover.
-
-    Stop lists are hand-made files; the size check guards against passing a
-    corpus-sized table by mistake.
-    """
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"stop list has {n} rows, more than the {limit} allowed in memory")
-    return [r[0] for r in df.select("word").collect()]

@@ -35,8 +35,8 @@ def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, sch
     return w.start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to drain its input."""
+def run_to_end(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query to drain its input; a timeout is the caller's choice."""
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()

@@ -94,3 +94,37 @@ def test_examples_aligned_and_misaligned(spark):
         assemble_examples(enc, bad, "rid")
     with pytest.raises(ValueError, match="out of range"):
         assemble_examples(enc, spark.createDataFrame([(1, 6), (2, 3)], "rid long, star int"), "rid")
+
+
+def test_stop_list_is_taken_as_written(spark):
+    """Only the token is lower-cased: an upper-case entry matches nothing."""
+    df = spark.createDataFrame([(["the", "The", "nba", "NBA"],), ([],), (None,)], "tokens array<string>")
+    words = ["The", "NBA"]
+    for stop in (words, spark.createDataFrame([(w,) for w in words], "word string")):
+        got = [r.tokens for r in remove_stopwords(df, "tokens", stop).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, [["the", "The", "nba", "NBA"], [], None]))
+        exact = [r.tokens for r in remove_stopwords(df, "tokens", stop, case_sensitive=True).collect()]
+        assert sorted(map(str, exact)) == sorted(map(str, [["the", "nba"], [], None]))
+
+
+def test_reviews_of_two_sources_with_equal_ids_stay_apart(spark):
+    from reviewkit.operators.encode import mean_vectors
+    df = spark.createDataFrame([("A", 1, ["a"]), ("B", 1, ["b"]), ("B", 2, ["b", "a"])], "source string, review_id long, tokens array<string>")
+    key = ["source", "review_id"]
+    vocab = vocab_of(df, 1)
+    got = {(r.source, r.review_id): list(r.input_ids) for r in encode(df, vocab, key, length=3).collect()}
+    assert got == {("A", 1): [2, 1, 1], ("B", 1): [3, 1, 1], ("B", 2): [3, 2, 1]}
+    vec = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(4)], "vec_key long, vec array<double>")
+    enc = encode(df, vocab, key, length=3)
+    mean = {(r.source, r.review_id): list(r.mean_vec) for r in mean_vectors(enc, vec, key, dim=2).collect()}
+    assert mean[("B", 2)] == pytest.approx([2.0, 1.0]) and mean[("A", 1)] == pytest.approx([4 / 3, 1.0])
+
+
+def test_corpus_plan(spark):
+    from reviewkit.plans.corpus import prepare, working_reviews
+    rows = [("A", 1, "good film film", 5), ("B", 1, "bad film", 1), ("B", 2, "good film film", 5), ("B", 3, None, 2), ("B", 4, "x", None)]
+    reviews = spark.createDataFrame(rows, "source string, review_id long, comment string, star int")
+    c = prepare(working_reviews(reviews), ["bad"], 1)
+    got = {(r.source, r.review_id): (list(r.input_ids), r.label) for r in c.examples(4).collect()}
+    assert got == {("A", 1): ([3, 2, 2, 1], 2), ("B", 1): ([2, 1, 1, 1], 0)}
+    assert c.coverage(2).first().n_short == 1

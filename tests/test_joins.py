@@ -33,15 +33,43 @@ def test_broadcast_only_within_bounds(spark):
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
 
 
-def test_spread_only_when_under_split(spark, tmp_dir):
-    import os
-
-    from reviewkit.sources.driver import spread
-    one = os.path.join(tmp_dir, "one")
-    spark.range(100).coalesce(1).write.parquet(one)
-    df = spark.read.parquet(one)
-    assert "Exchange" in plan_of(spread(df, "id"))
-    target = spark.sparkContext.defaultParallelism
-    many = os.path.join(tmp_dir, "many")
-    spark.range(1000).repartition(target).write.parquet(many)
-    assert "Exchange" not in plan_of(spread(spark.read.parquet(many), "id"))
+def test_spread_only_when_asked_for(spark):
+    from reviewkit.sources.driver import SPREAD_CONF, table
+    sf = "/root/testdata/sf0.001"
+    assert "Exchange" not in plan_of(table(spark, sf, "conversations"))
+    spark.conf.set(SPREAD_CONF, "3")
+    try:
+        plan = plan_of(table(spark, sf, "conversations"))
+        assert "Exchange hashpartitioning(conv_id" in plan and "turn" in plan  # the full row key
+        assert "Exchange" not in plan_of(table(spark, sf, "orders"))
+    finally:
+        spark.conf.unset(SPREAD_CONF)
+
+
+def test_materialize_writes_columns_that_reads_prune(spark):
+    from pyspark.sql import functions as F
+
+    from reviewkit.operators.joins import materialize
+    t = materialize(spark.range(10).select("id", F.lit("x").alias("s"), F.array(F.lit(None).cast("int")).alias("a")))
+    assert t.count() == 10 and "ReadSchema: struct<id:bigint>" in plan_of(t.select("id"))
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    """Without a shared folder only a run on one machine may make its own."""
+    from types import SimpleNamespace
+
+    import pytest
+
+    from reviewkit.session import work_dir
+
+    def fake(master):
+        made = {}
+        return SimpleNamespace(
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: made.get("d"), setCheckpointDir=lambda d: made.update(d=d)),
+            conf=SimpleNamespace(get=lambda k, default=None: default, set=lambda k, v: None))
+
+    for master in ("spark://h:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            work_dir(fake(master))
+    for master in ("local", "local[*]", "local[8]"):
+        assert work_dir(fake(master))

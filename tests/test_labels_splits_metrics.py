@@ -118,3 +118,70 @@ def test_length_histogram_matches_numpy(spark, lengths):
     assert [r.n for r in got] == counts.tolist()
     assert [r.lo_edge for r in got] == pytest.approx(edges[:-1].tolist(), abs=1e-6)
     assert got[-1].hi_edge == pytest.approx(edges[-1], abs=1e-6)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 1000])
+def test_exact_split_with_null_and_repeated_keys(spark, n):
+    rows = [(i if i % 3 else None, i) for i in range(n)] + [(5, -1)] * (n // 2)
+    df = spark.createDataFrame(rows, "rid long, x long")
+    for f in (0.0, 0.3, 0.5, 1.0):
+        got = exact_split(df, "rid", 11, f)
+        assert got.count() == len(rows)
+        assert got.where("split = 'train'").count() == math.floor(float(len(rows)) * f)
+
+
+def test_split_on_two_keys_tells_the_sources_apart(spark):
+    df = spark.range(500).selectExpr("id % 250 AS rid", "if(id < 250, 'A', 'B') AS source")
+    got = exact_split(df, ["source", "rid"], 4, 0.5)
+    assert got.where("split = 'train'").count() == 250
+    assert got.groupBy("rid").agg(F.countDistinct("split").alias("n")).where("n = 2").count() > 50
+
+
+def test_ranks_with_a_far_away_id_and_null_ids(spark):
+    from reviewkit.operators.ranking import rank_by_key
+    from reviewkit.operators.sampling import row_index, shuffle_order
+    df = spark.range(20_000).select("id").union(spark.createDataFrame([(2 ** 40,), (None,), (None,)], "id long"))
+    got = sorted((r.rank, r.id) for r in rank_by_key(df, "id").collect())
+    assert [r for r, _ in got] == list(range(1, 20_004))
+    assert [i for _, i in got] == [None, None, *range(20_000), 2 ** 40]
+    assert row_index(df, "id").count() == shuffle_order(df, "id", 3).count() == 20_003
+    assert sorted(r.position for r in shuffle_order(df, "id", 3).collect()) == list(range(20_003))
+    # Even ranges in spite of the far-away id: no task holds more than a few times its share.
+    placed = df.repartitionByRange(8, "id").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert placed < 3 * 20_003 / 8
+
+
+def test_vocabulary_of_many_equally_frequent_two_character_words(spark):
+    from reviewkit.operators.vocab import build_vocabulary
+    words = spark.range(60_000).selectExpr(
+        "concat(char(19968 + id % 300), char(19968 + id div 300)) AS token", "CAST(1 AS BIGINT) AS freq")
+    v = build_vocabulary(words, 1).where("token_id >= 2").orderBy("token_id").collect()
+    assert [r.token_id for r in v] == list(range(2, 60_002))
+    assert [r.token for r in v] == sorted(r.token for r in v)
+
+
+def test_history_keeps_events_without_time(spark):
+    from reviewkit.operators.metrics import metric_history, running_metrics
+    rows = [(i, f"2024-01-0{1 + i // 50} 10:00:{i % 50:02d}", float(i), "purchase" if i % 4 == 0 else "view") for i in range(100)]
+    ev = spark.createDataFrame([*rows, (100, None, 5.0, "view")], "event_id long, ts string, value double, event_type string") \
+        .selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "value", "event_type")
+    h = metric_history(ev, 8)
+    assert h.agg(F.sum("total")).first()[0] == 101
+    got = {(r.epoch, r.batch): r.running_loss for r in running_metrics(h).collect()}
+    assert got[(0, 0)] == pytest.approx(3.5) and got[(0, 6)] == pytest.approx(np_mean_of_means(range(50), 8), abs=1e-5)
+
+
+def np_mean_of_means(values, size):
+    values = list(values)
+    means = [sum(values[i:i + size]) / len(values[i:i + size]) for i in range(0, len(values), size)]
+    return sum(means) / len(means)
+
+
+def test_running_metrics_over_many_runs(spark, monkeypatch):
+    from reviewkit.operators import metrics
+    monkeypatch.setattr(metrics, "RUN_BATCHES", 3)
+    h = spark.createDataFrame([(e, b, float(b * e), b, 10) for e in (1, 2) for b in range(20)],
+                              "epoch int, batch long, loss double, correct long, total long")
+    for r in metrics.running_metrics(h).collect():
+        assert r.running_loss == pytest.approx(r.epoch * r.batch / 2, abs=1e-5)
+        assert r.running_accuracy == pytest.approx(100 * (r.batch / 2) / 10, abs=1e-5)

@@ -96,3 +96,33 @@ def test_whitespace_tokens_optional(spark):
     counts = {r.piece: r.freq for r in S.segment_counts(df, "text", d, "exact",
                                                        keep_whitespace_tokens=True).collect()}
     assert counts[" "] == 1 and counts["\r\n"] == 1 and counts["　"] == 1
+
+
+def test_mixed_script_without_spaces(spark):
+    d = _dict(spark, [("手机", 10), ("不错", 10), ("好看", 10), ("很", 5)])
+    texts = ["iPhone手机不错", "T恤很好看", "3手机x不错9", "手机iPhone不错"]
+    want = [["iPhone", "手机", "不错"], ["T", "恤", "很", "好看"], ["3", "手机", "x", "不错", "9"], ["手机", "iPhone", "不错"]]
+    for mode in ("exact", "full", "search"):
+        got = _rows(spark, mode, d, texts)
+        assert [got[i] for i in range(4)] == want, mode
+
+
+def test_long_dictionary_words_are_kept(spark):
+    from reviewkit.operators.segment import dictionary_from_counts
+    counts = spark.createDataFrame([("一二三四五六七八", 20), ("一二", 99), ("三", 1)], "token string, freq long")
+    d = dictionary_from_counts(counts, 16)
+    assert _rows(spark, "exact", d, ["一二三四五六七八"])[0] == ["一二三四五六七八"]
+    assert {r.word for r in d.collect()} == {"一二三四五六七八", "一二"}
+
+
+def test_rows_of_two_sources(spark):
+    df = spark.createDataFrame([("A", 1, "北京"), ("B", 1, "大学"), ("B", 2, "")], "source string, id long, text string")
+    got = {(r.source, r.id): list(r.tokens) for r in S.segment_rows(df, ["source", "id"], "text", _dict(spark), "exact").collect()}
+    assert got == {("A", 1): ["北京"], ("B", 1): ["大学"], ("B", 2): []}
+
+
+def test_flagship_job(spark):
+    from reviewkit.plans.high_frequency import high_frequency_job
+    df = spark.createDataFrame([("我来到北京iPhone <b>THE</b> the",), ("北京大学the",)], "comment string")
+    got = [(r.token, r.freq) for r in high_frequency_job(df, _dict(spark), ["the", "IPHONE"], ["我"], 1).collect()]
+    assert got == [("北京", 2), ("iPhone", 1), ("大学", 1), ("来到", 1)]

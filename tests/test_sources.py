@@ -93,3 +93,27 @@ def test_vocab_save_load_and_word_list(spark, tmp_dir):
     write_word_list(word_counts(df), wl)
     lines = spark.read.text(wl).collect()
     assert [r.value for r in lines] == ["a", "b", "<pad>", "c"]
+
+
+def test_first_source_wins_whatever_its_name(spark):
+    rows = [(1, "u", 5, "same")]
+    frame = lambda: spark.createDataFrame(rows, SCHEMA)
+    kept = R.working_table({"2M": frame(), "10M": frame()}, dedup=True).collect()
+    assert [(r.source, r.review_id) for r in kept] == [("2M", 1)]
+    assert R.working_table({"2M": frame()}).columns == ["source", "review_id", "comment", "star"]
+
+
+def test_corrupt_records_are_counted(spark, tmp_dir):
+    text = "ID,Username,Star,Comment\n0,u,5,fine\nx,u,notastar,broken\n2,u,3,fine,one,too,many\n"
+    read = R.read_reviews_csv(spark, _write(tmp_dir, "bad.csv", text), SCHEMA, keep_corrupt=True)
+    r = R.corrupt_records(read).first()
+    assert (r.n_rows, r.n_corrupt) == (3, 2)
+
+
+def test_word_list_keeps_its_order(spark, tmp_dir):
+    from reviewkit.operators.vocab import read_word_list, write_word_list
+    words = spark.createDataFrame([(f"w{i:04d}", 5000 - i // 3) for i in range(3000)], "token string, freq long").repartition(7)
+    path = os.path.join(tmp_dir, "words")
+    write_word_list(words, path)
+    got = [r.token for r in read_word_list(spark, path).orderBy("line").collect()]
+    assert got == [f"w{i:04d}" for i in range(3000)]
