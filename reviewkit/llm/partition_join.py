@@ -8,16 +8,16 @@ difference, a segment that may differ by one element (its one-deletion neighbour
 is indexed) covers two. As the budget exceeds H, two linked sets agree on at
 least one segment's signature.
 
-Cost-based allocation: a segment with few shingles is a frequent, useless signature
-(its expected posting list grows as the universe's power of its size), so each set skips
-its ``slack`` cheapest segments; the budget has two units more per skip, since either
-side may skip. Deletion neighbourhoods cost a row per shingle, so they go to
-segments only where sets are small and equality signatures would be short.
-
-Equal sets are one class (its smallest document stands for it). Signature groups
-link classes to their smallest member only; the connected groups are the candidate
-groups, inside which all sets are compared exactly, as blocks of matrix products in a
-task, never as emitted pairs.
+Cost-based allocation: after the index is counted, each set leaves out its ``slack``
+longest posting lists, if they are long; the budget has two units more per list left
+out, since either side may do so. Deletion neighbourhoods cost a row per shingle, so they
+go to segments only where sets are small and equality signatures would be short.
+
+Equal sets are one class (its smallest document stands for it). The sets of one posting
+list are compared by count sketches: the distance of two sketches is never above that of the
+sets, so pairs it rules out are no links. What is left connects sets to candidate groups,
+inside which all sets are compared exactly, as blocks of matrix products in a task, never
+as emitted pairs.
 """
 
 from __future__ import annotations
@@ -26,17 +26,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewkit.llm.components import components, stored
 from reviewkit.llm.packs import planes, shuffle_partitions, unplanes
-from reviewkit.llm.words import WordIds, gathered, mix, texts
+from reviewkit.llm.words import WordIds, gathered, mix, rolling, texts
 from reviewkit.session import ship_package
 
 #: Shingles a block of candidate sets holds at most, about (a single larger set is a block).
 BLOCK_SHINGLES = 2_000_000
-#: Text bytes of a batch that folds its signatures before they are shuffled.
+#: Sets of a posting list from which it is costly, from which a batch spreads it, and which one task compares at once.
+COSTLY, HOT, LIST_BLOCK = 32, 256, 4096
+#: Stands for "many sets here" in place of a set.
+MARK = np.int64(-(1 << 63))
+#: Text bytes of a batch that packs its signatures before they are shuffled.
 BATCH_BYTES = 32_000_000
 #: Sets compared with sets at once, and shared shingles of one matrix product.
 STRIP, COLUMNS = 1024, 2048
@@ -54,17 +58,21 @@ def bands(limit: int) -> list[int]:
     return out
 
 
+def skips(size: int, t: int) -> int:
+    """Posting lists that a set of at most ``size`` shingles may leave out in one band."""
+    h = 2 * size * (100 - t) // (100 + t)
+    return (h + 8) // 16 if h >= 8 else 0
+
+
 def scheme(low: int, high: int, t: int) -> tuple[int, int, int]:
     """(segments, of them with deletion neighbourhoods, skips) of the band [low, high)."""
     h = 2 * (high - 1) * (100 - t) // (100 + t)
-    slack = (h + 30) // 40 if h >= 8 else 0
+    slack = skips(high, t)
     budget = h + 1 + 2 * slack
-    # Short sets: pay for deletions while segments would hold fewer than eight shingles.
+    # Short sets leave nothing out and pay for deletions while segments would hold fewer than eight shingles.
     deletions = 0
-    while deletions < budget // 2 and low < 8 * (budget - deletions):
+    while not slack and deletions < budget // 2 and low < 8 * (budget - deletions):
         deletions += 1
-        if deletions >= 2 and low > 40:
-            break
     return budget - deletions, deletions, slack
 
 
@@ -89,7 +97,7 @@ class _Signer:
     def _in(self, b: int, s: np.ndarray) -> np.ndarray:
         if b not in self.schemes:
             self.schemes[b] = scheme(self.lows[b], self.lows[b + 1], self.t)
-        m, deletions, slack = self.schemes[b]
+        m, deletions, _ = self.schemes[b]
         e = mix(s + _SALT[0])
         segment = ((e >> np.uint64(33)) % np.uint64(m)).astype(np.int64)
         # Sums of 32-bit halves stay exact in double precision.
@@ -100,11 +108,7 @@ class _Signer:
         tag = (np.uint64(b) << np.uint64(32)) + np.arange(m, dtype=np.uint64)
         sign = lambda lo, hi, n, tag: mix(mix(lo + _SALT[0]) ^ mix(hi + _SALT[2] + (n.astype(np.uint64) << np.uint64(40)))
                                           ^ mix(tag * _SALT[1] + _SALT[2]))
-        whole = sign(low, high, size, tag)
-        keep = np.ones(m, bool)
-        if slack:
-            keep[deletions + np.argsort(size[deletions:], kind="stable")[:slack]] = False
-        out = [whole[keep]]
+        out = [sign(low, high, size, tag)]
         if deletions:
             one = segment < deletions
             of = segment[one]
@@ -131,11 +135,9 @@ class _Shingler:
             self.memo = WordIds()
         ids = self.memo.ids(words)
         h = self.memo.hashes()[0][ids]
+        # The number of words is hashed too, so a short text never equals a shingle of another size.
         n = min(self.k, len(h))
-        out = np.full(len(h) - n + 1, n, np.uint64)
-        for j in range(n):
-            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[j:len(h) - n + 1 + j])
-        return np.unique(out)
+        return np.unique(mix(rolling(h, n) + np.uint64(n)))
 
 
 def _set_name(s: np.ndarray) -> bytes:
@@ -149,8 +151,26 @@ def _short(names: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(names), np.int64)[::2].copy()
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of the shingles in hashed cells, capped at 255; cells are a power of two from a tenth of the size up.
+
+    The sum of absolute differences of two sketches (the longer folded to the shorter) is at most the number of
+    shingles that only one of the sets has.
+    """
+    cells = max(32, 1 << int(np.ceil(np.log2(max(len(s) / 10, 1)))))
+    n = np.bincount((mix(s + _SALT[1]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.minimum(n, 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Rows of one length: the shortest. Folding adds the halves, which can only lower a distance."""
+    rows = [np.frombuffer(b, np.uint8) for b in sketches]
+    cells = min(map(len, rows))
+    return np.stack([r if len(r) == cells else np.minimum(r.reshape(-1, cells).sum(0, dtype=np.int64), 255) for r in rows]).astype(np.int16)
+
+
 NAMED = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()),
-                   ("set", pa.binary()), ("short", pa.int64())])
+                   ("set", pa.binary()), ("short", pa.int64()), ("sketch", pa.binary())])
 
 
 def _named(docs: DataFrame, k: int) -> DataFrame:
@@ -163,34 +183,24 @@ def _named(docs: DataFrame, k: int) -> DataFrame:
             short = _short([n or bytes(16) for n in names])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in found], pa.int64()),
-                 pa.array(names, pa.binary()), pa.array(short, pa.int64())], schema=NAMED)
+                 pa.array(names, pa.binary()), pa.array(short, pa.int64()),
+                 pa.array([sketch(s) if len(s) else None for s in found], pa.binary())], schema=NAMED)
 
-    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, set binary, short long")
+    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, set binary, short long, sketch binary")
 
 
-SIGNED = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("sigs", pa.binary()), ("heads", pa.binary()),
-                    ("edges", pa.binary())])
+SIGNED = pa.schema([("bucket", pa.int32()), ("hot", pa.bool_()), ("n", pa.int32()), ("sigs", pa.binary()), ("sets", pa.binary())])
 
 
-def _stars(key: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys (sorted), the smallest member of each, and edges (member, smallest) of the others."""
-    by = np.lexsort((member, key))
-    key, member = key[by], member[by]
-    new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
-    at = np.flatnonzero(new)
-    head = member[at]
-    of = head[np.cumsum(new) - 1]
-    other = member != of
-    edges = np.stack([member[other], of[other]], 1)
-    return key[at], head, np.unique(edges, axis=0) if len(edges) else edges
+def _packed(bucket: int, hot: bool, sig: np.ndarray, sets: np.ndarray) -> tuple:
+    return bucket, hot, len(sig), planes(np.diff(sig, prepend=np.uint64(0))), sets.tobytes()
 
 
 def _signed(docs: DataFrame, k: int, t: int, buckets: int) -> DataFrame:
-    """Signatures of a batch of documents, one array for each bucket.
+    """(signature, set) pairs of a batch of documents, one array for each bucket of signatures.
 
-    Inside the batch a signature keeps its smallest set; the other sets are linked to that one at once
-    (``edges``), so what a signature sends does not grow with its group.
+    A set that repeats in the batch is signed once. A signature that very many sets of the batch have sends one marker to
+    its bucket; its sets are spread over all buckets, so a hot signature does not fill one.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, signer = _Shingler(k), _Signer(t)
@@ -202,34 +212,141 @@ def _signed(docs: DataFrame, k: int, t: int, buckets: int) -> DataFrame:
                     seen[name] = signer.signatures(s)
             if not seen:
                 continue
+            sig = np.concatenate(list(seen.values()))
             sets = np.repeat(_short(list(seen)), [len(x) for x in seen.values()])
-            sig, head, edges = _stars(np.concatenate(list(seen.values())), sets)
-            cuts = np.array([((i << 64) // buckets) for i in range(1, buckets)], np.uint64)
-            at = np.concatenate([[0], np.searchsorted(sig, cuts), [len(sig)]])
-            share = np.linspace(0, len(edges), buckets + 1).astype(int)
-            out: dict[str, list] = {c: [] for c in SIGNED.names}
-            for b in range(buckets):
-                x, e = slice(at[b], at[b + 1]), edges[share[b]:share[b + 1]]
-                if x.stop > x.start or len(e):
-                    for c, v in zip(SIGNED.names, (b, x.stop - x.start, planes(np.diff(sig[x], prepend=np.uint64(0))),
-                                                   head[x].tobytes(), e.tobytes())):
-                        out[c].append(v)
-            yield from pa.Table.from_pydict(out, schema=SIGNED).to_batches()
-
-    return docs.select("text").mapInArrow(run, "bucket int, n int, sigs binary, heads binary, edges binary")
+            by = np.argsort(sig, kind="stable")
+            sig, sets = sig[by], sets[by]
+            size = np.diff(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1], [True]])))
+            hot = np.repeat(size >= HOT, size)
+            marker = hot & np.concatenate([[True], sig[1:] != sig[:-1]])
+            out = []
+            rest = ~hot | marker
+            one, of = sig[rest], np.where(marker, MARK, sets)[rest]
+            at = np.searchsorted(one, np.array([((i << 64) // buckets) for i in range(1, buckets)], np.uint64))
+            at = np.concatenate([[0], at, [len(one)]])
+            out += [_packed(b, False, one[at[b]:at[b + 1]], of[at[b]:at[b + 1]]) for b in range(buckets) if at[b + 1] > at[b]]
+            if hot.any():
+                where = (mix(sets[hot].view(np.uint64) ^ sig[hot]) % np.uint64(buckets)).astype(np.int64)
+                for b in np.unique(where).tolist():
+                    out.append(_packed(b, True, sig[hot][where == b], sets[hot][where == b]))
+            yield from pa.Table.from_pydict(dict(zip(SIGNED.names, zip(*out))), schema=SIGNED).to_batches()
 
+    return docs.select("text").mapInArrow(run, "bucket int, hot boolean, n int, sigs binary, sets binary")
 
-EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+MEMBERS = pa.schema([("gid", pa.int64()), ("short", pa.int64()), ("costly", pa.bool_())])
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One bucket of signatures: each set linked to the smallest set of its group."""
+    """One bucket of signatures: the members of every posting list of two sets or more.
+
+    A short list is named by its members, so lists of the same sets become one; a costly list by its signature.
+    """
+    hot = np.repeat(table.column("hot").to_numpy(), table.column("n").to_numpy())
     sig = np.concatenate([np.cumsum(unplanes(b, np.uint64)) for b in table.column("sigs").to_pylist()])
-    head = np.frombuffer(b"".join(table.column("heads").to_pylist()), np.int64)
-    near = np.frombuffer(b"".join(table.column("edges").to_pylist()), np.int64).reshape(-1, 2)
-    edges = np.concatenate([near, _stars(sig, head)[2]])
-    edges = np.unique(edges, axis=0) if len(edges) else edges.reshape(0, 2)
-    return pa.Table.from_arrays([pa.array(np.ascontiguousarray(edges[:, i]), pa.int64()) for i in (0, 1)], schema=EDGES)
+    sets = np.frombuffer(b"".join(table.column("sets").to_pylist()), np.int64)
+    passed = np.unique(np.stack([sig[hot].view(np.int64), sets[hot]], 1), axis=0) if hot.any() else np.empty((0, 2), np.int64)
+    sig, sets = sig[~hot], sets[~hot]
+    by = np.lexsort((sets, sig))
+    sig, sets = sig[by], sets[by]
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (sets[1:] != sets[:-1])
+    sig, sets = sig[new], sets[new]
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])[:len(sig)])
+    size = np.diff(np.concatenate([first, [len(sig)]]))
+    marked = np.add.reduceat((sets == MARK).astype(np.int64), first) > 0 if len(first) else np.empty(0, bool)
+    costly = np.repeat((size >= COSTLY) | marked, size)
+    name = np.repeat(np.add.reduceat(mix(sets.view(np.uint64)), first), size).view(np.int64) if len(first) else sets
+    keep = np.repeat((size > 1) | marked, size) & (sets != MARK)
+    gid = np.where(costly, sig.view(np.int64), name)
+    short = np.unique(np.stack([gid, sets], 1)[keep & ~costly], axis=0)
+    long = np.concatenate([np.stack([gid, sets], 1)[keep & costly], passed])
+    rows = np.concatenate([short, long])
+    flag = np.arange(len(rows)) >= len(short)
+    return pa.Table.from_arrays([pa.array(np.ascontiguousarray(rows[:, 0])), pa.array(np.ascontiguousarray(rows[:, 1])),
+                                 pa.array(flag)], schema=MEMBERS)
+
+
+def _lists(members: DataFrame, sizes: DataFrame, t: int) -> DataFrame:
+    """(gid, short, k) of the posting lists that are compared: short ones, and costly ones less what sets leave out.
+
+    Each set leaves out its ``skips`` longest costly lists (per band: a set signs in one band or more, and each
+    band's budget is its own, so the number for one band is left out in all).
+    """
+    short = members.where("not costly").select("gid", "short").distinct()
+    costly = stored(members.where("costly").select("gid", "short").distinct(), "costly")
+    lengths = stored(costly.groupBy("gid").agg(F.count(F.lit(1)).alias("k")), "lengths")
+    allowed = (F.floor((F.floor(2 * F.col("n") * (100 - t) / (100 + t)) + 8) / 16)
+               * (F.floor(2 * F.col("n") * (100 - t) / (100 + t)) >= 8).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("short").orderBy(F.desc("k"), "gid"))
+    kept = (costly.join(lengths, "gid").join(sizes.select("short", "n"), "short")
+            .withColumn("rank", rank).where(F.col("rank") > allowed).select("gid", "short", "k"))
+    return short.select("gid", "short", F.lit(1).cast("long").alias("k")).union(kept)
+
+
+EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _near(sketches: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
+    """Which pairs (i, j) may link: sizes and sketches within the distance of the threshold."""
+    a, b = size[i], size[j]
+    ok = (100 * np.minimum(a, b) >= t * np.maximum(a, b))
+    far = np.abs(sketches[i[ok]] - sketches[j[ok]]).sum(1, dtype=np.int64)
+    ok[ok] = (100 + t) * far <= (100 - t) * (a + b)[ok]
+    return ok
+
+
+def _connect(rows: list[int], other: list[int], sketches: np.ndarray, size: np.ndarray, t: int) -> list[tuple[int, int]]:
+    """Edges that connect what the near pairs of ``rows`` with ``other`` connect (all pairs, if they are one list).
+
+    Members near to the first open one join it at once; the others are compared with everything.
+    """
+    edges, pool = [], np.array(other, np.int64)
+    if rows is other:
+        left = pool
+        while len(left) > 1:
+            near = _near(sketches, size, np.full(len(left) - 1, left[0]), left[1:], t)
+            edges += [(x, int(left[0])) for x in left[1:][near].tolist()]
+            joined, left = left[1:][near], left[1:][~near]
+            for x in left.tolist() if len(joined) else ():
+                if len(hit := joined[_near(sketches, size, np.full(len(joined), x), joined, t)]):
+                    edges.append((x, int(hit[0])))
+        return edges
+    for x in rows:
+        hit = pool[_near(sketches, size, np.full(len(pool), x), pool, t)]
+        edges += [(x, y) for y in hit.tolist()]
+    return edges
+
+
+def _compare_lists(table: pa.Table, t: int) -> pa.Table:
+    """Candidate edges of many posting lists (or blocks of long ones)."""
+    order = table.sort_by([("gid", "ascending"), ("p", "ascending"), ("q", "ascending"), ("side", "ascending"), ("short", "ascending")])
+    gid, p, q, side, short, size = (order.column(c).to_numpy() for c in ("gid", "p", "q", "side", "short", "n"))
+    sketches = order.column("sketch").to_pylist()
+    new = np.ones(len(gid), bool)
+    new[1:] = (gid[1:] != gid[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+    first = np.concatenate([np.flatnonzero(new), [len(gid)]])
+    edges: list[tuple[int, int]] = []
+    for a, b in zip(first, first[1:]):
+        if b - a < 2:
+            continue
+        rows = folded(sketches[a:b])
+        inner = list(range(b - a))
+        if p[a] != q[a]:
+            left, right = [x for x in inner if not side[a + x]], [x for x in inner if side[a + x]]
+        else:
+            left = right = inner
+        edges += [(short[a + x], short[a + y]) for x, y in _connect(left, right, rows, size[a:b], t)]
+    out = np.unique(np.array(edges, np.int64).reshape(-1, 2), axis=0)
+    return pa.Table.from_arrays([pa.array(np.ascontiguousarray(out[:, i])) for i in (0, 1)], schema=EDGES)
+
+
+def _blocked(df: DataFrame, blocks: str, block: Column) -> DataFrame:
+    """Rows dealt into ``blocks`` blocks by ``block``; a block meets itself (p = q, side 0) and every other (sides 0, 1)."""
+    return (df.withColumn("__blk", block.cast("int"))
+            .withColumn("__o", F.explode(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1)))
+            .withColumn("p", F.least("__blk", "__o")).withColumn("q", F.greatest("__blk", "__o"))
+            .withColumn("side", (F.col("__blk") > F.col("__o")).cast("int")).drop("__blk", "__o", blocks))
 
 
 def _rows(elements: np.ndarray, owner: np.ndarray, part: np.ndarray, n: int) -> np.ndarray:
@@ -324,9 +441,9 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     links and gets the smallest id of its component, null if there is none. Repeated rows are documents of
     their own. Other columns are ignored; an empty table gives an empty result.
 
-    Scale: signatures (about a fifth of the words) move once as packed arrays, folded to one entry per signature
-    and batch; texts move once, for the join with the candidates; candidate groups are split into blocks of bounded
-    size that are compared block against block.
+    Scale: signatures (about a quarter of the words at 90, two thirds at 80) move once as packed arrays; texts move
+    once, for the join with the candidates; posting lists and candidate groups are split into blocks of bounded size
+    that are compared block against block.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -337,17 +454,21 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
         F.first("n_shingles").alias("n"), F.first("short").alias("short"))
 
     buckets = 2 * shuffle_partitions(docs)
-    stars = _signed(docs, k, t, buckets).groupBy("bucket").applyInArrow(_meet, "u long, v long")
-    group = components(stars).select(F.col("node").alias("short"), F.col("component").alias("grp"))
+    met = stored(_signed(docs, k, t, buckets).groupBy("bucket").applyInArrow(_meet, "gid long, short long, costly boolean"), "met")
+    sketches = stored(named.where("set is not null").groupBy("short").agg(
+        F.min("n_shingles").alias("n"), F.min_by("sketch", "n_shingles").alias("sketch")), "sketches")
+    lists = _lists(met, sketches, t).join(sketches, "short").withColumn("blocks", F.ceil(F.col("k") / LIST_BLOCK))
+    lists = _blocked(lists, "blocks", F.pmod(F.xxhash64("short"), F.col("blocks")))
+    spread = F.pmod(F.xxhash64("gid", "p", "q"), F.lit(4 * buckets)).cast("int")
+    near = (lists.withColumn("b", spread).select("b", "gid", "p", "q", "side", "short", "n", "sketch")
+            .groupBy("b").applyInArrow(lambda x: _compare_lists(x, t), "u long, v long"))
+    group = components(near).select(F.col("node").alias("short"), F.col("component").alias("grp"))
 
     # Members of candidate groups, dealt into blocks of bounded size; a block meets itself and every other one.
     members = stored(group.join(classes, "short"), "members")
-    blocks = members.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    paired = (members.join(blocks, "grp")
-              .withColumn("blk", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("grp", F.least("blk", "o").alias("p"), F.greatest("blk", "o").alias("q"),
-                      (F.col("blk") > F.col("o")).cast("int").alias("side"), "set", "copies", "key"))
+    blocks = stored(members.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")), "blocks")
+    paired = _blocked(members.join(blocks, "grp"), "blocks", F.pmod(F.xxhash64("set"), F.col("blocks"))).select(
+        "grp", "p", "q", "side", "set", "copies", "key")
     held = paired.join(docs.select("key", "text"), "key")
     links = stored(held.groupBy("grp", "p", "q").applyInArrow(lambda x: _block_links(x, k, t),
                                                              "u binary, v binary, links long"), "links")
@@ -357,9 +478,10 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     found = (joined.join(least, "component")
              .join(links.groupBy("u").agg(F.sum("links").alias("links")), F.col("node") == F.col("u"))
              .select(F.col("node").alias("set"), "least", "links"))
-    classed = classes.join(found, "set", "left").select(
+    # Stored, so that both sides of the next join are plain shuffles: a set with many copies is split.
+    classed = stored(classes.join(found, "set", "left").select(
         "set", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("least", "id").alias("component"))
+        F.coalesce("least", "id").alias("component")), "classed")
     return named.join(classed, "set", "left").select(
         "doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "doc_id").alias("component_id"))

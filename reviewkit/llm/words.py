@@ -13,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-MASK64 = (1 << 64) - 1
 #: Odd multiplier of the rolling polynomial hash (fixed, any odd number serves).
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -27,27 +26,30 @@ class WordIds(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self._pending: list[int] = []
-        self._h1 = np.empty(0, np.uint64)
-        self._h2 = np.empty(0, np.uint64)
+        self._pending: list[bytes] = []
+        self._hashes = np.empty((1 << 10, 2), np.uint64)
+        self._known = 0
 
     def __missing__(self, word: bytes) -> int:
         i = len(self)
         self[word] = i
-        self._pending.append(xxhash.xxh3_128_intdigest(word))
+        self._pending.append(xxhash.xxh3_128_digest(word))
         return i
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """(h1, h2) by id."""
-        if self._pending:
-            new = self._pending
-            self._h1 = np.concatenate([self._h1, np.array([x & MASK64 for x in new], np.uint64)])
-            self._h2 = np.concatenate([self._h2, np.array([x >> 64 for x in new], np.uint64)])
-            self._pending = []
-        return self._h1, self._h2
+        """(h1, h2) by id. New ids are appended to arrays that double, so calls stay cheap."""
+        n = self._known + len(self._pending)
+        if n > self._known:
+            if n > len(self._hashes):
+                grown = np.empty((max(n, 2 * len(self._hashes)), 2), np.uint64)
+                grown[:self._known] = self._hashes[:self._known]
+                self._hashes = grown
+            self._hashes[self._known:n] = np.frombuffer(b"".join(self._pending), ">u8").reshape(-1, 2)
+            self._pending, self._known = [], n
+        return self._hashes[:n, 1], self._hashes[:n, 0]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ import pytest
 
 from reviewkit.llm import partition_join, suffix_decontam
 from reviewkit.llm.components import components
-from reviewkit.llm.partition_join import bands, intersections, jaccard_components, scheme
+from reviewkit.llm.partition_join import bands, folded, intersections, jaccard_components, scheme, sketch, skips
 from reviewkit.llm.suffix_decontam import decontaminate, suffix_array
 from reviewkit.llm.window_dedup import dedup_windows
 from tests.llm import brute
@@ -136,6 +136,37 @@ def test_bands_and_schemes_cover_the_distance():
         for t in (80, 90):
             m, deletions, slack = scheme(low, high, t)
             assert m + deletions >= 2 * (high - 1) * (100 - t) // (100 + t) + 1 + 2 * slack and deletions + slack <= m
+            assert not (deletions and slack)  # a list left out is one unit of the budget
+            assert all(skips(n, t) <= slack for n in range(low, high))
+
+
+def test_sketch_distance_is_a_lower_bound():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(1, 2000)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(2))
+        rows = folded([sketch(a), sketch(b)])
+        assert np.abs(rows[0] - rows[1]).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("hot", [4, 10 ** 6])
+def test_long_and_hot_posting_lists(spark, monkeypatch, hot):
+    """Families whose lists are costly, spread, cut into blocks and partly left out."""
+    r = random.Random(9)
+    docs = []
+    for f in range(4):
+        base = [f"f{f}w{i}" for i in range(300)]
+        for v in range(60):
+            w = list(base)
+            for _ in range(r.choice([0, 1, 3, 8, 12])):
+                w[r.randrange(300)] = f"x{r.randrange(10 ** 6)}"
+            docs.append((f * 1000 + v, " ".join(w + [f"tail{v % 7}"] * (v % 3))))
+    monkeypatch.setattr(partition_join, "COSTLY", 3)
+    monkeypatch.setattr(partition_join, "HOT", hot)
+    monkeypatch.setattr(partition_join, "LIST_BLOCK", 8)
+    monkeypatch.setattr(partition_join, "BATCH_BYTES", 50_000)
+    for k, t in ((3, 90), (5, 80)):
+        got = jaccard_components(frame(spark, docs).repartition(5), k, t).collect()
+        assert brute.by_text(tuple(x) for x in got) == brute.jaccard(docs, k, t)
 
 
 def test_intersections():
