@@ -4,13 +4,14 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from reviewkit.llm import mixing_lm
-from reviewkit.llm.mixing_lm import Counts, Mixer, Vocabulary, bits_of, score_texts
+from reviewkit.llm.mixing_lm import Counts, Mixer, Model, Vocabulary, bits_of, score_texts
 from reviewkit.llm.pu_quality import FEATURES, estimate_prior, features, fit, score_quality
 from tests.llm import brute
 
@@ -123,10 +124,11 @@ def model(words, n):
     kinds = np.zeros(len(words), np.uint8)
     n = np.array(n)
     counts.add(words, kinds, n)
-    m = Mixer(np.log2(counts.n.T + 1).astype(np.float16),
-              Vocabulary(int(n.sum()), len(n), np.array([n.sum(), 0, 0, 0]), np.array([(n == 1).sum(), 0, 0, 0]), int((n == 2).sum())))
-    m.learn(words, kinds, n, n)
-    return m
+    vocabulary = Vocabulary(int(n.sum()), len(n), np.array([n.sum(), 0, 0, 0]), np.array([(n == 1).sum(), 0, 0, 0]), int((n == 2).sum()))
+    logs = np.log2(counts.n.T + 1).astype(np.float16)
+    learner = Mixer(logs, vocabulary, loo=True)
+    learner.learn(words, kinds, n, n)
+    return Model(SimpleNamespace(value=logs), vocabulary, (learner.weights, learner.hits, learner.total, learner.by_count, learner.of_count)).mixer()
 
 
 def test_lm_probabilities_sum_to_at_most_one():
