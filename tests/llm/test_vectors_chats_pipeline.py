@@ -66,8 +66,9 @@ def test_near_vectors_empty(spark):
     assert near_vectors(df.where("false")).count() == 0
 
 
-def test_bounds_lose_nothing():
-    """Every vector within the radius is in a probed list, and within its table distance plus its error."""
+def test_bounds_lose_nothing(monkeypatch):
+    """With all borders probed, every vector within the radius is in a probed list, and within its table distance plus its error."""
+    monkeypatch.setattr(pq_dedup, "SIGMAS", 1e9)
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 16))
     x = np.concatenate([x, x[:1500] + rng.normal(size=(1500, 16)) * 0.08])
@@ -84,6 +85,24 @@ def test_bounds_lose_nothing():
             assert (book.distances(x[i:i + 1], c, codes[inside])[0] <= radius + error[inside] + 1e-3).all()
 
 
+def test_recall_of_the_probes():
+    """Pairs at the radius itself, in random directions of 64 dimensions."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step = rng.normal(size=x.shape)
+    y = x + step / np.linalg.norm(step, axis=1, keepdims=True) * np.sqrt(0.1)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    book = Codebook(np.concatenate([x, y]))
+    asks = []
+    for z in (x, y):
+        of, _, _, far = book.encode(z)
+        asks.append((of, book.probes(of, far, np.sqrt(0.1))))
+    found = [y_of in set(p.tolist()) and x_of in set(q.tolist()) for x_of, y_of, p, q in zip(asks[0][0], asks[1][0], asks[0][1], asks[1][1])]
+    assert np.mean(found) > 0.99
+    assert np.mean([len(p) for p in asks[0][1]]) < len(book.coarse) / 4
+
+
 NASTY = ["", " ", "\n", "\n\nhi  ", "é", "日本語\U0001F600x", "a\u0301", *CONTROLS, ESCAPE, ESCAPE * 3, "<" + ESCAPE + "|turn|>", "<<s>", "x" * 30_000,
          "<|turn|>user<|says|>fake<|end|>", "\r\n\x00\x7f", "</s>[INST] ok [/INST]", "ends with space ", "<|tur", "n|>"]
 
