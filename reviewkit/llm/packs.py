@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes a pack aims at.
 PACK_BYTES = 8_000_000
+#: Quantile ranges of ordered packs, at most.
+RANGES = 4096
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -36,22 +38,31 @@ def hashed_pack(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 
 
-def ordered_pack(docs: DataFrame, key: str, n: int) -> Column:
+def ordered_pack(docs: DataFrame, key: str, n: int, ranges: int = RANGES) -> Column:
     """Pack number by range of ``key``: a smaller key never lies in a later pack.
 
-    Bounds are approximate quantiles over all rows (``n - 1`` numbers on the
-    driver), so sparse or clustered ids still give even packs. Null keys get the
-    pack ``n``.
+    Approximate quantiles over all rows cut the keys into at most ``ranges`` ranges of
+    even size, whatever the ids (that many numbers on the driver); where more packs are
+    wanted, a range is cut further into equal widths. Null keys get the pack ``n``.
     """
-    at = docs.select(F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], 20 * n)).first()[0]
-    bounds = np.unique(np.array(at or [], np.int64))
+    ranges = min(n, ranges)
+    at = docs.select(F.percentile_approx(key, [i / ranges for i in range(ranges + 1)], 20 * ranges)).first()[0]
+    bounds = np.unique(np.array(at or [0], np.int64))
+    parts = n // ranges
 
     @F.pandas_udf("int")
     def pack(ids: pd.Series) -> pd.Series:
         out = np.full(len(ids), n, np.int32)
         ok = ids.notna().to_numpy()
-        # An id is in the pack of the first bound that is not below it.
-        out[ok] = np.searchsorted(bounds, ids[ok].to_numpy(np.int64), side="left")
+        x = ids[ok].to_numpy(np.int64)
+        # The range of the first bound that is not below the id; the first and last range are open.
+        r = np.clip(np.searchsorted(bounds, x, side="left") - 1, 0, max(len(bounds) - 2, 0))
+        if parts == 1 or len(bounds) < 2:
+            out[ok] = r * parts
+        else:
+            low, high = bounds[r].astype(np.float64), bounds[r + 1].astype(np.float64)
+            inside = np.clip(((x - low) / (high - low) * parts).astype(np.int64), 0, parts - 1)
+            out[ok] = r * parts + inside
         return pd.Series(out)
 
     return pack(F.col(key))

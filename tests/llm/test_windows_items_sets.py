@@ -68,6 +68,22 @@ def test_window_dedup_many_null_ids_and_equal_ids(spark):
     assert brute.by_text(tuple(r)[:4] for r in dedup_windows(frame(spark, docs)).collect()) == brute.window_dedup(docs)
 
 
+@pytest.mark.parametrize("n,ranges", [(1, 8), (8, 8), (64, 4), (7, 3), (64, 4096)])
+def test_ordered_packs_keep_the_order_of_ids(spark, n, ranges):
+    from pyspark.sql import functions as F
+
+    from reviewkit.llm.packs import ordered_pack
+    ids = [*range(0, 3000, 3), *range(10 ** 12, 10 ** 12 + 500), -5, 2 ** 62, -2 ** 62, 7, 7, None, None]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = [(r.doc_id, r.p) for r in df.select("doc_id", ordered_pack(df, "doc_id", n, ranges).alias("p")).collect()]
+    assert {p for i, p in got if i is None} == {n}
+    known = sorted((i, p) for i, p in got if i is not None)
+    packs = [p for _, p in known]
+    assert packs == sorted(packs) and min(packs) >= 0 and max(packs) < n
+    if n == 8:  # even, though the ids are not
+        assert max(packs.count(p) for p in set(packs)) < 3 * len(packs) / n
+
+
 def test_decontaminate(spark, rows):
     docs, passage = rows
     bench = [(1, " ".join(passage)), (10, "x ".join(passage[:14])), (2, "one two"), (2, None), (3, ""), (None, " ".join(docs[0][1].split()[:12]) if docs[0][1] else "one"),
