@@ -1184,6 +1184,18 @@ def _score_checks(scored, keys):
                          (best == F.col("prediction")).alias("is_argmax"))
 
 
+@register("m1_mean_embedding", """
+SELECT d.doc_id, CAST(2 AS INTEGER) AS n_scores, true AS sums_to_one, true AS is_argmax
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+""")
+def m1_mean_embedding(spark, d):
+    """M1 with learned mean embeddings: fitted on the training rows, every labelled document scored."""
+    from reviewkit.plans.model import embedding_pipeline, score, train
+    data = labelled_split(spark, d)
+    model = train(data.where("split = 'train'"), STOP, pipeline=embedding_pipeline, num_features=1 << 10, dim=16, max_iter=20)
+    return _score_checks(score(model, data, keep=("doc_id",)), ["doc_id"])
+
+
 @register("m2_score")
 def m2_score(spark, d):
     """M2: score every document with the saved pipeline."""

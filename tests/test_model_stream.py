@@ -31,6 +31,16 @@ def test_train_and_score(model, labelled):
     assert sum(r.prediction == r.label for r in pred) == 60
 
 
+def test_mean_embeddings_learn_the_classes(labelled, tmp_dir):
+    from reviewkit.plans.model import embedding_pipeline
+    m = train(labelled, ["the", "it"], pipeline=embedding_pipeline, num_features=512, dim=8, max_iter=40)
+    pred = score(m, labelled, keep=("label",)).collect()
+    assert sum(r.prediction == r.label for r in pred) == 60
+    path = os.path.join(tmp_dir, "embedding")
+    save_model(m, path)
+    assert score(load_model(path), labelled, keep=("label",)).count() == 60
+
+
 def test_save_load_same_scores(spark, model, labelled, tmp_dir):
     path = os.path.join(tmp_dir, "model")
     save_model(model, path)
