@@ -26,8 +26,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _star(links: DataFrame) -> DataFrame:
-    """links (u, v) -> (v, smallest of u's v and u)."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    """Stored links (u, v) -> (u, v, smallest of u's v and u).
+
+    The minima are stored, so that both sides of the join are plain shuffles and adaptive execution can split a hub.
+    """
+    least = stored(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     return (links.join(least, "u")
             .select("u", "v", F.least("u", "m").alias("m")))
 
@@ -46,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = stored(large.where("u <> v").distinct(), "large")
         small = _star(large)
         now = stored(small.select("u", F.col("m").alias("v"))
                      .union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
