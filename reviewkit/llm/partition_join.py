@@ -44,6 +44,8 @@ MARK = np.int64(-(1 << 63))
 BATCH_BYTES = 32_000_000
 #: Sets compared with sets at once, and shared shingles of one matrix product.
 STRIP, COLUMNS = 1024, 2048
+#: Cells of sketches compared at once; pairs held before they are folded.
+STRIP_CELLS, FOLD = 1 << 20, 200_000
 #: Words a word memo holds before it is renewed.
 MEMO_WORDS = 200_000
 #: Hash of the band, segment and kind into a signature (odd, fixed).
@@ -287,35 +289,77 @@ def _lists(members: DataFrame, sizes: DataFrame, t: int) -> DataFrame:
 EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _near(sketches: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
-    """Which pairs (i, j) may link: sizes and sketches within the distance of the threshold."""
-    a, b = size[i], size[j]
-    ok = (100 * np.minimum(a, b) >= t * np.maximum(a, b))
-    far = np.abs(sketches[i[ok]] - sketches[j[ok]]).sum(1, dtype=np.int64)
-    ok[ok] = (100 + t) * far <= (100 - t) * (a + b)[ok]
-    return ok
-
+class _Connected:
+    """Connected numbers 0 ... n - 1. Pairs are folded to one edge a number whenever many have come."""
+
+    def __init__(self, n: int) -> None:
+        self.n, self.held, self.size = n, [], 0
+
+    def add(self, u: np.ndarray, v: np.ndarray) -> None:
+        self.held.append(np.stack([u, v], 1))
+        self.size += len(u)
+        if self.size > max(FOLD, 4 * self.n):
+            label = self.labels()
+            self.held, self.size = [np.stack([np.arange(self.n), label], 1)], self.n
+
+    def labels(self) -> np.ndarray:
+        """Smallest number that each is connected with."""
+        label = np.arange(self.n)
+        u, v = np.concatenate(self.held).T if self.held else (label[:0], label[:0])
+        while len(u):
+            now = label.copy()
+            np.minimum.at(now, u, label[v])
+            np.minimum.at(now, v, label[u])
+            now = now[now]
+            if (now == label).all():
+                break
+            label = now
+        return label
+
+
+def _near(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) that may link, some rows at a time: sizes and sketches within the distance of the threshold."""
+    step = max(1, STRIP_CELLS // max(1, b.size))
+    for at in range(0, len(a), step):
+        x, y = size_a[at:at + step, None], size_b[None, :]
+        far = np.abs(a[at:at + step, None, :] - b[None, :, :]).sum(2, dtype=np.int64)
+        ok = ((100 + t) * far <= (100 - t) * (x + y)) & (100 * np.minimum(x, y) >= t * np.maximum(x, y))
+        i, j = np.nonzero(ok)
+        yield i + at, j
+
+
+def _connect(sketches: np.ndarray, size: np.ndarray, side: np.ndarray | None, t: int) -> np.ndarray:
+    """What the near pairs of a list connect, as rows (member, smallest member); ``side``: pairs across two blocks only.
+
+    As long as a member is near to a good part of the others, these join it at once and are compared with the rest
+    only; then everything left is compared with everything.
+    """
+    union = _Connected(len(size))
 
-def _connect(rows: list[int], other: list[int], sketches: np.ndarray, size: np.ndarray, t: int) -> list[tuple[int, int]]:
-    """Edges that connect what the near pairs of ``rows`` with ``other`` connect (all pairs, if they are one list).
+    def compare(x: np.ndarray, y: np.ndarray) -> None:
+        if len(x) and len(y):
+            for i, j in _near(sketches[x], size[x], sketches[y], size[y], t):
+                union.add(x[i], y[j])
 
-    Members near to the first open one join it at once; the others are compared with everything.
-    """
-    edges, pool = [], np.array(other, np.int64)
-    if rows is other:
-        left = pool
+    if side is not None:
+        compare(np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    else:
+        left, groups = np.arange(len(size)), []
         while len(left) > 1:
-            near = _near(sketches, size, np.full(len(left) - 1, left[0]), left[1:], t)
-            edges += [(x, int(left[0])) for x in left[1:][near].tolist()]
-            joined, left = left[1:][near], left[1:][~near]
-            for x in left.tolist() if len(joined) else ():
-                if len(hit := joined[_near(sketches, size, np.full(len(joined), x), joined, t)]):
-                    edges.append((x, int(hit[0])))
-        return edges
-    for x in rows:
-        hit = pool[_near(sketches, size, np.full(len(pool), x), pool, t)]
-        edges += [(x, y) for y in hit.tolist()]
-    return edges
+            (_, hit), = _near(sketches[left[:1]], size[left[:1]], sketches[left[1:]], size[left[1:]], t)
+            if len(hit) < len(left) / 8:
+                break
+            joined = np.concatenate([left[:1], left[hit + 1]])
+            union.add(np.full(len(joined), left[0]), joined)
+            groups.append(joined)
+            left = np.setdiff1d(left, joined, assume_unique=True)
+        for a, x in enumerate(groups):
+            for y in [*groups[a + 1:], left]:
+                compare(x, y)
+        compare(left, left)
+    label = union.labels()
+    other = np.flatnonzero(label != np.arange(len(size)))
+    return np.stack([other, label[other]], 1)
 
 
 def _compare_lists(table: pa.Table, t: int) -> pa.Table:
@@ -326,18 +370,12 @@ def _compare_lists(table: pa.Table, t: int) -> pa.Table:
     new = np.ones(len(gid), bool)
     new[1:] = (gid[1:] != gid[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
     first = np.concatenate([np.flatnonzero(new), [len(gid)]])
-    edges: list[tuple[int, int]] = []
+    edges = [np.empty((0, 2), np.int64)]
     for a, b in zip(first, first[1:]):
-        if b - a < 2:
-            continue
-        rows = folded(sketches[a:b])
-        inner = list(range(b - a))
-        if p[a] != q[a]:
-            left, right = [x for x in inner if not side[a + x]], [x for x in inner if side[a + x]]
-        else:
-            left = right = inner
-        edges += [(short[a + x], short[a + y]) for x, y in _connect(left, right, rows, size[a:b], t)]
-    out = np.unique(np.array(edges, np.int64).reshape(-1, 2), axis=0)
+        if b - a > 1:
+            hit = _connect(folded(sketches[a:b]), size[a:b], side[a:b] if p[a] != q[a] else None, t)
+            edges.append(short[a:b][hit])
+    out = np.unique(np.concatenate(edges), axis=0)
     return pa.Table.from_arrays([pa.array(np.ascontiguousarray(out[:, i])) for i in (0, 1)], schema=EDGES)
 
 
@@ -398,7 +436,7 @@ def _block_links(table: pa.Table, k: int, t: int) -> pa.Table:
     one = table.column("p")[0].as_py() == table.column("q")[0].as_py()
     a = np.flatnonzero(side == 0)
     b = a if one else np.flatnonzero(side == 1)
-    u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    union, degree = _Connected(len(names)), np.zeros(len(names))
     for i in range(0, len(a), STRIP):
         x = a[i:i + STRIP]
         for j in range(i if one else 0, len(b), STRIP):
@@ -411,19 +449,10 @@ def _block_links(table: pa.Table, k: int, t: int) -> pa.Table:
             inter = intersections(left, right)
             p, q = np.nonzero(100 * inter >= t * (size[x][:, None] + size[y][None, :] - inter))
             new = x[p] < y[q] if one else np.ones(len(p), bool)
-            u.append(x[p][new])
-            v.append(y[q][new])
-    u, v = np.concatenate(u), np.concatenate(v)
-    label = np.arange(len(names))
-    while len(u):
-        now = label.copy()
-        np.minimum.at(now, u, label[v])
-        np.minimum.at(now, v, label[u])
-        now = now[now]
-        if (now == label).all():
-            break
-        label = now
-    degree = np.bincount(u, copies[v], len(names)) + np.bincount(v, copies[u], len(names))
+            u, v = x[p][new], y[q][new]
+            union.add(u, v)
+            degree += np.bincount(u, copies[v], len(names)) + np.bincount(v, copies[u], len(names))
+    label = union.labels()
     some = np.flatnonzero(degree > 0)
     return pa.Table.from_pydict({"u": [names[i] for i in some], "v": [names[label[i]] for i in some],
                                  "links": degree[some].astype(np.int64)}, schema=LINKS)
@@ -466,7 +495,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
 
     # Members of candidate groups, dealt into blocks of bounded size; a block meets itself and every other one.
     members = stored(group.join(classes, "short"), "members")
-    blocks = stored(members.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")), "blocks")
+    blocks = stored(members.groupBy("grp").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / LIST_BLOCK)).cast("int").alias("blocks")), "blocks")
     paired = _blocked(members.join(blocks, "grp"), "blocks", F.pmod(F.xxhash64("set"), F.col("blocks"))).select(
         "grp", "p", "q", "side", "set", "copies", "key")
     held = paired.join(docs.select("key", "text"), "key")
