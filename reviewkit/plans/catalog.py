@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from reviewkit.functions.labels import sql_sentiment
 from reviewkit.functions.text import NON_SPACE_RE, sql_clean, sql_letter_tokens, sql_step
-from reviewkit.plans.high_frequency import high_frequency_job
 from reviewkit.plans.sqlbits import sql_list
 from reviewkit.sources import driver
 from reviewkit.sources.stopwords import builtin_stopwords
@@ -1096,10 +1095,10 @@ SELECT piece AS token, freq FROM words WHERE NOT list_contains({sql_list(STOP_CI
 
 
 def _flagship(spark, d, min_count):
-    from reviewkit.plans.high_frequency import high_frequency_job
-    docs = driver.table(spark, d, "documents").select("doc_id", F.translate("text", HAN_FROM, HAN_TO).alias("comment"))
-    dictionary = block_dictionary(han_units(cleaned_docs(spark, d)))
-    return high_frequency_job(docs, dictionary, STOP_CI, STOP_EXACT, min_count)
+    from reviewkit.plans.high_frequency import cleaned_units, high_frequency_job
+    docs = driver.table(spark, d, "documents").select(F.translate("text", HAN_FROM, HAN_TO).alias("comment"))
+    units = cleaned_units(docs)
+    return high_frequency_job(units, block_dictionary(units), STOP_CI, STOP_EXACT, min_count)
 
 
 @register("a5_high_frequency_words", _sql_flagship(1000))

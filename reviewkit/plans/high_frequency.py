@@ -16,16 +16,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewkit.functions.text import clean_text
-from reviewkit.operators.segment import HAN_RE, OTHER_RE, segment_counts
+from reviewkit.operators.segment import HAN_RE, OTHER_RE, pieces_of_units, unit_counts
 from reviewkit.operators.tokens import not_stopped
 from reviewkit.operators.vocab import HIGH_FREQUENCY_MIN, high_frequency_words
 
 
-def high_frequency_job(reviews: DataFrame, dictionary: DataFrame, stopwords: Iterable[str],
+def cleaned_units(reviews: DataFrame, text_col: str = "comment", block_re: str = HAN_RE,
+                  other_re: str = OTHER_RE) -> DataFrame:
+    """Counts of the units of the cleaned texts, stored: the one pass over the corpus."""
+    return unit_counts(reviews.select(clean_text(F.col(text_col), "full").alias("text")), "text", block_re, other_re)
+
+
+def high_frequency_job(units: DataFrame, dictionary: DataFrame, stopwords: Iterable[str],
                        exact_stopwords: Iterable[str] = (), min_count: int = HIGH_FREQUENCY_MIN,
-                       text_col: str = "comment", block_re: str = HAN_RE, other_re: str = OTHER_RE) -> DataFrame:
-    """(token, freq), most frequent first."""
-    cleaned = reviews.select(clean_text(F.col(text_col), "full").alias("text"))
-    words = segment_counts(cleaned, "text", dictionary, "full", block_re, other_re)
+                       block_re: str = HAN_RE) -> DataFrame:
+    """(token, freq), most frequent first, from :func:`cleaned_units` (a dictionary may be built from them too)."""
+    words = pieces_of_units(units, dictionary, "full", block_re)
     kept = words.where(not_stopped(F.col("piece"), stopwords, False) & not_stopped(F.col("piece"), exact_stopwords, True))
     return high_frequency_words(kept.select(F.col("piece").alias("token"), "freq"), min_count)

@@ -122,7 +122,7 @@ def test_rows_of_two_sources(spark):
 
 
 def test_flagship_job(spark):
-    from reviewkit.plans.high_frequency import high_frequency_job
+    from reviewkit.plans.high_frequency import cleaned_units, high_frequency_job
     df = spark.createDataFrame([("我来到北京iPhone <b>THE</b> the",), ("北京大学the",)], "comment string")
-    got = [(r.token, r.freq) for r in high_frequency_job(df, _dict(spark), ["the", "IPHONE"], ["我"], 1).collect()]
+    got = [(r.token, r.freq) for r in high_frequency_job(cleaned_units(df), _dict(spark), ["the", "IPHONE"], ["我"], 1).collect()]
     assert got == [("北京", 2), ("iPhone", 1), ("大学", 1), ("来到", 1)]
