@@ -503,7 +503,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
                                                              "u binary, v binary, links long"), "links")
 
     joined = components(links.select("u", "v"))
-    least = joined.join(classes, joined.node == classes.set).groupBy("component").agg(F.min("id").alias("least"))
+    least = stored(joined.join(classes, joined.node == classes.set).groupBy("component").agg(F.min("id").alias("least")), "least")
     found = (joined.join(least, "component")
              .join(links.groupBy("u").agg(F.sum("links").alias("links")), F.col("node") == F.col("u"))
              .select(F.col("node").alias("set"), "least", "links"))

@@ -212,7 +212,7 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
                             F.col("vec_id").isNotNull().alias("kept"))
     answers = stored(answers, "answers")
     joined = components(answers.select("u", "v"))
-    least = joined.join(classes, joined.node == classes.cls).groupBy("component").agg(F.min("id").alias("least"))
+    least = stored(joined.join(classes, joined.node == classes.cls).groupBy("component").agg(F.min("id").alias("least")), "least")
     tied = joined.join(least, "component").select(F.col("node").alias("cls"), "least")
     links = answers.groupBy(F.col("u").alias("cls")).agg(F.sum("links").alias("links"))
     # Stored, so that both sides of the last join are plain shuffles: a vector with many copies is split.
