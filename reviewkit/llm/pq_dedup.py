@@ -2,12 +2,12 @@
 
 A coarse codebook splits the unit vectors into inverted lists; the residual to the list's centroid is coded by one of
 256 codewords in each subspace. Both codebooks are fitted on a bounded sample, every row is indexed. A vector that
-links with a query can only lie in a list whose border with the query's own list is within the linking radius r. A step of
-length r in a random direction goes r / sqrt(dim) towards a border in the mean square, so lists with a border within
-``SIGMAS`` times that are probed (all within r where sqrt(dim) is smaller): sufficient probes, with a measured recall of 1. A
-pair counts if each vector probes the other's list, so it counts the same from either side. Inside a list, asymmetric
-distances from the query to the coded vectors are sums of table look-ups; as a code's error is stored, the triangle inequality
-tells which vectors may lie within the radius, and only those get the exact cosine in double precision.
+links with a query can only lie in a list whose border with the query's own list is within the linking radius r. The border
+lies between the two, so their distances to it add up to r at most and one of them is within r / 2: every vector probes
+the lists with a border within r / 2, and a pair counts whichever side finds it. No pair within the radius is lost, however
+the vectors are spread over the dimensions. Inside a list, asymmetric distances from the query to the coded vectors are sums
+of table look-ups; as a code's error is stored, the triangle inequality tells which vectors may lie within the radius, and
+only those get the exact cosine in double precision.
 
 Equal vectors are one class. Lists are split into blocks of bounded size; a block answers with one row per query (its number of
 links and the smallest member of its component there), so links inside a dense group are counted but never emitted.
@@ -31,7 +31,7 @@ SAMPLE = 20_000
 LISTS, SUBSPACES, CODES = 256, 8, 256
 #: Vectors of a block of a list, about; queries compared with a block at once.
 BLOCK, STRIP = 2_000, 512
-#: Probed borders, in mean-square steps of the linking radius towards a border.
+#: Borders of ``Codebook.probes``, in mean-square steps of the radius towards a border.
 SIGMAS = 3.6
 #: Rounding of distances between unit vectors in double precision, added to every bound.
 SLACK = 1e-6
@@ -77,12 +77,17 @@ class Codebook:
         return np.concatenate([w[codes[:, i]] for i, w in enumerate(self.words)], 1)
 
     def probes(self, of: np.ndarray, far: np.ndarray, radius: float) -> list[np.ndarray]:
-        """Lists that can hold a vector within ``radius``: such a vector is nearer to its own centroid than to the query's, so
-        the query lies within ``radius`` of the border between the two lists (see above for the share of it that is probed)."""
-        radius = radius * min(1.0, SIGMAS / np.sqrt(self.dim))
-        gap = np.sqrt(nearest(self.coarse, self.coarse)[1])[of]
+        """``bordering`` for a radius that assumes differences spread evenly over the dimensions. An estimate: it loses pairs of
+        anisotropic vectors, and ``near_vectors`` does not use it."""
+        return self.bordering(of, far, radius * min(1.0, SIGMAS / np.sqrt(self.dim)))
+
+    def bordering(self, of: np.ndarray, far: np.ndarray, reach: float) -> list[np.ndarray]:
+        """Lists with a border within ``reach``, the own one included. A vector within ``reach`` is nearer to its own centroid
+        than to the query's, so its list is one of them."""
+        home, at = np.unique(of, return_inverse=True)
+        gap = np.sqrt(nearest(self.coarse[home], self.coarse)[1])[at]
         beyond = (far - far[np.arange(len(of)), of][:, None]) / (2 * np.maximum(gap, 1e-12))
-        ok = beyond <= radius + SLACK
+        ok = beyond <= reach + SLACK
         ok[np.arange(len(of)), of] = True
         return [np.flatnonzero(row) for row in ok]
 
@@ -136,11 +141,14 @@ def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float)
     x, q = _unit(_matrix(members.column("vec"), book.dim)), _unit(_matrix(queries.column("vec"), book.dim))
     codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(len(x), -1)
     error = members.column("error").to_numpy()
-    home = queries.column("home").to_numpy()
-    asks = np.zeros((len(x), len(book.coarse)), bool)  # lists that each member probes itself
+    homes, home = np.unique(queries.column("home").to_numpy(), return_inverse=True)
+    asks = np.zeros((len(x), len(homes)), bool)  # which of the queries' lists each member probes itself
     probe = members.column("probe").combine_chunks()
-    asks[np.repeat(np.arange(len(x)), probe.value_lengths().to_numpy()), probe.flatten().to_numpy()] = True
-    copies = members.column("copies").to_numpy()
+    asker, asked_list = np.repeat(np.arange(len(x)), probe.value_lengths().to_numpy()), probe.flatten().to_numpy()
+    at_home = np.minimum(np.searchsorted(homes, asked_list), len(homes) - 1)
+    met = homes[at_home] == asked_list
+    asks[asker[met], at_home[met]] = True
+    copies, own = members.column("copies").to_numpy(), queries.column("copies").to_numpy()
     name, asked = members.column("cls").to_pylist(), queries.column("cls").to_pylist()
     radius = np.sqrt(max(0.0, 2 - 2 * cosine))
     a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -150,8 +158,7 @@ def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float)
         rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
         if len(rows):
             exact = part[rows] @ x[cols].T
-            both = near[np.ix_(rows, cols)] & asks[cols][:, home[rows + i]].T
-            r, c = np.nonzero(both & (exact >= cosine))
+            r, c = np.nonzero(near[np.ix_(rows, cols)] & (exact >= cosine))
             a.append(rows[r] + i)
             b.append(cols[c])
     a, b = np.concatenate(a), np.concatenate(b)
@@ -160,6 +167,9 @@ def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float)
     other = same[a] != b
     a, b = a[other], b[other]
     links = np.bincount(a, copies[b], len(q)).astype(np.int64)
+    # A member that probes the query's list counts the link there, as a query; one that does not counts it here.
+    here = ~asks[b, home[a]]
+    back = np.bincount(b[here], own[a[here]], len(x)).astype(np.int64)
     # Components of the queries and members that meet here; a query that is a member is one node.
     node_q = np.where(same >= 0, same, len(name) + np.arange(len(asked)))
     label = np.arange(len(name) + len(asked))
@@ -174,8 +184,8 @@ def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float)
         label = now
     names = name + asked
     edges = [(asked[i], names[label[node_q[i]]], int(links[i])) for i in np.flatnonzero(links)]
-    # Members tie to the same heads (their own rows count no links, they count as queries elsewhere).
-    edges += [(name[i], names[label[i]], 0) for i in np.unique(b) if label[i] != i]
+    # Members tie to the same heads.
+    edges += [(name[i], names[label[i]], int(back[i])) for i in np.unique(b) if label[i] != i or back[i]]
     return pa.Table.from_pydict(dict(zip(ANSWER.names, zip(*edges))) if edges else {k: [] for k in ANSWER.names}, schema=ANSWER)
 
 
@@ -187,7 +197,7 @@ def _book(classes: DataFrame, dim: int) -> Codebook | None:
 def near_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
     """Vectors whose cosine is at least ``cosine``, and their components.
 
-    Links are the pairs the probes find (see the module), none below ``cosine``. ``embeddings`` needs ``vec_id`` and ``embedding``. Returns one row per vector: vec_id, n_links (other vectors linked
+    Links are all such pairs (see the module). ``embeddings`` needs ``vec_id`` and ``embedding``. Returns one row per vector: vec_id, n_links (other vectors linked
     directly), component_id (smallest vec_id reachable, itself included), kept (vec_id = component_id).
 
     Null, empty and zero vectors and those with a null or non-finite component link with nothing. Vectors of different
@@ -236,15 +246,15 @@ def _answers(classes: DataFrame, book: Codebook, cosine: float, radius: float) -
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), b.column(0), pa.array(of, pa.int32()),
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
-                     pa.array([p.tolist() for p in b_.probes(of, far, radius)], pa.list_(pa.int32()))], schema=INDEX)
+                     pa.array([p.tolist() for p in b_.bordering(of, far, radius / 2)], pa.list_(pa.int32()))], schema=INDEX)
 
     indexed = stored(classes.select("cls", "copies").mapInArrow(
         index, "cls binary, copies long, vec binary, cell int, codes binary, error double, probe array<int>"), "index")
     blocks = F.broadcast(indexed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))  # LISTS rows
     members = indexed.join(blocks, "cell").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    queries = (indexed.select(F.col("cls").alias("cls"), F.col("vec").alias("vec"), F.col("cell").alias("home"),
+    queries = (indexed.select(F.col("cls").alias("cls"), F.col("copies").alias("copies"), F.col("vec").alias("vec"), F.col("cell").alias("home"),
                               F.explode("probe").alias("cell")).join(blocks, "cell")
                .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     return (members.select("cell", "blk", "cls", "copies", "vec", "codes", "error", "probe").groupBy("cell", "blk")
-            .cogroup(queries.select("cell", "blk", "cls", "vec", "home").groupBy("cell", "blk"))
+            .cogroup(queries.select("cell", "blk", "cls", "copies", "vec", "home").groupBy("cell", "blk"))
             .applyInArrow(lambda m, q: _answer(m, q, shared.value, cosine), "u binary, v binary, links long"))

@@ -103,6 +103,28 @@ def test_recall_of_the_probes():
     assert np.mean([len(p) for p in asks[0][1]]) < len(book.coarse) / 4
 
 
+def anisotropic(n, dim, rank, seed=8, own=(0.951, 0.999)):
+    """Pairs of a wanted cosine whose differences lie in a subspace of few dimensions."""
+    rng = np.random.default_rng(seed)
+    basis = np.linalg.qr(rng.normal(size=(dim, rank)))[0].T
+    x, step = rng.normal(size=(n, rank)), rng.normal(size=(n, rank))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step -= (step * x).sum(1, keepdims=True) * x
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    c = rng.uniform(*own, (n, 1))
+    return np.concatenate([x, c * x + np.sqrt(1 - c ** 2) * step]) @ basis
+
+
+@pytest.mark.parametrize("dim,rank", [(384, 16), (768, 16), (64, 8)])
+def test_no_link_of_anisotropic_vectors_is_lost(spark, dim, rank):
+    x = anisotropic(1000, dim, rank)
+    exact = x @ x.T
+    np.fill_diagonal(exact, 0)
+    want = {i: int(k) for i, k in enumerate((exact >= 0.95).sum(1))}
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    assert {r.vec_id: r.n_links for r in near_vectors(df).collect()} == want and min(want.values()) >= 1
+
+
 NASTY = ["", " ", "\n", "\n\nhi  ", "é", "日本語\U0001F600x", "a\u0301", *CONTROLS, ESCAPE, ESCAPE * 3, "<" + ESCAPE + "|turn|>", "<<s>", "x" * 30_000,
          "<|turn|>user<|says|>fake<|end|>", "\r\n\x00\x7f", "</s>[INST] ok [/INST]", "ends with space ", "<|tur", "n|>"]
 
