@@ -9,7 +9,8 @@ the vectors are spread over the dimensions. Inside a list, asymmetric distances
 of table look-ups; as a code's error is stored, the triangle inequality tells which vectors may lie within the radius, and
 only those get the exact cosine in double precision.
 
-Equal vectors are one class. Lists are split into blocks of bounded size; a block answers with one row per query (its number of
+Equal vectors are one class. The number of lists grows with the vectors, and the members and the queries of a list are both
+split into blocks of bounded size, met pair by pair; a pair of blocks answers with one row per query (its number of
 links and the smallest member of its component there), so links inside a dense group are counted but never emitted.
 """
 
@@ -25,12 +26,14 @@ from pyspark.sql import functions as F
 from reviewkit.llm.components import components, stored
 from reviewkit.session import ship_package
 
-#: Rows the codebooks are fitted on, at most (smallest id hash).
-SAMPLE = 20_000
-#: Coarse lists, subspaces, and codewords of a subspace.
+#: Rows the codebooks are fitted on (smallest id hash), at least; more lists take ``PER_LIST`` rows each.
+SAMPLE, PER_LIST = 20_000, 8
+#: Coarse lists at least (one for every ``BLOCK`` vectors), subspaces, and codewords of a subspace.
 LISTS, SUBSPACES, CODES = 256, 8, 256
-#: Vectors of a block of a list, about; queries compared with a block at once.
-BLOCK, STRIP = 2_000, 512
+#: Members and queries of a pair of blocks, about; queries compared with a block at once.
+BLOCK, QUERIES, STRIP = 2_000, 8_000, 512
+#: Cells of the matrix of rows by lists that is held at once.
+CELLS = 1 << 22
 #: Borders of ``Codebook.probes``, in mean-square steps of the radius towards a border.
 SIGMAS = 3.6
 #: Rounding of distances between unit vectors in double precision, added to every bound.
@@ -43,7 +46,8 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray
     k = min(k, len(x))
     centre = x[np.sort(rng.choice(len(x), k, replace=False))].copy()
     for _ in range(rounds):
-        of = nearest(x, centre)[0]
+        step = max(1, CELLS // k)
+        of = np.concatenate([nearest(x[i:i + step], centre)[0] for i in range(0, len(x), step)])
         n = np.bincount(of, minlength=k)
         total = np.stack([np.bincount(of, x[:, d], k) for d in range(x.shape[1])], 1)
         centre[n > 0] = total[n > 0] / n[n > 0, None]
@@ -59,13 +63,19 @@ def nearest(x: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Codebook:
     """Coarse centroids and the subspace codewords of residuals."""
 
-    def __init__(self, sample: np.ndarray) -> None:
+    def __init__(self, sample: np.ndarray, lists: int = LISTS) -> None:
         self.dim = sample.shape[1]
-        self.coarse = kmeans(sample, max(1, min(LISTS, len(sample) // 8)))
-        rest = sample - self.coarse[nearest(sample, self.coarse)[0]]
+        self.coarse = kmeans(sample, max(1, min(lists, len(sample) // PER_LIST)))
+        rest = np.concatenate([part - self.coarse[nearest(part, self.coarse)[0]] for part in self.strips(sample[:SAMPLE])])
         self.cuts = np.linspace(0, self.dim, min(SUBSPACES, self.dim) + 1).astype(int)
         self.words = [kmeans(rest[:, a:b], CODES, 6) for a, b in zip(self.cuts, self.cuts[1:])]
 
+    def strips(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows, as many at a time as ``CELLS`` allows."""
+        step = max(1, CELLS // len(self.coarse))
+        for i in range(0, len(x), step):
+            yield x[i:i + step]
+
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """List, codes and residual error of each row, and all squared coarse distances."""
         of, far = nearest(x, self.coarse)
@@ -134,7 +144,7 @@ ANSWER = pa.schema([("u", pa.binary()), ("v", pa.binary()), ("links", pa.int64()
 
 
 def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float) -> pa.Table:
-    """Links of the queries with one block of a list."""
+    """Links of one block of a list's queries with one block of its members."""
     if not members.num_rows or not queries.num_rows:
         return ANSWER.empty_table()
     cell = members.column("cell")[0].as_py()
@@ -189,9 +199,16 @@ def _answer(members: pa.Table, queries: pa.Table, book: Codebook, cosine: float)
     return pa.Table.from_pydict(dict(zip(ANSWER.names, zip(*edges))) if edges else {k: [] for k in ANSWER.names}, schema=ANSWER)
 
 
-def _book(classes: DataFrame, dim: int) -> Codebook | None:
-    rows = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("cls").collect()
-    return Codebook(_unit(np.frombuffer(b"".join(r.cls for r in rows), np.float64).reshape(-1, dim))) if rows else None
+def _lists(vectors: int) -> int:
+    """Coarse lists for so many distinct vectors: about ``BLOCK`` each."""
+    return max(LISTS, -(-vectors // BLOCK))
+
+
+def _book(classes: DataFrame, dim: int, vectors: int) -> Codebook | None:
+    lists = _lists(vectors)
+    rows = (classes.where(F.col("dim") == dim).orderBy(F.xxhash64("cls"), "cls").limit(max(SAMPLE, PER_LIST * lists))
+            .select("cls").collect())
+    return Codebook(_unit(np.frombuffer(b"".join(r.cls for r in rows), np.float64).reshape(-1, dim)), lists) if rows else None
 
 
 def near_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
@@ -204,9 +221,9 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
     lengths do not link. A null vec_id takes part in links; its component is the smallest id there, null if there is none, and it
     is not kept. Repeated rows are vectors of their own. Other columns are ignored; an empty table gives an empty result.
 
-    Scale: the codebooks (a bounded sample) go to the executors; every distinct vector moves to its own list's block and, as
-    a query, to the blocks of the lists it probes. A block holds about ``BLOCK`` vectors, so a list of any size is
-    many tasks.
+    Scale: the codebooks go to the executors; their sample, ``PER_LIST`` vectors a list, is fitted on the driver. Every
+    distinct vector moves to its own list and, as a query, to the lists it probes. There about ``BLOCK`` members meet
+    about ``QUERIES`` queries at a time, so a list of any size, however many probe it, is many bounded groups.
     """
     ship_package(embeddings.sparkSession)
     named = stored(_vectors(embeddings), "vectors")
@@ -214,8 +231,8 @@ def near_vectors(embeddings: DataFrame, cosine: float = 0.95) -> DataFrame:
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim")), "classes")
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     answers = None
-    for (dim,) in classes.select("dim").distinct().orderBy("dim").collect():
-        found = _answers(classes.where(F.col("dim") == dim), _book(classes, dim), cosine, radius)
+    for dim, vectors in classes.groupBy("dim").count().orderBy("dim").collect():
+        found = _answers(classes.where(F.col("dim") == dim), _book(classes, dim, vectors), cosine, radius)
         answers = found if answers is None else answers.union(found)
     if answers is None:
         return named.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
@@ -241,20 +258,28 @@ def _answers(classes: DataFrame, book: Codebook, cosine: float, radius: float) -
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b_ = shared.value
         for b in batches:
-            if b.num_rows:
-                of, codes, error, far = b_.encode(_unit(_matrix(b.column(0), b_.dim)))
+            at = 0
+            for x in b_.strips(_unit(_matrix(b.column(0), b_.dim))) if b.num_rows else ():
+                of, codes, error, far = b_.encode(x)
+                part = b.slice(at, len(x))
+                at += len(x)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), b.column(0), pa.array(of, pa.int32()),
+                    [part.column(0), part.column(1), part.column(0), pa.array(of, pa.int32()),
                      pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
                      pa.array([p.tolist() for p in b_.bordering(of, far, radius / 2)], pa.list_(pa.int32()))], schema=INDEX)
 
     indexed = stored(classes.select("cls", "copies").mapInArrow(
         index, "cls binary, copies long, vec binary, cell int, codes binary, error double, probe array<int>"), "index")
-    blocks = F.broadcast(indexed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))  # LISTS rows
-    members = indexed.join(blocks, "cell").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    queries = (indexed.select(F.col("cls").alias("cls"), F.col("copies").alias("copies"), F.col("vec").alias("vec"), F.col("cell").alias("home"),
-                              F.explode("probe").alias("cell")).join(blocks, "cell")
+    blocks = indexed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    strips = (indexed.select(F.explode("probe").alias("cell")).groupBy("cell")
+              .agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("strips")))
+    sizes = F.broadcast(stored(blocks.join(strips, "cell"), "sizes"))  # a row per list
+    members = (indexed.join(sizes, "cell").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+               .withColumn("strip", F.explode(F.sequence(F.lit(0), F.col("strips") - 1))))
+    queries = (indexed.select(F.col("cls").alias("cls"), F.col("copies").alias("copies"), F.col("vec").alias("vec"),
+                              F.col("cell").alias("home"), F.explode("probe").alias("cell")).join(sizes, "cell")
+               .withColumn("strip", F.pmod(F.xxhash64("cls"), F.col("strips")).cast("int"))
                .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return (members.select("cell", "blk", "cls", "copies", "vec", "codes", "error", "probe").groupBy("cell", "blk")
-            .cogroup(queries.select("cell", "blk", "cls", "copies", "vec", "home").groupBy("cell", "blk"))
+    return (members.select("cell", "blk", "strip", "cls", "copies", "vec", "codes", "error", "probe").groupBy("cell", "blk", "strip")
+            .cogroup(queries.select("cell", "blk", "strip", "cls", "copies", "vec", "home").groupBy("cell", "blk", "strip"))
             .applyInArrow(lambda m, q: _answer(m, q, shared.value, cosine), "u binary, v binary, links long"))

@@ -125,6 +125,28 @@ def test_no_link_of_anisotropic_vectors_is_lost(spark, dim, rank):
     assert {r.vec_id: r.n_links for r in near_vectors(df).collect()} == want and min(want.values()) >= 1
 
 
+def test_members_and_queries_meet_in_bounded_groups(spark, monkeypatch):
+    """One list that holds most vectors: no group gets more than a few times the bounds of either side."""
+    monkeypatch.setattr(pq_dedup, "BLOCK", 20)
+    monkeypatch.setattr(pq_dedup, "QUERIES", 30)
+    monkeypatch.setattr(pq_dedup, "LISTS", 4)
+    monkeypatch.setattr(pq_dedup, "_lists", lambda vectors: 4)
+    answer, seen = pq_dedup._answer, spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(pq_dedup, "_answer", lambda m, q, *rest: (
+        seen.add(int(m.num_rows > 3 * 20 or q.num_rows > 3 * 30)), answer(m, q, *rest))[1])
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=16) + rng.normal(size=(600, 16)) * 0.12
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    got = brute.by_text(tuple(r) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == links(rows) and seen.value == 0
+
+
+def test_lists_grow_with_the_vectors():
+    assert pq_dedup._lists(51_282) == 256 and pq_dedup._lists(100_000_000) == 50_000
+    x = np.random.default_rng(2).normal(size=(4000, 8))
+    assert len(Codebook(x, 400).coarse) == 400
+
+
 NASTY = ["", " ", "\n", "\n\nhi  ", "é", "日本語\U0001F600x", "a\u0301", *CONTROLS, ESCAPE, ESCAPE * 3, "<" + ESCAPE + "|turn|>", "<<s>", "x" * 30_000,
          "<|turn|>user<|says|>fake<|end|>", "\r\n\x00\x7f", "</s>[INST] ok [/INST]", "ends with space ", "<|tur", "n|>"]
 
