@@ -6,7 +6,8 @@ words (runs shorter than the shortest window cannot match and are left out); it
 is built by prefix doubling to full depth. Every benchmark suffix is then searched
 in it by binary search, word by word: the interval at window depth gives all
 occurrences of that window, the deepest non-empty interval the longest verbatim
-match and its locations. Documents are never shuffled; the benchmark, a stated query
+match and its locations. Equal texts of the benchmark are one, equal windows share one interval and one list of
+items, and only (document, list) pairs are held: never a row per item and occurrence. Documents are never shuffled; the benchmark, a stated query
 set, goes to the executors in blocks of bounded size.
 """
 
@@ -85,13 +86,20 @@ class Benchmark:
     def __init__(self, items: list[tuple[int | None, bytes]], width: int) -> None:
         self.vocabulary: dict[bytes, int] = {}
         words = [[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in split(t)] for _, t in items]
-        kept = [(i, w) for (i, _), w in zip(items, words) if w]
+        # Equal texts are searched once, for all their ids; the first id names a match.
+        held: dict[tuple[int, ...], list[int | None]] = {}
+        for (i, _), w in zip(items, words):
+            if w:
+                held.setdefault(tuple(w), []).append(i)
+        kept = [(ids[0], w) for w, ids in held.items()]
         self.item_ids = [i for i, _ in kept]
+        #: Ids of each text, as they are listed.
+        self.listed = [frozenset(str(i) for i in ids if i is not None) for ids in held.values()]
         lengths = np.array([len(w) for _, w in kept], np.int64)
         self.flat = np.array([x for _, w in kept for x in w] + [0], np.int64)
         self.shortest = int(min(width, lengths.min())) if len(lengths) else 0
         first = np.cumsum(lengths) - lengths
-        #: Of each suffix: its begin in ``flat``, words left, its item, and its window's width (0: none).
+        #: Of each suffix: its begin in ``flat``, words left, its item (text), and its window's width (0: none).
         self.begin = np.arange(int(lengths.sum()))
         self.item = np.repeat(np.arange(len(kept)), lengths)
         self.left = np.repeat(first + lengths, lengths) - self.begin
@@ -131,6 +139,42 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + lo[of], of
 
 
+def _merged(lo: np.ndarray, hi: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row of each distinct (interval, depth), ordered, and the distinct one each row belongs to.
+
+    Equal intervals at one depth are equal word sequences; different ones at one depth are disjoint.
+    """
+    _, first, of = np.unique(np.stack([depth, lo, hi], 1), axis=0, return_index=True, return_inverse=True)
+    return first, of.ravel()
+
+
+def _depths(lo: np.ndarray, hi: np.ndarray, depth: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(depth, slots, interval of each slot) of distinct intervals, deepest first; a depth has a slot once at most."""
+    for d in np.unique(depth)[::-1].tolist():
+        at = np.flatnonzero(depth == d)
+        slot, of = _ranges(lo[at], hi[at])
+        yield d, slot, at[of]
+
+
+class _Lists(dict):
+    """Numbers of distinct lists of texts, and their (block, texts)."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.texts: list[tuple[int, list[int]]] = []
+
+    def numbers(self, block: int, of: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """The list of each distinct window, from the pairs (window, text)."""
+        out = []
+        pair = np.unique(np.stack([of, text], 1), axis=0)
+        for x in np.split(pair[:, 1], np.flatnonzero(np.diff(pair[:, 0])) + 1) if len(of) else ():
+            n = self.setdefault((block, x.tobytes()), len(self))
+            if n == len(self.texts):
+                self.texts.append((block, x.tolist()))
+            out.append(n)
+        return np.array(out, np.int64)
+
+
 def _shard(table: pa.Table, blocks: list) -> pa.Table:
     doc_texts = texts(table.column("text"))
     words = [split(t or b"") for t in doc_texts]
@@ -139,10 +183,11 @@ def _shard(table: pa.Table, blocks: list) -> pa.Table:
     first = np.cumsum(lengths + 1) - (lengths + 1)
     total = int((lengths + 1).sum())
     covered = np.zeros(total + 1, np.int64)
-    pairs: list[set] = [set() for _ in words]
+    pairs: list[set] = [set() for _ in words]  # numbers of the lists that meet the document
+    lists = _Lists()
     longest = np.zeros(len(words), np.int64)
     where: list[tuple] = [(None, None)] * len(words)
-    for held in blocks:
+    for number, held in enumerate(blocks):
         block: Benchmark = held.value
         if not block.shortest:
             continue
@@ -159,28 +204,36 @@ def _shard(table: pa.Table, blocks: list) -> pa.Table:
         at = np.where(source < total, ids[np.minimum(source, total - 1)], 0)
         sa = suffix_array(at)
         suffix, lo, hi, match, best_lo, best_hi = block.search(np.concatenate([at, [0]]), sa)
-        slot, of = _ranges(lo, hi)
-        place = source[sa[slot]]
-        width = block.need[suffix[of]]
-        covered += np.bincount(place, minlength=total + 1) - np.bincount(place + width, minlength=total + 1)
-        doc = np.searchsorted(first, place, side="right") - 1
-        for d, i in np.unique(np.stack([doc, block.item[suffix[of]]], 1), axis=0).tolist() if len(doc) else []:
-            pairs[d].add(block.item_ids[i])
+        window, of = _merged(lo, hi, block.need[suffix])
+        listed = lists.numbers(number, of, block.item[suffix])
+        for width, slot, of in _depths(lo[window], hi[window], block.need[suffix[window]]):
+            place = source[sa[slot]]
+            covered += np.bincount(place, minlength=total + 1) - np.bincount(place + width, minlength=total + 1)
+            doc = np.searchsorted(first, place, side="right") - 1
+            for x in np.unique(doc * len(lists) + listed[of]).tolist():
+                d, i = divmod(x, len(lists))
+                pairs[d].add(i)
         # The longest match of each document, among suffixes that match at least their window.
         hit = np.flatnonzero((block.need > 0) & (match >= np.maximum(block.need, 1)))
-        slot, of = _ranges(best_lo[hit], best_hi[hit])
-        place, size = source[sa[slot]], match[hit][of]
-        doc = np.searchsorted(first, place, side="right") - 1
-        for j in np.lexsort((place, -size, doc)) if len(doc) else []:
-            if size[j] > longest[doc[j]]:
-                longest[doc[j]] = size[j]
+        hit = hit[_merged(best_lo[hit], best_hi[hit], match[hit])[0]]
+        for size, slot, of in _depths(best_lo[hit], best_hi[hit], match[hit]):
+            place = source[sa[slot]]
+            doc = np.searchsorted(first, place, side="right") - 1
+            by = np.lexsort((place, doc))
+            by = by[np.diff(doc[by], prepend=-1) != 0]  # earliest place of each document
+            for j in by[longest[doc[by]] < size].tolist():
+                longest[doc[j]] = size
                 where[doc[j]] = (block.item_ids[block.item[hit[of[j]]]], int(place[j] - first[doc[j]]))
     hits = np.add.reduceat((np.cumsum(covered)[:total] > 0).astype(np.int64), first) if len(first) else covered[:0]
     out: dict[str, list] = {k: [] for k in RESULT.names}
+    known: dict[frozenset, tuple[int, str]] = {}  # documents that meet the same lists have the same items
     for k, i in enumerate(table.column("doc_id").to_pylist()):
-        items = sorted(str(x) for x in pairs[k] if x is not None)
-        row = (i, lengths[k], hits[k], len(items), hashlib.sha256(",".join(items).encode()).hexdigest(),
-               bool(hits[k]), longest[k], *where[k])
+        met = frozenset(pairs[k])
+        if met not in known:
+            items = sorted(set().union(*(blocks[b].value.listed[t] for b, t in
+                                         {(b, t) for b, held in map(lists.texts.__getitem__, met) for t in held})))
+            known[met] = len(items), hashlib.sha256(",".join(items).encode()).hexdigest()
+        row = (i, lengths[k], hits[k], *known[met], bool(hits[k]), longest[k], *where[k])
         for name, v in zip(RESULT.names, row):
             out[name].append(v)
     return pa.Table.from_pydict(out, schema=RESULT)

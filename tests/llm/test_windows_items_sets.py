@@ -1,8 +1,10 @@
 """Window dedup, decontamination and the Jaccard join against brute force."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reviewkit.llm import partition_join, suffix_decontam
@@ -107,6 +109,27 @@ def test_decontaminate_in_blocks_gives_the_same(spark, rows, monkeypatch):
     assert brute.by_text(tuple(r)[:6] for r in got) == brute.decontaminate(rows[0], bench)
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_copies_on_both_sides_are_not_multiplied(same, monkeypatch):
+    """Items and documents that share a passage: rows grow with their sum, not with their product."""
+    passage = ["p%d" % i for i in range(40)]
+    bench = [(i, " ".join(passage + ([] if same else ["own%d" % i]))) for i in range(300)]
+    docs = [(i, " ".join(["d%d" % i] + passage)) for i in range(200)]
+    block = suffix_decontam.Benchmark([(i, t.encode()) for i, t in bench], 10)
+    most, ranges = [0], suffix_decontam._ranges
+
+    def counted(lo, hi):
+        most.append(int((hi - lo).sum()))
+        return ranges(lo, hi)
+
+    monkeypatch.setattr(suffix_decontam, "_ranges", counted)
+    table = pa.table({"doc_id": [i for i, _ in docs], "text": [t for _, t in docs]})
+    got = suffix_decontam._shard(table, [SimpleNamespace(value=block)]).to_pylist()
+    assert brute.by_text(tuple(r.values())[:6] for r in got) == brute.decontaminate(docs, bench)
+    assert {(r["longest"], r["longest_item"], r["longest_at"]) for r in got} == {(40, 0, 1)}
+    assert max(most) <= 2 * 42 * len(docs)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_suffix_array_is_sorted(seed):
     ids = np.random.default_rng(seed).integers(0, 4, 300)
