@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reviewkit.llm.partition_join import jaccard_components
 from reviewkit.llm.poisson_mix import replicate
@@ -38,18 +37,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each near-duplicate group.
 
-    Documents without id or without text are no duplicates of anything and stay.
+    Null and repeated ids are judged by row. Documents without words are no duplicates of anything and stay.
     """
-    found = jaccard_components(docs, SHINGLE_WORDS, SIMILARITY)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone["__gone"], "left_anti").select(*docs.columns)
+    return jaccard_components(docs, SHINGLE_WORDS, SIMILARITY, keep=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["__gone"]), "left_anti").select(*docs.columns)
+    found = decontaminate(docs, _table(spark, sf_dir, "benchmark"), keep=True)
+    return found.where("not __contaminated").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,7 +172,7 @@ def folded(sketches: list[bytes]) -> np.ndarray:
 
 
 NAMED = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()),
-                   ("set", pa.binary()), ("short", pa.int64()), ("sketch", pa.binary())])
+                   ("set", pa.binary()), ("short", pa.int64()), ("sketch", pa.binary()), ("text_hash", pa.int64())])
 
 
 def _named(docs: DataFrame, k: int) -> DataFrame:
@@ -186,9 +186,10 @@ def _named(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in found], pa.int64()),
                  pa.array(names, pa.binary()), pa.array(short, pa.int64()),
-                 pa.array([sketch(s) if len(s) else None for s in found], pa.binary())], schema=NAMED)
+                 pa.array([sketch(s) if len(s) else None for s in found], pa.binary()), b.column(3)], schema=NAMED)
 
-    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, set binary, short long, sketch binary")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, key long, n_shingles long, set binary, short long, sketch binary, text_hash long")
 
 
 SIGNED = pa.schema([("bucket", pa.int32()), ("hot", pa.bool_()), ("n", pa.int32()), ("sigs", pa.binary()), ("sets", pa.binary())])
@@ -458,13 +459,42 @@ def _block_links(table: pa.Table, k: int, t: int) -> pa.Table:
                                  "links": degree[some].astype(np.int64)}, schema=LINKS)
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
+def _one_each(docs: DataFrame, named: DataFrame, classed: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with the empty set, and one row of each component.
+
+    A row's set follows from its text, so rows are told apart by id and text hash; rows equal in both by their other columns.
+    """
+    own = [F.col(c) for c in docs.columns]
+    rows = stored(named.where("set is not null").groupBy("doc_id", "text_hash", "set").agg(
+        F.count(F.lit(1)).alias("rows")), "rows")
+    rooted = stored(rows.join(classed.select("set", "root"), "set").select("doc_id", "text_hash", "rows", "root"), "rooted")
+    first = stored(rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "rows")).alias("f"))
+                   .select("root", F.col("f.doc_id").alias("first_id"), F.col("f.text_hash").alias("first_hash")), "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    judged = stored(rooted.join(first, "root").select(F.col("doc_id").alias("__of_id"), F.col("text_hash").alias("__of_hash"),
+                                                      stays.alias("__stays"), "rows")
+                    .where("not __stays or rows > 1").select("__of_id", "__of_hash", "__stays"), "judged")
+    keyed = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("long").alias("__id"),
+                        F.xxhash64(F.col("text").cast("string")).alias("__hash"))
+    same = F.col("__id").eqNullSafe(F.col("__of_id")) & (F.col("__hash") == F.col("__of_hash"))
+    single = keyed.join(judged, same, "left_anti").select("row.*")
+    repeated = judged.where("__stays")
+    if repeated.isEmpty():
+        return single
+    # Folded before the shuffle, so a row with many copies is one row a task.
+    once = (keyed.join(repeated, same, "left_semi").groupBy("__id", "__hash")
+            .agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
+    return single.union(once)
+
+
+def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90, keep: bool = False) -> DataFrame:
     """Documents whose shingle sets satisfy 100 * intersection >= ``t`` * union, and their components.
 
     Words are the text's runs without white space, A-Z lower-cased; the set holds the distinct
     ``k``-word shingles (as 64-bit hashes), or the whole sequence when there are fewer words. Returns one row
     per document: doc_id, n_shingles, n_links (other documents directly linked), component_id (smallest
-    doc_id reachable, itself included).
+    doc_id reachable, itself included). With ``keep``, the input's rows that stay, with their columns: one row of each
+    component (smallest id, null ids last, then text hash), whether its ids are null or repeat, and all rows with the empty set.
 
     Null and empty texts have the empty set and link with nothing. A document without id takes part in
     links and gets the smallest id of its component, null if there is none. Repeated rows are documents of
@@ -475,7 +505,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     that are compared block against block.
     """
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    given, docs = docs, docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("key"), "text")
     named = stored(_named(docs, k), "sets")
     classes = named.where("set is not null").groupBy("set").agg(
@@ -506,11 +536,13 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90) -> DataFrame:
     least = stored(joined.join(classes, joined.node == classes.set).groupBy("component").agg(F.min("id").alias("least")), "least")
     found = (joined.join(least, "component")
              .join(links.groupBy("u").agg(F.sum("links").alias("links")), F.col("node") == F.col("u"))
-             .select(F.col("node").alias("set"), "least", "links"))
+             .select(F.col("node").alias("set"), F.col("component").alias("root"), "least", "links"))
     # Stored, so that both sides of the next join are plain shuffles: a set with many copies is split.
     classed = stored(classes.join(found, "set", "left").select(
         "set", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("least", "id").alias("component")), "classed")
+        F.coalesce("least", "id").alias("component"), F.coalesce("root", "set").alias("root")), "classed")
+    if keep:
+        return _one_each(given, named, classed)
     return named.join(classed, "set", "left").select(
         "doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("component", "doc_id").alias("component_id"))

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reviewkit.llm.words import gathered, texts
 from reviewkit.session import ship_package
@@ -239,14 +240,15 @@ def _shard(table: pa.Table, blocks: list) -> pa.Table:
     return pa.Table.from_pydict(out, schema=RESULT)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, keep: bool = False) -> DataFrame:
     """Verbatim benchmark windows in every document.
 
     A window is ``width`` consecutive words of an item; an item of fewer words is one
     window, an item without words has none. Returns one row per document: doc_id, n_words,
     n_hit (words inside any occurrence), n_items, items_sha256 (ids sorted as strings,
     comma-joined), contaminated, and the longest verbatim match: its length in words, item and
-    word position (0 / null without a hit; ties: the earliest position).
+    word position (0 / null without a hit; ties: the earliest position). With ``keep``, the input's rows and columns and
+    __contaminated, each row judged by its own text.
 
     Null or empty texts have no words, so they neither hit nor are hit. A null item_id's
     windows mark hits but are not listed; repeated item ids count once. Repeated
@@ -269,6 +271,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         for table in gathered(batches, "text", SHARD_BYTES):
             yield from _shard(table, blocks).to_batches()
 
+    if keep:
+        own = [c for c in docs.columns if c.lower() != "__contaminated"]
+        text = next(c for c in own if c.lower() == "text")
+        rows = docs.select(*own).withColumn(text, F.col(text).cast("string"))
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in gathered(batches, text, SHARD_BYTES):
+                judged = _shard(pa.table({"doc_id": pa.nulls(table.num_rows, pa.int64()), "text": table.column(text)}), blocks)
+                yield from table.append_column("__contaminated", judged.column("contaminated")).to_batches()
+
+        return rows.mapInArrow(mark, StructType([*rows.schema.fields, StructField("__contaminated", BooleanType())]))
+
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
              "contaminated boolean, longest long, longest_item long, longest_at long")

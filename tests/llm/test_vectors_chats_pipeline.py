@@ -231,6 +231,26 @@ def test_stages_take_nulls_empty_tables_and_extra_columns(spark):
     assert corpus_pipeline.near_duplicates(spark, odd, SF).where("doc_id IS NULL").count() == 5
 
 
+def test_stages_judge_rows_not_ids(spark):
+    """Null and repeated ids: each row goes or stays by its own text, and a group keeps one row."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    words = lambda seed, n=60: " ".join(random.Random(seed).choice("abcdefghij") + str(random.Random(seed * 1000 + j).randrange(10 ** 6))
+                                        for j in range(n))
+    leak = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len((r.text or "").split()) >= 10)
+    rows = [(None, words(1)), (None, words(2)), (None, leak + " " + words(3)), (7, words(4)), (7, words(5) + " " + leak), (8, words(6))]
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], docs.schema)
+    text = lambda df: brute.by_text((r.doc_id, r.text) for r in df.collect())
+    assert text(corpus_pipeline.decontamination(spark, frame(rows), SF)) == brute.by_text([rows[0], rows[1], rows[3], rows[5]])
+    near = words(1) + " end"
+    rows = [(None, words(1)), (None, words(1)), (None, near), (None, words(2)), (5, words(3)), (None, words(3)), (6, words(3) + " x"),
+            (7, words(4)), (7, words(4)), (7, words(5)), (7, words(5).upper()), (8, words(6)), (None, None), (None, None), (9, "")]
+    got = text(corpus_pipeline.near_duplicates(spark, frame(rows), SF))
+    fixed = [(None, words(2)), (5, words(3)), (7, words(4)), (8, words(6)), (None, None), (None, None), (9, "")]
+    assert [x for x in got if x in fixed] == brute.by_text(fixed) and len(got) == len(fixed) + 2
+    left = [x for x in got if x not in fixed]
+    assert sum(x in [(None, words(1)), (None, near)] for x in left) == sum(x in [(7, words(5)), (7, words(5).upper())] for x in left) == 1
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
