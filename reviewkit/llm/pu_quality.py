@@ -153,9 +153,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     def rows(text: pa.Array) -> pa.Array:
         return pa.array([features(t).tobytes() for t in texts(text)], pa.binary())
 
-    # At most POSITIVES + UNLABELLED ids.
+    # At most POSITIVES + UNLABELLED ids, and one row of each: the smallest text hash.
     got = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-           .join(F.broadcast(chosen), "doc_id")
+           .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "p", "u")
+           .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
            .select("doc_id", "p", "u", rows("text").alias("x")).orderBy("doc_id", "x").collect())
     x = np.frombuffer(b"".join(r.x for r in got), np.float32).reshape(-1, FEATURES)
     is_p, is_u = np.array([r.p == 1 for r in got], bool), np.array([r.u == 0 for r in got], bool)
@@ -173,8 +174,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: bool = False) -> Dat
     is no trusted positive. Without trusted positives every score is 0.5. Repeated rows score alike; an empty table
     gives an empty result.
 
-    Scale: one pass to find the sample's ids (a bounded top-k per task), one to read their texts, one to score; no
-    text is shuffled.
+    Scale: one pass to find the sample's ids (a bounded top-k per task), one to read their texts, one to score; only
+    the sample's texts are shuffled, one of each id and task at most.
     """
     ship_package(docs.sparkSession)
     model = train(docs, labels)

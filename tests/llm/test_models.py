@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewkit.llm import mixing_lm
+from reviewkit.llm import mixing_lm, pu_quality
 from reviewkit.llm.mixing_lm import Counts, Mixer, Model, Vocabulary, bits_of, score_texts
 from reviewkit.llm.pu_quality import FEATURES, estimate_prior, features, fit, score_quality
 from tests.llm import brute
@@ -63,6 +63,17 @@ def test_quality_never_reads_held_out_labels_other_columns_or_negatives(spark):
     assert one == two
 
 
+def test_quality_is_fitted_on_one_row_of_an_id(spark, monkeypatch):
+    docs, labels = good_and_bad(200)
+    hot = next(i for i, q, _ in labels if q == 1 and not held(i, 5, 0))
+    rows = docs + [(hot, "copy %d of the id" % k) for k in range(100)]
+    seen = []
+    monkeypatch.setattr(pu_quality, "fit", lambda p, u: seen.append((len(p), len(u))) or fit(p, u))
+    score_quality(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    ids = {i for i, _ in docs if not held(i, 5, 0)}
+    assert seen == [(sum(q == 1 and i in ids for i, q, _ in labels), len(ids))]
+
+
 def test_quality_without_positives_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, quality int")
