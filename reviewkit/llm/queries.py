@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reviewkit.llm.chat_mask import format_chats
 from reviewkit.llm.mixing_lm import score_texts
 from reviewkit.llm.partition_join import jaccard_components
+from reviewkit.llm.phrases import mine_phrases
 from reviewkit.llm.poisson_mix import replicate
 from reviewkit.llm.pq_dedup import near_vectors
 from reviewkit.llm.pu_quality import score_quality
@@ -84,9 +85,13 @@ def op10_chat_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(chats, TOKENIZER).drop("formatted", "input_ids", "loss_mask")
 
 
+def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pu_quality, op2_url_rules, op3_window_dedup, op4_virtual_slots, op5_mixing_lm, op6_pq_dedup,
-                               op7_suffix_decontam, op8_partition_join, op9_poisson_mix, op10_chat_mask)
+                               op7_suffix_decontam, op8_partition_join, op9_poisson_mix, op10_chat_mask, op11_setm_phrases)
 }
 
 def _url_sql() -> str:
@@ -127,4 +132,31 @@ SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, copies::INTEG
        md5('order {seed}:' || doc_id || ':' || copy) AS shuffle_key FROM copied"""
 
 
-ORACLE: dict[str, str] = {"op2_url_rules": _url_sql(), "op9_poisson_mix": _mix_sql()}
+def _phrase_sql(least: int = 100, width: int = 5, share: int = 100, top: int = 2000) -> str:
+    """Every phrase of every piece written out and counted; the covering test over all sub-phrases of all lengths."""
+    return f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, {width + 1}) AS t(k)),
+f AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS a FROM starts
+      GROUP BY ALL HAVING count(*) >= {least}),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM cand),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.cut, x.a AS l, y.a AS r, n, ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(w, cut + 1, c.k), ' ') JOIN sizes s ON s.lang = c.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM scored),
+inner_starts AS (SELECT lang, a, k, w, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, {width}) AS t(m) WHERE m < k),
+covered AS (SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(a) AS longer FROM inner_starts GROUP BY ALL),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+  FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE nth = 1 AND (longer IS NULL OR 100 * longer < {share} * a))
+SELECT * FROM ranked WHERE rank <= {top}"""
+
+
+ORACLE: dict[str, str] = {"op2_url_rules": _url_sql(), "op9_poisson_mix": _mix_sql(), "op11_setm_phrases": _phrase_sql()}
