@@ -20,6 +20,7 @@ from reviewkit.llm.pq_dedup import near_vectors
 from reviewkit.llm.pu_quality import score_quality
 from reviewkit.llm.slots import assign_shards
 from reviewkit.llm.suffix_decontam import decontaminate
+from reviewkit.llm.turn_repair import repair_chats
 from reviewkit.llm.url_rules import judge_urls
 from reviewkit.llm.window_dedup import dedup_windows
 
@@ -89,9 +90,15 @@ def op11_setm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_phrases(_table(spark, sf_dir, "documents"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the contract's rule and repaired."""
+    return repair_chats(_table(spark, sf_dir, "conversations"), damage=True).drop("repaired")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pu_quality, op2_url_rules, op3_window_dedup, op4_virtual_slots, op5_mixing_lm, op6_pq_dedup,
-                               op7_suffix_decontam, op8_partition_join, op9_poisson_mix, op10_chat_mask, op11_setm_phrases)
+                               op7_suffix_decontam, op8_partition_join, op9_poisson_mix, op10_chat_mask, op11_setm_phrases,
+                               op12_turn_repair)
 }
 
 def _url_sql() -> str:
@@ -159,4 +166,75 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= {top}"""
 
 
-ORACLE: dict[str, str] = {"op2_url_rules": _url_sql(), "op9_poisson_mix": _mix_sql(), "op11_setm_phrases": _phrase_sql()}
+def _repair_sql() -> str:
+    """Damage and faults by expressions; the cheapest audit for every state, row after row, in a recursive table."""
+    return r"""
+WITH RECURSIVE crc_bits(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8),
+source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+keyed AS (
+  SELECT key, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 20 AS kind
+  FROM (SELECT DISTINCT key FROM source), crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM source JOIN keyed USING (key)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM damaged),
+chat_rows AS (
+  SELECT coalesce(conv_id::VARCHAR, '') AS c, i, turn, role, text, CASE WHEN role = '' THEN ' ' ELSE role[1] END AS ch,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM placed),
+sizes AS (SELECT DISTINCT coalesce(s.conv_id::VARCHAR, '') AS c, s.conv_id, coalesce(n, 0) AS n FROM source s
+          LEFT JOIN (SELECT c, count(*) AS n FROM chat_rows GROUP BY c) x ON x.c = coalesce(s.conv_id::VARCHAR, '')),
+-- States: 0 nothing written, 1 after system, 2 after user, 3 after assistant.
+added(q0, q, letters) AS (VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (1, 2, 'I'), (3, 2, 'I'), (2, 3, 'I'),
+                                 (0, 3, 'II'), (1, 3, 'II')),
+used(q0, letter, ch, q, price) AS (VALUES
+  (0, 'D', NULL, 0, 4), (1, 'D', NULL, 1, 4), (2, 'D', NULL, 2, 4), (3, 'D', NULL, 3, 4), (0, 'R', NULL, 2, 3), (1, 'R', NULL, 2, 3),
+  (2, 'R', NULL, 3, 3), (3, 'R', NULL, 2, 3), (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0),
+  (2, 'K', 'a', 3, 0)),
+moves AS (SELECT a.q0, u.q, a.letters || u.letter AS letters, u.letter, u.ch, u.price + 3 * length(a.letters) AS price
+          FROM added a JOIN used u ON u.q0 = a.q),
+walk(c, i, q, cost, audit) AS (
+  SELECT c, 0::BIGINT, 0, 0::BIGINT, '' FROM sizes
+  UNION ALL
+  SELECT c, i, q, cost, audit FROM (
+    SELECT r.c, r.i, m.q, w.cost + m.price + CASE WHEN r.fault = 3 AND m.letter <> 'D' THEN 3 ELSE 0 END AS cost, w.audit || m.letters AS audit,
+           row_number() OVER (PARTITION BY r.c, m.q ORDER BY w.cost + m.price + CASE WHEN r.fault = 3 AND m.letter <> 'D' THEN 3 ELSE 0 END,
+                              w.audit || m.letters) AS nth
+    FROM walk w JOIN chat_rows r ON r.c = w.c AND r.i = w.i + 1 JOIN moves m ON m.q0 = w.q
+    WHERE (m.letter = 'D' OR r.fault IN (0, 3)) AND (m.ch IS NULL OR m.ch = r.ch)) WHERE nth = 1),
+ends AS (SELECT s.c, w.cost + 3 * length(a.letters) AS cost, w.audit || a.letters AS audit
+         FROM sizes s JOIN walk w ON w.c = s.c AND w.i = s.n JOIN added a ON a.q0 = w.q AND a.q IN (0, 3)),
+best AS (SELECT c, cost, audit FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY cost, audit) AS nth FROM ends) WHERE nth = 1),
+apply(c, p, i, q, role, text) AS (
+  SELECT c, 0::BIGINT, 0::BIGINT, 0, NULL::VARCHAR, NULL::VARCHAR FROM best
+  UNION ALL
+  SELECT a.c, a.p + 1, a.i + CASE WHEN l = 'I' THEN 0 ELSE 1 END,
+         CASE WHEN l = 'D' THEN a.q WHEN l = 'K' AND a.q = 0 AND r.ch = 's' THEN 1 WHEN a.q = 2 THEN 3 ELSE 2 END,
+         CASE WHEN l = 'D' THEN NULL WHEN l = 'K' THEN r.role WHEN a.q = 2 THEN 'assistant' ELSE 'user' END,
+         CASE WHEN l = 'D' THEN NULL WHEN l = 'I' THEN '' ELSE r.text END
+  FROM (SELECT a.*, b.audit[a.p + 1] AS l FROM apply a JOIN best b ON b.c = a.c AND a.p < length(b.audit)) a
+  LEFT JOIN chat_rows r ON r.c = a.c AND r.i = a.i + 1),
+fixed AS (SELECT c, string_agg(role || ':' || text, chr(10) ORDER BY p) AS body FROM apply WHERE role IS NOT NULL GROUP BY c),
+pairs AS (SELECT *, lag(ch) OVER (PARTITION BY c ORDER BY i) || ch AS pair FROM chat_rows),
+faults AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                  count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                  count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY c)
+SELECT s.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit,
+       sha256(coalesce(body, '')) AS repaired_sha256
+FROM sizes s JOIN best USING (c) LEFT JOIN fixed USING (c) LEFT JOIN faults USING (c)"""
+
+
+ORACLE: dict[str, str] = {"op2_url_rules": _url_sql(), "op9_poisson_mix": _mix_sql(), "op11_setm_phrases": _phrase_sql(),
+                          "op12_turn_repair": _repair_sql()}
