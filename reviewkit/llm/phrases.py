@@ -3,17 +3,17 @@
 Texts become a sorted occurrence relation (piece, position, group): first every word is a group of its own. One level
 of the mining
 
-1. counts the groups (partial counts per pack of text, summed per bucket of the hash space),
-2. semi-joins the relation with the frequent groups,
-3. merge-joins what is left with itself on piece and adjacent position: two occurrences of k words that start at
-   neighbouring positions are one occurrence of k + 1 words, a new group,
+1. merge-joins the relation with itself on piece and adjacent position: two occurrences of k words that start at
+   neighbouring positions are one occurrence of k + 1 words, a new group (the first level takes the words as they are),
+2. counts the groups (partial counts per pack of text, summed per bucket of the hash space),
+3. semi-joins the joined relation with the frequent groups,
 
-and stores the new relation for the next level. A group that is not frequent is gone before anything is extended by it.
+and stores what is left for the next level. A group that is not frequent is gone before anything is extended by it.
 
 The relation is kept pack by pack in columns: ``slots`` has one entry for each position of the pack's pieces in order
 (a break between pieces is a position without a group), so that the merge-join compares neighbours. Groups are numbered
-inside a pack; between packs they are told apart by 96 bits of hash of language and words (at 10^10 distinct groups two
-of them agree with a chance below 10^-8). A group moves once per pack and level, however often it occurs.
+inside a pack, frequent ones first; between packs they are told apart by 80 bits of hash of language and words (at 10^10
+distinct groups two of them agree with a chance below 10^-4). A group moves once per pack and level, however often it occurs.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from reviewkit.operators.joins import materialize
 from reviewkit.session import ship_package
 
 #: Text bytes of a pack, and the longest stretch of one text that is split into words at once.
-PACK_BYTES = 8_000_000
+PACK_BYTES = 16_000_000
 SLICE_BYTES = 2_000_000
 #: Bytes of keys a bucket aims at.
 BUCKET_BYTES = 16_000_000
@@ -72,6 +72,16 @@ def _unpressed(b: bytes, kind: type) -> np.ndarray:
     return unplanes(pa.decompress(b[16:], n * wide, "zstd", asbytes=True), kind) if n else np.empty(0, kind)
 
 
+def press_keys(low: np.ndarray, high: np.ndarray) -> bytes:
+    """Keys sorted by ``low``: its differences and ``high`` as byte planes."""
+    return pa.compress(planes(np.diff(low, prepend=np.uint64(0))) + planes(high), "zstd", asbytes=True)
+
+
+def unpress_keys(b: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    b = pa.decompress(b, 10 * n, "zstd", asbytes=True)
+    return np.cumsum(unplanes(b[:8 * n], np.uint64), dtype=np.uint64), unplanes(b[8 * n:], np.uint16)
+
+
 def _press_words(words: list[bytes]) -> bytes:
     body = b" ".join(words)
     return np.array([len(body)], np.int64).tobytes() + pa.compress(body, "zstd", asbytes=True) if words else b""
@@ -130,15 +140,23 @@ class _Pack:
     def row(self, pack: int, lang: str) -> dict:
         slots = np.concatenate(self.held) - 1 if self.held else np.empty(0, np.int32)
         context = np.concatenate(self.context) if self.context else np.empty(0, np.int32)
-        words = list(self.ids)[1:]
-        return _relation_row(pack, lang, 1, int((slots >= 0).sum()) - len(context), words,
-                             np.arange(len(words), dtype=np.int32)[:, None], slots, context)
+        groups, slots = by_count(np.arange(len(self.ids) - 1, dtype=np.int32)[:, None], slots)
+        return _relation_row(pack, lang, 1, int((slots >= 0).sum()) - len(context), list(self.ids)[1:], groups, slots, context, len(groups))
+
+
+def by_count(groups: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same relation with the most frequent groups first, so that most numbers are small."""
+    order = np.argsort(-np.bincount(slots[slots >= 0], minlength=len(groups)), kind="stable")
+    number = np.full(len(groups) + 1, -1, np.int32)  # the last entry serves the positions without a group
+    number[order] = np.arange(len(groups), dtype=np.int32)
+    return groups[order], number[slots]
 
 
 def _relation_row(pack: int, lang: str, k: int, n_own: int | None, words: list[bytes], groups: np.ndarray, slots: np.ndarray,
-                  context: np.ndarray) -> dict:
-    return {"pack": pack, "lang": lang, "k": k, "n_own": n_own, "words": _press_words(words), "n_groups": len(groups),
-            "groups": _pressed(groups.astype(np.int32).ravel()), "slots": _pressed(slots.astype(np.int32)),
+                  context: np.ndarray, n_groups: int) -> dict:
+    """A stored row that level ``k`` begins with; ``n_groups`` groups are to be counted there."""
+    return {"pack": pack, "lang": lang, "k": k, "n_own": n_own, "words": _press_words(words), "n_groups": n_groups,
+            "groups": _pressed(groups.astype(np.int32).ravel()), "slots": _pressed((slots + 1).astype(np.uint32)),
             "context": _pressed(context.astype(np.int32)), "phrase": None, "a": None}
 
 
@@ -174,13 +192,15 @@ def _words_relation(docs: DataFrame, width: int) -> DataFrame:
 
 
 class _Relation:
-    """One stored row, unpacked: its groups' hashes in bucket order."""
+    """One stored row, unpacked and joined for its level: its groups' hashes in bucket order."""
 
     def __init__(self, row: dict, buckets: int) -> None:
         self.pack, self.lang, self.k = row["pack"], row["lang"], row["k"]
         self.words = _unpress_words(row["words"])
-        self.groups = _unpressed(row["groups"], np.int32).reshape(-1, self.k)
-        self.slots = _unpressed(row["slots"], np.int32)
+        self.groups = _unpressed(row["groups"], np.int32).reshape(-1, max(self.k - 1, 1))
+        self.slots = _unpressed(row["slots"], np.uint32).astype(np.int32) - 1
+        if self.k > 1:
+            self.groups, self.slots = extend(self.groups, self.slots)
         self.context = _unpressed(row["context"], np.int32)
         names = WordIds()
         names.ids(self.words)
@@ -191,7 +211,7 @@ class _Relation:
         low, high = key
         bucket = ((low >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         self.order = np.lexsort((low, bucket))  # sorted keys inside each bucket
-        self.low, self.high = low[self.order], (high[self.order] >> np.uint64(32)).astype(np.uint32)
+        self.low, self.high = low[self.order], (high[self.order] >> np.uint64(48)).astype(np.uint16)
         self.ends = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
 
     def counts(self) -> np.ndarray:
@@ -211,7 +231,7 @@ def _asked(rel: DataFrame, buckets: int) -> DataFrame:
                 counts, out = r.counts(), []
                 for k in np.flatnonzero(np.diff(r.ends)).tolist():
                     s = slice(r.ends[k], r.ends[k + 1])
-                    out.append({"bucket": k, "pack": r.pack, "keys": planes(r.low[s]) + planes(r.high[s]),
+                    out.append({"bucket": k, "pack": r.pack, "keys": press_keys(r.low[s], r.high[s]),
                                 "counts": _pressed(counts[s].astype(np.int32))})
                 yield from _batches(out, _ASKED)
 
@@ -224,8 +244,7 @@ def judge(keys: list[bytes], counts: list[np.ndarray], least: int) -> list[tuple
     The first array that holds a frequent key names it.
     """
     sizes = np.array([len(c) for c in counts])
-    low = np.concatenate([unplanes(b[:8 * n], np.uint64) for b, n in zip(keys, sizes.tolist())])
-    high = np.concatenate([unplanes(b[8 * n:], np.uint32) for b, n in zip(keys, sizes.tolist())])
+    low, high = map(np.concatenate, zip(*map(unpress_keys, keys, sizes.tolist())))
     n = np.concatenate(counts).astype(np.int64)
     order = np.lexsort((high, low))  # stable: the earliest array comes first among equals
     new = np.ones(len(order), bool)
@@ -266,11 +285,11 @@ def extend(groups: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return np.empty((0, groups.shape[1] + 1), np.int32), out
     pairs, out[at] = np.unique(slots[at].astype(np.int64) * len(groups) + slots[at + 1], return_inverse=True)
     left, right = np.divmod(pairs, len(groups))
-    return np.concatenate([groups[left], groups[right][:, -1:]], 1), out
+    return by_count(np.concatenate([groups[left], groups[right][:, -1:]], 1), out)
 
 
 def _extended(rel: DataFrame, judged: DataFrame, buckets: int, width: int) -> DataFrame:
-    """Frequent groups by name, and the relation of groups one word longer (none beyond ``width`` words)."""
+    """Frequent groups by name, and the relation semi-joined with them for the next level (none beyond ``width`` words)."""
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out: list[dict] = []
@@ -285,13 +304,17 @@ def _extended(rel: DataFrame, judged: DataFrame, buckets: int, width: int) -> Da
                 out += [{"lang": r.lang, "k": r.k, "a": n, "phrase": b" ".join(r.words[w] for w in g).decode(errors="replace")}
                         for g, n in zip(r.groups[named].tolist(), _unpressed(a["totals"], np.int64).tolist())]
             if r.k < width:
-                renamed = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
-                slots = np.where(r.slots >= 0, renamed[r.slots], -1)
-                groups, slots = extend(r.groups[frequent], slots)
-                if len(groups):
+                there = np.zeros(len(r.slots) + 2, bool)
+                there[1:-1] = (r.slots >= 0) & frequent[r.slots]
+                # An occurrence without a neighbour has nothing to be joined with.
+                slots = np.where(there[1:-1] & (there[:-2] | there[2:]), r.slots, -1)
+                left, slots = np.unique(slots, return_inverse=True)
+                groups, slots = by_count(r.groups[left[left >= 0]], slots.astype(np.int32) - int(left[0] < 0))
+                n = len(extend(groups, slots)[0])
+                if n:
                     used = np.unique(groups)
                     out.append(_relation_row(r.pack, r.lang, r.k + 1, None, [r.words[w] for w in used.tolist()],
-                                             np.searchsorted(used, groups), slots, r.context))
+                                             np.searchsorted(used, groups), slots, r.context, n))
         return pa.Table.from_pylist(out, schema=_RELATION)
 
     return rel.groupBy("pack").cogroup(judged.groupBy("pack")).applyInArrow(run, RELATION)

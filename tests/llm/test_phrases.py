@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from reviewkit.llm import phrases
-from reviewkit.llm.phrases import extend, judge, mine_phrases, slices
+from reviewkit.llm.phrases import extend, judge, mine_phrases, press_keys, slices
 from reviewkit.llm.queries import _phrase_sql
 from tests.llm.brute import lower
 
@@ -83,7 +83,7 @@ def test_extend_and_judge():
     assert [tuple(x) for x in g] == [(0, 1), (1, 0)] and s.tolist() == [0, 1, 0, -1, -1, 1, -1]
     g, s = extend(g, s)
     assert [tuple(x) for x in g] == [(0, 1, 0), (1, 0, 1)] and s.tolist() == [0, 1, -1, -1, -1, -1, -1]
-    key = lambda *v: np.array(v, np.uint64).view(np.uint8).reshape(len(v), -1).T.tobytes() + bytes(4 * len(v))
+    key = lambda *v: press_keys(np.array(v, np.uint64), np.zeros(len(v), np.uint16))
     (a, na, ta), (b, nb, tb) = judge([key(1, 5), key(5, 9)], [np.array([3, 1]), np.array([1, 2])], 2)
     assert a.tolist() == [True, True] and b.tolist() == [True, True]
     assert na.tolist() == [0, 1] and ta.tolist() == [3, 2] and nb.tolist() == [1] and tb.tolist() == [2]
