@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewkit.llm.chat_mask import format_chats
+from reviewkit.llm.crf_pii import find_personal_data
 from reviewkit.llm.mixing_lm import score_texts
 from reviewkit.llm.partition_join import jaccard_components
 from reviewkit.llm.phrases import mine_phrases
@@ -95,10 +96,14 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_chats(_table(spark, sf_dir, "conversations"), damage=True).drop("repaired")
 
 
+def op13_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pu_quality, op2_url_rules, op3_window_dedup, op4_virtual_slots, op5_mixing_lm, op6_pq_dedup,
                                op7_suffix_decontam, op8_partition_join, op9_poisson_mix, op10_chat_mask, op11_setm_phrases,
-                               op12_turn_repair)
+                               op12_turn_repair, op13_crf_pii)
 }
 
 def _url_sql() -> str:
