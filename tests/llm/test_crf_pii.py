@@ -134,7 +134,7 @@ def test_held_out_rows_and_clean_text(model):
     assert right / words > max(0.95, nothing / words + 0.08) and marked / (words - nothing) > 0.85
 
 
-TEXTS = ["write to a.b@c.example or bob[at]example[dot]net", "", None, " \n ", "é😀 from 10.0.0.1, +44 20 7946 0958!", "(415) 555-0132" * 3, "x" * 300_000,
+TEXTS = ["write to a.b@c.example or bob[at]example[dot]net", "", None, " \n ", "é😀 from 10.0.0.1, +44 20 7946 0958!", "(415) 555-0132" * 3, "x" * 5_000,
          "clean text. " * 5000, "pay 4111 1111 1111 1111 or 4111.1111.1111.1112 now", "\x1c  1.2.3.4 5.6.7.8", "1 " * 2000, "tel 020 7946 0958 " * 200]
 
 
