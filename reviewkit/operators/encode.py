@@ -18,12 +18,14 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewkit.functions.arrays import pad_to, padding_mask
 from reviewkit.functions.labels import sentiment
 from reviewkit.operators import quality
 from reviewkit.operators.joins import materialize
 from reviewkit.operators.ranking import as_list
+from reviewkit.session import scratch_path
 
 Key = str | Sequence[str]
 UNK_ID, PAD_ID = 0, 1
@@ -125,6 +127,41 @@ def assemble_examples(encoded: DataFrame, reviews: DataFrame, key: Key,
     return both.select(*encoded.columns, sentiment(F.col("__star"), rule).alias("label"))
 
 
+def vocabulary_counts(df: DataFrame, vocab: DataFrame, key: Key, tokens_col: str = "tokens", keep: Sequence[str] = (),
+                      unk_id: int = UNK_ID) -> DataFrame:
+    """(key, keep..., size, indices, values): how often each vocabulary id occurs in a row, by id.
+
+    ``size`` is the vocabulary's (A7). Unknown tokens count for ``unk_id``; a row without tokens has no entries. Tokens are
+    counted by row before the look-up, so a row brings each distinct token once. Rows are told apart by key and ``keep``.
+    """
+    by = [*as_list(key), *keep]
+    size = vocab.agg(F.coalesce(F.max("token_id") + 1, F.lit(0)).cast("int").alias("n")).select("n").scalar()
+    counted = df.select(*by, F.explode_outer(tokens_col).alias("token")).groupBy(*by, "token").agg(F.count(F.lit(1)).alias("__c"))
+    found = lookup_ids(counted, vocab, unk_id=unk_id).groupBy(*by, "token_id").agg(F.sum("__c").alias("__c"))
+    pair = F.when(F.col("token_id").isNotNull(), F.struct(F.col("token_id").cast("int").alias("i"), F.col("__c").cast("double").alias("v")))
+    grouped = found.groupBy(*by).agg(F.sort_array(F.collect_list(pair)).alias("__p"))
+    return grouped.select(*by, size.alias("size"), F.col("__p.i").alias("indices"), F.col("__p.v").alias("values"))
+
+
+def vocabulary_vectors(df: DataFrame, vocab: DataFrame, key: Key, tokens_col: str = "tokens", keep: Sequence[str] = (),
+                       out_col: str = "features") -> DataFrame:
+    """(key, keep..., features): :func:`vocabulary_counts` as Spark ML sparse vectors, stored.
+
+    The table is written with the vectors' storage layout and read as vectors, so that no Python worker and no vocabulary on
+    the driver is needed. There are no slots to collide in: a feature is a vocabulary id.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    counts = vocabulary_counts(df, vocab, key, tokens_col, keep)
+    by = [*as_list(key), *keep]
+    sparse = F.struct(F.lit(0).cast("tinyint").alias("type"), F.col("size"), F.col("indices"), F.col("values"))
+    path = scratch_path(df.sparkSession, "vectors")
+    stored = counts.select(*by, sparse.alias(out_col))
+    stored.write.parquet(path)
+    schema = T.StructType([*(stored.schema[c] for c in by), T.StructField(out_col, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def mean_vectors(encoded: DataFrame, vectors: DataFrame, key: Key,
                  ids_col: str = "input_ids", dim: int = 64, include_pad: bool = True,
                  pad_id: int = PAD_ID, vec_key: Callable[[Column], Column] | None = None) -> DataFrame:

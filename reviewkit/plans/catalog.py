@@ -1261,3 +1261,142 @@ def x1_stream_score(spark, d):
         "conv_id", "turn", F.col("scores").alias("b"), F.col("prediction").alias("bp"))
     same = F.coalesce((F.col("b") == F.col("scores")) & (F.col("bp") == F.col("prediction")), F.lit(False))
     return _score_checks(streamed.join(batch, ["conv_id", "turn"], "full_outer"), ["conv_id", "turn", same.alias("equals_batch")])
+
+
+# ---------------------------------------------------------------- naive Bayes on the three star classes M1-M3, S8
+
+BAYES_CLASSES = 3
+
+
+def bayes_rows(spark, d):
+    """Tokens of both sources with T14's class and E7's split, stored."""
+    from reviewkit.functions.labels import sentiment
+    from reviewkit.operators.joins import materialize
+    from reviewkit.operators.sampling import approx_split
+    rows = doc_tokens(spark, d).select(*KEY, sentiment(F.col("star")).alias("label"), "tokens")
+    return materialize(approx_split(rows, KEY, SEED, 0.9))
+
+
+def bayes_model(spark, d, rows):
+    """M1 on the training rows, saved and loaded."""
+    from reviewkit.plans.bayes import load_bayes, train_bayes
+    from reviewkit.session import scratch_path
+    path = scratch_path(spark, "bayes")
+    train_bayes(rows.where("split = 'train'"), BAYES_CLASSES).save(path)
+    return load_bayes(spark, path)
+
+
+SQL_BAYES = f"""
+rows AS MATERIALIZED (SELECT source, review_id, {sql_sentiment('star')} AS label, tokens,
+  CASE WHEN CAST(('0x' || substr({SQL_HASH.format(seed=SEED, id=SQL_KEY_TEXT)}, 1, 8))::BIGINT AS DOUBLE)
+            / 4294967296.0 < 0.9 THEN 'train' ELSE 'valid' END AS split FROM {SQL_DOC_TOK} t),
+seen AS (SELECT label, unnest(tokens) AS token FROM rows WHERE split = 'train'),
+counted AS MATERIALIZED (SELECT token, count(*) FILTER (label = 0) AS n_0, count(*) FILTER (label = 1) AS n_1,
+                                count(*) FILTER (label = 2) AS n_2 FROM seen GROUP BY token),
+sums AS (SELECT count(*) AS v, sum(n_0) AS t_0, sum(n_1) AS t_1, sum(n_2) AS t_2 FROM counted),
+model AS MATERIALIZED (SELECT token, n_0, n_1, n_2, ln((n_0 + 1.0::DOUBLE) / (t_0 + 1.0::DOUBLE * v)) AS l_0,
+  ln((n_1 + 1.0::DOUBLE) / (t_1 + 1.0::DOUBLE * v)) AS l_1, ln((n_2 + 1.0::DOUBLE) / (t_2 + 1.0::DOUBLE * v)) AS l_2 FROM counted, sums),
+classes AS (SELECT CAST(c.range AS INTEGER) AS class, count(r.label) AS n_rows,
+  ln((count(r.label) + 1.0::DOUBLE) / ((SELECT count(*) FROM rows WHERE split = 'train') + 3.0::DOUBLE)) AS log_prior
+  FROM range(3) c LEFT JOIN (SELECT label FROM rows WHERE split = 'train') r ON r.label = c.range GROUP BY 1),
+priors AS (SELECT max(log_prior) FILTER (class = 0) AS p_0, max(log_prior) FILTER (class = 1) AS p_1,
+                  max(log_prior) FILTER (class = 2) AS p_2 FROM classes),
+used AS (SELECT source, review_id, unnest(tokens) AS token FROM rows),
+sums_of AS (SELECT source, review_id, sum(l_0) AS x_0, sum(l_1) AS x_1, sum(l_2) AS x_2 FROM used JOIN model USING (token) GROUP BY ALL),
+scored AS (SELECT source, review_id, label, split, coalesce(x_0, 0) + p_0 AS s_0, coalesce(x_1, 0) + p_1 AS s_1, coalesce(x_2, 0) + p_2 AS s_2
+           FROM rows LEFT JOIN sums_of USING (source, review_id), priors),
+predicted AS (SELECT *, CASE WHEN s_0 >= s_1 AND s_0 >= s_2 THEN 0 WHEN s_1 >= s_2 THEN 1 ELSE 2 END AS pred FROM scored)"""
+
+
+@register("m1_bayes_tokens", f"""
+WITH {SQL_BAYES}
+SELECT token, n_0, n_1, n_2, round(l_0, 6) AS l_0, round(l_1, 6) AS l_1, round(l_2, 6) AS l_2 FROM model
+""")
+def m1_bayes_tokens(spark, d):
+    """M1: each token's counts and log likelihoods in the three classes."""
+    t = bayes_model(spark, d, bayes_rows(spark, d)).tokens
+    return t.select("token", *[F.get("counts", k).alias(f"n_{k}") for k in range(BAYES_CLASSES)],
+                    *[F.round(F.get("log_likelihood", k), 6).alias(f"l_{k}") for k in range(BAYES_CLASSES)])
+
+
+@register("m1_bayes_classes", f"""
+WITH {SQL_BAYES}
+SELECT class, CAST(n_rows AS BIGINT) AS n_rows, CAST(CASE class WHEN 0 THEN t_0 WHEN 1 THEN t_1 ELSE t_2 END AS BIGINT) AS n_tokens,
+       CAST(v AS BIGINT) AS vocabulary, round(log_prior, 6) AS log_prior FROM classes, sums
+""")
+def m1_bayes_classes(spark, d):
+    """M1: rows, tokens, vocabulary and log prior of the three classes."""
+    c = bayes_model(spark, d, bayes_rows(spark, d)).classes
+    return c.withColumn("log_prior", F.round("log_prior", 6))
+
+
+@register("m2_bayes_score", f"""
+WITH {SQL_BAYES}
+SELECT source, review_id, split, round(s_0, 3) AS s_0, round(s_1, 3) AS s_1, round(s_2, 3) AS s_2, CAST(pred AS INTEGER) AS prediction FROM predicted
+""")
+def m2_bayes_score(spark, d):
+    """M2: every review scored by the loaded model."""
+    from reviewkit.plans.bayes import score_bayes
+    rows = bayes_rows(spark, d)
+    s = score_bayes(bayes_model(spark, d, rows), rows, KEY, ("split",))
+    return s.select(*KEY, "split", *[F.round(F.get("scores", k), 3).alias(f"s_{k}") for k in range(BAYES_CLASSES)], "prediction")
+
+
+@register("m3_bayes_evaluate", f"""
+WITH {SQL_BAYES},
+v AS (SELECT label, pred, greatest(s_0, s_1, s_2) AS m, s_0, s_1, s_2 FROM predicted WHERE split = 'valid'),
+whole AS (SELECT round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  round(avg(m + ln(exp(s_0 - m) + exp(s_1 - m) + exp(s_2 - m)) - CASE label WHEN 0 THEN s_0 WHEN 1 THEN s_1 ELSE s_2 END), 6) AS log_loss,
+  count(*) AS n_rows FROM v),
+conf AS (SELECT label, pred, count(*) AS n FROM v GROUP BY 1, 2),
+per AS (SELECT cls, sum(tp) AS tp, sum(n) AS support, sum(pn) AS predicted FROM (
+          SELECT label AS cls, n, CASE WHEN label = pred THEN n ELSE 0 END AS tp, 0 AS pn FROM conf
+          UNION ALL SELECT pred AS cls, 0 AS n, 0 AS tp, n AS pn FROM conf) u GROUP BY cls),
+pr AS (SELECT cls, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM per)
+SELECT CAST(cls AS INTEGER) AS class, round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 6) AS f1, CAST(support AS BIGINT) AS support,
+       accuracy, log_loss, CAST(n_rows AS BIGINT) AS n_rows FROM pr, whole
+""")
+def m3_bayes_evaluate(spark, d):
+    """M3: accuracy, loss and class report of the held-out reviews."""
+    from reviewkit.plans.bayes import evaluate_bayes
+    rows = bayes_rows(spark, d)
+    return evaluate_bayes(bayes_model(spark, d, rows), rows.where("split = 'valid'"), KEY)
+
+
+# ---------------------------------------------------------------- features by vocabulary id M1, J2
+
+@register("m1_vocab_features", f"""
+WITH vocab AS MATERIALIZED (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ)} v0),
+used AS (SELECT source, review_id, unnest(tokens) AS token FROM {SQL_DOC_TOK} t),
+n AS (SELECT source, review_id, coalesce(token_id, 0) AS id, count(*) AS c FROM used LEFT JOIN vocab USING (token) GROUP BY ALL)
+SELECT t.source, t.review_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size,
+       coalesce(string_agg(id || ':' || c, ',' ORDER BY id), '') AS features
+FROM {SQL_DOC_TOK} t LEFT JOIN n ON n.source = t.source AND n.review_id = t.review_id GROUP BY t.source, t.review_id
+""")
+def m1_vocab_features(spark, d):
+    """Sparse count vectors over the stored vocabulary, one slot for each of its ids."""
+    from reviewkit.operators.encode import vocabulary_counts
+    c = prepared(spark, d)
+    v = vocabulary_counts(c.tokens, c.vocabulary, KEY)
+    return v.select(*KEY, "size", F.array_join(F.zip_with("indices", "values", lambda i, x: F.concat_ws(
+        ":", i.cast("string"), x.cast("long").cast("string"))), ",").alias("features"))
+
+
+@register("m1_vocab_model", f"""
+WITH vocab AS (SELECT * FROM {sql_vocab(SQL_DOC_TOK, ENCODE_MIN_FREQ)} v0)
+SELECT CAST(3 AS INTEGER) AS classes, CAST((SELECT count(*) FROM vocab) AS BIGINT) AS n_features,
+       CAST(count(*) AS BIGINT) AS n_rows FROM {SQL_REVIEWS} r
+""")
+def m1_vocab_model(spark, d):
+    """M1: a multinomial classifier whose features are the vocabulary's ids; every review gets a prediction."""
+    from reviewkit.operators.encode import vocabulary_vectors
+    from reviewkit.plans.model import fit_vectors
+    from reviewkit.functions.labels import sentiment
+    c = prepared(spark, d)
+    v = vocabulary_vectors(c.tokens.withColumn("label", sentiment(F.col("star"))), c.vocabulary, KEY, keep=("label",))
+    model = fit_vectors(v, max_iter=5)
+    scored = model.transform(v)
+    return scored.agg(F.lit(model.numClasses).cast("int").alias("classes"), F.lit(model.numFeatures).cast("long").alias("n_features"),
+                      F.count_if(F.col("prediction").isin(0.0, 1.0, 2.0)).cast("long").alias("n_rows"))
