@@ -9,16 +9,19 @@ which then only add noise to counts and lengths).
 Work is done once per distinct block: the corpus is first reduced to
 (block, occurrences). Per block:
 
-* candidates: every (position i, length l) substring up to the longest
-  dictionary word, matched by an equi join with the dictionary (broadcast after
-  a size check);
+* candidates: a position is extended while its next 1, 2, 4, 8, ... characters are the
+  beginning of a word (equi joins with a table of word beginnings, :class:`Matcher`), and only
+  the lengths of words that begin so are candidates, which are matched by an equi join with
+  the dictionary. Work follows the matches, not the longest word; both tables are broadcast
+  after a size check;
 * full mode (T8): all words of length >= 2 starting at i; the single character
   at i only when no such word starts there and i lies past the end of the last
   emitted word group, ``old = last(end) OVER (PARTITION BY block ORDER BY i
   ROWS UNBOUNDED PRECEDING TO 1 PRECEDING)``;
 * exact mode (T7): best path by summed log probability over the candidates;
-  ties go to the longer word. The dynamic program runs per block in an Arrow
-  pandas UDF over that block's candidate list only (no dictionary in Python);
+  ties go to the longer word. Log probabilities are whole numbers of 10^-9, so that
+  sums are exact and equal paths tie on any engine. A block is cut where no word spans, and the path of each
+  segment is a fold from its last candidate to its first, on the JVM;
 * search mode (T9): exact words plus their dictionary sub-words of length 2
   and 3, found by the same join.
 
@@ -30,8 +33,8 @@ count or the join back to rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +43,13 @@ from reviewkit.functions.text import WHITESPACE_RANGES
 from reviewkit.functions.text import _char_class as _ws_class
 from reviewkit.operators.joins import checked_broadcast, materialize
 from reviewkit.operators.ranking import as_list
-from reviewkit.session import ship_package
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
 WS_CLASS_RE = _ws_class(WHITESPACE_RANGES)
 # Letters and digits that are not Han: a Latin letter or digit before Han text ends its own run.
 OTHER_RE = "[\\p{L}\\p{N}&&[^\\x{4e00}-\\x{9fd5}]]+"
 DICT_MAX_ROWS = 5_000_000
+LOG_UNITS = 1e9  # log probabilities are summed in units of 10^-9
 
 
 # ---------------------------------------------------------------- dictionary
@@ -100,51 +103,89 @@ def block_counts(df: DataFrame, blocks_col: str = "blocks") -> DataFrame:
             .groupBy("block").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _prepared_dict(dictionary: DataFrame, checked: bool) -> DataFrame:
-    d = dictionary.select("word", "weight")
-    return d if checked else checked_broadcast(d, DICT_MAX_ROWS)
+@dataclass
+class Matcher:
+    """A dictionary (word, weight), its table of word beginnings, and how many beginnings of a word there are at most.
 
+    ``beginnings`` has the first 1, 2, 4, 8, ... characters of every word: (prefix, lens, more). ``lens`` are the lengths, from the
+    prefix's own to below twice that, of the words that begin so; ``more`` tells whether longer ones do. Both tables are
+    broadcast within the size bounds and are shuffle joins beyond them.
+    """
 
-def _max_word_len(dictionary: DataFrame) -> Column:
-    return dictionary.agg(F.max(F.length("word")).alias("m")).select("m").scalar()
+    dictionary: DataFrame
+    beginnings: DataFrame
+    levels: int
+
+
+def matcher(dictionary: DataFrame | Matcher, checked: bool = False) -> Matcher:
+    """The tables that matching needs, stored. A word without characters is left out."""
+    if isinstance(dictionary, Matcher):
+        return dictionary
+    stored = dictionary.select("word", "weight")
+    stored = stored if checked else materialize(stored)
+    n = F.length("word")
+    powers = F.transform(F.sequence(F.lit(0), F.floor(F.log2(n.cast("double"))).cast("int")), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    parts = stored.where(n > 0).select(n.alias("n"), "word", F.explode(powers).alias("p"))
+    grouped = parts.groupBy(F.substring(F.col("word"), F.lit(1), F.col("p")).alias("prefix")).agg(
+        F.sort_array(F.collect_set(F.when(F.col("n") < 2 * F.col("p"), F.col("n")))).alias("lens"),
+        F.max(F.col("n") >= 2 * F.col("p")).alias("more"))
+    grouped = materialize(grouped)
+    longest = grouped.agg(F.max(F.length("prefix"))).first()[0] or 0
+    return Matcher(stored if checked else checked_broadcast(stored, DICT_MAX_ROWS, materialized=True),
+                   checked_broadcast(grouped, DICT_MAX_ROWS, materialized=True), longest.bit_length())
+
+
+def _with_lengths(pos: DataFrame, m: Matcher, min_len: int) -> DataFrame:
+    """``lens`` of every position: lengths of the words that may begin there, by beginnings of 1, 2, 4, ... characters."""
+    found, more = F.array().cast("array<int>"), F.lit(True)
+    own = pos.columns
+    for k in range(m.levels):
+        size = 1 << k
+        # A position whose beginning is no word's any more has no key and finds nothing.
+        key = F.when(more & (F.length("block") - F.col("i") >= size), F.substring(F.col("block"), F.col("i") + 1, F.lit(size)))
+        side = m.beginnings.select(F.col("prefix").alias("__p"), F.col("lens").alias("__lens"), F.col("more").alias("__m"))
+        pos = pos.withColumn("__key", key)
+        pos = pos.join(side, pos["__key"] == side["__p"], "left").select(
+            *own, F.concat(found, F.coalesce(F.col("__lens"), F.array().cast("array<int>"))).alias("__found"),
+            F.coalesce(F.col("__m"), F.lit(False)).alias("__more"))
+        found, more = F.col("__found"), F.col("__more")
+    lens = F.filter(found, lambda l: (l >= min_len) & (l <= F.length("block") - F.col("i")))
+    return pos.select(*own, lens.alias("lens"))
+
+
+def _positions(blocks: DataFrame, m: Matcher, min_len: int, marker: bool) -> DataFrame:
+    """(block, n, i, l[, weight]) of every dictionary match; with ``marker`` a row l = 0 for every position, too."""
+    n = F.length("block")
+    pos = blocks.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
+    pos = _with_lengths(pos.where(n > 0), m, min_len)
+    own = [c for c in pos.columns if c != "lens"]
+    zero = F.array(F.lit(0)) if marker else F.array().cast("array<int>")
+    cand = pos.select(*own, F.explode(F.concat(zero, F.col("lens"))).alias("l"))
+    d = m.dictionary
+    sub = F.substring(F.col("block"), F.col("i") + 1, F.col("l"))
+    if not marker:
+        return cand.join(d, sub == d["word"]).drop("word")
+    j = cand.join(d, (cand["l"] > 0) & (sub == d["word"]), "left")
+    return j.where((F.col("l") == 0) | F.col("word").isNotNull()).drop("word")
 
 
-def dictionary_hits(blocks: DataFrame, dictionary: DataFrame, min_len: int = 1,
+def dictionary_hits(blocks: DataFrame, dictionary: DataFrame | Matcher, min_len: int = 1,
                     dict_checked: bool = False) -> DataFrame:
     """(block, i, l, weight) for every dictionary word at 0-based position i."""
-    d = _prepared_dict(dictionary, dict_checked)
-    maxlen = _max_word_len(dictionary)
-    n = F.length("block")
-    pos = blocks.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
-    top = F.least(maxlen, n - F.col("i"))
-    lens = F.when(top >= min_len, F.sequence(F.lit(min_len), top)).otherwise(F.array().cast("array<int>"))
-    cand = pos.select("*", F.explode(lens).alias("l"))
-    cand = cand.withColumn("__sub", F.substring(F.col("block"), F.col("i") + 1, F.col("l")))
-    return cand.join(d, cand["__sub"] == d["word"]).drop("__sub", "word")
+    return _positions(blocks, matcher(dictionary, dict_checked), min_len, marker=False)
 
 
 # ---------------------------------------------------------------- full mode
 
-def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
+def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame | Matcher,
                      dict_checked: bool = False) -> DataFrame:
     """T8 per distinct block: (block, n, i, l, piece) in emission order (i, l)."""
-    d = _prepared_dict(dictionary, dict_checked)
-    maxlen = _max_word_len(dictionary)
-    n = F.length("block")
+    m = matcher(dictionary, dict_checked)
     # Cluster the distinct blocks before exploding them: the window below needs
-    # all rows of a block together, and the explode, the broadcast join and the
+    # all rows of a block together, and the explode, the broadcast joins and the
     # filter keep this partitioning, so one row per block is shuffled instead
     # of one row per (position, length).
-    pos = blocks.select("block", "n").repartition("block") \
-        .select("block", "n", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
-    top = F.least(maxlen, n - F.col("i"))
-    # l = 0 marks the position itself, so positions without any word survive the join
-    lens = F.when(top >= 2, F.concat(F.array(F.lit(0)), F.sequence(F.lit(2), top))) \
-        .otherwise(F.array(F.lit(0)))
-    cand = pos.select("block", "n", "i", F.explode(lens).alias("l"))
-    sub = F.substring(F.col("block"), F.col("i") + 1, F.col("l"))
-    j = cand.join(d, (cand["l"] >= 2) & (sub == d["word"]), "left")
-    keep = j.filter((F.col("l") == 0) | F.col("word").isNotNull()).select("block", "n", "i", "l")
+    keep = _positions(blocks.select("block", "n").repartition("block"), m, 2, marker=True).select("block", "n", "i", "l")
     # One window over (block; i, l): the marker row (l = 0) of a position comes
     # before its words, so the preceding rows are the words of earlier
     # positions, and the last of them ends the last emitted group ("old"); the
@@ -162,74 +203,87 @@ def full_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
 
 # ---------------------------------------------------------------- exact mode
 
-def _best_path(block: str, starts, lens, logps, unknown_logp: float) -> list[str]:
-    """Max log-probability path over dictionary matches (start i, length l, logp).
+def _units(log_p: Column) -> Column:
+    return F.round(log_p * LOG_UNITS).cast("long")
+
 
-    A position with no dictionary word is a one-character word of weight 1.
-    Ties go to the longer word.
+def _path(unknown: Column, rows: Column) -> Column:
+    """Lengths of the best path's step at each position of a segment, first position first.
+
+    ``rows`` are a segment's candidates (i, l, logp), sorted; l = 0 marks a position and comes before its words. Folded from
+    the last to the first: ``p`` holds the best sums of the positions done so far, the latest first, so the sum behind a word
+    of l characters is ``p[l - 1]``; at a position's mark its best word is added. A position without words is a
+    word of one character and weight 1.
     """
-    n = len(block)
-    at: dict[int, list[tuple[int, float]]] = {}
-    if starts is not None:
-        for i, l, lp in zip(starts.tolist(), lens.tolist(), logps.tolist()):
-            at.setdefault(i, []).append((i + l - 1, lp))
-    route_p = [0.0] * (n + 1)
-    route_e = [0] * (n + 1)
-    for idx in range(n - 1, -1, -1):
-        opts = at.get(idx) or [(idx, unknown_logp)]
-        best_p, best_e = None, None
-        for end, lp in opts:
-            p = lp + route_p[end + 1]
-            if best_p is None or p > best_p or (p == best_p and end > best_e):
-                best_p, best_e = p, end
-        route_p[idx], route_e[idx] = best_p, best_e
-    out, x = [], 0
-    while x < n:
-        y = route_e[x] + 1
-        out.append(block[x:y])
-        x = y
-    return out
-
-
-def exact_mode_pieces(blocks: DataFrame, dictionary: DataFrame,
+    none = F.struct(F.lit(-(1 << 62)).cast("long").alias("p"), F.lit(0).alias("l"))
+    start = F.struct(F.array(F.lit(0).cast("long")).alias("p"), F.array().cast("array<int>").alias("e"), none.alias("best"))
+
+    def step(acc: Column, row: Column) -> Column:
+        best, p = acc["best"], acc["p"]
+        here = row["logp"] + F.get(p, row["l"] - 1)
+        better = (here > best["p"]) | ((here == best["p"]) & (row["l"] > best["l"]))
+        done = F.when(best["l"] > 0, best).otherwise(F.struct((unknown + F.get(p, F.lit(0))).alias("p"), F.lit(1).alias("l")))
+        return F.when(row["l"] == 0, F.struct(F.concat(F.array(done["p"]), p).alias("p"), F.concat(F.array(done["l"]), acc["e"]).alias("e"),
+                                              none.alias("best"))) \
+            .otherwise(F.struct(p.alias("p"), acc["e"].alias("e"),
+                                F.when(better, F.struct(here.alias("p"), row["l"].alias("l"))).otherwise(best).alias("best")))
+
+    return F.aggregate(F.reverse(rows), start, step, lambda acc: acc["e"])
+
+
+def _steps(lengths: Column) -> Column:
+    """(at, l) of the steps that a path really takes, from the lengths at all positions."""
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<at:int,l:int>>").alias("out"))
+
+    def step(acc: Column, at: Column) -> Column:
+        l = F.get(lengths, at)
+        return F.when(acc["next"] != at, acc).otherwise(F.struct(
+            (at + l).alias("next"), F.concat(acc["out"], F.array(F.struct(at.alias("at"), l.alias("l")))).alias("out")))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(lengths) - 1), start, step, lambda acc: acc["out"])
+
+
+def exact_mode_pieces(blocks: DataFrame, dictionary: DataFrame | Matcher,
                       dict_checked: bool = False) -> DataFrame:
-    """T7 per distinct block: (block, n, pieces array<string>)."""
-    d = _prepared_dict(dictionary, dict_checked)
-    total = dictionary.agg(F.sum("weight").alias("t")).select("t").scalar()
-    log_total = F.log(total.cast("double"))
-    hits = dictionary_hits(blocks.select("block", "n"), d, 1, dict_checked=True)
-    hits = hits.withColumn("logp", F.log(F.col("weight").cast("double")) - log_total)
-    cands = hits.groupBy("block", "n").agg(
-        F.collect_list(F.struct("i", "l", "logp")).alias("cands"))
-    all_blocks = blocks.select("block", "n").join(cands, ["block", "n"], "left")
-    unknown = (F.lit(0.0) - log_total)  # log(1) - log(total) for a character not in the dictionary
-
-    # Candidates reach Python as three primitive arrays (numpy after Arrow),
-    # split from the struct list on the JVM side; a list of structs would
-    # arrive as Python dicts, which costs more than the path search itself.
-    ship_package(blocks.sparkSession)
-
-    @F.pandas_udf("array<string>")
-    def best_path(block: pd.Series, starts: pd.Series, lens: pd.Series, logps: pd.Series,
-                  unk: pd.Series) -> pd.Series:
-        return pd.Series([_best_path(b, i, l, lp, float(u))
-                          for b, i, l, lp, u in zip(block, starts, lens, logps, unk)])
-
-    return all_blocks.select("block", "n", best_path(
-        F.col("block"), F.col("cands.i"), F.col("cands.l"), F.col("cands.logp"), unknown)
-        .alias("pieces"))
+    """T7 per distinct block: (block, n, pieces array<string>).
+
+    A block is cut at every position that no earlier word reaches over: all paths pass there, so the best
+    path is the best paths of the segments, which are short however long the block is.
+    """
+    m = matcher(dictionary, dict_checked)
+    total = m.dictionary.agg(F.sum("weight").alias("t"))
+    log_total = F.log(F.col("__total").cast("double"))
+    rows = _positions(blocks.select("block", "n").repartition("block"), m, 1, marker=True)
+    rows = rows.crossJoin(F.broadcast(total.select(F.col("t").alias("__total"))))  # one row
+    rows = rows.select("block", "n", "i", "l", _units(F.log(F.col("weight").cast("double")) - log_total).alias("logp"),
+                       _units(F.lit(0.0) - log_total).alias("unknown"))  # log(1) - log(total): a character not in the dictionary
+    order = Window.partitionBy("block").orderBy("i", "l")
+    reach = F.max(F.col("i") + F.col("l")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cut = ((F.col("l") == 0) & (F.coalesce(reach, F.lit(0)) <= F.col("i"))).cast("int")
+    rows = rows.withColumn("__cut", cut)
+    rows = rows.withColumn("seg", F.sum("__cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    segments = rows.groupBy("block", "n", "seg").agg(
+        F.sort_array(F.collect_list(F.struct("i", "l", "logp"))).alias("c"), F.min("i").alias("begin"),
+        F.coalesce(F.max("unknown"), F.lit(0)).cast("long").alias("unknown"))
+    # Each array is a column of its own, so that the path is folded once and read twice.
+    paths = segments.select("block", "n", "seg", "begin", _path(F.col("unknown"), F.col("c")).alias("lengths"))
+    steps = paths.select("block", "n", "seg", "begin", _steps(F.col("lengths")).alias("s"))
+    pieces = steps.select("block", "n", "seg", F.transform("s", lambda x: F.substring(
+        F.col("block"), F.col("begin") + x["at"] + 1, x["l"])).alias("pieces"))
+    return pieces.groupBy("block", "n").agg(F.sort_array(F.collect_list(F.struct("seg", "pieces"))).alias("p")).select(
+        "block", "n", F.flatten(F.col("p.pieces")).alias("pieces"))
 
 
 # ---------------------------------------------------------------- search mode
 
-def search_mode_pieces(exact: DataFrame, dictionary: DataFrame,
+def search_mode_pieces(exact: DataFrame, dictionary: DataFrame | Matcher,
                        dict_checked: bool = False) -> DataFrame:
     """T9 from exact-mode pieces: (block, n, piece) with 2- and 3-char dictionary sub-words.
 
     For every exact word longer than 2 (3) characters its 2-grams (3-grams) that are
     dictionary words are emitted before the word itself.
     """
-    d = _prepared_dict(dictionary, dict_checked)
+    d = matcher(dictionary, dict_checked).dictionary
     words = explode_rows(exact, ["block", "n"], F.col("pieces"), "w", pos_name="wpos")
     wl = F.length("w")
 
@@ -267,7 +321,7 @@ def pieces_of_units(counts: DataFrame, dictionary: DataFrame, mode: str = "full"
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     blocks = counts.filter(is_block)
     others = counts.filter(~is_block).select(F.col("block").alias("piece"), "n")
-    d = _prepared_dict(dictionary, False)
+    d = matcher(dictionary)
     if mode == "full":
         p = full_mode_pieces(blocks, d, dict_checked=True).select("piece", "n")
     elif mode == "exact":
@@ -307,7 +361,7 @@ def segment_rows(df: DataFrame, key: str | Sequence[str], text_col: str, diction
     units = explode_rows(split, key, F.col("__units"), "block", pos_name="upos")
     counts = units.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
-    d = _prepared_dict(dictionary, False)
+    d = matcher(dictionary)
     blocks = counts.filter(is_block)
     if mode == "full":
         pieces = full_mode_pieces(blocks, d, dict_checked=True) \

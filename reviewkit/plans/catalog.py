@@ -919,7 +919,7 @@ def w3_every_20th(spark, d):
 
 
 # ---------------------------------------------------------------- segmentation T7-T10, J5
-# Driver texts hold no Han characters. Frequent letters are mapped to Han ones (one translate on both sides), so
+# Both review sources. Driver texts hold no Han characters. Frequent letters are mapped to Han ones (one translate on both sides), so
 # that words become runs of Han and Latin letters, segmented with the default patterns.
 
 HAN_FROM, HAN_TO = "etnhorsiad", "的一是不了在人有我他"
@@ -929,10 +929,10 @@ DICT_MIN_FREQ = 16
 
 
 def cleaned_docs(spark, d):
-    """Documents with Han letters, cleaned."""
+    """The reviews of both sources with Han letters, cleaned."""
     from reviewkit.functions.text import clean_text
-    text = F.translate("text", HAN_FROM, HAN_TO)
-    return driver.table(spark, d, "documents").select("doc_id", clean_text(text).alias("text"))
+    text = F.translate("comment", HAN_FROM, HAN_TO)
+    return reviews(spark, d).select(*KEY, clean_text(text).alias("text"))
 
 
 def han_units(docs):
@@ -948,9 +948,9 @@ def block_dictionary(units):
     return dictionary_from_counts(blocks.select(F.col("block").alias("token"), F.col("n").alias("freq")), DICT_MIN_FREQ)
 
 
-SQL_HAN_TEXT = sql_clean(f"translate(text, '{HAN_FROM}', '{HAN_TO}')")
+SQL_HAN_TEXT = sql_clean(f"translate(comment, '{HAN_FROM}', '{HAN_TO}')")
 SQL_UNIT_COUNTS = f"""(SELECT u AS block, count(*) AS n, regexp_full_match(u, '{SQL_HAN}') AS han
-  FROM (SELECT unnest(regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}')) AS u FROM documents) uu GROUP BY u)"""
+  FROM (SELECT unnest(regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}')) AS u FROM {SQL_REVIEWS} r) uu GROUP BY u)"""
 SQL_DICT = f"(SELECT block AS word, CAST(n AS BIGINT) AS weight FROM units WHERE han AND n >= {DICT_MIN_FREQ})"
 SQL_SEG_BASE = f"""
 units AS MATERIALIZED (SELECT * FROM {SQL_UNIT_COUNTS} u0),
@@ -968,18 +968,18 @@ w AS (SELECT *, coalesce(last_value(CASE WHEN maxl IS NOT NULL THEN i + maxl - 1
         OVER (PARTITION BY block ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS old FROM per),
 pieces AS (SELECT block, n, substring(block, i + 1, l) AS piece FROM hits WHERE l >= 2
            UNION ALL SELECT block, n, substring(block, i + 1, 1) FROM w WHERE maxl IS NULL AND i > old)"""
-# Best path from the last character to the first: each step adds one position's best (log probability, end); of equal
+# Best path from the last character to the first: each step adds one position's best (log probability in 10^-9, end); of equal
 # ones the later end. ``p`` and ``e`` hold the positions done so far, the latest first.
 SQL_EXACT = """
 total AS (SELECT ln(CAST(sum(weight) AS DOUBLE)) AS t FROM dict),
-options AS MATERIALIZED (SELECT block, i, list({'l': l, 'w': ln(CAST(weight AS DOUBLE)) - (SELECT t FROM total)} ORDER BY l) AS o
+options AS MATERIALIZED (SELECT block, i, list({'l': l, 'w': CAST(round((ln(CAST(weight AS DOUBLE)) - (SELECT t FROM total)) * 1e9) AS BIGINT)} ORDER BY l) AS o
             FROM hits GROUP BY block, i),
 walk(block, n, i, p, e) AS (
-  SELECT block, n, length(block), [0.0::DOUBLE], []::BIGINT[] FROM blocks
+  SELECT block, n, length(block), [0::BIGINT], []::BIGINT[] FROM blocks
   UNION ALL
   SELECT block, n, i - 1, list_prepend(best.p, p), list_prepend(best.l, e) FROM (
     SELECT s.block, s.n, s.i, s.p, s.e, list_max(list_transform(
-             coalesce(o.o, [{'l': 1::BIGINT, 'w': 0.0::DOUBLE - (SELECT t FROM total)}]),
+             coalesce(o.o, [{'l': 1::BIGINT, 'w': CAST(round((0.0::DOUBLE - (SELECT t FROM total)) * 1e9) AS BIGINT)}]),
              lambda x: {'p': x.w + s.p[x.l], 'l': x.l})) AS best
     FROM walk s LEFT JOIN options o ON o.block = s.block AND o.i = s.i - 1 WHERE s.i > 0) step),
 paths AS (SELECT block, n, e FROM walk WHERE i = 0),
@@ -1029,18 +1029,19 @@ def t9_search_mode(spark, d):
 @register("t7_exact_rows", f"""
 WITH RECURSIVE {SQL_SEG_BASE},{SQL_EXACT},
 parts AS (SELECT block, list(piece ORDER BY i) AS pieces FROM exact GROUP BY block),
-rows AS (SELECT doc_id, regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}') AS us FROM documents),
-long AS (SELECT doc_id, unnest(us) AS u, generate_subscripts(us, 1) AS k FROM rows),
-text AS (SELECT doc_id, string_agg(coalesce(array_to_string(pieces, ' '), u), ' ' ORDER BY k) AS t,
-                sum(coalesce(len(pieces), 1)) AS c FROM long LEFT JOIN parts ON u = block GROUP BY doc_id)
-SELECT doc_id, CAST(coalesce(c, 0) AS INTEGER) AS n_tokens, coalesce(t, '') AS tokens_text FROM rows LEFT JOIN text USING (doc_id)
+rows AS (SELECT source, review_id, regexp_extract_all({SQL_HAN_TEXT}, '{SQL_HAN}|{SQL_OTHER}') AS us FROM {SQL_REVIEWS} r),
+long AS (SELECT source, review_id, unnest(us) AS u, generate_subscripts(us, 1) AS k FROM rows),
+text AS (SELECT source, review_id, string_agg(coalesce(array_to_string(pieces, ' '), u), ' ' ORDER BY k) AS t,
+                sum(coalesce(len(pieces), 1)) AS c FROM long LEFT JOIN parts ON u = block GROUP BY source, review_id)
+SELECT source, review_id, CAST(coalesce(c, 0) AS INTEGER) AS n_tokens, coalesce(t, '') AS tokens_text
+FROM rows LEFT JOIN text USING (source, review_id)
 """)
 def t7_exact_rows(spark, d):
     """T7 per review: token arrays in text order."""
     from reviewkit.operators.segment import segment_rows
     docs = cleaned_docs(spark, d)
-    seg = segment_rows(docs, "doc_id", "text", block_dictionary(han_units(docs)), "exact")
-    return seg.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens_text"))
+    seg = segment_rows(docs, KEY, "text", block_dictionary(han_units(docs)), "exact")
+    return seg.select(*KEY, F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens_text"))
 
 
 @register("j5_dictionary_hits", f"""
@@ -1096,14 +1097,13 @@ SELECT piece AS token, freq FROM words WHERE NOT list_contains({sql_list(STOP_CI
 
 def _flagship(spark, d, min_count):
     from reviewkit.plans.high_frequency import cleaned_units, high_frequency_job
-    docs = driver.table(spark, d, "documents").select(F.translate("text", HAN_FROM, HAN_TO).alias("comment"))
-    units = cleaned_units(docs)
+    units = cleaned_units(reviews(spark, d).select(F.translate("comment", HAN_FROM, HAN_TO).alias("comment")))
     return high_frequency_job(units, block_dictionary(units), STOP_CI, STOP_EXACT, min_count)
 
 
 @register("a5_high_frequency_words", _sql_flagship(1000))
 def a5_high_frequency_words(spark, d):
-    """Clean, segment in full mode, drop both stop lists, count, keep words seen 1,000 times."""
+    """Both sources: clean, segment in full mode, drop both stop lists, count, keep words seen 1,000 times."""
     return _flagship(spark, d, 1000)
 
 

@@ -115,6 +115,58 @@ def test_long_dictionary_words_are_kept(spark):
     assert {r.word for r in d.collect()} == {"一二三四五六七八", "一二"}
 
 
+def test_a_very_long_word_adds_hardly_any_candidates(spark):
+    import random
+    rnd = random.Random(3)
+    text = ["".join(rnd.choice("我来到北京清华大学") for _ in range(60)) for _ in range(300)]
+    blocks = spark.createDataFrame([(t, 1) for t in text], "block string, n long")
+    long = "学" + "".join(rnd.choice("一丁七万") for _ in range(149))
+    few, many = _dict(spark), _dict(spark, [*DICT, (long, 40)])
+
+    def candidates(d):
+        pos = blocks.select("*", F.explode(F.sequence(F.lit(0), F.length("block") - 1)).alias("i"))
+        return S._with_lengths(pos, S.matcher(d), 1).agg(F.sum(F.size("lens"))).first()[0]
+
+    a, b = candidates(few), candidates(many)
+    assert a <= b <= 1.01 * a
+    key = lambda r: (r.block, r.i, r.l, r.weight)
+    assert sorted(map(key, S.dictionary_hits(blocks, few).collect())) == sorted(map(key, S.dictionary_hits(blocks, many).collect()))
+    whole = spark.createDataFrame([("我" + long + "大学", 1)], "block string, n long")
+    assert S.exact_mode_pieces(whole, many).first().pieces == ["我", long, "大学"]
+
+
+def _exact_reference(s, weights):
+    """Best path by plain dynamic programming; equal sums go to the longer word."""
+    import math
+    total = math.log(sum(weights.values()))
+    units = {w: round((math.log(n) - total) * 1e9) for w, n in weights.items()}
+    longest = max(map(len, weights))
+    best = {len(s): (0, 0)}
+    for i in range(len(s) - 1, -1, -1):
+        options = [(units[s[i:i + n]] + best[i + n][0], n) for n in range(1, min(longest, len(s) - i) + 1) if s[i:i + n] in weights]
+        best[i] = max(options or [(round(-total * 1e9) + best[i + 1][0], 1)])
+    out, i = [], 0
+    while i < len(s):
+        out.append(s[i:i + best[i][1]])
+        i += best[i][1]
+    return out
+
+
+def test_exact_mode_random_strings(spark):
+    import random
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("我来到北京清华大学们") for _ in range(rnd.randint(1, 40))) for _ in range(150)]
+    texts.append("清华大学我来到" * 200)  # one block of 1,400 characters
+    got = _rows(spark, "exact", _dict(spark), texts)
+    for i, t in enumerate(texts):
+        assert got[i] == _exact_reference(t, dict(DICT)), t[:60]
+
+
+def test_empty_dictionary(spark):
+    none = spark.createDataFrame([], "word string, weight long")
+    assert _rows(spark, "exact", none)[0] == list(TEXT) == _rows(spark, "full", none)[0]
+
+
 def test_rows_of_two_sources(spark):
     df = spark.createDataFrame([("A", 1, "北京"), ("B", 1, "大学"), ("B", 2, "")], "source string, id long, text string")
     got = {(r.source, r.id): list(r.tokens) for r in S.segment_rows(df, ["source", "id"], "text", _dict(spark), "exact").collect()}
