@@ -37,35 +37,49 @@ def _sort_text(key: Key, seed: int) -> Column:
     return F.concat_ws(":", hash_key(seed, key), *parts)
 
 
+def _threshold(keys: DataFrame, cut: int) -> tuple[str, int, int] | None:
+    """The ``cut``-th text ``t`` in order, how many of its rows belong before the cut, and how many there are.
+
+    Counts by four more hexadecimal digits a round (65,536 at most reach the driver), then by the whole text of one hash.
+    """
+    prefix, left = "", cut
+    while True:
+        inside = keys.where(F.col("t").startswith(prefix)) if prefix else keys
+        part = F.substring("t", 1, len(prefix) + 4) if len(prefix) < 32 else F.col("t")
+        groups = inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("least"), F.max("t").alias("most")).collect()
+        for g in sorted(groups, key=lambda g: g.p.encode()):
+            if left <= g.n:
+                break
+            left -= g.n
+        else:
+            return None
+        if g.least == g.most:
+            return g.least, left, g.n
+        prefix = g.p
+
+
 def exact_split(df: DataFrame, key: Key, seed: int, fraction: float = 0.9,
                 out_col: str = "split") -> DataFrame:
     """Exactly floor(n * fraction) rows 'train' (double arithmetic), rest 'valid'.
 
-    Counts per hash prefix (65,536 at most) tell in which prefix the cut falls; only
-    the keys of that prefix are sorted, up to the cut, and its last key is the
-    threshold every row is compared with. No row is shuffled. Rows that share a key
-    at the threshold, if there are any, are told apart by an exact rank.
+    Counts per hash prefix tell in which prefix the cut falls (:func:`_threshold`), down to the
+    key at the cut, the threshold every row is compared with. No row is shuffled or sorted. Rows that
+    share the key at the threshold, if there are any, are told apart by an exact rank.
     """
     text = _sort_text(key, seed)
     keys = df.select(text.alias("t"))
-    per = {r.p: r.n for r in keys.groupBy(F.substring("t", 1, 4).alias("p"))
-           .agg(F.count(F.lit(1)).alias("n")).collect()}
-    cut = int(float(sum(per.values())) * fraction)
-    left, at = cut, None
-    for p in sorted(per):
-        if left <= per[p]:
-            at = p
-            break
-        left -= per[p]
-    if not cut or at is None:
+    total = keys.count()
+    cut = int(float(total) * fraction)
+    if not cut:
         return df.withColumn(out_col, F.lit("valid"))
-    inside = keys.where(F.substring("t", 1, 4) == at)
-    last = inside.orderBy("t").limit(left).agg(F.max("t")).first()[0]
-    upto = inside.agg(F.count_if(F.col("t") < last).alias("below"), F.count_if(F.col("t") <= last).alias("upto")).first()
-    if upto["upto"] == left:
+    found = _threshold(keys, cut)
+    if found is None:
+        return df.withColumn(out_col, F.lit("train"))
+    last, left, upto = found
+    if upto == left:
         return df.withColumn(out_col, F.when(text <= last, F.lit("train")).otherwise(F.lit("valid")))
     tied = rank_by_hash(df.where(text == last), key, seed, "__r")
-    tied = tied.withColumn(out_col, F.when(F.col("__r") <= left - upto["below"], F.lit("train"))
+    tied = tied.withColumn(out_col, F.when(F.col("__r") <= left, F.lit("train"))
                            .otherwise(F.lit("valid"))).drop("__r")
     rest = df.where(text != last).withColumn(out_col, F.when(text < last, F.lit("train")).otherwise(F.lit("valid")))
     return rest.unionByName(tied)
