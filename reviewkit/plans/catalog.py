@@ -1400,3 +1400,67 @@ def m1_vocab_model(spark, d):
     scored = model.transform(v)
     return scored.agg(F.lit(model.numClasses).cast("int").alias("classes"), F.lit(model.numFeatures).cast("long").alias("n_features"),
                       F.count_if(F.col("prediction").isin(0.0, 1.0, 2.0)).cast("long").alias("n_rows"))
+
+
+# ---------------------------------------------------------------- learned word vectors E10, M1
+
+@register("e10_learned_vectors", f"""
+SELECT source, review_id, CAST(least(len(tokens), {ENCODE_LEN}) AS INTEGER) AS n_valid, CAST(64 AS INTEGER) AS dim,
+       true AS equals_model, true AS equals_padded FROM {SQL_DOC_TOK} t
+""")
+def e10_learned_vectors(spark, d):
+    """E10 over learned word vectors, with and without pads, compared with the model's own mean of every review."""
+    from reviewkit.operators.encode import mean_vectors
+    from reviewkit.operators.joins import checked_broadcast
+    from reviewkit.plans.vectors import model_means, train_word_vectors, vector_table
+    c = prepared(spark, d)
+    model = train_word_vectors(c.tokens, 64, ENCODE_MIN_FREQ)
+    vec = checked_broadcast(vector_table(model, c.vocabulary), materialized=True)
+    ids = c.encoded(ENCODE_LEN)
+    means = mean_vectors(ids, vec, KEY, include_pad=False)
+    padded = mean_vectors(ids, vec, KEY).withColumnRenamed("mean_vec", "padded_vec")
+    own = model_means(model, c.tokens, ENCODE_LEN).select(*KEY, F.size("tokens").alias("n_valid"), "model_vec")
+    j = own.join(padded, list(KEY)).join(means, list(KEY), "left")
+
+    def near(a, b):
+        return F.forall(F.zip_with(a, b, lambda x, y: F.abs(x - y) < 1e-6), lambda x: x)
+
+    zeros = F.transform("model_vec", lambda x: F.lit(0.0))
+    return j.select(*KEY, "n_valid", F.size("model_vec").alias("dim"), near(F.coalesce("mean_vec", zeros), "model_vec").alias("equals_model"),
+                    near("padded_vec", F.transform("model_vec", lambda x: x * F.col("n_valid") / ENCODE_LEN)).alias("equals_padded"))
+
+
+# ---------------------------------------------------------------- selection over folds M4, E8, S8
+
+SELECT_FOLDS = 5
+
+
+@register("m4_folds", f"""
+WITH r AS (SELECT row_number() OVER (ORDER BY l.doc_id) AS rn, count(*) OVER () AS n FROM labels l JOIN documents d ON d.doc_id = l.doc_id),
+f AS (SELECT CAST(floor((rn - 1) / floor(n / {SELECT_FOLDS})) AS INTEGER) AS fold FROM r)
+SELECT fold, CAST(count(*) AS BIGINT) AS n_rows, CAST(3 AS BIGINT) AS candidates, CAST(1 AS BIGINT) AS best, true AS best_is_highest,
+       CAST(0 AS BIGINT) AS changed_by_saving FROM f WHERE fold < {SELECT_FOLDS} GROUP BY fold
+""")
+def m4_folds(spark, d):
+    """M4: regParam by cross-validation over E8's folds; the best model is saved, loaded and scores like the fitted one."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    from reviewkit.operators.encode import vocabulary_vectors
+    from reviewkit.operators.joins import materialize
+    from reviewkit.operators.tokens import tokenize
+    from reviewkit.operators.vocab import build_vocabulary, word_counts
+    from reviewkit.plans.model import save_model, select_by_folds
+    from reviewkit.session import scratch_path
+    lab = driver.table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = driver.table(spark, d, "documents").select("doc_id", F.col("text").alias("comment"))
+    tokens = materialize(tokenize(docs.join(lab, "doc_id"), stopwords=STOP).drop("comment"))
+    vectors = vocabulary_vectors(tokens, build_vocabulary(word_counts(tokens), ENCODE_MIN_FREQ), "doc_id", keep=("label",))
+    best, table, folds = select_by_folds(vectors, "doc_id", SELECT_FOLDS)
+    path = scratch_path(spark, "best")
+    save_model(best, path)
+    loaded = LogisticRegressionModel.load(path)
+    a = best.transform(vectors).select("doc_id", F.col("probability").alias("p"), F.col("prediction").alias("q"))
+    both = loaded.transform(vectors).join(a, "doc_id")
+    changed = both.agg(F.count_if((F.col("p") != F.col("probability")) | (F.col("q") != F.col("prediction"))).cast("long").alias("changed_by_saving"))
+    chosen = table.agg(F.count(F.lit(1)).alias("candidates"), F.count_if("is_best").cast("long").alias("best"),
+                       (F.max(F.when(F.col("is_best"), F.col("accuracy"))) == F.max("accuracy")).alias("best_is_highest"))
+    return folds.crossJoin(F.broadcast(chosen)).crossJoin(F.broadcast(changed))  # one row each
