@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewkit.functions.arrays import padding_mask
 from reviewkit.operators.ranking import as_list, hash_key, rank_by_hash, rank_by_key
 
 Key = str | Sequence[str]
@@ -120,3 +121,17 @@ def mini_batches(df: DataFrame, key: Key, batch_size: int, seed: int | None = No
     r = rank_by_key(df, key, "__r") if seed is None else rank_by_hash(df, key, seed, "__r")
     return r.withColumn(out_col, F.floor((F.col("__r") - 1) / F.lit(batch_size)).cast("long")) \
         .withColumn("batch_pos", ((F.col("__r") - 1) % batch_size).cast("long")).drop("__r")
+
+
+def packed_batches(examples: DataFrame, key: Key, batch_size: int, seed: int | None = None, ids_col: str = "input_ids",
+                   label_col: str = "label", pad_id: int = 1) -> DataFrame:
+    """E9 as a trainer reads it: one row per batch with its stacked ids, masks and labels.
+
+    (batch_id, n_rows, input_ids, attention_mask, labels), rows in batch order; the last batch may be short. A group holds
+    ``batch_size`` rows and no more, whatever the keys: positions are unique, so null or repeated keys fill no batch.
+    """
+    placed = mini_batches(examples, key, batch_size, seed)
+    row = F.struct("batch_pos", F.col(ids_col).alias("ids"), padding_mask(F.col(ids_col), pad_id).alias("mask"), F.col(label_col).alias("label"))
+    grouped = placed.groupBy("batch_id").agg(F.sort_array(F.collect_list(row)).alias("r"))
+    return grouped.select("batch_id", F.size("r").alias("n_rows"), F.col("r.ids").alias("input_ids"),
+                          F.col("r.mask").alias("attention_mask"), F.col("r.label").alias("labels"))

@@ -1464,3 +1464,65 @@ def m4_folds(spark, d):
     chosen = table.agg(F.count(F.lit(1)).alias("candidates"), F.count_if("is_best").cast("long").alias("best"),
                        (F.max(F.when(F.col("is_best"), F.col("accuracy"))) == F.max("accuracy")).alias("best_is_highest"))
     return folds.crossJoin(F.broadcast(chosen)).crossJoin(F.broadcast(changed))  # one row each
+
+
+# ---------------------------------------------------------------- packed mini-batches E9
+
+@register("e9_packed_batches", f"""
+WITH e AS (SELECT source, review_id, e0.input_ids, {sql_sentiment('r.star')} AS label
+           FROM {sql_encoded(ENCODE_LEN)} e0 JOIN {SQL_REVIEWS} r USING (source, review_id)),
+p AS (SELECT *, row_number() OVER (ORDER BY {SQL_ORDER}) - 1 AS place FROM e)
+SELECT CAST(floor(place / {BATCH}) AS BIGINT) AS batch_id, CAST(count(*) AS INTEGER) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum,
+       CAST(sum(list_sum(list_transform(input_ids, lambda x: CASE WHEN x = 1 THEN 0 ELSE 1 END))) AS BIGINT) AS n_valid,
+       string_agg(label, ',' ORDER BY place) AS labels, string_agg(input_ids[1], ',' ORDER BY place) AS first_ids FROM p GROUP BY 1
+""")
+def e9_packed_batches(spark, d):
+    """The encoded examples in shuffled batches of 128, a row per batch, written for a trainer and read again."""
+    from reviewkit.functions.arrays import ids_text
+    from reviewkit.operators.joins import materialize
+    from reviewkit.operators.sampling import packed_batches
+    b = materialize(packed_batches(prepared(spark, d).examples(ENCODE_LEN), KEY, BATCH, SEED))
+
+    def total(col):
+        return F.aggregate(F.flatten(col), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    return b.select("batch_id", "n_rows", total("input_ids").alias("id_sum"), total("attention_mask").alias("n_valid"), ids_text(F.col("labels")).alias("labels"),
+                    ids_text(F.transform("input_ids", lambda x: F.get(x, F.lit(0)))).alias("first_ids"))
+
+
+# ---------------------------------------------------------------- a stream that was stopped and restarted X1, S8
+
+@register("x1_stream_recovered", """
+SELECT conv_id, turn, CAST(count(*) AS BIGINT) AS times, true AS equals_batch FROM conversations GROUP BY conv_id, turn
+""")
+def x1_stream_recovered(spark, d):
+    """The scoring stream fails after its second batch was written, is restarted, and gives each turn once, as the batch does."""
+    import os
+
+    from pyspark.errors import StreamingQueryException
+    from reviewkit.plans.model import score
+    from reviewkit.session import scratch_path
+    from reviewkit.streaming.score import read_sink, run_to_end, score_stream_by_batch
+    model = saved_model(spark, d)
+    base = scratch_path(spark, "x1-recovered")
+    src, out, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
+    conv = driver.table(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("comment"))
+    conv.repartition(4, "conv_id", "turn").write.parquet(src)
+
+    def fail(batch):
+        if batch == 1:
+            raise RuntimeError("stopped after a batch was written")
+
+    def start(after):
+        return score_stream_by_batch(spark, model, src, "conv_id long, turn long, comment string", out, ckpt, ("conv_id", "turn"), 1, after)
+
+    try:
+        run_to_end(start(fail))
+    except StreamingQueryException:
+        pass
+    run_to_end(start(None))
+    streamed = read_sink(spark, out).groupBy("conv_id", "turn").agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.struct("scores", "prediction")).alias("s"), F.max(F.struct("scores", "prediction")).alias("t"))
+    batch = score(model, conv, keep=("conv_id", "turn")).groupBy("conv_id", "turn").agg(F.min(F.struct("scores", "prediction")).alias("b"))
+    same = F.coalesce((F.col("s") == F.col("b")) & (F.col("s") == F.col("t")), F.lit(False))
+    return streamed.join(batch, ["conv_id", "turn"], "full_outer").select("conv_id", "turn", "times", same.alias("equals_batch"))

@@ -10,6 +10,8 @@ it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,30 @@ def score_stream(spark: SparkSession, model: PipelineModel, source_dir: str, sch
     return w.start()
 
 
+def score_stream_by_batch(spark: SparkSession, model: PipelineModel, source_dir: str, schema: StructType | str, sink_dir: str,
+                          checkpoint_dir: str, keep: tuple[str, ...] = (), max_files_per_trigger: int | None = None,
+                          after: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Like :func:`score_stream`, with a sink that any later writer or table format can take over: one folder per micro-batch.
+
+    A batch replaces its own folder, ``batch=<id>``. The checkpoint fixes which files a batch id holds, so a batch that was
+    written but not committed when the query stopped is written again by the restarted query and still counted once.
+    ``after`` is called when a batch has been written (a hook for callers that publish it).
+    """
+    reader = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        scored = model.transform(rows).select(*keep, vector_to_array("probability").alias("scores"),
+                                              F.col("prediction").cast("int").alias("prediction"))
+        scored.write.mode("overwrite").parquet(f"{sink_dir}/batch={batch}")
+        if after:
+            after(batch)
+
+    return (reader.load(source_dir).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
+            .trigger(availableNow=True).start())
+
+
 def run_to_end(query: StreamingQuery, timeout_s: int | None = None) -> None:
     """Wait for an ``availableNow`` query to drain its input; a timeout is the caller's choice."""
     query.awaitTermination(timeout_s)

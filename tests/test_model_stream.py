@@ -63,6 +63,29 @@ def test_stream_equals_batch(spark, model, labelled, tmp_dir):
     assert streamed == batch
 
 
+def test_stream_restarts_after_a_written_batch(spark, model, labelled, tmp_dir):
+    from reviewkit.streaming.score import score_stream_by_batch
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    labelled.select("rid", "comment").repartition(4).write.parquet(src)
+    written = []
+
+    def start(stop_after):
+        def after(batch):
+            written.append(batch)
+            if batch == stop_after:
+                raise RuntimeError("stop")
+        return score_stream_by_batch(spark, model, src, "rid long, comment string", out, ckpt, ("rid",), 1, after)
+
+    with pytest.raises(Exception, match="stop"):
+        run_to_end(start(2), 300)
+    run_to_end(start(None), 300)
+    assert written == [0, 1, 2, 2, 3]  # the batch that was not committed is written again
+    rows = read_sink(spark, out).collect()
+    assert sorted(r.rid for r in rows) == sorted(r.rid for r in labelled.collect())
+    batch = {r.rid: r.scores for r in score(model, labelled, keep=("rid",)).collect()}
+    assert {r.rid: r.scores for r in rows} == batch
+
+
 def test_model_selection_marks_one_best(labelled):
     best, table = select_model(labelled, None, reg_params=(0.0, 0.1), num_features=4096)
     rows = table.collect()

@@ -63,3 +63,15 @@ def test_exact_split_at_a_hot_key(spark):
     assert exact_split(df.limit(0), "k", 1).count() == 0
     same = spark.range(5000).select(F.lit("x").alias("k"))
     assert Counter(r.split for r in exact_split(same, "k", 1, 0.25).collect()) == {"train": 1250, "valid": 3750}
+
+
+def test_packed_batches(spark):
+    from reviewkit.operators.sampling import packed_batches
+    df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), (F.col("id") % 3).cast("int").alias("label"),
+                                  F.array(F.col("id") + 5, F.lit(1).cast("long")).alias("input_ids"))
+    rows = {r.batch_id: r for r in packed_batches(df, "k", 64, 2).collect()}
+    assert sorted(rows) == list(range(16)) and [rows[b].n_rows for b in range(16)] == [64] * 15 + [40]
+    seen = [(i[0] - 5, x, tuple(m)) for r in rows.values() for i, x, m in zip(r.input_ids, r.labels, r.attention_mask)]
+    assert sorted(seen) == [(i, i % 3, (1, 0)) for i in range(1000)]
+    again = {r.batch_id: r.labels for r in packed_batches(df, "k", 64, 2).collect()}
+    assert again == {b: r.labels for b, r in rows.items()}
