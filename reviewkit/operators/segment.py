@@ -135,7 +135,7 @@ def matcher(dictionary: DataFrame | Matcher, checked: bool = False) -> Matcher:
                    checked_broadcast(grouped, DICT_MAX_ROWS, materialized=True), longest.bit_length())
 
 
-def _with_lengths(pos: DataFrame, m: Matcher, min_len: int) -> DataFrame:
+def _with_lengths(pos: DataFrame, m: Matcher) -> DataFrame:
     """``lens`` of every position: lengths of the words that may begin there, by beginnings of 1, 2, 4, ... characters."""
     found, more = F.array().cast("array<int>"), F.lit(True)
     own = pos.columns
@@ -149,18 +149,19 @@ def _with_lengths(pos: DataFrame, m: Matcher, min_len: int) -> DataFrame:
             *own, F.concat(found, F.coalesce(F.col("__lens"), F.array().cast("array<int>"))).alias("__found"),
             F.coalesce(F.col("__m"), F.lit(False)).alias("__more"))
         found, more = F.col("__found"), F.col("__more")
-    lens = F.filter(found, lambda l: (l >= min_len) & (l <= F.length("block") - F.col("i")))
-    return pos.select(*own, lens.alias("lens"))
+    return pos.select(*own, found.alias("lens"))
 
 
 def _positions(blocks: DataFrame, m: Matcher, min_len: int, marker: bool) -> DataFrame:
     """(block, n, i, l[, weight]) of every dictionary match; with ``marker`` a row l = 0 for every position, too."""
     n = F.length("block")
     pos = blocks.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
-    pos = _with_lengths(pos.where(n > 0), m, min_len)
+    pos = _with_lengths(pos.where(n > 0), m)
     own = [c for c in pos.columns if c != "lens"]
     zero = F.array(F.lit(0)) if marker else F.array().cast("array<int>")
     cand = pos.select(*own, F.explode(F.concat(zero, F.col("lens"))).alias("l"))
+    # A plain filter after the explode, not a lambda before it: it stays in generated code.
+    cand = cand.where((F.col("l") == 0) | ((F.col("l") >= min_len) & (F.col("i") + F.col("l") <= n)))
     d = m.dictionary
     sub = F.substring(F.col("block"), F.col("i") + 1, F.col("l"))
     if not marker:
