@@ -3,9 +3,9 @@
 CSV parsing: header row, quoted fields that may span lines, doubled quotes
 inside quotes (``escape='"'``; Spark's default backslash escape would split or
 merge records). Types are declared, never inferred (inference costs a full
-extra pass). A multi-line CSV file cannot be split, so each file is one task:
-convert the dumps to parquet once (:func:`to_parquet`) and run every job from
-parquet.
+extra pass). Spark's multi-line scan reads each file in one task;
+:mod:`reviewkit.sources.csv_split` reads the same rows in many. Convert the dumps
+to parquet once (:func:`to_parquet`) and run every job from parquet.
 """
 
 from __future__ import annotations
@@ -58,8 +58,11 @@ def read_reviews_csv(spark: SparkSession, paths: str | Sequence[str], schema: St
     df = (spark.read.schema(full if keep_corrupt else schema)
           .options(columnNameOfCorruptRecord=CORRUPT, header=True, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
           .csv(paths if isinstance(paths, str) else list(paths)))
-    if not pandas_na:
-        return df
+    return null_tokens(df) if pandas_na else df
+
+
+def null_tokens(df: DataFrame) -> DataFrame:
+    """The NA tokens above as nulls in every string column but the corrupt record."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
