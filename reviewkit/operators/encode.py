@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from reviewkit.functions.arrays import pad_to, padding_mask
 from reviewkit.functions.labels import sentiment
-from reviewkit.operators import quality
+from reviewkit.operators import observed
 from reviewkit.operators.joins import materialize
 from reviewkit.operators.ranking import as_list
 from reviewkit.session import scratch_path
@@ -88,11 +88,12 @@ def with_mask(df: DataFrame, ids_col: str = "input_ids", out_col: str = "attenti
 
 def encode_framed(df: DataFrame, vocab: DataFrame, key: Key, text_col: str,
                   label_col: str, tokens_col: str = "tokens", length: int = 64,
-                  start_id: int = 2, end_id: int = 3, pad_id: int = PAD_ID) -> DataFrame:
+                  start_id: int = 2, end_id: int = 3, pad_id: int = PAD_ID, sides: DataFrame | None = None) -> DataFrame:
     """[start] + body (cut to length-2) + [end], padded to ``length``, with mask.
 
     Output: key, struct(review_text, input_ids, attention_mask, labels). The
-    vocabulary must reserve ``start_id`` / ``end_id`` among its specials.
+    vocabulary must reserve ``start_id`` / ``end_id`` among its specials. Text and label
+    come from ``sides`` where given, else from ``df``, and are joined once to the ids.
     """
     key = as_list(key)
     body = encode_ids(df, vocab, key, tokens_col, length - 2, "__ids")
@@ -100,7 +101,7 @@ def encode_framed(df: DataFrame, vocab: DataFrame, key: Key, text_col: str,
                       F.array(F.lit(end_id).cast("long")))
     enc = body.select(*key, pad_to(framed, length, pad_id).alias("input_ids"))
     enc = with_mask(enc, "input_ids", "attention_mask", pad_id)
-    side = df.select(*key, F.col(text_col).alias("review_text"), F.col(label_col).alias("labels"))
+    side = (df if sides is None else sides).select(*key, F.col(text_col).alias("review_text"), F.col(label_col).alias("labels"))
     return enc.join(side, key).select(
         *key, F.struct("review_text", "input_ids", "attention_mask", "labels").alias("example"))
 
@@ -110,20 +111,19 @@ def assemble_examples(encoded: DataFrame, reviews: DataFrame, key: Key,
                       check: bool = True) -> DataFrame:
     """E5: (key, input_ids, label) with the star-range (P6) and alignment (P7) checks.
 
-    The alignment check and the result come from one full outer join,
-    stored: one-sided rows are counted on the stored join, and the matched rows are returned, so the encoding is not computed twice.
+    Both checks are observed while the full outer join of ids and stars is stored, so nothing is scanned for them alone
+    and the encoding is computed once. The matched rows are returned.
     """
     key = as_list(key)
     if not check:
         lab = reviews.select(*key, sentiment(F.col(star_col), rule).alias("label"))
         return encoded.join(lab, key)
-    quality.assert_range(reviews, star_col)
     lab = reviews.select(*key, F.col(star_col).alias("__star"), F.lit(True).alias("__r"))
-    both = materialize(encoded.withColumn("__l", F.lit(True)).join(lab, key, "full_outer"))
-    r = both.agg(F.count_if(F.col("__r").isNull()).alias("left_only"),
-                 F.count_if(F.col("__l").isNull()).alias("right_only")).first()
-    if r["left_only"] or r["right_only"]:
-        raise ValueError(f"inputs and labels are not aligned: {r.asDict()}")
+    both, seen = observed.store_observed(
+        encoded.withColumn("__l", F.lit(True)).join(lab, key, "full_outer"),
+        {**observed.range_measures("__star"), **observed.alignment_measures("__l", "__r")})
+    observed.check_range(seen)
+    observed.check_alignment(seen)
     return both.select(*encoded.columns, sentiment(F.col("__star"), rule).alias("label"))
 
 

@@ -131,6 +131,13 @@ def p2_profile(spark, d):
     return profile(driver.labelled_documents(spark, d).select(*_PROFILE_COLS))
 
 
+@register("p2_observed_profile", ORACLE["p2_profile"])
+def p2_observed_profile(spark, d):
+    """P2 counted while the table is stored: one scan, no pass for the profile."""
+    from reviewkit.operators.observed import stored_profile
+    return stored_profile(driver.labelled_documents(spark, d).select(*_PROFILE_COLS))[1]
+
+
 @register("p3_preview", f"""
 SELECT review_id, star, comment FROM ({driver.SQL_REVIEWS_A}) a ORDER BY review_id LIMIT 5
 """)
@@ -176,6 +183,38 @@ def p7_alignment(spark, d):
     return alignment(driver.table(spark, d, "documents"), driver.table(spark, d, "labels"), "doc_id")
 
 
+RANGES = ((1, 5), (2, 4), (1, 3))
+
+
+@register("p6_observed_range", " UNION ALL ".join(f"""
+SELECT {lo} AS lo, {hi} AS hi, min(star) AS min_value, max(star) AS max_value,
+       CAST(count(*) FILTER (WHERE NOT (star BETWEEN {lo} AND {hi})) AS BIGINT) AS violations FROM {SQL_REVIEWS} r""" for lo, hi in RANGES))
+def p6_observed_range(spark, d):
+    """P6 for several bounds, observed while the reviews are stored; the narrower ones have violations."""
+    from reviewkit.operators.observed import range_measures, store_observed, values_table
+    measures = {f"{name}:{lo}:{hi}": m for lo, hi in RANGES for name, m in range_measures("star", lo, hi).items()}
+    _, seen = store_observed(reviews(spark, d), measures)
+    rows = [(lo, hi, *(seen[f"{name}:{lo}:{hi}"] for name in ("min_value", "max_value", "violations"))) for lo, hi in RANGES]
+    return values_table(spark, rows, "lo int, hi int, min_value int, max_value int, violations long")
+
+
+@register("p7_observed_alignment", """
+SELECT d.doc_id, l.quality, CAST(length(d.text) AS INTEGER) AS n_chars, a.matched, a.left_only, a.right_only
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id,
+(SELECT CAST(count(*) FILTER (WHERE d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL) AS BIGINT) AS matched,
+        CAST(count(*) FILTER (WHERE l.doc_id IS NULL) AS BIGINT) AS left_only,
+        CAST(count(*) FILTER (WHERE d.doc_id IS NULL) AS BIGINT) AS right_only
+ FROM (SELECT doc_id FROM documents) d FULL OUTER JOIN (SELECT doc_id FROM labels) l ON d.doc_id = l.doc_id) a
+""")
+def p7_observed_alignment(spark, d):
+    """The zipped rows of documents and labels and, from the same write, the counts of the check."""
+    from reviewkit.operators.observed import alignment_measures, store_observed
+    left = driver.table(spark, d, "documents").select("doc_id", F.length("text").alias("n_chars"), F.lit(True).alias("l"))
+    right = driver.table(spark, d, "labels").select("doc_id", "quality", F.lit(True).alias("r"))
+    both, seen = store_observed(left.join(right, "doc_id", "full_outer"), alignment_measures("l", "r"))
+    return both.where("l AND r").select("doc_id", "quality", "n_chars", *[F.lit(v).alias(k) for k, v in seen.items()])
+
+
 @register("p8_short_reviews", f"""
 SELECT source, review_id, CAST(len(tokens) AS INTEGER) AS n_tokens FROM {sql_doc_tokens()} t WHERE len(tokens) < 64
 """)
@@ -365,28 +404,70 @@ def _csv_comment(text, key):
         .when(key % 10 == 5, F.concat(F.lit("two\nlines,"), text)).otherwise(text)
 
 
-@register("s1_csv_round_trip", """
+SQL_DUMP = """
 WITH c AS (SELECT doc_id AS review_id, CAST(1 + doc_id % 5 AS INTEGER) AS star,
   CASE doc_id % 10 WHEN 3 THEN NULL WHEN 4 THEN 'say "hi", ' || text WHEN 5 THEN 'two' || chr(10) || 'lines,' || text ELSE text END AS comment
   FROM documents)
 SELECT review_id, star, comment, CAST(0 AS BIGINT) AS n_corrupt FROM c
-""")
-def s1_csv_round_trip(spark, d):
-    """A review dump written as CSV (quotes, line breaks, NA tokens) and scanned with the declared schema."""
+"""
+
+
+def written_dump(spark, d):
+    """Source A written as a CSV dump (quotes, line breaks, NA tokens): its path."""
     from reviewkit.session import scratch_path
-    from reviewkit.sources.reviews_csv import SCHEMA_A, corrupt_records, read_reviews_csv
+    from reviewkit.sources.reviews_csv import SCHEMA_A
     a = driver.reviews_a(spark, d)
     given = {"ID": F.col("review_id"), "Star": F.col("star"), "Comment": _csv_comment(F.col("comment"), F.col("review_id")),
              "Username": F.lit('a "b"')}
     rows = a.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMA_A.fields])
     path = scratch_path(spark, "dump")
     rows.write.options(header=True, quote='"', escape='"', quoteAll=False).csv(path)
-    read = read_reviews_csv(spark, path, SCHEMA_A, keep_corrupt=True)
+    return path
+
+
+def _with_corrupt(read):
+    """The rows of a scan and, on each, the number of its corrupt records."""
+    from reviewkit.sources.reviews_csv import corrupt_records
     bad = corrupt_records(read).select(F.col("n_corrupt").alias("n_corrupt"))
     return read.select(F.col("ID").alias("review_id"), F.col("Star").alias("star"), F.col("Comment").alias("comment")) \
         .crossJoin(F.broadcast(bad))  # one row
 
 
+@register("s1_csv_round_trip", SQL_DUMP)
+def s1_csv_round_trip(spark, d):
+    """A review dump scanned with the declared schema, a task a file."""
+    from reviewkit.sources.reviews_csv import SCHEMA_A, read_reviews_csv
+    return _with_corrupt(read_reviews_csv(spark, written_dump(spark, d), SCHEMA_A, keep_corrupt=True))
+
+
+@register("s1_split_scan", SQL_DUMP)
+def s1_split_scan(spark, d):
+    """The same dump by the scan that splits files, its multi-line records stitched."""
+    from reviewkit.operators.joins import materialize
+    from reviewkit.sources.csv_split import read_reviews_split
+    from reviewkit.sources.reviews_csv import SCHEMA_A
+    return _with_corrupt(materialize(read_reviews_split(spark, written_dump(spark, d), SCHEMA_A, keep_corrupt=True)))
+
+
+@register("s1_split_records", """
+SELECT CAST(count(*) AS BIGINT) AS n_records, CAST(count(*) FILTER (WHERE doc_id % 10 = 5) AS BIGINT) AS n_long,
+       CAST(sum(length(text)) AS BIGINT) AS text_chars FROM documents
+""")
+def s1_split_records(spark, d):
+    """Records of a dump that holds only ids and texts, all texts quoted, some over several lines."""
+    from reviewkit.session import scratch_path
+    from reviewkit.sources.csv_split import csv_records
+    docs = driver.table(spark, d, "documents")
+    broken = F.when(docs.doc_id % 10 == 5, F.concat(docs.text, F.lit('\n"\n,"'))).otherwise(docs.text)
+    path = scratch_path(spark, "dump")
+    docs.select(broken.alias("text")).write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
+    record = F.col("record")
+    bare = F.regexp_replace(F.substring(record, F.lit(2), F.length(record) - 2), '""', '"')
+    extra = F.when(F.endswith(bare, F.lit('\n"\n,"')), 5).otherwise(0)
+    return csv_records(spark, path).agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_if(extra > 0).alias("n_long"), F.sum(F.length(bare) - extra).cast("long").alias("text_chars"))
+
+
 _KEPT = ("the", "of")
 
 
@@ -619,9 +700,8 @@ def e4_framed(spark, d):
     from reviewkit.functions.labels import sentiment
     from reviewkit.operators.encode import encode_framed
     c = prepared(spark, d, FRAMED_SPECIALS)
-    texts = reviews(spark, d).select(*KEY, "comment")
-    src = c.tokens.join(texts, list(KEY)).withColumn("label", sentiment(F.col("star")))
-    e = encode_framed(src, c.vocabulary, KEY, "comment", "label", length=ENCODE_LEN)
+    sides = reviews(spark, d).select(*KEY, "comment", sentiment(F.col("star")).alias("label"))
+    e = encode_framed(c.tokens, c.vocabulary, KEY, "comment", "label", length=ENCODE_LEN, sides=sides)
     return e.select(*KEY, "example.review_text",
                     ids_text(F.col("example.input_ids")).alias("input_ids"),
                     ids_text(F.col("example.attention_mask")).alias("attention_mask"),
