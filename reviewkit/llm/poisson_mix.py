@@ -1,9 +1,9 @@
 """Mixing sources to target weights by Poisson replication (DataFrame functions only).
 
 A source's mean repetition rate is its target share of the output over its own size. Every document draws a uniform
-number from a hash of the seed and its id and inverts its source's Poisson distribution with it: the draw is
+number from a hash of the seed, its id and its text and inverts its source's Poisson distribution with it: the draw is
 independent of partitions, retries and other documents. Documents are exploded by their count, and the copies are put
-into a global random order by a hash of seed, id and copy number.
+into a global random order by a hash of seed, id, text and copy number.
 """
 
 from __future__ import annotations
@@ -72,8 +72,8 @@ def replicate(docs: DataFrame, weights: Mapping[str, float], budget: float | Non
     ``docs`` needs ``doc_id``, ``source`` and ``text``; all its columns are returned, and __mix_copy (0, 1, ... of a document),
     __mix_count, __mix_rate and __mix_order (the sort key of the shuffle). Documents that draw 0 go.
 
-    A null source is a source of its own; a null doc_id draws by its text's hash; repeated rows draw alike, being the
-    same document. Null and empty texts are repeated like others. Input columns that begin with __mix_ are
+    A null source is a source of its own. A document is its id and its text: rows that share an id, or have none, draw
+    by their texts; rows that repeat in both draw alike, being the same document. Null and empty texts are repeated like others. Input columns that begin with __mix_ are
     replaced. Empty table: empty result; a rate above 16 is drawn as the sum of equal parts.
 
     Scale: one count per source (partially aggregated), a rate table of one row per source joined back (broadcast by
@@ -84,7 +84,7 @@ def replicate(docs: DataFrame, weights: Mapping[str, float], budget: float | Non
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / 16)).cast("int")
     table = table.select(F.col("source").alias(_P + "source"), F.col("rate").alias(_P + "rate"), parts.alias(_P + "parts"),
                          distribution(F.col("rate") / parts).alias(_P + "cdf"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.sha2("text", 256))
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.coalesce(F.md5("text"), F.lit("~")))
     counts = F.aggregate(F.sequence(F.lit(1), F.col(_P + "parts")), F.lit(0), lambda n, i: n + draw(
         F.col(_P + "cdf"), uniform(seed, key, i)))
     joined = docs.select(*own).join(table, F.col("source").eqNullSafe(F.col(_P + "source")))

@@ -137,11 +137,11 @@ steps(source, r, k, p, c) AS (
 cdf AS (SELECT source, list(c ORDER BY k) AS cdf FROM steps GROUP BY source),
 draws AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, list_sum(list_transform(range(1, parts + 1), lambda i: len(list_filter(cdf,
-    lambda c: c <= ('0x' || substr(md5('{seed}:' || d.doc_id || ':' || i), 1, 13))::BIGINT / {float(1 << 52)!r})))) AS copies
+    lambda c: c <= ('0x' || substr(md5('{seed}:' || coalesce(d.doc_id::VARCHAR, '~') || ':' || coalesce(md5(d.text), '~') || ':' || i), 1, 13))::BIGINT / {float(1 << 52)!r})))) AS copies
   FROM documents d JOIN parts ON d.source IS NOT DISTINCT FROM parts.source JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source),
 copied AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(0, copies::BIGINT)) AS copy, copies FROM draws)
 SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, copies::INTEGER AS copies,
-       md5('order {seed}:' || doc_id || ':' || copy) AS shuffle_key FROM copied"""
+       md5('order {seed}:' || coalesce(doc_id::VARCHAR, '~') || ':' || coalesce(md5(text), '~') || ':' || copy) AS shuffle_key FROM copied"""
 
 
 def _phrase_sql(least: int = 100, width: int = 5, share: int = 100, top: int = 2000) -> str:
