@@ -506,7 +506,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90, keep: bool = Fa
     """
     ship_package(docs.sparkSession)
     given, docs = docs, docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("key"), "text")
+    # A row is known by id and text: an id that many texts share brings each of them to its own set only.
+    docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     named = stored(_named(docs, k), "sets")
     classes = named.where("set is not null").groupBy("set").agg(
         F.min("doc_id").alias("id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reviewkit.llm import poisson_mix, slots, url_rules
 from reviewkit.llm.poisson_mix import rates, replicate
 from reviewkit.llm.queries import ORACLE, URL_RULES
-from reviewkit.llm.slots import assign_shards, deal, grow
+from reviewkit.llm.slots import assign_shards, deal, grow, grow_map, load_version
 from reviewkit.llm.url_rules import judge_urls, literal_tokens
 
 URLS = ["https://EXAMPLE.org/es/x?y=/en/1", "http://a.b.example.org/en/12#t", "http://example.org/en/2", "http://example.org",
@@ -108,6 +108,54 @@ def test_shards(spark):
         (str(r.doc_id), r.shard) for r in kept.collect()) == Counter((str(r.doc_id), r.shard) for r in got)
 
 
+def shared_id(spark, n=3000):
+    """A third of all rows under one id, with different texts."""
+    return spark.range(n).selectExpr("if(id % 3 = 0, -1L, id) AS doc_id", "concat('text ', id, repeat('x', int(id % 40))) AS text",
+                                     "concat('s', id % 2) AS source")
+
+
+def test_rows_that_share_an_id_spread_over_slots_and_shards(spark):
+    got = assign_shards(shared_id(spark), 8).collect()
+    shared = Counter(r.vslot for r in got if r.doc_id == -1)
+    assert sum(shared.values()) == 1000 and max(shared.values()) < 6
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard] += r.size
+    assert len(sizes) == 8 and max(sizes.values()) - min(sizes.values()) < 0.02 * max(sizes.values())
+
+
+def test_rows_that_share_an_id_draw_by_their_texts(spark):
+    got = replicate(shared_id(spark), {"*": 1.0}, 6000.0).where("doc_id = -1")
+    counts = Counter(r.text for r in got.collect())
+    assert len(set(counts.values())) > 4 and 1800 < sum(counts.values()) < 2200
+    assert got.select("__mix_order").distinct().count() == sum(counts.values())
+
+
+def test_stored_map_places_later_records_and_grows_by_a_version(spark, tmp_path):
+    path = str(tmp_path / "map")
+    docs = documents(spark)
+    place = lambda df, **k: {(r.doc_id, r.text_crc32): (r.vslot, r.shard, r.next_shard, r.map_version) for r in assign_shards(
+        df, 8, map_path=path, **k).collect()}
+    first = place(docs)
+    assert {v[3] for v in first.values()} == {1} and load_version(spark, path)[1].count() == slots.SLOTS
+    more = docs.unionByName(spark.range(10_000, 10_500).selectExpr("id AS doc_id", "repeat('z', int(id % 90)) AS text"), allowMissingColumns=True)
+    later = place(more)
+    assert all(later[k][:2] == v[:2] for k, v in first.items()) and {v[3] for v in later.values()} == {1}
+    assert {v[1] for v in later.values()} == set(range(8))
+
+    assert grow_map(more, path) == 2
+    grown = place(more)
+    assert {v[3] for v in grown.values()} == {2} and 8 in {v[1] for v in grown.values()}
+    assert all(v[1] == later[k][2] and v[1] in (later[k][1], 8) for k, v in grown.items())
+    assert place(more, version=1) == later
+    before, after = ({r.vslot: r.shard for r in load_version(spark, path, v)[1].collect()} for v in (1, 2))
+    assert len(after) == slots.SLOTS and all(after[s] in (before[s], 8) for s in before)
+    with pytest.raises(ValueError):
+        place(more, version=9)
+    with pytest.raises(ValueError):
+        grow_map(more, path + "-none")
+
+
 def test_deal_is_largest_first_to_the_least_loaded(spark):
     sizes = {i: (i * 7919) % 1000 + 1 for i in range(300)}
     by_slot = spark.createDataFrame([(i, s, 1) for i, s in sizes.items()], "vslot int, bytes long, n long")
@@ -157,7 +205,7 @@ def test_replication(spark, budget):
     assert {r.source: round(r.rate, 9) for r in rates(df, weights, budget).collect()} == {s: round(x, 9) for s, x in rate.items()}
     want = Counter()
     for r in rows:
-        key = r.doc_id if r.doc_id is not None else hashlib.sha256(r.text.encode()).hexdigest()
+        key = f"{'~' if r.doc_id is None else r.doc_id}:{'~' if r.text is None else hashlib.md5(r.text.encode()).hexdigest()}"
         want[str(r.doc_id), r.text] += draw(key, max(1, math.ceil(rate[r.source] / 16)), rate[r.source])
     assert Counter((str(r.doc_id), r.text) for r in got) == +want
     assert all(r["__mix_copy"] < r["__mix_count"] for r in got)

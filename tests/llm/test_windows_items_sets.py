@@ -208,6 +208,20 @@ def test_long_and_hot_posting_lists(spark, monkeypatch, hot):
         assert brute.by_text(tuple(x) for x in got) == brute.jaccard(docs, k, t)
 
 
+def test_jaccard_of_rows_that_share_an_id(spark, rows):
+    """A third of all rows under one id, each with a near copy: every text is held once in a block, and no link is lost."""
+    r = random.Random(11)
+    docs = []
+    for i in range(60):
+        words = ["t%d" % r.randrange(400) for _ in range(80)]
+        docs.append((7 if i % 3 == 0 else 100 + i, " ".join(words)))
+        docs.append((1000 + i if i % 3 else 7, " ".join(words[:-1] + ["end%d" % i])))
+    got = jaccard_components(frame(spark, docs), 3, 90).collect()
+    assert brute.by_text(tuple(x) for x in got) == brute.jaccard(docs, 3, 90)
+    keyed = frame(spark, docs).selectExpr("xxhash64(doc_id, text) AS key")
+    assert keyed.distinct().count() == len(set(docs))
+
+
 def test_intersections():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 50, rng.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
