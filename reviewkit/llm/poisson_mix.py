@@ -85,10 +85,14 @@ def replicate(docs: DataFrame, weights: Mapping[str, float], budget: float | Non
     table = table.select(F.col("source").alias(_P + "source"), F.col("rate").alias(_P + "rate"), parts.alias(_P + "parts"),
                          distribution(F.col("rate") / parts).alias(_P + "cdf"))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.coalesce(F.md5("text"), F.lit("~")))
-    counts = F.aggregate(F.sequence(F.lit(1), F.col(_P + "parts")), F.lit(0), lambda n, i: n + draw(
-        F.col(_P + "cdf"), uniform(seed, key, i)))
-    joined = docs.select(*own).join(table, F.col("source").eqNullSafe(F.col(_P + "source")))
-    counted = joined.select(*own, F.col(_P + "rate"), counts.alias(_P + "count")).where(F.col(_P + "count") > 0)
-    copies = counted.withColumn(_P + "copy", F.explode(F.sequence(F.lit(0), F.col(_P + "count") - 1)))
-    order = F.md5(F.concat_ws(":", F.lit(f"order {seed}"), key, F.col(_P + "copy").cast("string")))
-    return copies.withColumn(_P + "order", order).sort(_P + "order", "doc_id")
+    # Bound as an array of one: inside a lambda the text's digest would be made for every term of the distribution.
+    counts = F.transform(F.array(_P + "key"), lambda k: F.aggregate(
+        F.transform(F.sequence(F.lit(1), F.col(_P + "parts")), lambda i: uniform(seed, k, i)), F.lit(0),
+        lambda n, u: n + draw(F.col(_P + "cdf"), u)))[0]
+    joined = docs.select(*own, key.alias(_P + "key")).join(table, F.col("source").eqNullSafe(F.col(_P + "source")))
+    counted = joined.select(*own, _P + "key", F.col(_P + "rate"), counts.alias(_P + "count"))
+    # No filter on the count: it would be pushed below and draw a second time.
+    copies = counted.select("*", F.explode_outer(F.when(F.col(_P + "count") > 0, F.sequence(F.lit(0), F.col(_P + "count") - 1)))
+                            .alias(_P + "copy")).where(F.col(_P + "copy").isNotNull())
+    order = F.md5(F.concat_ws(":", F.lit(f"order {seed}"), F.col(_P + "key"), F.col(_P + "copy").cast("string")))
+    return copies.withColumn(_P + "order", order).drop(_P + "key").sort(_P + "order", "doc_id")
