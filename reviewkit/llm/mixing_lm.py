@@ -1,23 +1,21 @@
 """LM scoring by online logistic context mixing.
 
-A document is the byte stream of its lower-cased words, each closed by a space, and an end byte. Every bit is
-predicted by several hashed-context predictors: the last one, two, three, four and six bytes of the word and the whole
-word so far with the kind of the previous token (start, after a full stop, after a comma, other). A predictor is a pair
+A document is the byte stream of its lower-cased words, each closed by a space, and an end byte. Every bit of every
+token is predicted by hashed-context predictors: the last two, three, four and six bytes, which run on over the space
+into the word before, the word so far, and the word so far with the whole previous word. A predictor is a pair
 of counts per hashed (context, bits of the byte so far). The predictions are mixed in the logistic domain with weights
-chosen by a gate (how often the longest contexts were seen), and the mix is refined by an adaptive probability
-map over (bit position, gate, mixed probability). Weights and map are learned online over the training words, each
-occurrence predicted from counts without itself.
-
-Before its bytes, a token's first bit says whether training knows the word. A known word's probability mixes its spelling
-with the discounted count of the word itself, by a weight that is gated by the count and learned online too. So the
-code length of a text is a sum over its tokens and a proper probability. ``score`` counts the same events as the base model, for
-which all unknown words are one type: of an unknown word, the first bit alone. ``spelled_score`` adds the
-unknown words' spelling: the whole text can be decoded from it; bits per byte are its.
-
-Contexts end at the previous token's kind, so a token's code length depends on (kind, word) only. The distinct
-words of the training documents and their counts (the lexicon) are gathered in Spark by hash bucket; it holds the base
-model's counts and is the training set of the mixer. Count tables have a fixed number of slots (``SLOT_BITS``); what
-fills them, and the lexicon, follows the corpus.
+chosen by a gate (how often the two word contexts were seen), and the mix is refined by an adaptive probability
+map over (bit position, gate, mixed probability). Weights and map are learned online over the training tokens, each
+occurrence predicted from counts without itself. ``score`` is the sum over all bits of all tokens: the text can be
+decoded from that many bits.
+
+All contexts of a token are cut at the word before the previous one, so its code length is a function of (previous word,
+word). Equal pairs of the corpus are therefore gathered in Spark by hash bucket of the previous word (the lexicon) and the
+mixer runs once for each distinct pair of a bucket, weighted by its count; each occurrence adds its pair's length.
+
+What grows: the lexicon, and the tables of the predictor that sees the previous word. These are kept by bucket, each as
+large as its bucket's training pairs ask for, and there are as many buckets as the text's bytes ask for. The
+tables of the other five predictors go to every executor and so have a fixed number of slots (``SLOT_BITS``).
 """
 
 from __future__ import annotations
@@ -29,139 +27,178 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewkit.llm.components import stored
-from reviewkit.llm.packs import hashed_pack, pack_count, planes, shuffle_partitions, unplanes
+from reviewkit.llm.packs import hashed_pack, pack_count, planes, unplanes
 from reviewkit.llm.words import WordIds, gathered, mix, texts
 from reviewkit.session import ship_package
 
-#: Bits of the slot number of each predictor's table: 1, 2, 3, 4, 6 bytes, whole word.
-SLOT_BITS = (17, 20, 20, 21, 21, 21)
-ORDERS = (1, 2, 3, 4, 6)
-#: Lexicon bytes that one task of the training reads, about.
-TRAIN_BYTES = 16_000_000
-#: Text bytes a counting task holds at once; bytes of words predicted at once.
+#: Byte contexts, and bits of the slot number of each shared table: 2, 3, 4, 6 bytes, word so far.
+ORDERS = (2, 3, 4, 6)
+SLOT_BITS = (20, 20, 21, 21, 21)
+HEAD = max(ORDERS)
+#: A longer word is predicted in pieces, so that memory follows the piece.
+PIECE = 1 << 15
+#: Text bytes a bucket of the lexicon aims at; lexicon bytes that one task of the training reads, about.
+BUCKET_BYTES, TRAIN_BYTES = 1_000_000, 16_000_000
+#: Slots of a bucket's own table for each bit of its distinct pairs, at least.
+SPARE = 2
+#: Text bytes a counting task holds at once; bytes predicted at once.
 COUNT_BYTES, CHUNK = 24_000_000, 1 << 15
-#: Gates of the weight between a word's count and its spelling: whole log2 of the count.
-COUNT_GATES = 48
-#: Kinds of the previous token, gates of the mixer and bins of the refining map.
-KINDS, GATES, BINS = 4, 64, 33
+#: Gates of the mixer and bins of the refining map.
+GATES, BINS = 64, 33
 #: Slots of a table block in the shuffle.
 BLOCK = 1 << 16
 PRIOR, RATE = 0.4, 2.0
-_OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.uint64)
+INPUTS = len(SLOT_BITS) + 2
+_OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in SLOT_BITS])]).astype(np.int64)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-#: Kind of the token after a word, by the word's last byte.
-_KIND = [1 if c in b".!?" else 2 if c in b",;:" else 3 for c in range(256)]
 
 
 @dataclass
 class Bits:
-    """Bits of a run of words: ``slots`` (predictor, bit), the bits, their word, and the bit position."""
+    """Bits of the distinct (previous word, word so far, byte) nodes of a run of tokens, bit position by bit position:
+    ``slots`` (shared predictor, bit), the hash of the context with the previous word, and the bits; and of every byte of
+    the run its node and token. Tokens that begin alike after one word share the nodes of their beginning."""
     slots: np.ndarray
+    own: np.ndarray
     bit: np.ndarray
-    word: np.ndarray
-    position: np.ndarray
+    node: np.ndarray
+    token: np.ndarray
 
+    def weights(self, weight: np.ndarray) -> np.ndarray:
+        """Of every bit, from those of the tokens (whole numbers)."""
+        return np.tile(np.bincount(self.node, weight[self.token], len(self.bit) // 8), 8)
 
-def bits_of(words: list[bytes], kinds: np.ndarray) -> Bits:
-    """The closing byte of a word is a space; the empty word is the end, one newline byte."""
-    stream = b"".join([w + b" " if w else b"\n" for w in words])
-    b = np.frombuffer(stream, np.uint8).astype(np.uint64)
-    size = np.array([len(w) + 1 for w in words], np.int64)
-    word = np.repeat(np.arange(len(words)), size)
+
+def split_key(key: bytes) -> tuple[bytes, bytes]:
+    """(previous word, word); words hold no space."""
+    prev, _, word = key.partition(b" ")
+    return prev, word
+
+
+def _units(keys: list[bytes]) -> Iterator[tuple[int, bytes, bytes, int]]:
+    """(token, last bytes before it, bytes, hash of the previous word) of every token, long words in pieces.
+
+    The closing byte of a word is a space; the empty word is the end, one newline byte. Before the first word stands the
+    last document's end.
+    """
+    last, h = None, 0
+    for i, key in enumerate(keys):
+        prev, word = split_key(key)
+        if prev != last:
+            last, h = prev, xxhash.xxh3_64_intdigest(prev)
+            head = (b"\n" * HEAD + (prev + b" " if prev else b""))[-HEAD:]
+        body = word + b" " if word else b"\n"
+        if len(body) <= PIECE:
+            yield i, head, body, h
+        else:
+            for at in range(0, len(body), PIECE):
+                yield i, body[at - HEAD:at] if at else head, body[at:at + PIECE], h ^ at
+
+
+def bits_of(units: list[tuple[int, bytes, bytes, int]]) -> Bits:
+    stream = np.frombuffer(b"".join([x for _, head, body, _ in units for x in (head, body)]), np.uint8).astype(np.uint64)
+    size = np.array([len(u[2]) for u in units], np.int64)
+    unit = np.repeat(np.arange(len(units)), size)
     first = np.cumsum(size) - size
-    place = np.arange(len(b)) - first[word]
-    kind = kinds[word].astype(np.uint64) + np.uint64(256)
-    # The byte k places back, the kind before the word's first byte, nothing further back.
-    back = []
-    for k in range(1, max(ORDERS) + 1):
-        x = np.zeros(len(b), np.uint64)
-        x[k:] = b[:-k] + np.uint64(1)
-        back.append(np.where(place >= k, x, np.where(place == k - 1, kind, np.uint64(0))))
-    contexts, h, at = [], np.zeros(len(b), np.uint64), 0
-    for order in ORDERS:
-        while at < order:
-            h = (h + back[at] + np.uint64(1)) * _ODD[at % 6]
-            h ^= h >> np.uint64(29)
-            at += 1
-        contexts.append(mix(h))
-    # Whole prefix: running sum of byte times a power of its place, within the word.
+    place = np.arange(len(unit)) - first[unit]
+    at = np.arange(len(unit)) + (unit + 1) * HEAD  # place in the stream, heads between
+    b = stream[at]
+    contexts, back = [], np.zeros(len(b), np.uint64)
+    for k in range(1, HEAD + 1):
+        back |= stream[at - k] << np.uint64(8 * (k - 1))
+        if k in ORDERS:
+            contexts.append(mix(back + _ODD[k - 1 if k < 6 else 0]))
+    # The word so far: running sum of byte times a power of its place, within the unit.
     power = np.cumprod(np.full(int(size.max()) + 1 if len(size) else 1, _ODD[3]))
-    term = mix((b + np.uint64(1)) * power[place])
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(term)])[:-1]
-    contexts.append(mix(run - run[first][word] + kind * _ODD[1] + place.astype(np.uint64)))
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix((b + np.uint64(1)) * power[place]))])[:-1]
+    prefix = mix(run - run[first][unit] + place.astype(np.uint64))
+    contexts.append(prefix)
+    own = mix(prefix + np.array([u[3] for u in units], np.uint64)[unit] * _ODD[1])
+    _, at, node = np.unique((own + b) * _ODD[2], return_index=True, return_inverse=True)
+    b, own, contexts = b[at], own[at], [c[at] for c in contexts]
     n = len(b)
-    slots = np.empty((len(SLOT_BITS), 8, n), np.int32)
+    slots = np.empty((len(SLOT_BITS), 8, n), np.int64)
+    owns = np.empty((8, n), np.uint64)
     bit = np.empty((8, n), np.uint8)
-    for j in range(8):
-        bit[j] = (b >> np.uint64(7 - j)) & np.uint64(1)
-        node = ((np.uint64(1) << np.uint64(j)) | (b >> np.uint64(8 - j) if j else np.uint64(0))) * _ODD[5]
-        for k, (c, width) in enumerate(zip(contexts, SLOT_BITS)):
-            np.add((c + node) * _ODD[0] >> np.uint64(64 - width), _OFFSETS[k], out=slots[k, j], casting="unsafe")
-    return Bits(slots.reshape(len(SLOT_BITS), -1), bit.ravel(), np.tile(word, 8), np.repeat(np.arange(8), n))
-
-
-def chunks(words: list[bytes], kinds: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of words of about ``CHUNK`` bytes."""
-    ends = np.cumsum([len(w) + 1 for w in words])
-    lo = 0
-    while lo < len(words):
-        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK, side="right"))
-        hi = max(hi, lo + 1)
-        yield lo, hi
-        lo = hi
+    # The bits of a half byte lie in one group of 16 slots: the context's place, changed in its last four bits.
+    for half in (0, 4):
+        high = (b >> np.uint64(4)) * _ODD[5] if half else np.uint64(0)
+        places = [(c + high) * _ODD[0] >> np.uint64(64 - width) for c, width in zip(contexts, SLOT_BITS)]
+        own_place = mix(own + high)
+        for j in range(half, half + 4):
+            bit[j] = (b >> np.uint64(7 - j)) & np.uint64(1)
+            so_far = np.uint64(1 << j - half) | (b >> np.uint64(8 - j) & np.uint64((1 << j - half) - 1))
+            for k, place in enumerate(places):
+                np.add(place ^ so_far, np.uint64(_OFFSETS[k]), out=slots[k, j], casting="unsafe")
+            owns[j] = own_place ^ so_far
+    token = np.array([u[0] for u in units], np.int64)[unit]
+    return Bits(slots.reshape(len(SLOT_BITS), -1), owns.ravel(), bit.ravel(), node, token)
+
+
+def runs(keys: list[bytes]) -> Iterator[Bits]:
+    """The bits of all tokens, about ``CHUNK`` bytes at a time."""
+    held, size = [], 0
+    for u in _units(keys):
+        held.append(u)
+        size += len(u[2])
+        if size >= CHUNK:
+            yield bits_of(held)
+            held, size = [], 0
+    if held:
+        yield bits_of(held)
 
 
 class Counts:
-    """How often each slot saw a 0 and a 1."""
+    """How often each slot of the shared tables saw a 0 and a 1."""
 
     def __init__(self) -> None:
-        self.n = np.zeros((int(_OFFSETS[-1]), 2), np.float32)
+        self.n = np.zeros((int(_OFFSETS[-1]), 2), np.int64)
 
-    def add(self, words: list[bytes], kinds: np.ndarray, weight: np.ndarray) -> None:
-        for lo, hi in chunks(words, kinds):
-            x = bits_of(words[lo:hi], kinds[lo:hi])
-            w = weight[lo:hi].astype(np.float32)[x.word]
-            flat = self.n.ravel()
+    def add(self, keys: list[bytes], weight: np.ndarray) -> None:
+        flat = self.n.ravel()
+        for x in runs(keys):
+            w = x.weights(weight).astype(np.int64)
             for row in x.slots:
                 np.add.at(flat, row * 2 + x.bit, w)
 
 
-@dataclass
-class Vocabulary:
-    """Totals of the lexicon: tokens, distinct words, and by kind tokens and tokens of words that occur once."""
-    tokens: int
-    distinct: int
-    by_kind: np.ndarray
-    once: np.ndarray
-    twice: int
+class PairCounts:
+    """The table of the contexts with the previous word, of one bucket and as large as it asks for."""
 
-    @property
-    def discount(self) -> float:
-        n1 = self.once.sum()
-        return float(n1 / (n1 + 2 * self.twice)) if n1 else 0.5
+    def __init__(self, keys: list[bytes], weight: np.ndarray) -> None:
+        size = SPARE * 8 * sum(len(k) - k.index(b" ") for k in keys)
+        self.mask = np.uint64((1 << max(10, math.ceil(math.log2(size + 1)))) - 1)
+        self.n = np.zeros(2 * (int(self.mask) + 1), np.uint32 if weight.sum() < 1 << 32 else np.int64)
+        for x in runs(keys):
+            np.add.at(self.n, self.at(x) * 2 + x.bit, x.weights(weight).astype(self.n.dtype))
 
-    def unknown(self) -> np.ndarray:
-        """Probability that a token is unknown, by kind: an occurrence that is the word's only one is unknown without itself."""
-        return (self.once + 0.5) / (self.by_kind + 1)
+    def at(self, x: Bits) -> np.ndarray:
+        return (x.own & self.mask).astype(np.int64)
 
-    def word(self, count: np.ndarray, less: int = 0) -> np.ndarray:
-        """Probability of a known word among the known ones, from its count (minus ``less``)."""
-        left = self.tokens - less - self.discount * self.distinct
-        return np.maximum(count - less - self.discount, 1e-9) / max(left, 1e-9)
+    def look(self, x: Bits, loo: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(ln odds of a 1, level of how often seen) of every bit, for learning without the bit's own occurrence."""
+        at = self.at(x) * 2
+        n0, n1 = self.n.take(at).astype(np.float32), self.n.take(at + 1).astype(np.float32)
+        if loo:
+            n1 -= x.bit
+            n0 -= 1 - x.bit
+        return np.log((n1 + PRIOR) / (n0 + PRIOR)), level(n0 + n1)
+
+
+def level(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(7, np.log2(np.maximum(seen, 0) + 1) / 1.5 + 1e-3).astype(np.uint8)  # 7 and 63 are borders
 
 
 class Mixer:
-    """Count tables (as logarithms), gated weights and the refining map."""
+    """Shared tables (as logarithms), gated weights and the refining map."""
 
-    def __init__(self, log_counts: np.ndarray, vocabulary: Vocabulary, loo: bool = False) -> None:
-        self.vocabulary = vocabulary
-        #: Learned share of the count against the spelling: responsibilities and totals by count gate.
-        self.by_count, self.of_count = np.ones(COUNT_GATES), np.full(COUNT_GATES, 2.0)
+    def __init__(self, log_counts: np.ndarray, loo: bool = False) -> None:
         #: ln(odds of a 1) of each slot, and how often it was seen; for learning (``loo``) without one 0 and without
         #: one 1 instead. Made block by block, so only the tables in use take memory.
         slots = log_counts.shape[1]
@@ -173,25 +210,25 @@ class Mixer:
             for less, row in zip((1, -1), self.stretch):
                 one, zero = (np.maximum(n1 - (loo and less < 0), 0), np.maximum(n0 - (loo and less > 0), 0))
                 row[part] = np.log((one + PRIOR) / (zero + PRIOR))
-            self.seen[part] = np.minimum(7, np.log2(np.maximum(n0 + n1 - loo, 0) + 1) / 1.5)
+            self.seen[part] = level(n0 + n1 - loo)
         self.loo = loo
-        k = len(SLOT_BITS)
-        self.weights = np.full((GATES, k + 1), 0.3, np.float32)
-        self.weights[:, k] = 0
-        self.hits, self.total = np.zeros((8 * 8 * BINS)), np.zeros((8 * 8 * BINS))
+        self.weights = np.full((GATES, INPUTS), 0.3, np.float32)
+        self.weights[:, -1] = 0
+        self.hits, self.total = np.zeros(8 * 8 * BINS), np.zeros(8 * 8 * BINS)
 
-    def predict(self, x: Bits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def predict(self, x: Bits, pairs: PairCounts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(inputs, gate, mixed logit) of every bit; a learning mixer's counts leave out the bit's own occurrence."""
-        inputs = np.empty((len(x.slots) + 1, len(x.bit)), np.float32)
+        inputs = np.empty((INPUTS, len(x.bit)), np.float32)
         inputs[-1] = 1
         flat = self.stretch.ravel()
         at = x.bit.astype(np.int64) * self.stretch.shape[1] if self.loo else 0
         for k, s in enumerate(x.slots):
-            inputs[k] = flat[s + at]
-        gate = self.seen[x.slots[5]].astype(np.int64) * 8 + self.seen[x.slots[3]]
+            inputs[k] = flat.take(s + at)
+        inputs[-2], level_pair = pairs.look(x, self.loo)
+        gate = level_pair.astype(np.int64) * 8 + self.seen.take(x.slots[-1])
         logit = np.zeros(len(x.bit), np.float32)
         for w, of in zip(np.ascontiguousarray(self.weights.T), inputs):
-            logit += w[gate] * of
+            logit += w.take(gate) * of
         return inputs, gate, np.clip(logit, -11, 11)
 
     @staticmethod
@@ -199,11 +236,12 @@ class Mixer:
         """Lower bin of the map and the share of the upper one."""
         at = (np.clip(logit, -8, 7.999) + 8) * (BINS - 1) / 16
         low = at.astype(np.int64)
-        return (x.position * 8 + gate // 8) * BINS + low, at - low
+        position = np.arange(8)[:, None] * 8
+        return ((position + (gate // 8).reshape(8, -1)) * BINS).ravel() + low, at - low
 
-    def probability(self, x: Bits) -> np.ndarray:
+    def probability(self, x: Bits, pairs: PairCounts) -> np.ndarray:
         """Of the bits that occur."""
-        _, gate, logit = self.predict(x)
+        _, gate, logit = self.predict(x, pairs)
         p = 1 / (1 + np.exp(-logit))
         low, share = self._bins(x, gate, logit)
         refined = self.map[low] * (1 - share) + self.map[low + 1] * share
@@ -218,50 +256,32 @@ class Mixer:
             self._map = (self.hits + 20 * prior) / (self.total + 20)
         return self._map
 
-    def learn(self, words: list[bytes], kinds: np.ndarray, weight: np.ndarray, count: np.ndarray) -> None:
-        """Online: every chunk is predicted, then the weights of its gates and the map are updated."""
-        k = len(SLOT_BITS) + 1
+    def learn(self, keys: list[bytes], weight: np.ndarray, pairs: PairCounts) -> None:
+        """Online: every run is predicted, then the weights of its gates and the map are updated."""
         curve = np.full(GATES, 1e-3)
-        for lo, hi in chunks(words, kinds):
-            x = bits_of(words[lo:hi], kinds[lo:hi])
-            w = weight[lo:hi].astype(np.float64)[x.word]
-            inputs, gate, logit = self.predict(x)
+        for x in runs(keys):
+            w = x.weights(weight)
+            inputs, gate, logit = self.predict(x, pairs)
             p = 1 / (1 + np.exp(-logit))
             low, share = self._bins(x, gate, logit)
             at = low + (share > 0.5)
-            spelled = np.exp(np.bincount(x.word, np.log(np.where(x.bit == 1, p, 1 - p)), hi - lo))
-            c = count[lo:hi]
-            again = c > 1
-            gate_c = np.log2(c).astype(np.int64)
-            lead = self.by_count[gate_c] / self.of_count[gate_c]
-            own, other = lead * self.vocabulary.word(c, 1), (1 - lead) * spelled
-            self.by_count += np.bincount(gate_c, weight[lo:hi] * again * own / (own + other + 1e-300), COUNT_GATES)
-            self.of_count += np.bincount(gate_c, weight[lo:hi] * again, COUNT_GATES)
             self.hits += np.bincount(at, w * x.bit, len(self.hits))
             self.total += np.bincount(at, w, len(self.total))
             # Steps of a gate shrink with the curvature (summed over its inputs) that it has seen so far.
             curve += np.bincount(gate, w * np.maximum(p * (1 - p), 1e-4) * np.einsum("ij,ij->j", inputs, inputs), GATES)
             error = w * (x.bit - p)
-            for i in range(k):
+            for i in range(INPUTS):
                 self.weights[:, i] += (RATE * np.bincount(gate, error * inputs[i], GATES) / curve).clip(-0.2, 0.2)
 
-    def spelling(self, words: list[bytes], kinds: np.ndarray) -> np.ndarray:
-        """log10 probability of the bytes of each word."""
-        out = np.zeros(len(words))
-        for lo, hi in chunks(words, kinds):
-            x = bits_of(words[lo:hi], kinds[lo:hi])
-            out[lo:hi] = np.bincount(x.word, np.log10(self.probability(x)), hi - lo)
+    def log10(self, keys: list[bytes], pairs: PairCounts) -> np.ndarray:
+        """log10 probability of the word of each (previous word, word), closing byte included."""
+        out = np.zeros(len(keys))
+        for x in runs(keys):
+            lo, hi = int(x.token.min()), int(x.token.max()) + 1
+            of_node = np.log10(self.probability(x, pairs)).reshape(8, -1).sum(0, dtype=np.float64)
+            out[lo:hi] += np.bincount(x.token - lo, of_node[x.node], hi - lo)
         return out
 
-    def log10(self, words: list[bytes], kinds: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each token's event, and of the spelling it leaves open (0 for a known word)."""
-        spelled = self.spelling(words, kinds)
-        unknown = self.vocabulary.unknown()[kinds]
-        gate = np.log2(np.maximum(count, 1)).astype(np.int64)
-        lead = (self.by_count / self.of_count)[gate]
-        known = (1 - unknown) * (lead * self.vocabulary.word(count) + (1 - lead) * 10.0 ** spelled)
-        return np.log10(np.where(count > 0, known, unknown)), np.where(count > 0, 0.0, spelled)
-
 
 # Gathering the lexicon.
 
@@ -271,11 +291,10 @@ def held_out(doc_id: Column, k: int = 7, r: int = 2) -> Column:
 
 
 class _Tokens:
-    """Tokens of documents: word ids with the previous token's kind; the end is the empty word."""
+    """Tokens of documents and their distinct (previous word, word) pairs; the end is the empty word."""
 
     def __init__(self, column: pa.ChunkedArray) -> None:
         memo = WordIds()
-        self.memo = memo
         flat: list[bytes] = []
         sizes = []
         for t in texts(column):
@@ -283,83 +302,79 @@ class _Tokens:
             flat += words
             flat.append(b"")
             sizes.append(len(words) + 1)
+        self.end = memo[b""]
         self.ids = memo.ids(flat)
-        # A token's kind follows from the word before it; before the first word stands the last document's end.
-        self.kinds = np.zeros(len(flat), np.uint8)
-        after = np.fromiter((_KIND[w[-1]] if w else 0 for w in memo), np.uint8, len(memo))
-        self.kinds[1:] = after[self.ids[:-1]]
+        self.words = list(memo)
+        prev = np.concatenate([[self.end], self.ids[:-1]])
+        code, self.pair, self.count = np.unique(prev * len(memo) + self.ids, return_inverse=True, return_counts=True)
+        self.prev, self.word = np.divmod(code, len(memo))
+        self.hash = memo.hashes()[0]
         self.sizes = np.array(sizes, np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
 
     def buckets(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(bucket, ids of its words, ascending); the bucket is the leading part of the word's hash."""
-        of = ((self.memo.hashes()[0] >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+        """(bucket, its pairs, by previous word); the bucket is the leading part of the previous word's hash."""
+        of = ((self.hash >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)[self.prev]
         by = np.argsort(of, kind="stable")
-        at = np.searchsorted(of[by], np.arange(n + 1))
-        for b in range(n):
-            if at[b + 1] > at[b]:
-                yield b, by[at[b]:at[b + 1]]
-
+        at = np.flatnonzero(np.diff(of[by], prepend=-1))
+        for i, j in zip(at.tolist(), [*at[1:].tolist(), len(by)]):
+            yield int(of[by[i]]), by[i:j]
 
-def _joined(words: list[bytes]) -> bytes:
-    return b"\n".join(words)
+    def keys(self, pairs: np.ndarray) -> bytes:
+        w = self.words
+        return b"\n".join([w[p] + b" " + w[q] for p, q in zip(self.prev[pairs].tolist(), self.word[pairs].tolist())])
 
 
 def _counted(docs: DataFrame, buckets: int) -> DataFrame:
-    """Counts of the words of a batch by kind, one array for each bucket."""
-    schema = pa.schema([("bucket", pa.int32()), ("words", pa.binary()), ("counts", pa.binary())])
+    """Counts of the pairs of a batch, one array for each bucket."""
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "text", COUNT_BYTES):
             t = _Tokens(table.column("text"))
-            words = list(t.memo)
-            counts = np.bincount(t.ids * KINDS + t.kinds, minlength=len(words) * KINDS).reshape(-1, KINDS)
-            rows = [(b, _joined([words[i] for i in ids.tolist()]), planes(counts[ids].ravel()))
-                    for b, ids in t.buckets(buckets)]
+            rows = [(b, t.keys(pairs), planes(t.count[pairs])) for b, pairs in t.buckets(buckets)]
             yield from pa.Table.from_pydict(dict(zip(schema.names, zip(*rows))), schema=schema).to_batches()
 
-    return docs.select("text").mapInArrow(run, "bucket int, words binary, counts binary")
+    return docs.select("text").mapInArrow(run, "bucket int, keys binary, counts binary")
 
 
-LEXICON = pa.schema([("bucket", pa.int32()), ("distinct", pa.int64()), ("twice", pa.int64()),
-                     ("tokens", pa.list_(pa.int64())), ("once", pa.list_(pa.int64())), ("words", pa.binary()),
+LEXICON = pa.schema([("bucket", pa.int32()), ("distinct", pa.int64()), ("tokens", pa.int64()), ("keys", pa.binary()),
                      ("counts", pa.binary())])
 
 
+def _union(column: pa.ChunkedArray) -> tuple[list[bytes], list[np.ndarray]]:
+    """Distinct keys in byte order, and the place of every key of every blob."""
+    blobs = [b.split(b"\n") for b in column.to_pylist()]
+    keys = sorted(set().union(*blobs))
+    at = {k: i for i, k in enumerate(keys)}
+    return keys, [np.fromiter(map(at.__getitem__, b), np.int64, len(b)) for b in blobs]
+
+
 def _merge(table: pa.Table) -> pa.Table:
-    """One bucket of the lexicon, words in byte order."""
-    blobs = [b.split(b"\n") for b in table.column("words").to_pylist()]
-    counts = np.concatenate([unplanes(b, np.int64).reshape(-1, KINDS) for b in table.column("counts").to_pylist()])
-    words = sorted(set().union(*blobs))
-    at = {w: i for i, w in enumerate(words)}
-    of = np.concatenate([np.fromiter(map(at.__getitem__, b), np.int64, len(b)) for b in blobs])
-    total = np.stack([np.bincount(of, counts[:, k], len(words)) for k in range(KINDS)], 1).astype(np.int64)
-    own = total.sum(1)
-    return pa.Table.from_pylist([{"bucket": table.column("bucket")[0].as_py(), "distinct": len(words),
-                                  "twice": int((own == 2).sum()), "tokens": total.sum(0).tolist(),
-                                  "once": total[own == 1].sum(0).tolist(), "words": _joined(words),
-                                  "counts": planes(total.ravel())}], schema=LEXICON)
-
-
-def _entries(words: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """(word, kind, count, the word's count over all kinds) of every pair that occurs."""
-    n = unplanes(counts, np.int64).reshape(-1, KINDS)
-    w, k = np.nonzero(n)
-    names = words.split(b"\n")
-    return [names[i] for i in w.tolist()], k.astype(np.uint8), n[w, k], n.sum(1)[w]
+    """One bucket of the lexicon, pairs in byte order; as every token is followed by one, previous words count all tokens."""
+    keys, places = _union(table.column("keys"))
+    total = np.zeros(len(keys), np.int64)
+    for at, counts in zip(places, table.column("counts").to_pylist()):
+        total[at] += unplanes(counts, np.int64)
+    return pa.Table.from_pylist([{"bucket": table.column("bucket")[0].as_py(), "distinct": len({split_key(k)[0] for k in keys}),
+                                  "tokens": int(total.sum()), "keys": b"\n".join(keys), "counts": planes(total)}], schema=LEXICON)
+
+
+def _entries(keys: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray]:
+    return keys.split(b"\n"), unplanes(counts, np.int64)
 
 
 TABLE = pa.schema([("block", pa.int32()), ("slots", pa.binary()), ("n0", pa.binary()), ("n1", pa.binary())])
 
 
 def _train_counts(lexicon: DataFrame, tasks: int) -> np.ndarray:
-    """log2(count + 1) of zeros and ones of every slot, summed over all training words."""
+    """log2(count + 1) of zeros and ones of every shared slot, summed over all training tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = None
         for b in batches:
-            for words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for keys, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 counts = counts or Counts()
-                counts.add(*_entries(words, n)[:3])
+                counts.add(*_entries(keys, n))
         if counts is None:
             return
         used = np.flatnonzero(counts.n.any(1))
@@ -368,10 +383,10 @@ def _train_counts(lexicon: DataFrame, tasks: int) -> np.ndarray:
             slots = used[at[i]:at[i + 1]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int32()), pa.array([planes((slots - i * BLOCK).astype(np.uint16))], pa.binary()),
-                 *[pa.array([planes(x[slots].astype(np.int64))], pa.binary()) for x in counts.n.T]], schema=TABLE)
+                 *[pa.array([planes(x[slots])], pa.binary()) for x in counts.n.T]], schema=TABLE)
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros((2, BLOCK))
+        total = np.zeros((2, BLOCK), np.int64)
         for s, *n in zip(*(table.column(c).to_pylist() for c in ("slots", "n0", "n1"))):
             at = unplanes(s, np.uint16)
             for k in (0, 1):
@@ -380,7 +395,7 @@ def _train_counts(lexicon: DataFrame, tasks: int) -> np.ndarray:
         return pa.Table.from_pylist([{"block": table.column("block")[0].as_py(), "logs": logs.tobytes()}],
                                     schema=pa.schema([("block", pa.int32()), ("logs", pa.binary())]))
 
-    tables = (lexicon.select("words", "counts", "bucket").repartition(tasks, "bucket").select("words", "counts")
+    tables = (lexicon.select("keys", "counts", "bucket").repartition(tasks, "bucket").select("keys", "counts")
               .mapInArrow(run, "block int, slots binary, n0 binary, n1 binary")
               .groupBy("block").applyInArrow(add, "block int, logs binary"))
     out = np.zeros((2, int(_OFFSETS[-1]) + BLOCK), np.float16)
@@ -389,58 +404,50 @@ def _train_counts(lexicon: DataFrame, tasks: int) -> np.ndarray:
     return out[:, :int(_OFFSETS[-1])]
 
 
-def _train_weights(lexicon: DataFrame, tasks: int, logs, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Weights averaged over the tasks by tokens, and the summed hits and totals of the refining map and the count gates."""
+def _train_weights(lexicon: DataFrame, tasks: int, logs) -> tuple[np.ndarray, ...]:
+    """Weights averaged over the tasks by tokens, and the summed hits and totals of the refining map."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer, tokens = None, 0
         for b in batches:
-            for words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                mixer = mixer or Mixer(logs.value, vocabulary, loo=True)
-                entries = _entries(words, n)
-                mixer.learn(*entries)
-                tokens += int(entries[2].sum())
+            for blob, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                mixer = mixer or Mixer(logs.value, loo=True)
+                keys, weight = _entries(blob, n)
+                mixer.learn(keys, weight, PairCounts(keys, weight))
+                tokens += int(weight.sum())
         if mixer is not None:
-            x = np.concatenate([mixer.weights.ravel() * tokens, mixer.hits, mixer.total, mixer.by_count, mixer.of_count, [tokens]])
+            x = np.concatenate([mixer.weights.ravel() * tokens, mixer.hits, mixer.total, [tokens]])
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], names=["sums"])
 
-    sums = (lexicon.select("words", "counts", "bucket").repartition(tasks, "bucket").select("words", "counts")
+    sums = (lexicon.select("keys", "counts", "bucket").repartition(tasks, "bucket").select("keys", "counts")
             .mapInArrow(run, "sums binary").collect())  # a row of fixed size per task
     total = sum(np.frombuffer(x, np.float64) for x in sorted(bytes(r.sums) for r in sums))
-    shape = (GATES, len(SLOT_BITS) + 1)
-    sizes = np.array([GATES * shape[1], 64 * BINS, 64 * BINS, COUNT_GATES, COUNT_GATES])
-    w, *rest = np.split(total[:-1], np.cumsum(sizes)[:-1])
-    return (w / max(total[-1], 1)).reshape(shape).astype(np.float32), *rest
+    w, hits, seen = np.split(total[:-1], [GATES * INPUTS, GATES * INPUTS + 64 * BINS])
+    return (w / max(total[-1], 1)).reshape(GATES, INPUTS).astype(np.float32), hits, seen
 
 
 @dataclass
 class Model:
-    """What the mixer has learned, and the broadcast count tables it belongs to."""
+    """What the mixer has learned, and the broadcast tables it belongs to."""
     logs: object
-    vocabulary: Vocabulary
     learned: tuple[np.ndarray, ...] | None
 
     def mixer(self) -> Mixer:
-        m = Mixer(self.logs.value, self.vocabulary)
+        m = Mixer(self.logs.value)
         if self.learned is not None:
-            m.weights, m.hits, m.total, m.by_count, m.of_count = self.learned
+            m.weights, m.hits, m.total = self.learned
         return m
 
 
-ASKED = pa.schema([("bucket", pa.int32()), ("pack", pa.int32()), ("words", pa.binary()), ("kinds", pa.binary())])
-TOLD = pa.schema([("pack", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("scores", pa.binary()),
-                   ("spelling", pa.binary())])
+ASKED = pa.schema([("bucket", pa.int32()), ("pack", pa.int32()), ("keys", pa.binary())])
+TOLD = pa.schema([("pack", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()), ("scores", pa.binary())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                    ("base_sum", pa.float64()), ("score", pa.float64()), ("spelling", pa.float64()), ("n_bytes", pa.int64())])
+                    ("base_sum", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
 
 
 def _ask(table: pa.Table, buckets: int) -> pa.Table:
     t = _Tokens(table.column("text"))
-    words = list(t.memo)
-    kinds = np.zeros(len(words), np.uint8)
-    for k in range(KINDS):
-        kinds[t.ids[t.kinds == k]] |= 1 << k
     pack = table.column("pack")[0].as_py()
-    rows = [(b, pack, _joined([words[i] for i in ids.tolist()]), kinds[ids].tobytes()) for b, ids in t.buckets(buckets)]
+    rows = [(b, pack, t.keys(pairs)) for b, pairs in t.buckets(buckets)]
     return pa.Table.from_pydict(dict(zip(ASKED.names, zip(*rows))), schema=ASKED)
 
 
@@ -448,32 +455,24 @@ _MIXERS: dict[str, Mixer] = {}
 
 
 def _tell(asked: pa.Table, lexicon: pa.Table, model: Model, name: str) -> pa.Table:
-    """Count of every asked word and code length of every asked (word, kind); each is computed once a bucket."""
+    """Training count of the previous word and code length of every asked pair; each pair is computed once a bucket."""
     if not asked.num_rows:
         return TOLD.empty_table()
-    known: dict[bytes, int] = {}
-    for words, n in zip(lexicon.column("words").to_pylist(), lexicon.column("counts").to_pylist()):
-        known.update(zip(words.split(b"\n"), unplanes(n, np.int64).reshape(-1, KINDS).sum(1).tolist()))
-    blobs = [b.split(b"\n") for b in asked.column("words").to_pylist()]
-    masks = [np.frombuffer(b, np.uint8) for b in asked.column("kinds").to_pylist()]
-    words = sorted(set().union(*blobs))
-    at = {w: i for i, w in enumerate(words)}
-    of = [np.fromiter(map(at.__getitem__, b), np.int64, len(b)) for b in blobs]
-    count = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
-    want = np.zeros(len(words), np.uint8)
-    for i, m in zip(of, masks):
-        want[i] |= m
-    w, k = np.nonzero((want[:, None] >> np.arange(KINDS)) & 1)
+    seen, weight, known = [], np.zeros(0, np.int64), {}
+    for blob, n in zip(lexicon.column("keys").to_pylist(), lexicon.column("counts").to_pylist()):
+        seen, weight = _entries(blob, n)
+        for k, c in zip(seen, weight.tolist()):
+            prev = split_key(k)[0]
+            known[prev] = known.get(prev, 0) + c
+    pairs = PairCounts(seen, weight)
+    keys, places = _union(asked.column("keys"))
+    count = np.fromiter((known.get(split_key(k)[0], 0) for k in keys), np.int64, len(keys))
     if name not in _MIXERS:  # tables are decoded once a worker
         _MIXERS.clear()
         _MIXERS[name] = model.mixer()
-    score, spelling = np.zeros((len(words), KINDS)), np.zeros((len(words), KINDS))
-    score[w, k], spelling[w, k] = _MIXERS[name].log10([words[i] for i in w.tolist()], k.astype(np.uint8), count[w])
+    score = _MIXERS[name].log10(keys, pairs)
     bucket = asked.column("bucket")[0].as_py()
-    rows = []
-    for p, i, m in zip(asked.column("pack").to_pylist(), of, masks):
-        pairs = ((m[:, None] >> np.arange(KINDS)) & 1).astype(bool)
-        rows.append((p, bucket, planes(count[i]), score[i][pairs].tobytes(), planes(spelling[i][pairs].astype(np.float32))))
+    rows = [(p, bucket, planes(count[i]), score[i].tobytes()) for p, i in zip(asked.column("pack").to_pylist(), places)]
     return pa.Table.from_pydict(dict(zip(TOLD.names, zip(*rows))), schema=TOLD)
 
 
@@ -481,23 +480,19 @@ def _score(table: pa.Table, told: pa.Table, buckets: int) -> pa.Table:
     if not table.num_rows:
         return RESULT.empty_table()
     t = _Tokens(table.column("text"))
-    answers = dict(zip(told.column("bucket").to_pylist(), zip(*(told.column(c).to_pylist() for c in ("counts", "scores", "spelling")))))
-    n = len(t.memo)
-    count, score, spelling = np.zeros(n, np.int64), np.zeros((n, KINDS)), np.zeros((n, KINDS))
-    used = np.zeros((n, KINDS), bool)
-    used[t.ids, t.kinds] = True
-    for b, ids in t.buckets(buckets):
-        c, *values = answers[b]
-        count[ids] = unplanes(c, np.int64)
-        w, k = np.nonzero(used[ids])
-        score[ids[w], k] = np.frombuffer(values[0], np.float64)
-        spelling[ids[w], k] = unplanes(values[1], np.float32)
+    answers = dict(zip(told.column("bucket").to_pylist(), zip(*(told.column(c).to_pylist() for c in ("counts", "scores")))))
+    count, score = np.zeros(len(t.words), np.int64), np.zeros(len(t.prev))
+    for b, pairs in t.buckets(buckets):
+        counts, scores = answers[b]
+        count[t.prev[pairs]] = unplanes(counts, np.int64)  # every word of a pack is some token's previous word
+        score[pairs] = np.frombuffer(scores, np.float64)
+    # The last token of the pack is an end, the previous word of the first one.
     total = lambda x: np.add.reduceat(x, t.first)
-    size = np.array([len(w) + 1 for w in t.memo], np.int64)
+    size = np.array([len(w) + 1 for w in t.words], np.int64)
     return pa.Table.from_pydict({
         "doc_id": table.column("doc_id").to_pylist(), "held_out": table.column("held_out").to_pylist(), "n_tokens": t.sizes,
         "n_known": total((count[t.ids] > 0).astype(np.int64)), "base_sum": total(np.log10(count[t.ids] + 1.0)),
-        "score": total(score[t.ids, t.kinds]), "spelling": total(spelling[t.ids, t.kinds]), "n_bytes": total(size[t.ids])}, schema=RESULT)
+        "score": total(score[t.pair]), "n_bytes": total(size[t.ids])}, schema=RESULT)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -505,49 +500,39 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     Learns from documents that are not held out (crc32 of doc_id as text, modulo 7, is not 2). Tokens: the lower-cased
     (A-Z) words and one end. Returns one row per document: doc_id, held_out, n_tokens, n_known (tokens seen in training),
-    train_tokens, base_score, score (see above), spelled_score (with the unknown words' spelling) and bits_per_byte (its bits
-    over the bytes of the word stream).
+    train_tokens, base_score, score (all bits of all tokens) and bits_per_byte (its bits over the bytes of the word stream).
 
-    Null text: empty, only the end. Null ids are held out. Without training documents every word is unknown, every bit of
-    a spelling has about the probability 1/2, and every base count is 0. Repeated rows score alike (and count each in training). Other columns are
-    ignored; an empty table gives an empty result.
+    Null text: empty, only the end. Null ids are held out. Without training documents every word is unknown, every bit
+    has about the probability 1/2, and every base count is 0. Repeated rows score alike (and count each in training); an id
+    that many rows share is no group. A word of any length is predicted in pieces. Other columns are ignored; an empty table gives
+    an empty result.
 
-    Scale: word counts move once per counting batch and distinct word; texts move once, into packs that ask for each of
-    their distinct words once; the count tables have a fixed size and are sent to the executors.
+    Scale: pair counts move once per counting batch and distinct pair; texts move once, into packs that ask for each of
+    their distinct pairs once; buckets follow the text's bytes, except that one previous word's followers are one
+    bucket, at most one entry a distinct word; the shared tables have a fixed size and are sent to the executors.
     """
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id").cast("long")).alias("held_out"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    buckets = 2 * shuffle_partitions(docs)
+    buckets = pack_count(docs, "text", BUCKET_BYTES)
     lexicon = stored(_counted(docs.where("not held_out"), buckets).groupBy("bucket").applyInArrow(
-        _merge, "bucket int, distinct long, twice long, tokens array<long>, once array<long>, words binary, counts binary"), "lexicon")
-    kinds = lambda c: [F.sum(F.col(c)[k]) for k in range(KINDS)]
-    sums = [int(x or 0) for x in lexicon.agg(F.sum("distinct"), F.sum("twice"), F.sum(F.length("words") + F.col("distinct")),
-                                             *kinds("tokens"), *kinds("once")).first()]
-    distinct, twice, size = sums[:3]
-    by_kind, once = np.array(sums[3:3 + KINDS]), np.array(sums[3 + KINDS:])
-    train_tokens = int(by_kind.sum())
-    vocabulary = Vocabulary(train_tokens, distinct, by_kind, once, twice)
+        _merge, "bucket int, distinct long, tokens long, keys binary, counts binary"), "lexicon")
+    distinct, train_tokens, size = (int(x or 0) for x in lexicon.agg(
+        F.sum("distinct"), F.sum("tokens"), F.sum(F.length("keys"))).first())
     tasks = max(1, math.ceil(size / TRAIN_BYTES))
-    logs = _train_counts(lexicon, tasks)
-    shared = spark.sparkContext.broadcast(logs)
-    learned = _train_weights(lexicon, tasks, shared, vocabulary) if train_tokens else None
-    model = Model(shared, vocabulary, learned)
+    shared = spark.sparkContext.broadcast(_train_counts(lexicon, tasks))
+    model = Model(shared, _train_weights(lexicon, tasks, shared) if train_tokens else None)
     name = uuid.uuid4().hex
 
     n = pack_count(docs, "text")
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
-    packed = docs.withColumn("pack", hashed_pack(key, n))
-    asked = packed.groupBy("pack").applyInArrow(lambda t: _ask(t, buckets), "bucket int, pack int, words binary, kinds binary")
+    packed = docs.withColumn("pack", hashed_pack(F.struct("doc_id", "text"), n))
+    asked = packed.groupBy("pack").applyInArrow(lambda t: _ask(t, buckets), "bucket int, pack int, keys binary")
     told = asked.groupBy("bucket").cogroup(lexicon.groupBy("bucket")).applyInArrow(
-        lambda a, b: _tell(a, b, model, name), "pack int, bucket int, counts binary, scores binary, spelling binary")
+        lambda a, b: _tell(a, b, model, name), "pack int, bucket int, counts binary, scores binary")
     scored = packed.groupBy("pack").cogroup(told.groupBy("pack")).applyInArrow(
         lambda a, b: _score(a, b, buckets),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, score double, "
-        "spelling double, n_bytes long")
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, score double, n_bytes long")
     base = F.col("base_sum") - F.col("n_tokens") * F.lit(math.log10(train_tokens + distinct + 1))
-    spelled = F.col("score") + F.col("spelling")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"),
-                         base.alias("base_score"), "score", spelled.alias("spelled_score"),
-                         (-spelled * math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))
+                         base.alias("base_score"), "score", (-F.col("score") * math.log2(10) / F.col("n_bytes")).alias("bits_per_byte"))

@@ -8,10 +8,12 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from reviewkit.llm import mixing_lm, pu_quality
-from reviewkit.llm.mixing_lm import Counts, Mixer, Model, Vocabulary, bits_of, score_texts
+from reviewkit.llm.mixing_lm import Counts, Mixer, PairCounts, bits_of, runs, score_texts
+from reviewkit.llm.packs import hashed_pack
 from reviewkit.llm.pu_quality import FEATURES, estimate_prior, features, fit, score_quality
 from tests.llm import brute
 
@@ -116,9 +118,7 @@ def test_lm_base_counts_and_gain(spark):
     want = sorted((str(i), len(x), sum(count[w] > 0 for w in x), n, round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in x), 6))
                   for i, t in docs for x in [tokens(t)])
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    assert all(r.held_out == held(r.doc_id, 7, 2) and r.score < 0 and r.spelled_score <= r.score for r in got)
-    out = [r for r in got if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    assert all(r.held_out == held(r.doc_id, 7, 2) and r.score < 0 for r in got)
     assert len({(r.score, r.bits_per_byte) for r in got if r.doc_id == docs[5][0]}) == 1
 
 
@@ -130,43 +130,150 @@ def test_lm_without_training_and_empty(spark):
     assert score_texts(df.where("false")).count() == 0
 
 
-def model(words, n):
+def model(keys, n):
     counts = Counts()
-    kinds = np.zeros(len(words), np.uint8)
     n = np.array(n)
-    counts.add(words, kinds, n)
-    vocabulary = Vocabulary(int(n.sum()), len(n), np.array([n.sum(), 0, 0, 0]), np.array([(n == 1).sum(), 0, 0, 0]), int((n == 2).sum()))
-    logs = np.log2(counts.n.T + 1).astype(np.float16)
-    learner = Mixer(logs, vocabulary, loo=True)
-    learner.learn(words, kinds, n, n)
-    return Model(SimpleNamespace(value=logs), vocabulary, (learner.weights, learner.hits, learner.total, learner.by_count, learner.of_count)).mixer()
-
-
-def test_lm_probabilities_sum_to_at_most_one():
-    words = [b"", b"the", b"of", b"then", b"x"]
-    m = model(words, [5, 40, 20, 2, 1])
-    kinds = np.zeros(1, np.uint8)
-    # The first byte's 256 values share exactly one; all but six of them can begin a token (the end is a line feed).
-    first = [bytes([c]) for c in range(256) if c not in b" \t\n\r\x0b\x0c"] + [b""]
-    p = 0.0
-    for b in (bits_of([w], kinds) for w in first):
-        byte = np.tile(np.arange(len(b.bit) // 8), 8)
-        p += float(np.prod(m.probability(b)[byte == 0]))
-    assert 0.8 < p <= 1 + 1e-6
-    known, _ = m.log10(words, np.zeros(5, np.uint8), np.array([5, 40, 20, 2, 1]))
-    unknown, spelled = m.log10([b"new"], kinds, np.array([0]))
-    assert (10 ** known).sum() + 10 ** unknown[0] <= 1 + 1e-9 and spelled[0] < 0
-    assert known[1] > known[3]
-
-
-def test_bits_rebuild_the_bytes():
-    words = [b"ab", b"", "é".encode(), b"z" * 300]
-    x = bits_of(words, np.array([0, 1, 2, 3], np.uint8))
-    assert np.packbits(x.bit.reshape(8, -1).T, axis=1).tobytes() == b"ab \n\xc3\xa9 " + b"z" * 300 + b" "
+    counts.add(keys, n)
+    pairs = PairCounts(keys, n)
+    learner = Mixer(np.log2(counts.n.T + 1).astype(np.float16), loo=True)
+    learner.learn(keys, n, pairs)
+    m = Mixer(np.log2(counts.n.T + 1).astype(np.float16))
+    m.weights, m.hits, m.total = learner.weights, learner.hits, learner.total
+    return m, pairs
+
+
+def test_lm_probabilities_sum_to_one():
+    keys, n = [b" the", b"of the", b"the ", b"the of", b"the then", b"then x"], [5, 40, 5, 20, 2, 1]
+    m, pairs = model(keys, n)
+    # The 256 values of a word's first byte, after the same word, share exactly one.
+    x = bits_of([(c, b"\n\nthe ", bytes([c]), xxhash.xxh3_64_intdigest(b"the")) for c in range(256)])
+    p = m.probability(x, pairs).reshape(8, -1)[:, x.node].astype(float).prod(0)
+    assert abs(p.sum() - 1) < 1e-4
+    first = dict(zip(x.token.tolist(), p))
+    assert first[ord("o")] > first[ord("q")]
+    score = dict(zip(keys, m.log10(keys, pairs)))
+    assert (np.array(list(score.values())) < 0).all() and score[b"the of"] > score[b"the then"]
+
+
+def test_bits_rebuild_the_bytes(monkeypatch):
+    keys = [b" ab", b"ab ", b"ab abc", b"ab abd", "ab é".encode(), b"x " + b"z" * 300]
+    stream = b"ab \nabc abd \xc3\xa9 " + b"z" * 300 + b" "
+    read = lambda x: np.packbits(x.bit.reshape(8, -1).T, axis=1).ravel()[x.node].tobytes()
+    (x,) = runs(keys)
+    assert read(x) == stream and len(x.bit) // 8 == len(stream) - 2  # abc and abd share two nodes
     assert x.slots.min() >= 0 and x.slots.max() < sum(1 << b for b in mixing_lm.SLOT_BITS)
-    # A word's bits do not depend on its neighbours.
-    alone = bits_of([words[2]], np.array([2], np.uint8))
-    assert (x.slots[:, x.word == 2] == alone.slots).all()
+    assert x.weights(np.array([1, 1, 5, 7, 1, 2])).sum() == 8 * (3 + 1 + 20 + 28 + 3 + 602)
+    # A pair's bits do not depend on its neighbours; pieces of a long word carry all its bytes.
+    (alone,) = runs([keys[3]])
+    at = x.node[x.token == 3]
+    assert (x.slots.reshape(5, 8, -1)[:, :, at] == alone.slots.reshape(5, 8, -1)[:, :, alone.node]).all()
+    monkeypatch.setattr(mixing_lm, "PIECE", 64)
+    monkeypatch.setattr(mixing_lm, "CHUNK", 100)
+    parts = list(runs(keys))
+    assert b"".join(map(read, parts)) == stream and max(len(p.node) for p in parts) < 164
+    assert sum(int((p.token == 5).sum()) for p in parts) == 301
+
+
+WRAP = (1 << 64) - 1
+
+
+def scrambled(x):
+    x &= WRAP
+    for _ in range(2):
+        x ^= x >> 32
+        x = x * 0xD6E8FEB86659FD93 & WRAP
+    return x ^ x >> 32
+
+
+def walked(text):
+    """Every bit of a text, occurrence by occurrence: ([(table, slot)], hash of the context with the previous word, bit)."""
+    odd = [int(x) for x in mixing_lm._ODD]
+    prev = b""
+    for word in brute.WORD.findall(brute.lower(text)) + [b""]:
+        body = word + b" " if word else b"\n"
+        past = (b"\n" * 6 + (prev + b" " if prev else b"") + body)
+        begin, run = len(past) - len(body), 0
+        for place, byte in enumerate(body):
+            contexts = []
+            for k in mixing_lm.ORDERS:
+                back = int.from_bytes(past[begin + place - k:begin + place], "big")
+                contexts.append(scrambled(back + odd[k - 1 if k < 6 else 0]))
+            contexts.append(scrambled(run + place))
+            own = scrambled(contexts[-1] + xxhash.xxh3_64_intdigest(prev) * odd[1])
+            for j in range(8):
+                half = j // 4 * 4
+                high = (byte >> 4) * odd[5] if half else 0
+                so_far = (1 << j - half) | (byte >> 8 - j & (1 << j - half) - 1)
+                slots = [(k, ((c + high) * odd[0] & WRAP) >> 64 - w ^ so_far) for k, (c, w) in enumerate(zip(contexts, mixing_lm.SLOT_BITS))]
+                yield slots, scrambled(own + high) ^ so_far, byte >> 7 - j & 1, j
+            run = (run + scrambled((byte + 1) * pow(odd[3], place + 1, 1 << 64))) & WRAP
+        prev = word
+
+
+def test_lm_agrees_with_a_walk_over_every_occurrence(spark, monkeypatch):
+    """One bucket and given weights: the query's lengths by distinct pair equal a plain mixer's, bit by bit over the texts."""
+    docs, _ = good_and_bad(20, 7)
+    docs = [(i, t[:160]) for i, t in docs] + [(50, None), (51, docs[3][1][:160]), (52, "Été the the été"), (None, "the the")]
+    rng = np.random.default_rng(3)
+    weights = rng.uniform(0, 0.6, (mixing_lm.GATES, mixing_lm.INPUTS)).astype(np.float32)
+    none = np.zeros(64 * mixing_lm.BINS)
+    monkeypatch.setattr(mixing_lm, "pack_count", lambda *a: 1)
+    monkeypatch.setattr(mixing_lm, "_train_weights", lambda *a: (weights, none, none))
+    got = score_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+
+    shared, own, pairs = Counter(), Counter(), set()
+    train = [t or "" for i, t in docs if not held(i, 7, 2)]
+    for t in train:
+        words = [b""] + brute.WORD.findall(brute.lower(t)) + [b""]
+        pairs.update(zip(words, words[1:]))
+    mask = (1 << max(10, math.ceil(math.log2(mixing_lm.SPARE * 8 * sum(len(w) + 1 for _, w in pairs) + 1)))) - 1
+    for t in train:
+        for slots, place, bit, _ in walked(t):
+            shared.update((s, bit) for s in slots)
+            own[place & mask, bit] += 1
+    logged = lambda n: np.exp2(np.float32(np.float16(np.log2(n + 1)))) - 1
+    level = lambda n: int(min(7, np.log2(n + 1) / 1.5 + 1e-3))
+
+    def plain(text):
+        total = 0.0
+        for slots, place, bit, j in walked(text):
+            n = [(logged(shared[s, 0]), logged(shared[s, 1])) for s in slots] + [(own[place & mask, 0], own[place & mask, 1])]
+            inputs = [math.log((b + mixing_lm.PRIOR) / (a + mixing_lm.PRIOR)) for a, b in n] + [1.0]
+            gate = level(sum(n[-1])) * 8 + level(sum(n[-2]))
+            logit = min(11, max(-11, sum(float(w) * x for w, x in zip(weights[gate], inputs))))
+            p = 1 / (1 + math.exp(-logit))
+            at = (min(7.999, max(-8, logit)) + 8) * 2
+            knots = [1 / (1 + math.exp(8 - (int(at) + i) / 2)) for i in (0, 1)]
+            p = min(1 - 1e-5, max(1e-5, (p + knots[0] * (1 - at % 1) + knots[1] * (at % 1)) / 2))
+            total += math.log10(p if bit else 1 - p)
+        return total
+
+    by_text = {t: plain(t or "") for t in {t for _, t in docs}}
+    text_of = dict(docs)
+    assert len(got) == len(docs)
+    for r in got:
+        assert r.score == pytest.approx(by_text[text_of[r.doc_id]], rel=1e-4)
+
+
+def test_lm_score_sees_the_order_of_words_and_the_length_of_gibberish(spark):
+    r = random.Random(5)
+    lines = [" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(40)) for _ in range(12)]
+    trained = [i for i in range(400) if not held(i, 7, 2)]
+    docs = [(i, " ".join(r.choice(lines) for _ in range(3))) for i in trained[:150]]
+    kept = [i for i in range(400) if held(i, 7, 2)]
+    words = lines[0].split()
+    junk = "".join(r.choice("jkqxz") for _ in range(70_000))
+    tests = {kept[0]: " ".join(words), kept[1]: " ".join(r.sample(words, len(words))), kept[2]: junk[:20], kept[3]: junk[:200], kept[4]: junk}
+    got = {x.doc_id: x for x in score_texts(spark.createDataFrame(docs + list(tests.items()), "doc_id long, text string")).collect()}
+    s = [got[k].score for k in kept[:5]]
+    assert s[0] > 0.8 * s[1] and s[0] > got[kept[0]].base_score
+    assert s[2] > 5 * s[2] / 4 > s[3] > s[4] and -6 * 70_000 < s[4] < -0.3 * 70_000
+
+
+def test_lm_packs_spread_rows_of_one_id(spark):
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, 1, id) AS doc_id", "cast(id AS string) AS text")
+    sizes = [r["count"] for r in df.groupBy(hashed_pack(F.struct("doc_id", "text"), 16)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.3 * 9000 / 16
 
 
 def test_held_out_flag(spark):
