@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +43,7 @@ HEAD = max(ORDERS)
 #: A longer word is predicted in pieces, so that memory follows the piece.
 PIECE = 1 << 15
 #: Text bytes a bucket of the lexicon aims at; lexicon bytes that one task of the training reads, about.
-BUCKET_BYTES, TRAIN_BYTES = 1_000_000, 16_000_000
+BUCKET_BYTES, TRAIN_BYTES = 1_000_000, 8_000_000
 #: Slots of a bucket's own table for each bit of its distinct pairs, at least.
 SPARE = 2
 #: Text bytes a counting task holds at once; bytes predicted at once.
@@ -81,6 +81,22 @@ def split_key(key: bytes) -> tuple[bytes, bytes]:
     return prev, word
 
 
+def joined(pairs: Iterable[tuple[bytes, bytes]]) -> bytes:
+    """A line for each run of one previous word: that word and the words after it."""
+    lines: list[list[bytes]] = []
+    last = None
+    for prev, word in pairs:
+        if prev != last:
+            lines.append([prev])
+            last = prev
+        lines[-1].append(word)
+    return b"\n".join([b" ".join(line) for line in lines])
+
+
+def parted(blob: bytes) -> list[bytes]:
+    return [prev + b" " + w for line in blob.split(b"\n") for prev, *words in [line.split(b" ")] for w in words]
+
+
 def _units(keys: list[bytes]) -> Iterator[tuple[int, bytes, bytes, int]]:
     """(token, last bytes before it, bytes, hash of the previous word) of every token, long words in pieces.
 
@@ -322,7 +338,7 @@ class _Tokens:
 
     def keys(self, pairs: np.ndarray) -> bytes:
         w = self.words
-        return b"\n".join([w[p] + b" " + w[q] for p, q in zip(self.prev[pairs].tolist(), self.word[pairs].tolist())])
+        return joined(zip(map(w.__getitem__, self.prev[pairs].tolist()), map(w.__getitem__, self.word[pairs].tolist())))
 
 
 def _counted(docs: DataFrame, buckets: int) -> DataFrame:
@@ -344,7 +360,7 @@ LEXICON = pa.schema([("bucket", pa.int32()), ("distinct", pa.int64()), ("tokens"
 
 def _union(column: pa.ChunkedArray) -> tuple[list[bytes], list[np.ndarray]]:
     """Distinct keys in byte order, and the place of every key of every blob."""
-    blobs = [b.split(b"\n") for b in column.to_pylist()]
+    blobs = [parted(b) for b in column.to_pylist()]
     keys = sorted(set().union(*blobs))
     at = {k: i for i, k in enumerate(keys)}
     return keys, [np.fromiter(map(at.__getitem__, b), np.int64, len(b)) for b in blobs]
@@ -357,11 +373,11 @@ def _merge(table: pa.Table) -> pa.Table:
     for at, counts in zip(places, table.column("counts").to_pylist()):
         total[at] += unplanes(counts, np.int64)
     return pa.Table.from_pylist([{"bucket": table.column("bucket")[0].as_py(), "distinct": len({split_key(k)[0] for k in keys}),
-                                  "tokens": int(total.sum()), "keys": b"\n".join(keys), "counts": planes(total)}], schema=LEXICON)
+                                  "tokens": int(total.sum()), "keys": joined(map(split_key, keys)), "counts": planes(total)}], schema=LEXICON)
 
 
 def _entries(keys: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray]:
-    return keys.split(b"\n"), unplanes(counts, np.int64)
+    return parted(keys), unplanes(counts, np.int64)
 
 
 TABLE = pa.schema([("block", pa.int32()), ("slots", pa.binary()), ("n0", pa.binary()), ("n1", pa.binary())])
@@ -472,7 +488,7 @@ def _tell(asked: pa.Table, lexicon: pa.Table, model: Model, name: str) -> pa.Tab
         _MIXERS[name] = model.mixer()
     score = _MIXERS[name].log10(keys, pairs)
     bucket = asked.column("bucket")[0].as_py()
-    rows = [(p, bucket, planes(count[i]), score[i].tobytes()) for p, i in zip(asked.column("pack").to_pylist(), places)]
+    rows = [(p, bucket, planes(count[i]), planes(score[i].astype(np.float32))) for p, i in zip(asked.column("pack").to_pylist(), places)]
     return pa.Table.from_pydict(dict(zip(TOLD.names, zip(*rows))), schema=TOLD)
 
 
@@ -485,7 +501,7 @@ def _score(table: pa.Table, told: pa.Table, buckets: int) -> pa.Table:
     for b, pairs in t.buckets(buckets):
         counts, scores = answers[b]
         count[t.prev[pairs]] = unplanes(counts, np.int64)  # every word of a pack is some token's previous word
-        score[pairs] = np.frombuffer(scores, np.float64)
+        score[pairs] = unplanes(scores, np.float32)
     # The last token of the pack is an end, the previous word of the first one.
     total = lambda x: np.add.reduceat(x, t.first)
     size = np.array([len(w) + 1 for w in t.words], np.int64)

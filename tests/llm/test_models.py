@@ -155,6 +155,13 @@ def test_lm_probabilities_sum_to_one():
     assert (np.array(list(score.values())) < 0).all() and score[b"the of"] > score[b"the then"]
 
 
+def test_pairs_of_one_word_are_one_line():
+    keys = [b" ", b" a", b"a ", b"a b", b"a c", b"a\x01 b", b"b "]
+    blob = mixing_lm.joined(map(mixing_lm.split_key, keys))
+    assert mixing_lm.parted(blob) == keys and blob.count(b"\n") == 3
+    assert mixing_lm.parted(mixing_lm.joined([(b"", b"")])) == [b" "]
+
+
 def test_bits_rebuild_the_bytes(monkeypatch):
     keys = [b" ab", b"ab ", b"ab abc", b"ab abd", "ab é".encode(), b"x " + b"z" * 300]
     stream = b"ab \nabc abd \xc3\xa9 " + b"z" * 300 + b" "
