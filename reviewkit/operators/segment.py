@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from reviewkit.functions.arrays import explode_rows
 from reviewkit.functions.text import WHITESPACE_RANGES
 from reviewkit.functions.text import _char_class as _ws_class
-from reviewkit.operators.joins import checked_broadcast, materialize
+from reviewkit.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, checked_broadcast, materialize, table_size
 from reviewkit.operators.ranking import as_list
 
 HAN_RE = "[\\x{4e00}-\\x{9fd5}]+"
@@ -352,14 +352,15 @@ def segment_rows(df: DataFrame, key: str | Sequence[str], text_col: str, diction
                  out_col: str = "tokens", keep_whitespace_tokens: bool = False) -> DataFrame:
     """Per-row token arrays in text order (word segmentation of each review).
 
-    Distinct blocks are segmented once; their pieces are joined back to the rows
-    on the block (size-checked broadcast, else a shuffle join whose hot blocks
-    AQE splits) and regrouped per row in unit order.
+    Distinct blocks are segmented once. A row's units stay one array; only occurrences of blocks that
+    are cut into pieces are joined on the block (size-checked broadcast, else a shuffle join without the words that
+    stay whole) and put in their places by row.
     """
     key = as_list(key)
     split = df.select(*key, split_units(F.col(text_col), block_re, other_re, keep_whitespace_tokens).alias("__units"))
-    split = materialize(split)  # read twice below: for the distinct blocks and for the rows
-    units = explode_rows(split, key, F.col("__units"), "block", pos_name="upos")
+    # Read twice below, for the distinct blocks and for the rows; rows that share a key are told apart.
+    split = materialize(split.withColumn("__row", F.monotonically_increasing_id()))
+    units = explode_rows(split, [*key, "__row"], F.col("__units"), "block", pos_name="upos")
     counts = units.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     is_block = F.col("block").rlike(f"^(?:{block_re})$")
     d = matcher(dictionary)
@@ -377,14 +378,68 @@ def segment_rows(df: DataFrame, key: str | Sequence[str], text_col: str, diction
                                   .alias("__p")).select("block", F.col("__p.piece").alias("pieces"))
     else:
         raise ValueError("mode must be 'full', 'exact' or 'search'")
-    # One row per distinct block: broadcast when within bounds, so a block that
-    # holds a large share of all units never lands in one join partition;
-    # beyond the bounds AQE splits skewed partitions of the shuffle join.
-    j = units.join(checked_broadcast(pieces), "block", "left")
-    seg = F.when(F.col("pieces").isNotNull(), F.col("pieces")).otherwise(F.array(F.col("block")))
-    per = j.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("upos", seg.alias("s"))))
-                                .alias("__u"))
-    res = per.select(*key, F.flatten(F.col("__u.s")).alias(out_col))
-    # rows whose text has no unit at all get an empty list
-    return split.select(*key).join(res, key, "left").select(
-        *key, F.coalesce(F.col(out_col), F.array().cast("array<string>")).alias(out_col))
+    return _rows_of_pieces(split, units, checked_blocks(pieces, d), key, out_col)
+
+
+@dataclass
+class Cuts:
+    """Pieces of the blocks that are more than themselves, and, if those are no broadcast, the words that stay whole (or None)."""
+
+    pieces: DataFrame
+    whole: DataFrame | None
+
+
+def checked_blocks(pieces: DataFrame, m: Matcher, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Cuts:
+    """Pieces (block, pieces) stored; a block that is its own only piece needs no row.
+
+    Beyond the broadcast bounds the words of the dictionary that stay whole, most occurrences of a natural text, are taken out of the
+    join by a broadcast of their own, so that only occurrences of rare blocks are shuffled.
+    """
+    stored = materialize(pieces)
+    same = (F.size("pieces") == 1) & (F.get("pieces", F.lit(0)) == F.col("block"))
+    cuts = stored.where(~same)
+    n, size = table_size(cuts)
+    if n <= max_rows and size <= DEFAULT_BROADCAST_BYTES:
+        return Cuts(F.broadcast(cuts), None)
+    words = m.dictionary.select(F.col("word").alias("block")).join(stored.where(same).select("block"), "block", "left_semi")
+    words = materialize(words)
+    n, size = table_size(words)
+    return Cuts(cuts, F.broadcast(words) if n <= DICT_MAX_ROWS and size <= DEFAULT_BROADCAST_BYTES else None)
+
+
+def _rows_of_pieces(split: DataFrame, units: DataFrame, cuts: Cuts, key: list[str], out_col: str) -> DataFrame:
+    """Units of every row with the blocks of ``cuts`` in pieces.
+
+    Units stay in their row's array: only the occurrences of cut blocks are joined, gathered by key and put in their places. Rows
+    that share a key get the units of all of them, place by place; a null key gets none.
+    """
+    seen = units if cuts.whole is None else units.join(cuts.whole, "block", "left_anti")
+    cut = seen.join(cuts.pieces, "block").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__row", "upos", "pieces"))).alias("__cut"))
+    rows = split.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.collect_list(
+        F.when(F.col("__units").isNotNull(), F.struct("__row", "__units"))).alias("__all"))
+    j = rows.join(cut, key, "left")
+    none = F.array().cast("array<string>")
+    made = F.coalesce(F.col("__cut"), F.array().cast(cut.schema["__cut"].dataType))
+
+    def places(u: Column) -> Column:
+        """One row: the units between two cut ones as they are, then the pieces of the next."""
+        def part(k: Column) -> Column:
+            begin = F.coalesce(F.get(made, k - 1)["upos"], F.lit(-1)) + 1
+            end = F.coalesce(F.get(made, k)["upos"], F.size(u))
+            return F.concat(F.slice(u, begin + 1, end - begin), F.coalesce(F.get(made, k)["pieces"], none))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(made)), part))
+
+    def merged(rows: Column) -> Column:
+        """Rows of one key: (place, pieces) of all, sorted."""
+        def of(r: Column) -> Column:
+            own = F.map_from_entries(F.transform(F.filter(made, lambda x: x["__row"] == r["__row"]), lambda x: F.struct(x["upos"], x["pieces"])))
+            return F.transform(r["__units"], lambda u, i: F.named_struct(
+                F.lit("upos"), i, F.lit("s"), F.coalesce(F.try_element_at(own, i), F.array(u))))
+        return F.flatten(F.transform(F.sort_array(F.flatten(F.transform(rows, of))), lambda x: x["s"]))
+
+    known = F.lit(True)
+    for c in key:
+        known = known & F.col(c).isNotNull()
+    tokens = F.when(known & (F.size("__all") == 1), places(F.get("__all", F.lit(0))["__units"])).when(
+        known & (F.size("__all") > 1), merged(F.col("__all"))).otherwise(none)
+    return j.select(*key, tokens.alias(out_col), F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__k")).drop("__k")
