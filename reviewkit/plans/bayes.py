@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewkit.functions.arrays import argmax, explode_rows
+from reviewkit.operators.encode import row_counts
 from reviewkit.operators.joins import checked_broadcast, materialize
 from reviewkit.operators.metrics import class_report, mean_cross_entropy, pooled_accuracy
 from reviewkit.operators.ranking import as_list
@@ -83,7 +84,7 @@ def score_bayes(model: BayesModel, rows: DataFrame, key: str | Sequence[str], ke
     the size bounds, else the join shuffles on the token and AQE splits hot ones.
     """
     by = [*as_list(key), *keep]
-    counted = rows.select(*by, F.explode_outer(tokens_col).alias("token")).groupBy(*by, "token").agg(F.count(F.lit(1)).alias("n"))
+    counted = row_counts(rows, by, tokens_col, "n")
     joined = counted.join(checked_broadcast(model.tokens.select("token", "log_likelihood"), materialized=True), "token", "left")
     sums = joined.groupBy(*by).agg(F.array(*[F.coalesce(F.sum(F.col("n") * F.get("log_likelihood", k)), F.lit(0.0))
                                              for k in range(model.n_classes)]).alias("s"))
