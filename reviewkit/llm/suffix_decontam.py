@@ -28,7 +28,7 @@ from reviewkit.llm.words import gathered, texts
 from reviewkit.session import ship_package
 
 #: Text bytes of a shard.
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 8_000_000
 #: Text bytes of one block of the benchmark (collected and sent to the executors).
 BLOCK_BYTES = 16_000_000
 
