@@ -2,11 +2,13 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -162,6 +164,35 @@ def test_pairs_of_one_word_are_one_line():
     assert mixing_lm.parted(mixing_lm.joined([(b"", b"")])) == [b" "]
 
 
+def test_tokens_hold_the_words_of_one_text_at_a_time():
+    r = random.Random(5)
+    said = [" ".join(r.choice(["La", "mi", "do", "re"]) + str(r.randint(0, 40)) for _ in range(400)) for _ in range(700)] + [None, ""]
+    column = pa.chunked_array([pa.array(said[:300]), pa.array(said[300:])])
+    mixing_lm._Tokens(column)
+    tracemalloc.start()
+    t = mixing_lm._Tokens(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 * len(t.ids)  # a word held as an object takes about 40 bytes more
+    want, prev = Counter(), b""
+    for text in said:
+        for w in [*(text or "").lower().encode().split(), b""]:
+            want[prev, w] += 1
+            prev = w
+    got = {(t.words[p], t.words[w]): n for p, w, n in zip(t.prev.tolist(), t.word.tolist(), t.count.tolist())}
+    assert got == want
+    placed = mixing_lm._Tokens(column, places=True)
+    assert placed.prev.tolist() == t.prev.tolist() and placed.word[placed.pair].tolist() == placed.ids.tolist()
+
+
+def test_counts_leave_in_batches_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(mixing_lm, "BATCH_BYTES", 100)
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary())])
+    batches = list(mixing_lm._in_batches(((i, b"x" * 40) for i in range(10)), schema))
+    assert [b.num_rows for b in batches] == [3, 3, 3, 1]
+    assert [i for b in batches for i in b.column(0).to_pylist()] == list(range(10))
+
+
 def test_bits_rebuild_the_bytes(monkeypatch):
     keys = [b" ab", b"ab ", b"ab abc", b"ab abd", "ab é".encode(), b"x " + b"z" * 300]
     stream = b"ab \nabc abd \xc3\xa9 " + b"z" * 300 + b" "
