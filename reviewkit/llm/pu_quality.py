@@ -27,6 +27,8 @@ POSITIVES, UNLABELLED = 6_000, 12_000
 PAIRS = 128
 SHAPES = 12
 FEATURES = 129 + PAIRS + SHAPES
+#: Columns of the sample whose spread is taken at once.
+COLUMNS = 16
 #: A document is predicted to be good from this score on.
 THRESHOLD = 0.3
 
@@ -115,16 +117,21 @@ class Model:
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     """Class prior, then the non-negative PU risk, on feature rows."""
-    both = np.concatenate([positive, unlabelled]).astype(np.float64)
-    model = Model(both.mean(0), np.maximum(both.std(0), 1e-3), np.zeros(both.shape[1] + 1), 0.5)
-    p, u = model._rows(positive.astype(np.float64)), model._rows(unlabelled.astype(np.float64))
+    # One matrix in double precision, scaled in place; all else are views of it, or columns at a time.
+    x = np.ones((len(positive) + len(unlabelled), positive.shape[1] + 1))
+    x[:len(positive), :-1], x[len(positive):, :-1] = positive, unlabelled
+    z = x[:, :-1]
+    spread = [z[:, i:i + COLUMNS].std(0) for i in range(0, z.shape[1], COLUMNS)]
+    model = Model(z.mean(0), np.maximum(np.concatenate(spread), 1e-3), np.zeros(x.shape[1]), 0.5)
+    z -= model.mean
+    z /= model.scale
+    np.clip(z, -8, 8, out=z)
+    p, u = x[:len(positive)], x[len(positive):]
     # Prior: a positive-against-unlabelled classifier on even rows, judged on odd ones.
     pe, ue = p[::2], u[::2]
-    x = np.concatenate([pe, ue])
-    first = _fit(x, np.r_[np.full(len(pe), 0.5 / len(pe)), np.zeros(len(ue))],
+    first = _fit(np.concatenate([pe, ue]), np.r_[np.full(len(pe), 0.5 / len(pe)), np.zeros(len(ue))],
                  np.r_[np.zeros(len(pe)), np.full(len(ue), 0.5 / max(len(ue), 1))], steps=200)
     model.prior = estimate_prior(p[1::2] @ first, u[1::2] @ first)
-    x = np.concatenate([p, u])
     good = np.r_[np.full(len(p), model.prior / len(p)), np.zeros(len(u))]
     bad = np.r_[np.full(len(p), -model.prior / len(p)), np.full(len(u), 1 / max(len(u), 1))]
     model.weights = _fit(x, good, bad, clipped=(good > 0, model.prior))
@@ -157,10 +164,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     got = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
            .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "p", "u")
            .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-           .select("doc_id", "p", "u", rows("text").alias("x")).orderBy("doc_id", "x").collect())
-    x = np.frombuffer(b"".join(r.x for r in got), np.float32).reshape(-1, FEATURES)
-    is_p, is_u = np.array([r.p == 1 for r in got], bool), np.array([r.u == 0 for r in got], bool)
-    return fit(x[is_p], x[is_u]) if is_p.any() else None
+           .select("doc_id", "p", "u", rows("text").alias("x")).collect())
+    got.sort(key=lambda r: r.doc_id)  # here, not in Spark: to find ranges Spark would read the texts and send features once more
+    positive, unlabelled = ([r.x for r in got if r[k] == v] for k, v in (("p", 1), ("u", 0)))
+    del got
+    if not positive:
+        return None
+    return fit(*(np.frombuffer(b"".join(x), np.float32).reshape(-1, FEATURES) for x in (positive, unlabelled)))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, keep: bool = False) -> DataFrame:

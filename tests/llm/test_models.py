@@ -193,6 +193,17 @@ def test_counts_leave_in_batches_of_bounded_size(monkeypatch):
     assert [i for b in batches for i in b.column(0).to_pylist()] == list(range(10))
 
 
+def test_fit_holds_the_sample_once():
+    x = np.random.default_rng(3).random((3000, FEATURES), np.float32)
+    tracemalloc.start()
+    model = fit(x[:1000] + np.float32(0.2), x[1000:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4.5 * x.nbytes  # in double precision: the sample (2) and half of it (1), and the shifted rows (1/3)
+    both = np.concatenate([x[:1000] + np.float32(0.2), x[1000:]]).astype(np.float64)
+    assert np.allclose(model.mean, both.mean(0)) and np.allclose(model.scale, np.maximum(both.std(0), 1e-3))
+
+
 def test_bits_rebuild_the_bytes(monkeypatch):
     keys = [b" ab", b"ab ", b"ab abc", b"ab abd", "ab é".encode(), b"x " + b"z" * 300]
     stream = b"ab \nabc abd \xc3\xa9 " + b"z" * 300 + b" "
