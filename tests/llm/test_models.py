@@ -223,6 +223,28 @@ def test_bits_rebuild_the_bytes(monkeypatch):
     assert sum(int((p.token == 5).sum()) for p in parts) == 301
 
 
+def test_bits_of_keys_are_those_of_their_units():
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("ab\u00e9\x01-") for _ in range(r.randint(1, 9))).encode()
+    keys = sorted({b" ".join([p, w]) for p in [b"", b"a", b"ab", *(word() for _ in range(40))] for w in [b"", *(word() for _ in range(30))]})
+    x, y = mixing_lm._bits_of_keys(keys, 0, True), mixing_lm.bits_of(list(mixing_lm._units(keys)))
+    assert (x.slots == y.slots).all() and (x.pair == y.pair).all() and (x.byte == y.byte).all()
+    assert (x.node == y.node).all() and (x.token == y.token).all()
+    # Nodes are the distinct beginnings of a word after one previous word.
+    stems = {(p, (w + b" " if w else b"\n")[:i + 1]) for p, w in map(mixing_lm.split_key, keys) for i in range(len(w) + 1)}
+    assert len(x.byte) == len(stems)
+
+
+def test_a_buckets_own_table_hashes_no_shared_context(monkeypatch):
+    keys = sorted({b"a %d" % i for i in range(3000)})
+    weight = np.ones(len(keys), np.int64)
+    hashed, plain = [], mixing_lm.mix
+    monkeypatch.setattr(mixing_lm, "mix", lambda x: hashed.append(len(x)) or plain(x))
+    own = PairCounts(keys, weight)
+    assert sum(hashed) < 5.1 * sum(len(k) - k.index(b" ") for k in keys)  # of every byte; with the shared contexts 7.9
+    assert own.n.sum() == 8 * sum(len(k) - k.index(b" ") for k in keys)
+
+
 WRAP = (1 << 64) - 1
 
 
