@@ -245,6 +245,23 @@ def test_a_buckets_own_table_hashes_no_shared_context(monkeypatch):
     assert own.n.sum() == 8 * sum(len(k) - k.index(b" ") for k in keys)
 
 
+def test_shared_counts_are_small_numbers_until_they_do_not_fit():
+    counts, keys = Counts(), [b" the", b"the "]
+    counts.add(keys, np.array([3, 2]))
+    few = counts.n.copy()
+    assert counts.n.dtype == np.uint32 and few.sum() == 5 * 8 * (4 * 3 + 1 * 2)
+    counts.add(keys, np.array([3, 2]) << 30)
+    assert counts.n.dtype == np.int64 and (counts.n == few.astype(np.int64) * ((1 << 30) + 1)).all()
+
+
+def test_lm_training_leaves_no_shuffle_files(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, train = [], mixing_lm._train_weights
+    monkeypatch.setattr(mixing_lm, "_train_weights", lambda *a: seen.append(spark.conf.get(key)) or train(*a))
+    df = spark.createDataFrame([(i, "a b c") for i in range(20)], "doc_id long, text string")
+    assert score_texts(df).count() == 20 and seen == ["true"] and spark.conf.get(key) == "false"
+
+
 WRAP = (1 << 64) - 1
 
 
