@@ -254,6 +254,26 @@ def test_shared_counts_are_small_numbers_until_they_do_not_fit():
     assert counts.n.dtype == np.int64 and (counts.n == few.astype(np.int64) * ((1 << 30) + 1)).all()
 
 
+def test_a_large_own_table_takes_a_byte_a_count(monkeypatch):
+    keys = sorted({b"a %d" % i for i in range(9000)})
+    weight = np.where(np.arange(len(keys)) % 50 == 0, 1 << 20, 1) + np.arange(len(keys)) % 7
+    wide = PairCounts(keys, weight)
+    monkeypatch.setattr(mixing_lm, "LARGE", 1 << 10)
+    tracemalloc.start()
+    narrow = PairCounts(keys, weight)
+    narrow_peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert narrow.n.nbytes == wide.n.nbytes // 4 and narrow_peak < wide.n.nbytes + 24_000_000
+    exact = narrow.n.astype(np.int64)
+    for i, n in narrow.over.items():
+        exact[i] = n
+    assert (exact == wide.n).all() and 0 < len(narrow.over) < 0.2 * np.count_nonzero(exact)
+    for x in runs(keys):
+        for half in x.halves():
+            for loo in (False, True):
+                assert all((a == b).all() for a, b in zip(narrow.look(half, loo), wide.look(half, loo)))
+
+
 def test_lm_training_leaves_no_shuffle_files(spark, monkeypatch):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     seen, train = [], mixing_lm._train_weights
