@@ -8,14 +8,16 @@ difference, a segment that may differ by one element (its one-deletion neighbour
 is indexed) covers two. As the budget exceeds H, two linked sets agree on at
 least one segment's signature.
 
-Cost-based allocation: after the index is counted, each set leaves out its ``slack``
-longest posting lists, if they are long; the budget has two units more per list left
-out, since either side may do so. Deletion neighbourhoods cost a row per shingle, so they
+Cost-based allocation: after the index is counted, each set leaves out, in each band it
+signs in, the band's ``slack`` longest posting lists, if they are long; the budget has two
+units more per list left out, since either side may do so. Deletion neighbourhoods cost a row per shingle, so they
 go to segments only where sets are small and equality signatures would be short.
 
 Equal sets are one class (its smallest document stands for it). The sets of one posting
 list are compared by count sketches: the distance of two sketches is never above that of the
-sets, so pairs it rules out are no links. What is left connects sets to candidate groups,
+sets, so pairs it rules out are no links. Sketches are fine enough that unrelated sets are ruled out
+in all but one of millions of pairs: were it one of hundreds, the pairs of a large corpus would chain unrelated sets
+to one candidate group, whose cost is the square of its size. What is left connects sets to candidate groups,
 inside which all sets are compared exactly, as blocks of matrix products in a task, never
 as emitted pairs.
 """
@@ -46,6 +48,10 @@ BATCH_BYTES = 32_000_000
 STRIP, COLUMNS = 1024, 2048
 #: Cells of sketches compared at once; pairs held before they are folded.
 STRIP_CELLS, FOLD = 1 << 20, 200_000
+#: Shingles a cell of a sketch holds up to this many cells, about; beyond, and for a first look, four times as many.
+CELL_SHINGLES, FINE_CELLS = 2.5, 128
+#: Low byte of a signature: its band. No set has more shingles.
+BAND, MOST_SHINGLES = 0xFF, 1 << 40
 #: Words a word memo holds before it is renewed.
 MEMO_WORDS = 200_000
 #: Hash of the band, segment and kind into a signature (odd, fixed).
@@ -116,7 +122,7 @@ class _Signer:
             of = segment[one]
             out.append(sign(low[of] - (x[one] & np.uint64(0xFFFFFFFF)), high[of] - (x[one] >> np.uint64(32)),
                             size[of] - 1, tag[of]))
-        return np.concatenate(out)
+        return np.concatenate(out) & ~np.uint64(BAND) | np.uint64(b)
 
 
 def _lower_words(t: bytes | None) -> list[bytes]:
@@ -153,13 +159,22 @@ def _short(names: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(names), np.int64)[::2].copy()
 
 
+def _cells(size: int, each: float) -> int:
+    """Power of two from which a cell holds at most ``each`` shingles."""
+    return 1 << int(np.ceil(np.log2(max(size / each, 1))))
+
+
+def _coarse(size: int) -> int:
+    return max(32, _cells(size, 4 * CELL_SHINGLES))
+
+
 def sketch(s: np.ndarray) -> bytes:
-    """Counts of the shingles in hashed cells, capped at 255; cells are a power of two from a tenth of the size up.
+    """Counts of the shingles in hashed cells, capped at 255; cells are a power of two.
 
     The sum of absolute differences of two sketches (the longer folded to the shorter) is at most the number of
     shingles that only one of the sets has.
     """
-    cells = max(32, 1 << int(np.ceil(np.log2(max(len(s) / 10, 1)))))
+    cells = max(64, _coarse(len(s)), min(FINE_CELLS, _cells(len(s), CELL_SHINGLES)))
     n = np.bincount((mix(s + _SALT[1]) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
     return np.minimum(n, 255).astype(np.uint8).tobytes()
 
@@ -270,20 +285,18 @@ def _meet(table: pa.Table) -> pa.Table:
                                  pa.array(flag)], schema=MEMBERS)
 
 
-def _lists(members: DataFrame, sizes: DataFrame, t: int) -> DataFrame:
+def _lists(members: DataFrame, t: int) -> DataFrame:
     """(gid, short, k) of the posting lists that are compared: short ones, and costly ones less what sets leave out.
 
-    Each set leaves out its ``skips`` longest costly lists (per band: a set signs in one band or more, and each
-    band's budget is its own, so the number for one band is left out in all).
+    In each band it signs in, a set leaves out as many of its longest costly lists as the band's budget allows.
     """
     short = members.where("not costly").select("gid", "short").distinct()
     costly = stored(members.where("costly").select("gid", "short").distinct(), "costly")
     lengths = stored(costly.groupBy("gid").agg(F.count(F.lit(1)).alias("k")), "lengths")
-    allowed = (F.floor((F.floor(2 * F.col("n") * (100 - t) / (100 + t)) + 8) / 16)
-               * (F.floor(2 * F.col("n") * (100 - t) / (100 + t)) >= 8).cast("int"))
-    rank = F.row_number().over(Window.partitionBy("short").orderBy(F.desc("k"), "gid"))
-    kept = (costly.join(lengths, "gid").join(sizes.select("short", "n"), "short")
-            .withColumn("rank", rank).where(F.col("rank") > allowed).select("gid", "short", "k"))
+    band = F.col("gid").bitwiseAND(BAND)
+    allowed = F.get(F.array(*[F.lit(skips(high, t)) for high in bands(MOST_SHINGLES)[1:]]), band.cast("int"))
+    rank = F.row_number().over(Window.partitionBy("short", band).orderBy(F.desc("k"), "gid"))
+    kept = costly.join(lengths, "gid").withColumn("rank", rank).where(F.col("rank") > allowed).select("gid", "short", "k")
     return short.select("gid", "short", F.lit(1).cast("long").alias("k")).union(kept)
 
 
@@ -319,14 +332,26 @@ class _Connected:
 
 
 def _near(a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray, t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) that may link, some rows at a time: sizes and sketches within the distance of the threshold."""
-    step = max(1, STRIP_CELLS // max(1, b.size))
+    """Pairs (i, j) that may link, some rows at a time: sizes and sketches within the distance of the threshold.
+
+    All pairs are looked at in coarse sketches first, and what is left in the whole ones.
+    """
+    cells = min(a.shape[1], _coarse(max(size_a.max(), size_b.max())))
+    low_a, low_b = (x.reshape(len(x), -1, cells).sum(1, dtype=np.int16) for x in (a, b))
+    step = max(1, STRIP_CELLS // max(1, low_b.size))
     for at in range(0, len(a), step):
         x, y = size_a[at:at + step, None], size_b[None, :]
-        far = np.abs(a[at:at + step, None, :] - b[None, :, :]).sum(2, dtype=np.int64)
+        far = np.abs(low_a[at:at + step, None, :] - low_b[None, :, :]).sum(2, dtype=np.int64)
         ok = ((100 + t) * far <= (100 - t) * (x + y)) & (100 * np.minimum(x, y) >= t * np.maximum(x, y))
         i, j = np.nonzero(ok)
-        yield i + at, j
+        i += at
+        if cells < a.shape[1]:
+            near = np.empty(len(i), bool)
+            for k in range(0, len(i), pairs := max(1, STRIP_CELLS // a.shape[1])):
+                p, q = i[k:k + pairs], j[k:k + pairs]
+                near[k:k + pairs] = (100 + t) * np.abs(a[p] - b[q]).sum(1, dtype=np.int64) <= (100 - t) * (size_a[p] + size_b[q])
+            i, j = i[near], j[near]
+        yield i, j
 
 
 def _connect(sketches: np.ndarray, size: np.ndarray, side: np.ndarray | None, t: int) -> np.ndarray:
@@ -517,7 +542,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, t: int = 90, keep: bool = Fa
     met = stored(_signed(docs, k, t, buckets).groupBy("bucket").applyInArrow(_meet, "gid long, short long, costly boolean"), "met")
     sketches = stored(named.where("set is not null").groupBy("short").agg(
         F.min("n_shingles").alias("n"), F.min_by("sketch", "n_shingles").alias("sketch")), "sketches")
-    lists = _lists(met, sketches, t).join(sketches, "short").withColumn("blocks", F.ceil(F.col("k") / LIST_BLOCK))
+    lists = _lists(met, t).join(sketches, "short").withColumn("blocks", F.ceil(F.col("k") / LIST_BLOCK))
     lists = _blocked(lists, "blocks", F.pmod(F.xxhash64("short"), F.col("blocks")))
     spread = F.pmod(F.xxhash64("gid", "p", "q"), F.lit(4 * buckets)).cast("int")
     near = (lists.withColumn("b", spread).select("b", "gid", "p", "q", "side", "short", "n", "sketch")

@@ -187,6 +187,27 @@ def test_sketch_distance_is_a_lower_bound():
         assert np.abs(rows[0] - rows[1]).sum() <= len(np.setxor1d(a, b))
 
 
+@pytest.mark.parametrize("size", [60, 120, 200, 320, 350, 600, 1500])
+def test_sketches_of_unrelated_sets_are_far(size):
+    """No pair of 1,000 sets is near: a few in a thousand would chain a large corpus to one candidate group."""
+    rng = np.random.default_rng(size)
+    sets = [rng.integers(0, 2 ** 63, n).astype(np.uint64) for n in rng.integers(size * 9 // 10, size, 1000)]
+    of, n = folded([sketch(s) for s in sets]), np.array([len(s) for s in sets])
+    assert sum(len(i) for i, _ in partition_join._near(of[:500], n[:500], of[500:], n[500:], 80)) == 0
+    (i, j), = partition_join._near(of[:1], n[:1], of[:1], n[:1], 80)
+    assert (i.tolist(), j.tolist()) == ([0], [0])
+
+
+def test_each_band_leaves_out_its_own_lists(spark):
+    """A set that signs in two bands leaves out as many long lists in each as that band allows, whatever its own size."""
+    band = int(np.searchsorted(bands(400), 350, side="right")) - 1
+    allowed = [skips(bands(400)[band + i + 1], 80) for i in (0, 1)]
+    rows = [((list_ << 8) | (band + i), s, True) for i in (0, 1) for list_ in range(12) for s in range(4)]
+    kept = partition_join._lists(spark.createDataFrame(rows, "gid long, short long, costly boolean"), 80).collect()
+    for i in (0, 1):
+        assert sum(r.gid & 255 == band + i for r in kept) == 4 * (12 - allowed[i])
+
+
 @pytest.mark.parametrize("hot", [4, 10 ** 6])
 def test_long_and_hot_posting_lists(spark, monkeypatch, hot):
     """Families whose lists are costly, spread, cut into blocks and partly left out."""
