@@ -27,8 +27,9 @@ CONTROLS = (*MARKS, "<|endoftext|>", "<|im_start|>", "<|im_end|>", "<s>", "</s>"
 #: Put after the first character of a control string; doubled where a text has it itself.
 ESCAPE = "␛"
 LOSS_ROLE = "assistant"
-#: Characters encoded in one call of the tokenizer, about.
-CALL_CHARS = 1_000_000
+#: Characters rendered, encoded and returned at once, about (a single longer conversation is one piece). A character
+#: takes about 70 bytes while its tokens' spans are looked up, so an Arrow batch of whole conversations is too much.
+CALL_CHARS = 500_000
 
 _ESCAPED = re.compile("|".join([ESCAPE, *map(re.escape, CONTROLS)]))
 _READ = re.compile(re.escape(OPEN) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(CLOSE), re.S)
@@ -104,29 +105,39 @@ def _sha(text: str) -> str:
 
 def _format(ids: list, conversations: list[list[tuple[str, str]]], path: str) -> pa.Table:
     rendered = [render(turns) for turns in conversations]
-    tok, encoded, held, size = tokenizer(path), [], [], 0
-    for text, _ in rendered:
-        held.append(text)
-        size += len(text)
-        if size >= CALL_CHARS:
-            encoded += tok.encode_batch(held, add_special_tokens=False)
-            held, size = [], 0
-    encoded += tok.encode_batch(held, add_special_tokens=False)
+    encoded = tokenizer(path).encode_batch([text for text, _ in rendered], add_special_tokens=False)[::-1]
     out: dict[str, list] = {k: [] for k in RESULT.names}
-    for conv, (text, spans), e in zip(ids, rendered, encoded):
-        offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
+    for conv, (text, spans) in zip(ids, rendered):
+        e = encoded.pop()
+        offsets, tokens = np.array(e.offsets, np.int64).reshape(-1, 2), np.array(e.ids, np.int32)
+        del e
         wanted = np.array([(a, b) for a, b, role in spans if role == LOSS_ROLE and a < b], np.int64).reshape(-1, 2)
         mask = loss_mask(offsets, wanted)
         # Every digest is read back from the formatted text and the mask.
         turns = read_back(text)
         loss = unescape("".join(text[a:b] for a, b in masked_spans(offsets, mask)))
         row = (conv, len(turns), _sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), _sha(loss), len(text), text,
-               len(e.ids), int(mask.sum()), e.ids, mask.tolist())
+               len(tokens), int(mask.sum()), tokens, mask)
         for k, v in zip(RESULT.names, row):
             out[k].append(v)
     return pa.Table.from_pydict(out, schema=RESULT)
 
 
+def _formatted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Batches of (conv_id, turns), formatted some conversations at a time: what a task holds does not follow the batch's size."""
+    for b in batches:
+        ids, held, size = [], [], 0
+        for conv, turns in zip(b.column(0), b.column(1)):
+            ids.append(conv.as_py())
+            held.append([(t["role"], t["text"]) for t in turns.as_py()])
+            size += sum(len(role) + len(text) for role, text in held[-1])
+            if size >= CALL_CHARS:
+                yield from _format(ids, held, path).to_batches()
+                ids, held, size = [], [], 0
+        if held:
+            yield from _format(ids, held, path).to_batches()
+
+
 def format_chats(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     """Every conversation as one training text, its tokens and its loss mask over the assistant's texts.
 
@@ -138,7 +149,8 @@ def format_chats(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     rows are turns of their own; extra columns are ignored; an empty table gives an empty result. ``tokenizer_path`` is a
     byte-level tokenizer file that every executor has.
 
-    Scale: one shuffle by conversation. A conversation is one training text and so is rendered in one task.
+    Scale: one shuffle by conversation. A conversation is one training text and so is rendered in one task, which holds
+    some conversations at a time.
     """
     ship_package(conversations.sparkSession)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -147,11 +159,7 @@ def format_chats(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
                                                 text("text").alias("text")).alias("t"))
     grouped = grouped.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            turns = [[(t["role"], t["text"]) for t in c] for c in b.column(1).to_pylist()]
-            yield from _format(b.column(0).to_pylist(), turns, tokenizer_path).to_batches()
-
-    return grouped.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                                   "formatted_chars long, formatted string, n_tokens long, n_loss_tokens long, "
-                                   "input_ids array<int>, loss_mask array<boolean>")
+    return grouped.mapInArrow(
+        lambda batches: _formatted(batches, tokenizer_path),
+        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+        "formatted string, n_tokens long, n_loss_tokens long, input_ids array<int>, loss_mask array<boolean>")

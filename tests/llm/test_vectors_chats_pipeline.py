@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -197,6 +198,23 @@ def test_chats(spark):
     assert format_chats(df.where("false"), TOKENIZER).count() == 0
 
 
+def test_a_batch_of_conversations_is_formatted_in_pieces(monkeypatch):
+    """What is rendered and encoded at once is bounded, and the rows are those of one piece."""
+    r = random.Random(5)
+    turn = pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+    chats = [[{"turn": j, "role": r.choice(["user", "assistant", ""]), "text": "wörd <s> " * r.randrange(9)} for j in range(r.randrange(5))]
+             for _ in range(60)]
+    batch = pa.record_batch([pa.array([*range(59), None], pa.int64()), pa.array(chats, pa.list_(turn))], names=["conv_id", "turns"])
+    whole = [x for b in chat_mask._formatted(iter([batch]), TOKENIZER) for x in b.to_pylist()]
+    pieces, piece = [], chat_mask._format
+    monkeypatch.setattr(chat_mask, "CALL_CHARS", 300)
+    monkeypatch.setattr(chat_mask, "_format", lambda ids, held, path: pieces.append(held) or piece(ids, held, path))
+    got = [x for b in chat_mask._formatted(iter([batch]), TOKENIZER) for x in b.to_pylist()]
+    size = lambda turns: sum(len(role) + len(text) for role, text in turns)
+    assert got == whole and [x["conv_id"] for x in got] == [*range(59), None] and len(pieces) > 5
+    assert all(sum(map(size, held[:-1])) < 300 for held in pieces)
+
+
 def test_tokens_decode_to_the_text():
     text, _ = render([("user", "Grüße 日本"), ("assistant", " two  spaces\n")])
     t = chat_mask.tokenizer(TOKENIZER)
